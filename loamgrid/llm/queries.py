@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, langid
+from . import bpe, fingerprint, langid, mixing
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), F.array("source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "passes")
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.followed(table(spark, sf_dir, "documents"))
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -22,6 +33,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
+    "op4_fingerprints": op4_fingerprints,
     "op8_bpe": op8_bpe,
     "op10_language_id": op10_language_id,
 }
