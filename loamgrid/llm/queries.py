@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, fingerprint, langid, mixing
+from . import bpe, fingerprint, langid, mixing, toxicity
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(toxicity.training(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +39,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_fingerprints": op4_fingerprints,
     "op8_bpe": op8_bpe,
