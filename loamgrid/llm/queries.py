@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, chat, fingerprint, langid, maxscore, mixing, toxicity
+from . import bpe, chat, extract, fingerprint, langid, maxscore, mixing, toxicity
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.followed(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -54,12 +58,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_fingerprints": op4_fingerprints,
+    "op6_html_extraction": op6_html_extraction,
     "op7_top_k": op7_top_k,
     "op8_bpe": op8_bpe,
     "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_html_extraction": op6_html_extraction,
     "op7_top_k": """
         WITH grid AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
