@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, chat, extract, fingerprint, langid, maxscore, mixing, toxicity
+from . import bpe, chat, extract, fingerprint, langid, maxscore, mixing, substring, toxicity
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +47,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(langid.training(docs))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html_extraction": op6_html_extraction,
     "op7_top_k": op7_top_k,
     "op8_bpe": op8_bpe,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
 }
 
