@@ -231,7 +231,7 @@ def ordered(df: DataFrame, key: str, ties: list[str], ring: bool, both: bool = F
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component) of an undirected edge table (a, b): component is the smallest reachable node.
+    """(node, component) of an undirected edge table (a, b): component is the smallest reachable node. A node without an edge to another is left out.
 
     Alternates the large-star and small-star contractions, which keep every node's degree bounded by the edges it
     already has, until nothing changes; each round is cut in the shared folder. No node's neighbours are gathered
@@ -252,4 +252,5 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if mark == seen:
             break
         seen = mark
-    return current.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+    found = current.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+    return found.union(found.select("component", "component").distinct())

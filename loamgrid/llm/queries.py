@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, chat, extract, fingerprint, langid, maxscore, mixing, substring, toxicity
+from . import bpe, chat, extract, fingerprint, jaccard, langid, maxscore, mixing, substring, toxicity
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.followed(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(table(spark, sf_dir, "pages"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_fingerprints": op4_fingerprints,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_html_extraction": op6_html_extraction,
     "op7_top_k": op7_top_k,
     "op8_bpe": op8_bpe,
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_html_extraction": op6_html_extraction,
     "op7_top_k": """
         WITH grid AS (
