@@ -1,25 +1,68 @@
-"""A corpus pipeline of five operators; each stage's rows are written and read again before the next."""
+"""A corpus pipeline of five operators; each stage works on all rows that the stage before it kept.
+
+Every stage but the last returns the columns of documents. Rows that repeat an id stand or fall together in the stages that choose
+documents; rows with a null id are kept by the near-duplicate stage and dropped by mixing, which cannot name them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loamgrid.llm import bpe, jaccard, langid, mixing, substring
+from loamgrid.llm.common import cut
 
-from loamgrid.llm import langid
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Near duplicates share words in runs of five, at a similarity of 0.8 or more.
+NEAR = jaccard.Rule(width=5, num=80, den=100)
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language identification: documents whose language is rejected go."""
+    docs = docs.select(*COLUMNS)
     return langid.keep_known(docs, langid.fit(langid.training(docs)))
 
 
-STAGES = [("language_id", known_languages)]
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of every group of near duplicates the document with the smallest id stays."""
+    found = jaccard.join(docs, NEAR)
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def repeats_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Suffix-array dedup: passages that an earlier document has are cut out of the texts; every document stays."""
+    return substring.kept_texts(docs.select(*COLUMNS))
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing to target weights: a document comes as often as the mix takes it, once for each pass."""
+    passes = mixing.mix(docs, F.array("source")).groupBy("doc_id").agg(F.max("passes").cast("int").alias("passes")).filter("passes > 0")
+    return docs.select(*COLUMNS).join(passes, "doc_id").withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("passes")))).select(*COLUMNS)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """BPE encoding and decoding: token ids of every text, and the digest of what they decode to."""
+    import public_tokenizers
+
+    return bpe.digest(docs, public_tokenizers.path("word_bpe_49k.json"), ["lang", "source"], ids_too=True)
+
+
+STAGES = [
+    ("language_id", known_languages),
+    ("ngram_jaccard_join", one_of_each_group),
+    ("suffix_array_dedup", repeats_removed),
+    ("mixing", mixed_sources),
+    ("bpe", encoded),
+]
 
-#: Learned centroids and hashed sketches have no SQL form; tests hold run() against brute force.
+#: Learned centroids and vocabulary merges have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; what a stage returns is written to the shared folder before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -257,8 +257,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), step, "doc_id long, token_ids array<int>")
 
 
-def digest(docs: DataFrame, path: str, keep: list[str] | None = None) -> DataFrame:
-    """n_tokens and digests of the ids and of what they decode to; the other columns named by `keep` come along."""
+def digest(docs: DataFrame, path: str, keep: list[str] | None = None, ids_too: bool = False) -> DataFrame:
+    """n_tokens and digests of the ids and of what they decode to; columns named by `keep` come along, and token_ids if asked for."""
     small_batches(docs.sparkSession)
     vocab = vocabulary(docs.sparkSession, path)
     names = ["doc_id", *(keep or [])]
@@ -270,7 +270,9 @@ def digest(docs: DataFrame, path: str, keep: list[str] | None = None) -> DataFra
         ids_hex = [hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() for ids in all_ids]
         text_hex = [hashlib.sha256(own.decode(ids).encode()).hexdigest() for ids in all_ids]
         made = [pa.array([len(x) for x in all_ids], pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())]
-        return pa.RecordBatch.from_arrays([*[batch.column(x) for x in names], *made], [*names, "n_tokens", "ids_sha256", "decoded_sha256"])
+        if ids_too:
+            made.append(pa.array(all_ids, pa.list_(pa.int32())))
+        return pa.RecordBatch.from_arrays([*[batch.column(x) for x in names], *made], [*names, "n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * ids_too])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(keep or []), "text")
-    return map_batches(rows, step, ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_batches(rows, step, ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids_too)

@@ -74,7 +74,7 @@ class Chunk:
     """The documents of a chunk with their runs, in one order whenever it is built."""
 
     def __init__(self, table: pa.Table):
-        rows = table.select(["doc_id", "text"]).combine_chunks()
+        rows = table.combine_chunks()
         self.data, self.offsets = utf8(rows.column("text").combine_chunks())
         ids = rows.column("doc_id").combine_chunks()
         self.null = np.asarray(ids.is_null())
@@ -84,6 +84,7 @@ class Chunk:
             rows = rows.take(pa.array(order))
             self.data, self.offsets = utf8(rows.column("text").combine_chunks())
             self.ids, self.null = self.ids[order], self.null[order]
+        self.rows = rows
         parts = list(self._runs())
         self.doc, self.first, self.last, self.hash = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, U64 if i == 3 else np.int64) for i in range(4))
         use = ~self.null[self.doc] if len(self.doc) else np.zeros(0, bool)
@@ -196,7 +197,7 @@ def removed(docs: DataFrame, output: str, finish) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(partitions(spark), -(-total // CHUNK_TEXT))
     buckets = max(partitions(spark), -(-total // BUCKET_TEXT))
-    rows = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int").alias("chunk"))
+    rows = docs.withColumn("_chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
 
     def send_anchors(table: pa.Table) -> pa.Table:
         h, bucket, several = Chunk(table).anchors(buckets)
@@ -256,7 +257,7 @@ def removed(docs: DataFrame, output: str, finish) -> DataFrame:
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = Chunk(left) if left.num_rows else None
         if chunk is None:
-            return finish(None, None)
+            raise ValueError("answers without their documents")
         repeated = np.zeros(len(chunk.data) + 1, np.int8)
         answers = {b: (np.frombuffer(s, np.uint8).astype(np.int64), np.frombuffer(i, np.int64)) for b, s, i in zip(_column(right, "bucket"), _column(right, "sizes"), _column(right, "ids"), strict=True)}
         if answers:
@@ -290,11 +291,12 @@ def removed(docs: DataFrame, output: str, finish) -> DataFrame:
         return finish(chunk, covered)
 
     def _table(table: pa.Table, out: list, fields: list) -> pa.Table:
-        chunk = table.column("chunk")[0].as_py() if table.num_rows else 0
+        name = "_chunk" if "_chunk" in table.column_names else "chunk"
+        chunk = table.column(name)[0].as_py() if table.num_rows else 0
         columns = {"chunk": pa.array([chunk] * len(out), pa.int32())}
         return pa.table(columns | {name: pa.array([x[i] for x in out], kind) for i, (name, kind) in enumerate(fields)})
 
-    by_chunk = rows.groupBy("chunk")
+    by_chunk = rows.groupBy("_chunk")
     shared = by_chunk.applyInArrow(send_anchors, "chunk int, bucket int, hashes binary, several binary").groupBy("bucket").applyInArrow(find_shared, "chunk int, bucket int, bits binary")
     contexts = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(send_contexts, "chunk int, bucket int, lead binary, length binary, least binary, data binary")
 
@@ -306,7 +308,6 @@ def removed(docs: DataFrame, output: str, finish) -> DataFrame:
 
 
 DIGEST = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-KEPT = "doc_id long, text string, n_removed long"
 
 
 def _spans(chunk: Chunk, covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -323,9 +324,7 @@ def _spans(chunk: Chunk, covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
 
-    def finish(chunk: Chunk | None, covered: np.ndarray | None) -> pa.Table:
-        if chunk is None:
-            return pa.table({x.split()[0]: pa.array([], pa.string() if "string" in x else pa.int64()) for x in DIGEST.split(", ")})
+    def finish(chunk: Chunk, covered: np.ndarray) -> pa.Table:
         gone, spans = _spans(chunk, covered)
         kept = chunk.data[~covered].tobytes()
         ends = np.cumsum(np.diff(chunk.offsets) - gone).tolist()
@@ -337,15 +336,21 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def kept_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, the text that is left (bytes that no longer form a character are left out) and n_removed."""
+    """The same rows and columns with the text that is left; bytes that no longer form a character are left out, n_chars follows the text."""
+    names = docs.columns
+    rows = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
 
-    def finish(chunk: Chunk | None, covered: np.ndarray | None) -> pa.Table:
-        if chunk is None:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.string()), "n_removed": pa.array([], pa.int64())})
+    def finish(chunk: Chunk, covered: np.ndarray) -> pa.Table:
         gone, _ = _spans(chunk, covered)
         kept = chunk.data[~covered].tobytes()
         ends = np.cumsum(np.diff(chunk.offsets) - gone).tolist()
         texts = [kept[a:b].decode("utf-8", "ignore") for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-        return pa.table({"doc_id": pa.array(chunk.ids, pa.int64(), mask=chunk.null), "text": pa.array(texts, pa.string()), "n_removed": pa.array(gone.astype(np.int64))})
-
-    return removed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), KEPT, finish)
+        empty = np.asarray(chunk.rows.column("text").combine_chunks().is_null())
+        columns = {n: chunk.rows.column(n) for n in names}
+        columns["text"] = pa.array(texts, pa.string(), mask=empty)
+        if "n_chars" in names:
+            columns["n_chars"] = pa.array([len(t) for t in texts], pa.int64())
+        return pa.table(columns)
+
+    schema = ", ".join(f"`{f.name}` {'long' if f.name in ('doc_id', 'n_chars') else f.dataType.simpleString()}" for f in docs.schema)
+    return removed(rows, schema, finish)
