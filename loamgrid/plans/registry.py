@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import corpus_queries, gate_queries, relational_queries  # noqa: F401  they register themselves
+from .base import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 FLAGSHIP = "copy_band_pricing"
+
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
