@@ -9,7 +9,7 @@ coordinates of their points. Points are indexed in an R-tree whose nodes bound t
    so what very many documents share is no key unless a document hardly has anything else. Keys and points go to buckets; there the
    R-tree bound thins out each key's documents, and what is left is merged to one edge for each document.
 3. Coarse components of these edges bring together the sets that must be verified; a component of more than TILE sets is dealt into
-   pairs of size-ordered tiles. Inside, a pair is verified unless it is already in one component: no link that joins different components
+   pairs of tiles. Inside, a pair is verified unless it is already in one component: no link that joins different components
    is lost, and no group is expanded into all its pairs.
 
 Edge cases: null or wordless texts have the empty set, link with nothing and form their own component; a text with fewer words than a shingle is one
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import U64, chunks, components, cut, distinct_pairs, map_batches, mix, partitions, small_batches, text_shingles
 
 COUNTERS, SEGMENTS = 1 << 18, 16
-LEAF, FANOUT, TILE, SMALL = 16, 16, 4096, 48
+LEAF, FANOUT, TILE, SMALL, WIDE = 16, 16, 4096, 512, 8192
 BUCKET_TEXT = 16 << 20
 LARGE = 1 << 40
 
@@ -111,22 +111,31 @@ class Tree:
         items = self.order[nodes[nodes < len(self.order)]]
         return items[rule.enough(np.minimum(self.points[items], q).sum(axis=1), n, self.sizes[items])]
 
-    def leaf_groups(self, rule: Rule) -> np.ndarray:
-        """A component number for every item, where leaves that may hold a linked pair are joined."""
-        _, low, high, top = self.levels[-1]
-        number, todo = np.full(len(low), -1), np.arange(len(low))
+    def groups(self, rule: Rule) -> np.ndarray:
+        """A component number for every item under pairs that may link; each item is looked up once.
+
+        Among more than WIDE items whole leaves are joined instead, which may join too much but never too little.
+        """
+        wide = len(self.order) > WIDE
+        low, high, top = self.levels[-1][1:] if wide else (self.sizes, self.sizes, self.points)
+        number = np.full(len(low), -1)
         for first in range(len(low)):
             if number[first] >= 0:
                 continue
             number[first], queue = first, [first]
             while queue:
                 x = queue.pop()
-                rest = todo[number < 0]
-                may = (low[rest] * rule.num <= high[x] * rule.den) & (high[rest] * rule.den >= low[x] * rule.num)
-                rest = rest[may]
-                rest = rest[rule.enough(np.minimum(top[rest], top[x]).sum(axis=1), low[x], low[rest])]
-                number[rest] = first
-                queue.extend(rest.tolist())
+                if wide:
+                    may = np.flatnonzero(number < 0)
+                    may = may[(low[may] * rule.num <= high[x] * rule.den) & (high[may] * rule.den >= low[x] * rule.num)]
+                    may = may[rule.enough(np.minimum(top[may], top[x]).sum(axis=1), low[x], low[may])]
+                else:
+                    may = self.near(self.points[x], int(self.sizes[x]), rule)
+                    may = may[number[may] < 0]
+                number[may] = first
+                queue.extend(may.tolist())
+        if not wide:
+            return number
         out = np.empty(len(self.order), np.int64)
         out[self.order] = number[np.arange(len(self.order)) // LEAF]
         return out
@@ -177,21 +186,17 @@ def _rarity(docs: DataFrame, rule: Rule) -> np.ndarray:
     return np.log2(total + 1).astype(np.uint8)
 
 
-def _keys(column: pa.Array, rule: Rule, rarity: np.ndarray):
-    """Distinct sets of a batch: their values and bounds, ids, sizes, and (key, set) of their prefixes, rarest shingles first."""
+def _keys(column: pa.Array, rule: Rule, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, set id) of the prefixes of a batch's distinct sets, rarest shingles first."""
     value, bounds, sid = sets(column, rule.width)
     n = np.diff(bounds)
-    _, some = np.unique(sid, return_index=True)
-    some = np.sort(some[n[some] > 0])
+    chosen = np.zeros(len(n), bool)
+    chosen[np.unique(sid, return_index=True)[1]] = True
     doc = np.repeat(np.arange(len(n)), n)
     order = np.lexsort((value, rarity[(value >> U64(46)).astype(np.int64)], doc))
     rank = np.arange(len(value)) - np.repeat(bounds[:-1], n)
-    chosen = np.zeros(len(n), bool)
-    chosen[some] = True
     take = (rank < rule.prefix(n)[doc]) & chosen[doc]
-    place = np.full(len(n), -1)
-    place[some] = np.arange(len(some))
-    return value, bounds, sid[some], n[some], value[order][take], place[doc[take]], some
+    return value[order][take], sid[doc[take]]
 
 
 def _edges_in(keys: np.ndarray, who: np.ndarray, points: list[np.ndarray], n: np.ndarray, rule: Rule) -> np.ndarray:
@@ -232,7 +237,7 @@ def _edges_in(keys: np.ndarray, who: np.ndarray, points: list[np.ndarray], n: np
     for g in np.flatnonzero(size > SMALL).tolist():
         members = who[start[g] : start[g] + size[g]]
         width = min(len(points[x]) for x in members.tolist())
-        number = Tree(np.stack([fold(points[x][None, :], width)[0] for x in members.tolist()]), n[members]).leaf_groups(rule)
+        number = Tree(np.stack([fold(points[x][None, :], width)[0] for x in members.tolist()]), n[members]).groups(rule)
         by = np.argsort(number, kind="stable")
         for p, q, same in zip(members[by][:-1].tolist(), members[by][1:].tolist(), (number[by][1:] == number[by][:-1]).tolist(), strict=True):
             if same:
@@ -266,71 +271,73 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     rarity = spark.sparkContext.broadcast(_rarity(docs, rule))
 
     def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
-        _, bounds, sid = sets(batch.column("text"), rule.width)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sid), pa.array(np.diff(bounds))], ["doc_id", "sid", "n"])
+        value, bounds, sid = sets(batch.column("text"), rule.width)
+        n = np.diff(bounds)
+        points = [np.minimum(point(value[a:b], d), 255).astype(np.uint8).tobytes() for a, b, d in zip(bounds[:-1].tolist(), bounds[1:].tolist(), dims(n).tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sid), pa.array(n), pa.array(points, pa.binary())], ["doc_id", "sid", "n", "point"])
 
-    slim = cut(map_batches(docs, describe, "doc_id long, sid long, n long"))
+    slim = cut(map_batches(docs, describe, "doc_id long, sid long, n long, point binary"))
     classes = slim.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("class_id"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text", 4 << 20, 2048):
-                value, bounds, sid, n, key, who, some = _keys(part.column("text"), rule, rarity.value)
-                points = [np.minimum(point(value[bounds[s] : bounds[s + 1]], int(d)), 255).astype(np.uint8) for s, d in zip(some.tolist(), dims(n).tolist(), strict=True)]
+            for part in chunks(batch, "text"):
+                key, sid = _keys(part.column("text"), rule, rarity.value)
                 bucket = (mix(key) % U64(buckets)).astype(np.int64)
-                order = np.lexsort((who, bucket))
-                bucket, key, who = bucket[order], key[order], who[order]
-                edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-                out = []
-                for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(bucket)], strict=True):
-                    own, place = np.unique(who[a:b], return_inverse=True)
-                    codes = key[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
-                    out.append((int(bucket[a]), codes, place.astype(np.uint16).tobytes(), sid[own].tobytes(), n[own].astype(np.int32).tobytes(), b"".join([points[x].tobytes() for x in own.tolist()])))
-                if out:
-                    kinds = (pa.int32(), *[pa.binary()] * 5)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "keys", "who", "sids", "sizes", "points"])
+                order = np.argsort(bucket, kind="stable")
+                bucket, codes, sid = bucket[order], key[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:], sid[order]
+                edges = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+                ends = [*edges[1:], len(bucket)]
+                if edges:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(bucket[edges].astype(np.int32)), pa.array([codes[a:b].tobytes() for a, b in zip(edges, ends, strict=True)], pa.binary()), pa.array([sid[a:b].tobytes() for a, b in zip(edges, ends, strict=True)], pa.binary())],
+                        ["bucket", "keys", "sids"],
+                    )
+
+    def find_shared(table: pa.Table) -> pa.Table:
+        """(key, sid) of keys that several sets have."""
+        codes = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint8).reshape(-1, 6)
+        raw = np.zeros((len(codes), 8), np.uint8)
+        raw[:, :6] = codes
+        key, sid = raw.view("<u8").ravel(), np.frombuffer(b"".join(table.column("sids").to_pylist()), np.int64)
+        order = np.lexsort((sid, key))
+        key, sid = key[order], sid[order]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])
+        key, sid = key[fresh], sid[fresh]
+        several = np.zeros(len(key), bool)
+        several[1:] = key[1:] == key[:-1]
+        several[:-1] |= several[1:]
+        return pa.table({"key": pa.array(key[several].astype(np.int64)), "sid": pa.array(sid[several])})
 
     def meet(table: pa.Table) -> pa.Table:
-        keys, who, sids, sizes, points, at = [], [], [], [], [], 0
-        for row in table.select(["keys", "who", "sids", "sizes", "points"]).to_pylist():
-            raw = np.zeros((len(row["keys"]) // 6, 8), np.uint8)
-            raw[:, 2:] = np.frombuffer(row["keys"], np.uint8).reshape(-1, 6)
-            keys.append(raw.view("<u8").ravel() >> U64(16))
-            who.append(np.frombuffer(row["who"], np.uint16).astype(np.int64) + at)
-            sids.append(np.frombuffer(row["sids"], np.int64))
-            n = np.frombuffer(row["sizes"], np.int32).astype(np.int64)
-            sizes.append(n)
-            flat, begin = np.frombuffer(row["points"], np.uint8), 0
-            for d in dims(n).tolist():
-                points.append(flat[begin : begin + d])
-                begin += d
-            at += len(n)
-        sid, first, same = np.unique(np.concatenate(sids), return_index=True, return_inverse=True)
-        n = np.concatenate(sizes)[first]
+        table = table.combine_chunks()
+        sid, first, same = np.unique(np.asarray(table["sid"]), return_index=True, return_inverse=True)
+        n, raw = np.asarray(table["n"])[first], table["point"].take(pa.array(first)).to_pylist()
+        points = [np.frombuffer(x, np.uint8) for x in raw]
         # a count that filled its byte may be any larger number
-        full = [np.where(points[i] == 255, LARGE, points[i].astype(np.int64)) if n[k] > 255 else points[i].astype(np.int32) for k, i in enumerate(first.tolist())]
-        root = _edges_in(np.concatenate(keys), same[np.concatenate(who)], full, n, rule)
+        full = [np.where(x == 255, LARGE, x.astype(np.int64)) if k > 255 else x.astype(np.int32) for x, k in zip(points, n.tolist(), strict=True)]
+        root = _edges_in(np.asarray(table["key"]).astype(np.uint64), same, full, n, rule)
         tied = np.flatnonzero(root != np.arange(len(root)))
         return pa.table({"a": pa.array(sid[tied]), "b": pa.array(sid[root[tied]])})
 
-    edges = docs.mapInArrow(send, "bucket int, keys binary, who binary, sids binary, sizes binary, points binary").groupBy("bucket").applyInArrow(meet, "a long, b long")
+    shared = docs.mapInArrow(send, "bucket int, keys binary, sids binary").groupBy("bucket").applyInArrow(find_shared, "key long, sid long")
+    points = slim.filter("n > 0").groupBy("sid").agg(F.first("n").alias("n"), F.first("point").alias("point"))
+    met = shared.join(points.hint("merge"), "sid").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+    edges = met.groupBy("bucket").applyInArrow(meet, "a long, b long")
     coarse = components(edges.distinct())
-    members = coarse.withColumnRenamed("node", "sid").join(classes, "sid")
-    members = cut(members)
+    members = cut(coarse.withColumnRenamed("node", "sid").join(classes, "sid"))
     per_group = members.groupBy("component").agg(F.count("*").alias("members"))
-    sizes = members.join(per_group, "component").select("component", "class_id", "sid", F.ceil(F.col("members") / TILE).cast("int").alias("tiles"))
-    split = sizes.filter("tiles > 1").limit(1).count() > 0
-    ways = F.sequence(F.lit(0), F.col("tiles") - 1)
-    tile = F.pmod(F.xxhash64("sid"), F.col("tiles")).cast("int")
-    placed = sizes.withColumn("tile", tile).withColumn("other", F.explode(ways))
-    placed = placed.select("component", "class_id", "sid", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
-
-    texts = docs.join(sizes.select("class_id", F.col("sid").alias("own_sid")), docs["doc_id"] == F.col("class_id")).select("own_sid", "text")
+    placed = members.join(per_group, "component").select("component", "class_id", "sid", F.ceil(F.col("members") / TILE).cast("int").alias("tiles"))
+    split = placed.filter("tiles > 1").limit(1).count() > 0
+    # texts always meet their places by a shuffle: what moves then follows the input, and no side has to be small
+    texts = docs.join(placed.hint("merge"), docs["doc_id"] == placed["class_id"]).select("component", "class_id", "sid", "tiles", "text")
 
     def spell(batch: pa.RecordBatch) -> pa.RecordBatch:
         value, bounds, sid = sets(batch.column("text"), rule.width)
-        right = sid == np.asarray(batch.column("own_sid"))  # a repeated id may stand for other texts too
-        made = pa.RecordBatch.from_arrays([pa.array(sid), pa.array([value[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["sid", "shingles"])
+        right = sid == np.asarray(batch.column("sid"))  # a repeated id may stand for other texts too
+        kept = [batch.column(c) for c in ("component", "class_id", "sid", "tiles")]
+        made = pa.RecordBatch.from_arrays([*kept, pa.array([value[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["component", "class_id", "sid", "tiles", "shingles"])
         return made.filter(pa.array(right))
 
     def verify(table: pa.Table) -> pa.Table:
@@ -340,8 +347,11 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         root = linked([np.frombuffer(r["shingles"], U64) for r in rows], rule)
         return pa.table({"a": pa.array([r["class_id"] for r in rows], pa.int64()), "b": pa.array([rows[k]["class_id"] for k in root.tolist()], pa.int64())})
 
-    spelled = map_batches(texts, spell, "sid long, shingles binary")
-    verified = placed.join(spelled, "sid").groupBy("component", "low", "high").applyInArrow(verify, "a long, b long")
+    spelled = map_batches(texts, spell, "component long, class_id long, sid long, tiles int, shingles binary")
+    tile = F.pmod(F.xxhash64("sid"), F.col("tiles")).cast("int")
+    dealt = spelled.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    dealt = dealt.select("component", "class_id", "sid", "shingles", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
+    verified = dealt.groupBy("component", "low", "high").applyInArrow(verify, "a long, b long")
     if split:
         found = components(verified).select(F.col("node").alias("class_id"), F.col("component").alias("component_id"))
     else:
