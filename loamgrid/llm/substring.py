@@ -202,7 +202,7 @@ def removed(docs: DataFrame, output: str, finish) -> DataFrame:
     def send_anchors(table: pa.Table) -> pa.Table:
         h, bucket, several = Chunk(table).anchors(buckets)
         edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-        out = [(int(bucket[a]), h[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes(), np.packbits(several[a:b]).tobytes()) for a, b in zip(edges, [*edges[1:], len(h)], strict=True)]
+        out = [(int(bucket[a]), h[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes(), np.packbits(several[a:b]).tobytes()) for a, b in zip(edges, [*edges[1:], len(h)][: len(edges)], strict=True)]
         return _table(table, out, [("bucket", pa.int32()), ("hashes", pa.binary()), ("several", pa.binary())])
 
     def find_shared(table: pa.Table) -> pa.Table:
@@ -226,7 +226,7 @@ def removed(docs: DataFrame, output: str, finish) -> DataFrame:
     def shared_of(chunk: Chunk, table: pa.Table) -> np.ndarray:
         h, bucket, _ = chunk.anchors(buckets)
         edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-        spans = {int(bucket[a]): (a, b) for a, b in zip(edges, [*edges[1:], len(h)], strict=True)}
+        spans = {int(bucket[a]): (a, b) for a, b in zip(edges, [*edges[1:], len(h)][: len(edges)], strict=True)}
         hit = np.zeros(len(h), bool)
         for b, bits in zip(_column(table, "bucket"), _column(table, "bits"), strict=True):
             a, e = spans[b]
