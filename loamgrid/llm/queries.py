@@ -74,9 +74,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
+
+
+def _escaped(c: str) -> str:
+    """A text after chat escaping, in SQL."""
+    out = f"replace(coalesce({c}, ''), '\\', '\\\\')"
+    for mark in chat.CONTROL:
+        out = f"replace({out}, '{mark}', '{mark[0]}\\-{mark[1:]}')"
+    return out
+
+
+_FIXED = len(chat.HEAD) + len(chat.AFTER_ROLE) + len(chat.CLOSE)
+_UPPER = "".join(map(chr, range(65, 91)))
+
 ORACLES: dict[str, str] = {
-    "op5_jaccard_join": op5_jaccard_join,
-    "op6_html_extraction": op6_html_extraction,
+    "op1_chat_format": f"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        )
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum({_FIXED} + length({_escaped("role")}) + length({_escaped("text")})) AS BIGINT) AS formatted_chars
+        FROM turns GROUP BY conv_id
+    """,
+    "op5_jaccard_join": f"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, s FROM (
+                SELECT doc_id, unnest(list_transform(generate_series(1, greatest(len(w) - 3, 1)), lambda i: array_to_string(list_slice(w, i, i + 3), ' '))) AS s FROM words WHERE len(w) > 0)
+        ), sets AS (
+            SELECT doc_id, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS h FROM shingles GROUP BY doc_id
+        ), classes AS (
+            SELECT h, any_value(n) AS n, min(doc_id) AS class_id FROM sets GROUP BY h
+        ), members AS (
+            SELECT class_id, n, s FROM classes JOIN shingles ON shingles.doc_id = class_id
+        ), links AS (
+            SELECT a.class_id AS a, b.class_id AS b FROM members a JOIN members b ON a.s = b.s AND a.class_id <> b.class_id
+            GROUP BY a.class_id, b.class_id, a.n, b.n HAVING 185 * count(*) >= 85 * (a.n + b.n)
+        ), reach AS (
+            SELECT class_id AS a, class_id AS b FROM classes UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+        ), components AS (
+            SELECT a AS class_id, min(b) AS component_id FROM reach GROUP BY a
+        )
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.class_id, d.doc_id) AS class_id, coalesce(k.component_id, d.doc_id) AS component_id
+        FROM documents d LEFT JOIN sets s ON s.doc_id = d.doc_id LEFT JOIN classes c ON c.h = s.h LEFT JOIN components k ON k.class_id = c.class_id
+    """,
     "op7_top_k": """
         WITH grid AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -92,4 +137,23 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
         WHERE rank <= 5
     """,
+    "op9_suffix_dedup": """
+        WITH docs AS (
+            SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents
+        ), starts AS (
+            SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS g FROM (SELECT doc_id, x, unnest(generate_series(0, length(x) // 2 - 50)) AS i FROM docs WHERE length(x) >= 100)
+        ), firsts AS (
+            SELECT g, min(doc_id) AS first FROM starts GROUP BY g
+        ), hits AS (
+            SELECT doc_id, i, CASE WHEN i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, -1) THEN 1 ELSE 0 END AS new FROM starts JOIN firsts USING (g) WHERE first < doc_id
+        ), spans AS (
+            SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM hits) GROUP BY doc_id, k
+        ), kept AS (
+            SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS s, a AS e FROM spans
+            UNION ALL SELECT docs.doc_id, coalesce(max(b), 0), length(x) // 2 FROM docs LEFT JOIN spans USING (doc_id) GROUP BY docs.doc_id, x
+        )
+        SELECT docs.doc_id, length(any_value(x)) // 2 AS n_bytes, length(any_value(x)) // 2 - CAST(sum(e - s) AS BIGINT) AS n_removed, count(*) - 1 AS n_spans,
+               sha256(unhex(string_agg(substr(x, 2 * s + 1, 2 * (e - s)), '' ORDER BY s))) AS kept_sha256
+        FROM docs JOIN kept ON kept.doc_id = docs.doc_id GROUP BY docs.doc_id
+    """,
 }

@@ -436,7 +436,7 @@ def brute_removed(rows):
 @pytest.mark.parametrize("tiny", [False, True])
 def test_substring_dedup(spark, seed, tiny, monkeypatch):
     if tiny:
-        for name, value in (("CHUNK_TEXT", 2000), ("BUCKET_TEXT", 3000), ("SLICE", 1000), ("CHUNK_BYTES", 700)):
+        for name, value in (("CHUNK_TEXT", 2000), ("BUCKET_TEXT", 3000), ("SLICE", 1000), ("RUN_BYTES", 700)):
             monkeypatch.setattr(substring, name, value)
     rows = corpus(seed, 90)
     r = random.Random(seed)
@@ -491,17 +491,20 @@ def test_language_without_training(spark):
 
 def test_queries_are_registered():
     names = sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES)
-    assert names == list(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
+    assert names == list(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES) and all(isinstance(x, str) for x in queries.ORACLES.values())
 
 
-def test_top_k_sql(spark, data):
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_sql_twins(spark, data, name):
     import duckdb
 
     con = duckdb.connect()
-    con.sql(f"create view embeddings as select * from '{data}/embeddings.parquet'")
-    df = queries.op7_top_k(spark, data)
-    twin = con.sql(queries.ORACLES["op7_top_k"])
+    for t in ("documents", "embeddings", "conversations"):
+        con.sql(f"create view {t} as select * from '{data}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, data)
+    twin = con.sql(queries.ORACLES[name])
     order = [df.columns.index(c) for c in twin.columns]
+    assert len(order) == len(df.columns)
     assert sorted(tuple(r[i] for i in order) for r in df.collect()) == sorted(twin.fetchall())
 
 
