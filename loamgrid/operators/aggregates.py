@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -95,14 +94,20 @@ def lineage_confidence(evidence: DataFrame, key: str, lineage: str, high: int =
     return evidence.groupBy(key).agg(n.alias("lineages"), F.when(n >= high, "HIGH").when(n >= medium, "MEDIUM").otherwise("LOW").alias("confidence"))
 
 
-def sample_band(games: Column, players: Column, events: Column) -> Column:
-    """How good a sample is: large, moderate or small if all three numbers reach it."""
-    bands = (("STRONG", 100, 10, 3), ("MODERATE", 30, 5, 2))
-    return reduce(lambda other, b: F.when((games >= b[1]) & (players >= b[2]) & (events >= b[3]), b[0]).otherwise(other), reversed(bands), F.lit("EXPLORATORY"))
+# Least numbers of a robust and a directional sample, and the weights of two scores (each sums to 100).
+SAMPLES = {"faction_games": (100, 30), "matchup_games": (100, 30), "readable_winning_lists": (10, 5), "expert_consensus": (3, 2)}
+COMPETITIVE = {"tournament_performance": 30, "winning_list_composition": 20, "matchup_and_disposition": 15, "mathematical_efficiency": 15, "expert_consensus": 10, "role_and_mission_fit": 10}
+PERSONAL = {"owned_model_coverage": 35, "legal_loadout_and_bits_fit": 20, "role_coverage_in_roster": 20, "purchase_build_friction": 15, "explicit_user_preference_or_familiarity": 10}
 
 
-def evidence_score(parts: Sequence[tuple[str, int]]) -> Column:
+def sample_band(kind: str, n: Column) -> Column:
+    """How good a sample of one kind is."""
+    robust, directional = SAMPLES[kind]
+    return F.when(n >= robust, "ROBUST").when(n >= directional, "DIRECTIONAL").otherwise("WEAK")
+
+
+def evidence_score(weights: dict[str, int]) -> Column:
     """Weighted sum of parts between 0 and 1; the weights sum to 100."""
-    if sum(w for _, w in parts) != 100:
+    if sum(weights.values()) != 100:
         raise ValueError("weights must sum to 100")
-    return F.round(reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0.0)) * w for c, w in parts]), 4)
+    return F.round(reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0.0)) * w for c, w in weights.items()]), 4)

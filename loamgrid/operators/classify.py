@@ -112,11 +112,12 @@ def readiness(repeated: Column, shape: dict[str, Column]) -> Column:
 
 
 def shape(text: str = "text") -> dict[str, Column]:
-    """Sentence ends (a mark before white space or the end), a mark at the end, and delimiters of the normalised text."""
+    """Sentence ends (a mark, closing quotes or brackets, then white space or the end), such an end at the end, and delimiters of the normalised text."""
     t = fingerprint_normalize(text)
+    closing = r"""[.!?]["'”’)\]]*"""
     return {
-        "sentences": F.regexp_count(t, F.lit(r"[.!?](?=\s|$)")),
-        "terminal": F.regexp_like(t, F.lit(r"[.!?]$")),
+        "sentences": F.regexp_count(t, F.lit(closing + r"(?=\s|$)")),
+        "terminal": F.regexp_like(t, F.lit(closing + "$")),
         "delimiters": F.regexp_count(t, F.lit("[:;]")),
         "parentheses": F.regexp_count(t, F.lit(r"[()\[\]]")),
     }
@@ -257,4 +258,4 @@ def predicate_type(text: str | Column) -> dict[str, Column]:
 def refinement(subject: Column, decomposable: Column) -> Column:
     """How much of a direct modal sentence is resolved."""
     n = subject.isNotNull().cast("int") + decomposable.cast("int")
-    return case([(n == 2, "BOTH_RESOLVED"), (n == 1, "PARTIALLY_RESOLVED")], "OPAQUE_PRESERVED")
+    return case([(n == 2, "FULL_REFINEMENT_ALLOWED"), (n == 1, "PARTIAL_REFINEMENT_ALLOWED")], "OPAQUE_PRESERVED")

@@ -206,7 +206,7 @@ def review_axes(spark, sf_dir):
 WITH {_SIGNALS_SQL}, shape AS (SELECT *, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) AS t FROM roles),
 gate AS (SELECT CASE WHEN review_state <> 'AXIS_PROFILE_READY' THEN 'BLOCKED_PARENT_REVIEW' WHEN modal_axis = 'NONE' THEN 'BLOCKED_NO_NORMATIVE_MODAL' WHEN prohibition + obligation + permission <> 1 THEN 'BLOCKED_MODAL_MULTIPLICITY'
  WHEN sequence > 0 OR definition > 0 OR modification > 0 OR reference > 0 OR list > 0 THEN 'BLOCKED_COMPLEX_SEMANTIC_AXES' WHEN condition > 1 THEN 'BLOCKED_MULTIPLE_CONDITION_CUES' WHEN doc_id % 10 = 0 THEN 'BLOCKED_REPEATED_VARIANT'
- WHEN len(regexp_extract_all(t || ' ', '[.!?]\\s')) <> 1 OR NOT regexp_matches(t, '[.!?]$') THEN 'BLOCKED_SENTENCE_SHAPE' WHEN regexp_matches(t, '[:;]') THEN 'BLOCKED_COMPLEX_DELIMITERS' WHEN regexp_matches(t, '[()\\[\\]]') THEN 'BLOCKED_PARENTHETICAL_SCOPE'
+ WHEN len(regexp_extract_all(t || ' ', '[.!?]["''”’)\\]]*\\s')) <> 1 OR NOT regexp_matches(t, '[.!?]["''”’)\\]]*$') THEN 'BLOCKED_SENTENCE_SHAPE' WHEN regexp_matches(t, '[:;]') THEN 'BLOCKED_COMPLEX_DELIMITERS' WHEN regexp_matches(t, '[()\\[\\]]') THEN 'BLOCKED_PARENTHETICAL_SCOPE'
  WHEN condition = 1 THEN 'PILOT_READY_CONDITIONAL_MODAL' ELSE 'PILOT_READY_DIRECT_MODAL' END AS gate FROM shape)
 SELECT gate, count(*) AS n FROM gate GROUP BY gate
 """)

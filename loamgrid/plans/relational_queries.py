@@ -422,13 +422,13 @@ def lineage_confidence(spark, sf_dir):
 
 
 @query("""
-SELECT user_id, CASE WHEN count(*) >= 100 AND count(DISTINCT CAST(ts AS DATE)) >= 10 AND count(DISTINCT event_type) >= 3 THEN 'STRONG' WHEN count(*) >= 30 AND count(DISTINCT CAST(ts AS DATE)) >= 5 AND count(DISTINCT event_type) >= 2 THEN 'MODERATE' ELSE 'EXPLORATORY' END AS band,
+SELECT user_id, CASE WHEN count(*) >= 100 THEN 'ROBUST' WHEN count(*) >= 30 THEN 'DIRECTIONAL' ELSE 'WEAK' END AS games, CASE WHEN count(DISTINCT CAST(ts AS DATE)) >= 10 THEN 'ROBUST' WHEN count(DISTINCT CAST(ts AS DATE)) >= 5 THEN 'DIRECTIONAL' ELSE 'WEAK' END AS lists,
        CAST(round(30 * (CASE WHEN count(*) >= 50 THEN 1.0 ELSE 0.0 END) + 70 * (CASE WHEN count(DISTINCT event_type) >= 5 THEN 1.0 ELSE 0.0 END), 4) AS DOUBLE) AS score FROM events GROUP BY user_id
 """)
 def evidence_bands(spark, sf_dir):
     by = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"), F.count_distinct(F.to_date("ts")).alias("days"), F.count_distinct("event_type").alias("kinds"))
     by = by.withColumns({"volume": (F.col("n") >= 50).cast("double"), "variety": (F.col("kinds") >= 5).cast("double")})
-    return by.select("user_id", A.sample_band(F.col("n"), F.col("days"), F.col("kinds")).alias("band"), A.evidence_score([("volume", 30), ("variety", 70)]).alias("score"))
+    return by.select("user_id", A.sample_band("faction_games", F.col("n")).alias("games"), A.sample_band("readable_winning_lists", F.col("days")).alias("lists"), A.evidence_score({"volume": 30, "variety": 70}).alias("score"))
 
 
 @query("""SELECT n_nationkey, sha256('{"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}') AS fingerprint FROM nation""")

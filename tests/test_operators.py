@@ -169,6 +169,7 @@ def test_outline(spark):
         ("Then it ends.", "PROCEDURE_OR_SEQUENCE", "NONE", "BLOCKED_NO_NORMATIVE_MODAL"),
         ("It can move; then it stops.", "MIXED", "PERMISSION", "BLOCKED_COMPLEX_SEMANTIC_AXES"),
         ("If near or when far it can move.", "MIXED", "PERMISSION", "BLOCKED_MULTIPLE_CONDITION_CUES"),
+        ('"It can move."', "PERMISSION", "PERMISSION", "PILOT_READY_DIRECT_MODAL"),
         ("It can move (fast).", "PERMISSION", "PERMISSION", "BLOCKED_PARENTHETICAL_SCOPE"),
         ("It can move: fast.", "PERMISSION", "PERMISSION", "BLOCKED_COMPLEX_DELIMITERS"),
         ("It can move", "PERMISSION", "PERMISSION", "BLOCKED_SENTENCE_SHAPE"),
@@ -421,7 +422,8 @@ def test_schema_compiler(spark):
 
 
 def test_bands_and_weights(spark):
-    row = one(spark, A.sample_band(F.lit(100), F.lit(10), F.lit(3)), A.sample_band(F.lit(99), F.lit(10), F.lit(3)), A.sample_band(F.lit(5), F.lit(1), F.lit(1)))
-    assert tuple(row) == ("STRONG", "MODERATE", "EXPLORATORY")
+    row = one(spark, A.sample_band("faction_games", F.lit(100)), A.sample_band("matchup_games", F.lit(99)), A.sample_band("expert_consensus", F.lit(1)))
+    assert tuple(row) == ("ROBUST", "DIRECTIONAL", "WEAK")
+    assert sum(A.COMPETITIVE.values()) == sum(A.PERSONAL.values()) == 100
     with pytest.raises(ValueError):
-        A.evidence_score([("a", 50)])
+        A.evidence_score({"a": 50})
