@@ -22,15 +22,17 @@ import re
 import unicodedata
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .common import map_batches, small_batches
 
-#: Entries of a worker's cache of encoded words; it starts anew when full, results don't depend on it.
-CACHE = 400_000
+#: Entries of a worker's caches of encoded words and chunks; they start anew when full, results don't depend on them.
+CACHE = 600_000
 _odd_space = re.compile("[\x1c-\x1f]")
 _white = re.compile("[\t-\r \x85\xa0  -     　]+")
 
@@ -54,6 +56,21 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+class Growing:
+    """An array that rows are appended to."""
+
+    def __init__(self, kind: type, *shape: int):
+        self.data, self.size = np.zeros((1024, *shape), kind), 0
+
+    def append(self, rows: np.ndarray) -> None:
+        if self.size + len(rows) > len(self.data):
+            more = np.zeros((max(2 * len(self.data), self.size + len(rows)), *self.data.shape[1:]), self.data.dtype)
+            more[: self.size] = self.data[: self.size]
+            self.data = more
+        self.data[self.size : self.size + len(rows)] = rows
+        self.size += len(rows)
+
+
 class Codec:
     """One vocabulary: merges by rank, tokens by their bytes, a cache of encoded pieces."""
 
@@ -91,7 +108,12 @@ class Codec:
         self.size = {i: len(x) for x, i in chain(self.inner.items(), self.final.items())}
         self.fits: dict[int, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str | tuple[int, ...], int] = {}
+        self.pool, self.spans = Growing(np.int32), Growing(np.int64, 2)
+        names = [""] * (max(self.names) + 1)
+        for i, token in self.names.items():
+            names[i] = token
+        self.name_array, self.digit_array = pa.array(names, pa.string()), pa.array([str(i) for i in range(len(names))], pa.string())
 
     def _own(self, token: int) -> bool:
         left, right = self.parts[token]
@@ -179,37 +201,41 @@ class Codec:
         known = self.walk(list(set(pieces)))
         return tuple(chain.from_iterable([known[x] for x in pieces]))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Token ids of every text."""
-        split: list[list] = []  # of lists of chunks, which are looked up, and tuples of ids
-        need: set[str] = set()
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all texts one after the other, and the n+1 offsets of the texts in them."""
+        parts: list[str | tuple[int, ...]] = []  # white-space chunks, and ids of what isn't looked up by chunk
+        ends = [0]
         for text in texts:
-            parts: list = []
             segments = self.special_at.split(text) if self.special_at and any(x in text for x in self.special) else [text]
             for k, segment in enumerate(segments):
                 if k % 2:
                     parts.append((self.special[segment],))
                 elif segment:
                     own = self._clean(segment)
-                    if own is None:
-                        parts.append(self._newer(segment))
-                    else:
-                        need.update(own)
-                        parts.append(own)
-            split.append(parts)
-        need.difference_update(self.cache)
+                    parts.extend([self._newer(segment)] if own is None else own)
+            ends.append(len(parts))
+        need = set(parts).difference(self.cache)
         if len(self.cache) + len(need) > CACHE:
             self.cache.clear()
-            need = {x for parts in split for own in parts if isinstance(own, list) for x in own}
+            self.pool.size = self.spans.size = 0
+            need = set(parts)
         if need:
             self._learn(need)
-        known = self.cache.__getitem__
-        return [list(chain.from_iterable(own if isinstance(own, tuple) else chain.from_iterable(map(known, own)) for own in parts)) for parts in split]
+        spans = self.spans.data[np.fromiter(map(self.cache.__getitem__, parts), np.int64, len(parts))] if parts else np.zeros((0, 2), np.int64)
+        begin, size = spans[:, 0], spans[:, 1]
+        total = np.concatenate([[0], np.cumsum(size)])
+        ids = self.pool.data[np.arange(int(total[-1])) + np.repeat(begin - total[:-1], size)]
+        return ids, total[ends]
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Token ids of every text."""
+        ids, offsets = self.encode_flat(texts)
+        return [x.tolist() for x in np.split(ids, offsets[1:-1])] if texts else []
 
-    def _learn(self, need: set[str]) -> None:
-        """Encode white-space chunks: the trie takes the distinct words in them that aren't known yet."""
+    def _learn(self, need: set) -> None:
+        """Encode chunks: the trie takes the distinct words in them that aren't known yet."""
         letters = self.letters
-        pieces = {chunk: _pieces.findall(chunk) for chunk in need}
+        pieces = {chunk: _pieces.findall(chunk) for chunk in need if isinstance(chunk, str)}
         plain = set(chain.from_iterable(pieces.values()))
         new = plain.difference(self.words)
         if len(self.words) + len(new) > CACHE:
@@ -219,8 +245,17 @@ class Codec:
         walked = self.walk(list(coded.values()))
         words = self.words
         words.update({piece: walked[x] for piece, x in coded.items()})
-        for chunk, own in pieces.items():
-            self.cache[chunk] = words[own[0]] if len(own) == 1 else tuple(chain.from_iterable([words[x] for x in own]))
+        made = [chunk if isinstance(chunk, tuple) else words[pieces[chunk][0]] if len(pieces[chunk]) == 1 else tuple(chain.from_iterable([words[x] for x in pieces[chunk]])) for chunk in need]
+        first, base = self.spans.size, self.pool.size
+        self.cache.update(zip(need, range(first, first + len(made)), strict=True))
+        size = np.fromiter(map(len, made), np.int64, len(made))
+        self.spans.append(np.column_stack([base + np.cumsum(size) - size, size]))
+        self.pool.append(np.fromiter(chain.from_iterable(made), np.int32, int(size.sum())))
+
+    def joined(self, ids: np.ndarray, offsets: np.ndarray, names: pa.Array) -> list[str]:
+        """For every text the names of its ids, joined by one space."""
+        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), names.take(pa.array(ids)))
+        return pc.binary_join(lists, " ").to_pylist()
 
     def decode(self, ids: list[int]) -> str:
         """The token strings of ids, joined by one space."""
@@ -251,8 +286,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     vocab = vocabulary(docs.sparkSession, path)
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = codec(vocab.value).encode([x or "" for x in batch.column("text").to_pylist()])
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "token_ids"])
+        ids, offsets = codec(vocab.value).encode_flat([x or "" for x in batch.column("text").to_pylist()])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))], ["doc_id", "token_ids"])
 
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), step, "doc_id long, token_ids array<int>")
 
@@ -266,12 +301,11 @@ def digest(docs: DataFrame, path: str, keep: list[str] | None = None, ids_too: b
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = codec(vocab.value)
-        all_ids = own.encode([x or "" for x in batch.column("text").to_pylist()])
-        ids_hex = [hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() for ids in all_ids]
-        text_hex = [hashlib.sha256(own.decode(ids).encode()).hexdigest() for ids in all_ids]
-        made = [pa.array([len(x) for x in all_ids], pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())]
+        ids, offsets = own.encode_flat([x or "" for x in batch.column("text").to_pylist()])
+        digests = [pa.array([hashlib.sha256(x.encode()).hexdigest() for x in own.joined(ids, offsets, names_)], pa.string()) for names_ in (own.digit_array, own.name_array)]
+        made = [pa.array(np.diff(offsets).astype(np.int64)), *digests]
         if ids_too:
-            made.append(pa.array(all_ids, pa.list_(pa.int32())))
+            made.append(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)))
         return pa.RecordBatch.from_arrays([*[batch.column(x) for x in names], *made], [*names, "n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * ids_too])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(keep or []), "text")
