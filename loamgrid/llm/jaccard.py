@@ -261,8 +261,18 @@ def linked(values: list[np.ndarray], rule: Rule) -> np.ndarray:
     return np.array([union.root(i) for i in range(len(values))])
 
 
-def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """doc_id, n_shingles, class_id (smallest id with an equal set) and component_id of every document."""
+@dataclass
+class Groups:
+    """What is left to verify: documents with their sets' ids, classes of equal sets, and sets by coarse component and pair of tiles."""
+
+    documents: DataFrame
+    classes: DataFrame
+    dealt: DataFrame
+    split: bool
+
+
+def groups(docs: DataFrame, rule: Rule) -> Groups:
+    """Steps 1 and 2, and the sets of each coarse component brought together."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -340,22 +350,63 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         made = pa.RecordBatch.from_arrays([*kept, pa.array([value[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["component", "class_id", "sid", "tiles", "shingles"])
         return made.filter(pa.array(right))
 
-    def verify(table: pa.Table) -> pa.Table:
-        # a class whose smallest id repeats comes once for each such row
-        rows = {r["sid"]: r for r in table.select(["sid", "class_id", "shingles"]).to_pylist()}
-        rows = sorted(rows.values(), key=lambda r: r["class_id"])
-        root = linked([np.frombuffer(r["shingles"], U64) for r in rows], rule)
-        return pa.table({"a": pa.array([r["class_id"] for r in rows], pa.int64()), "b": pa.array([rows[k]["class_id"] for k in root.tolist()], pa.int64())})
-
     spelled = map_batches(texts, spell, "component long, class_id long, sid long, tiles int, shingles binary")
     tile = F.pmod(F.xxhash64("sid"), F.col("tiles")).cast("int")
     dealt = spelled.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("component", "class_id", "sid", "shingles", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
-    verified = dealt.groupBy("component", "low", "high").applyInArrow(verify, "a long, b long")
-    if split:
+    return Groups(slim, classes, dealt, split)
+
+
+def _rows(table: pa.Table) -> list[dict]:
+    """The group's classes in order; a class whose smallest id repeats comes once for each such row."""
+    rows = {r["sid"]: r for r in table.select(["sid", "class_id", "shingles"]).to_pylist()}
+    return sorted(rows.values(), key=lambda r: r["class_id"])
+
+
+def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """doc_id, n_shingles, class_id (smallest id with an equal set) and component_id of every document."""
+    grouped = groups(docs, rule)
+    slim, classes = grouped.documents, grouped.classes
+
+    def verify(table: pa.Table) -> pa.Table:
+        rows = _rows(table)
+        root = linked([np.frombuffer(r["shingles"], U64) for r in rows], rule)
+        return pa.table({"a": pa.array([r["class_id"] for r in rows], pa.int64()), "b": pa.array([rows[k]["class_id"] for k in root.tolist()], pa.int64())})
+
+    verified = grouped.dealt.groupBy("component", "low", "high").applyInArrow(verify, "a long, b long")
+    if grouped.split:
         found = components(verified).select(F.col("node").alias("class_id"), F.col("component").alias("component_id"))
     else:
         found = verified.filter("a <> b").select(F.col("a").alias("class_id"), F.col("b").alias("component_id"))
     named = classes.join(found, "class_id", "left").select("sid", "class_id", F.coalesce("component_id", "class_id").alias("component_id"))
     full = slim.join(named.withColumnRenamed("sid", "named_sid"), (slim["sid"] == F.col("named_sid")) & (slim["n"] > 0), "left")
     return full.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def links(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """Every link between different sets: the smallest ids a < b of two classes and how many shingles they share.
+
+    Copies are not expanded: `join` gives each document's class. Among near copies the links themselves grow with the square of a group; only
+    who needs them all should ask for them.
+    """
+    grouped = groups(docs, rule)
+
+    def verify(table: pa.Table) -> pa.Table:
+        rows = _rows(table)
+        values = [np.frombuffer(r["shingles"], U64) for r in rows]
+        n = np.array([len(v) for v in values])
+        owner = np.repeat(np.arange(len(values)), n)
+        flat = np.concatenate(values)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        out = []
+        for i, own in enumerate(values):
+            low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+            at = np.repeat(low - (np.cumsum(high - low) - (high - low)), high - low) + np.arange(int((high - low).sum()))
+            both = np.bincount(owner[at], minlength=len(values))
+            hit = np.flatnonzero(rule.enough(both, n[i], n) & (both > 0))
+            out += [(rows[i]["class_id"], rows[j]["class_id"], int(both[j])) for j in hit[hit > i].tolist()]
+        a, b, c = zip(*out, strict=True) if out else ((), (), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "shared": pa.array(c, pa.int64())})
+
+    return grouped.dealt.groupBy("component", "low", "high").applyInArrow(verify, "a long, b long, shared long").distinct()

@@ -278,6 +278,19 @@ def test_jaccard_join(spark, rule, small, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("tile", [3, 4096])
+def test_jaccard_links(spark, tile, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    rows = [r for r in corpus(n=120) if r[0] != 103]
+    rule = jaccard.Rule(2, 50, 100)
+    first = {}
+    for r, own in zip(rows, sets_of(rows, 2), strict=True):
+        if own:
+            first[own] = min(first.get(own, r[0]), r[0])
+    want = sorted((min(first[a], first[b]), max(first[a], first[b]), len(a & b)) for a in first for b in first if first[a] < first[b] and 2 * len(a & b) >= len(a | b))
+    assert sorted(tuple(x) for x in jaccard.links(docs_of(spark, rows), rule).collect()) == want and want
+
+
 def test_jaccard_edges(spark):
     docs = docs_of(spark, [(1, None, "a", "s"), (2, "", "a", "s"), (None, "a b c d e", "a", "s"), (4, "A b C d e", "a", "s")])
     got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.join(docs).collect()}
