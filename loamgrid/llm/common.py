@@ -6,6 +6,7 @@ so every byte of a multi-byte character belongs to a word. A null text counts as
 
 from __future__ import annotations
 
+import json
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from ..session import ship
 
 #: Bytes of text that a worker handles in one numpy step. A single longer text makes a step of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 CHUNK_ROWS = 512
 
 U64 = np.uint64
@@ -188,14 +189,18 @@ def distinct_pairs(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.n
     return doc[new], value[new]
 
 
-def bucket_of(key: Column, firsts: list) -> Column:
+def constant(values: list, kind: str) -> Column:
+    """An array constant. As JSON it is one literal in the plan, folded once, however long it is."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
+
+
+def bucket_of(key: Column, firsts: list, kind: str) -> Column:
     """How many of the ascending `firsts` are at or below the key, less one (at least 0), by two short array scans."""
     if len(firsts) <= 1:
         return F.lit(0)
     width = max(2, int(len(firsts) ** 0.5))
     groups = [firsts[i : i + width] for i in range(0, len(firsts), width)]
-    coarse = F.array(*[F.lit(g[0]) for g in groups])
-    fine = F.array(*[F.array(*[F.lit(x) for x in g]) for g in groups])
+    coarse, fine = constant([g[0] for g in groups], f"array<{kind}>"), constant(groups, f"array<array<{kind}>>")
     at = F.greatest(F.size(F.filter(coarse, lambda x: x <= key)), F.lit(1))
     return (at - 1) * width + F.greatest(F.size(F.filter(F.element_at(fine, at), lambda x: x <= key)), F.lit(1)) - 1
 
@@ -216,8 +221,9 @@ def ordered(df: DataFrame, key: str, ties: list[str], ring: bool, both: bool = F
         return df.withColumns({"_run": F.lit(0), "_guest": F.lit(0)})
     last = len(firsts) - 1
     here = F.col("_run")
-    tagged = df.withColumn("_run", bucket_of(F.col(key), firsts))
-    array = lambda values: F.array(*[F.lit(x) for x in values])
+    kind = dict(df.dtypes)[key]
+    tagged = df.withColumn("_run", bucket_of(F.col(key), firsts, kind))
+    array = lambda values: constant(values, f"array<{kind}>")
     copies = [F.struct(here.alias("r"), F.lit(0).alias("g"))]
     is_first = F.col(key) == F.element_at(array(firsts), here + 1)
     before = F.when(here > 0, here - 1).otherwise(F.lit(last)) if ring else here - 1
