@@ -41,9 +41,11 @@ def small_batches(spark: SparkSession, rows: int = 1024) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and all is local (tests)."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = getattr(spark.sparkContext, "_loamgrid_dir", None) or tempfile.mkdtemp(prefix="loamgrid-")
         spark.sparkContext._loamgrid_dir = folder
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

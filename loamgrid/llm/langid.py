@@ -85,14 +85,15 @@ def _cluster(vectors: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     return centers
 
 
-def fit(labelled: DataFrame, per_lang: int = 400, clusters: int = 4) -> Centroids:
-    """Centroids from (doc_id, text, lang) rows. At most about per_lang texts of a language are used."""
+def fit(labelled: DataFrame, per_lang: int = 400, clusters: int = 4, most: int = 8000) -> Centroids:
+    """Centroids from (doc_id, text, lang) rows. At most about per_lang texts of a language and about `most` in all are used."""
     small_batches(labelled.sparkSession)
     rows = labelled.select("doc_id", "text", "lang").filter("lang is not null and text is not null")
     have = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    wanted = min(per_lang, max(1, most // max(1, len(have))))
     share = F.lit(0.0)
     for lang, n in have.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_lang / n))).otherwise(share)
+        share = F.when(F.col("lang") == lang, F.lit(min(1.0, wanted / n))).otherwise(share)
     chance = (F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 20)) + F.lit(0.5)) / F.lit(float(1 << 20))
     sample = rows.filter(chance < share)
 
