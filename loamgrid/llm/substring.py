@@ -20,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, CHUNK_BYTES, U64, _Powers, mix, partitions, small_batches, utf8
+from .common import BYTE_CODE, U64, _Powers, mix, partitions, small_batches, utf8
 from .deepshallow import sort
 
 LENGTH, GRAM = 50, 20
@@ -32,6 +33,8 @@ CHUNK_TEXT, BUCKET_TEXT = 4 << 20, 16 << 20
 #: Bits for a place inside a slice of text; longer texts are cut into overlapping slices.
 PLACE_BITS = 24
 SLICE = 1 << 22
+#: Text whose anchors are found in one numpy step, small enough to stay in a core's cache.
+RUN_BYTES = 1 << 17
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -98,7 +101,7 @@ class Chunk:
     def _runs(self) -> Iterator[tuple[np.ndarray, ...]]:
         at, n = 0, len(self.offsets) - 1
         while at < n:
-            stop = min(max(int(np.searchsorted(self.offsets, self.offsets[at] + CHUNK_BYTES, "right")) - 1, at + 1), n)
+            stop = min(max(int(np.searchsorted(self.offsets, self.offsets[at] + RUN_BYTES, "right")) - 1, at + 1), n)
             a, b = int(self.offsets[at]), int(self.offsets[stop])
             if b - a > SLICE and stop == at + 1:
                 for s in range(a, b, SLICE):
@@ -186,6 +189,15 @@ def smallest_ids(lead: np.ndarray, data: np.ndarray, length: np.ndarray, least:
     return [answers[i] for i in distinct.tolist()]
 
 
+def pack(data: bytes) -> bytes:
+    """Contexts overlap and repeat words: packed here they shrink more than the shuffle's own compression makes them."""
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def unpack(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def _column(table: pa.Table, name: str) -> list:
     return table.column(name).to_pylist()
 
@@ -240,11 +252,12 @@ def removed(docs: DataFrame, output: str, finish) -> DataFrame:
             made = chunk.candidates(shared_of(chunk, right))
             for bucket, part in made.split(buckets):
                 runs = made.some[part]
-                out.append((bucket, made.lead[runs].tobytes(), made.length[runs].astype(np.uint8).tobytes(), made.least[part].tobytes(), gather(chunk.data, made.start[runs], made.length[runs]).tobytes()))
+                out.append((bucket, made.lead[runs].tobytes(), made.length[runs].astype(np.uint8).tobytes(), made.least[part].tobytes(), pack(gather(chunk.data, made.start[runs], made.length[runs]).tobytes())))
         return _table(left if left.num_rows else right, out, [("bucket", pa.int32()), ("lead", pa.binary()), ("length", pa.binary()), ("least", pa.binary()), ("data", pa.binary())])
 
     def answer(table: pa.Table) -> pa.Table:
-        lead, length, least, data = (np.frombuffer(b"".join(_column(table, c)), k) for c, k in (("lead", U64), ("length", np.uint8), ("least", np.int64), ("data", np.uint8)))
+        lead, length, least = (np.frombuffer(b"".join(_column(table, c)), k) for c, k in (("lead", U64), ("length", np.uint8), ("least", np.int64)))
+        data = np.frombuffer(b"".join(map(unpack, _column(table, "data"))), np.uint8)
         found = smallest_ids(lead, data, length.astype(np.int64), least)
         out, at = [], 0
         for chunk, own in zip(_column(table, "chunk"), _column(table, "lead"), strict=True):
