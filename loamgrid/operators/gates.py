@@ -162,7 +162,7 @@ def roster_limits(units: DataFrame, key: str, caps: DataFrame) -> DataFrame:
 
 def composition(units: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     """Composition rules (rule, kind, keyword, cap) against rosters' units (keywords array): caps count units with a keyword, a forbidding rule allows none."""
-    with_rule = units.join(rules, F.array_contains(F.col("keywords"), F.col("keyword")))
+    with_rule = units.withColumn("keyword", F.explode(F.array_distinct("keywords"))).join(rules, "keyword")
     n = with_rule.groupBy(key, "rule", "kind", "cap").agg(F.count("*").alias("units"))
     ok = F.when(F.col("kind") == "boolean_forbid", F.col("units") == 0).otherwise(F.col("units") <= F.col("cap"))
     return n.select(key, "rule", "units", F.when(yes(ok), "PASS").otherwise("FAIL").alias("status"))

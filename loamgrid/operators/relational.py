@@ -242,7 +242,9 @@ def same_identity(left: DataFrame, right: DataFrame, *key: str) -> DataFrame:
     """One row: whether both have the same set of keys, and how many each lacks."""
     a, b = left.select(*key).distinct(), right.select(*key).distinct()
     gone, extra = a.join(b, list(key), "left_anti"), b.join(a, list(key), "left_anti")
-    return gone.agg(F.count("*").alias("missing")).join(extra.agg(F.count("*").alias("extra"))).withColumn("same", (F.col("missing") == 0) & (F.col("extra") == 0))
+    both = gone.select(F.lit(1).alias("m"), F.lit(0).alias("e")).union(extra.select(F.lit(0), F.lit(1)))
+    row = both.agg(F.coalesce(F.sum("m"), F.lit(0)).cast("long").alias("missing"), F.coalesce(F.sum("e"), F.lit(0)).cast("long").alias("extra"))
+    return row.withColumn("same", (F.col("missing") == 0) & (F.col("extra") == 0))
 
 
 def fingerprint_status(expected: DataFrame, live: DataFrame) -> DataFrame:

@@ -156,8 +156,7 @@ def trusted_hosts(spark, sf_dir):
 @query("SELECT event_id FROM events WHERE CAST(ts AS DATE) >= (SELECT max(CAST(ts AS DATE)) FROM events) - 21")
 def recent_window(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    last = e.agg(F.max("day").alias("as_of"))
-    return e.join(F.broadcast(last)).filter(R.recent("day", F.col("as_of"))).select("event_id")
+    return e.filter(R.recent("day", e.agg(F.max("day")).scalar())).select("event_id")
 
 
 @query("""

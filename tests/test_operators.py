@@ -62,6 +62,14 @@ def test_references_dates_and_tokens(spark):
     assert refs == ["01.02", "11.10"] and yes and not no and near == datetime.date(2026, 3, 3) and gone is None and tokens == ["don't", "stop", "it", "3"]
 
 
+def test_normalizers_are_idempotent(spark):
+    r = random.Random(7)
+    letters = "aB éÜß-–’'.,;<b>&amp;  \t\n0129"
+    df = spark.createDataFrame([("".join(r.choice(letters) for _ in range(r.randint(0, 40))),) for _ in range(300)], "t string")
+    for norm in (T.norm_strip, T.norm_keep, T.name_norm, T.overlap_normalize, T.fingerprint_normalize, T.legacy_norm, T.clean_short_label):
+        assert df.select(norm("t").alias("x")).filter(~norm("x").eqNullSafe(F.col("x"))).count() == 0, norm.__name__
+
+
 def test_shingles(spark):
     assert one(spark, T.shingles(F.lit("a b c d"), 3))[0] == ["a b c", "b c d"]
     assert one(spark, T.shingles(F.lit("a b"), 3))[0] == []
