@@ -83,7 +83,7 @@ def range_hash(hashes: Column, start: Column, end: Column) -> Column:
     return F.sha2(F.array_join(F.slice(hashes, start, end - start + 1), "\n"), 256)
 
 
-def row_fingerprint(df: DataFrame, *columns: str) -> Column:
+def row_fingerprint(*columns: str) -> Column:
     """Hash of the compact JSON of the columns in name order."""
     return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
 

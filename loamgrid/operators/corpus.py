@@ -59,7 +59,7 @@ def family_ends(families: DataFrame, document: list[str], start: str, pages: Col
     return families.withColumn("end_page", F.greatest(F.col(start), F.coalesce(follow - 1, pages)))
 
 
-def section_ends(sections: DataFrame, document: list[str], last: str | None = None, page: str | None = None) -> DataFrame:
+def section_ends(sections: DataFrame, document: list[str]) -> DataFrame:
     """Of every section (ordinal, depth): the ordinal of the next one that isn't deeper, and how many direct children stand before it.
 
     One range join inside each document finds the next ordinal; children are counted in the same join's range.

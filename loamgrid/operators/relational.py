@@ -50,7 +50,7 @@ def explode_tiers(units: DataFrame) -> DataFrame:
     return costs.select("unit", "band_no", "range", "label", F.col("cost.models").alias("models"), F.col("cost.desc").alias("desc"), F.col("cost.points").alias("points"))
 
 
-def characteristics(df: DataFrame, pairs: str, name: str = "name", value: str = "value") -> Column:
+def characteristics(pairs: str, name: str = "name", value: str = "value") -> Column:
     """A list of name/value structs as a map; entries without a name are left out, of equal names the last stays."""
     named = F.filter(pairs, lambda x: x[name].isNotNull())
     last = F.filter(named, lambda x, i: ~F.exists(F.slice(named, i + 2, F.greatest(F.size(named) - i - 1, F.lit(0))), lambda y: y[name] == x[name]))

@@ -120,7 +120,7 @@ def characteristics_pivot(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     pairs = F.array(F.struct(F.lit("brand").alias("name"), F.col("p_brand").alias("value")), F.struct(F.lit("size").alias("name"), F.lit("?").alias("value")), F.struct(F.lit("size").alias("name"), F.col("p_size").cast("string").alias("value")))
     rows = part.select("p_partkey", pairs.alias("pairs"))
-    pivot = rows.select("p_partkey", R.characteristics(rows, "pairs").alias("m"))
+    pivot = rows.select("p_partkey", R.characteristics("pairs").alias("m"))
     return pivot.select("p_partkey", F.col("m")["brand"].alias("brand"), F.col("m")["size"].alias("size"))
 
 
@@ -433,7 +433,7 @@ def evidence_bands(spark, sf_dir):
 @query("""SELECT n_nationkey, sha256('{"n_name":"' || n_name || '","n_regionkey":' || n_regionkey || '}') AS fingerprint FROM nation""")
 def row_fingerprints(spark, sf_dir):
     n = table(spark, sf_dir, "nation")
-    return n.select("n_nationkey", A.row_fingerprint(n, "n_regionkey", "n_name").alias("fingerprint"))
+    return n.select("n_nationkey", A.row_fingerprint("n_regionkey", "n_name").alias("fingerprint"))
 
 
 @query("SELECT o_orderkey, o_custkey, CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1 THEN 'PASS' ELSE 'FAIL' END AS status FROM orders")

@@ -120,7 +120,7 @@ def test_labels_need_exactly_one_line(spark):
 
 def test_characteristics_last_wins(spark):
     df = spark.createDataFrame([([("M", "6"), (None, "x"), ("M", "7")],)], "p array<struct<name:string,value:string>>")
-    assert df.select(R.characteristics(df, "p")).first()[0] == {"M": "7"}
+    assert df.select(R.characteristics("p")).first()[0] == {"M": "7"}
 
 
 def test_forbidden_fields(spark):
