@@ -32,7 +32,7 @@ from tokenizers import Tokenizer
 from .common import map_batches, small_batches
 
 #: Entries of a worker's caches of encoded words and chunks; they start anew when full, results don't depend on them.
-CACHE = 600_000
+CACHE = 200_000
 _odd_space = re.compile("[\x1c-\x1f]")
 _white = re.compile("[\t-\r \x85\xa0  -     　]+")
 
@@ -142,7 +142,7 @@ class Codec:
         """
         out: dict[str, tuple[int, ...]] = {}
         inner, final, longest, fits, side, size = self.inner.get, self.final.get, self.longest, self.fits, self._side, self.size
-        if len(fits) > 400_000:
+        if len(fits) > 200_000:
             fits.clear()
         known = fits.get
         last: list[int] = [-1]

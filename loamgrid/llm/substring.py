@@ -29,7 +29,7 @@ from .deepshallow import sort
 
 LENGTH, GRAM = 50, 20
 SPAN = LENGTH - GRAM + 1
-CHUNK_TEXT, BUCKET_TEXT = 4 << 20, 16 << 20
+CHUNK_TEXT, BUCKET_TEXT = 4 << 20, 8 << 20
 #: Bits for a place inside a slice of text; longer texts are cut into overlapping slices.
 PLACE_BITS = 24
 SLICE = 1 << 22
