@@ -77,6 +77,7 @@ class Chunk:
     """The documents of a chunk with their runs, in one order whenever it is built."""
 
     def __init__(self, table: pa.Table):
+        pa.default_memory_pool().release_unused()  # what the groups before have left
         rows = table.combine_chunks()
         self.data, self.offsets = utf8(rows.column("text").combine_chunks())
         ids = rows.column("doc_id").combine_chunks()
