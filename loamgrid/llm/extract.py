@@ -2,27 +2,34 @@
 
 A page is cut into text blocks in page order. Containers whose tag or class names their role (menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts, styles) are left out. Every page is paired with the page of the same host whose URL path is
-nearest in path order (the longer common beginning, the earlier one at a tie); the lines of both are aligned by longest common
-subsequence, and lines that both share are deleted, since a template repeats while an article doesn't. Lines inside an element
-marked as the article stay although they are shared: copies of one article under two URLs would otherwise lose their text.
+nearest in path order (the longer common beginning, the earlier one at a tie) and whose content is another one; the lines of both are
+aligned by longest common subsequence, and lines that both share are deleted, since a template repeats while an article doesn't. Where
+the page on the other side has a line of the template too, only lines that it shares as well go: a quotation in two stories stays.
 
-Pages move once, in runs of neighbouring (host, path), however many pages a host has; a run carries its neighbours' edge pages.
+Pages with nearly the same lines (ALIKE) say nothing about a template and are passed over: copies of one story under two URLs would
+otherwise lose their text. Of each side the nearest WINDOW different contents are looked at; where all of them are alike, the side has
+no pair. Lines inside an element marked as the main text (an article, else main, else a container named so) stay although they are shared.
+
+Pages move once, as lines, in runs of neighbouring (host, path), however many pages a host has; a run carries the nearest contents
+before and after it, which the driver finds from a few (key, hash) of each run. What a page is paired with doesn't depend on the runs.
 
 Edge cases: null html is empty text; a null or odd URL belongs to the empty host; a host's only page has no pair; repeated pages are
-paired with each other and lose no article line; unclosed or crossed tags are taken as they come; texts have any length.
+no pairs and lose no line by each other; unclosed or crossed tags are taken as they come; texts have any length.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ordered, small_batches
+from .common import bucket_of, partitions, small_batches
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -41,6 +48,85 @@ _token = re.compile(
     re.S | re.I,
 )
 _attribute = re.compile(r"(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_pair = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Names (class, id) of containers of the main text, for pages without article and main.
+NAMED = frozenset(
+    "content main main-content maincontent page-content article article-body article-content article-text post post-body post-content "
+    "entry entry-content entry-body story story-body story-content".split()
+)
+#: An end tag in front of which these elements stay open, since stray end tags are frequent.
+FIRM = frozenset(("article", "main"))
+#: Elements that end where one of the same row begins, and those that hold such rows.
+SIBLINGS = {k: frozenset(group.split()) for group in ("li", "dt dd", "td th", "tr", "tbody thead tfoot", "option") for k in group.split()}
+HOLDERS = frozenset("ul ol menu dir dl table select article main section body".split())
+#: How many different contents on each side are looked at, and the share of characters in common lines, in hundredths, from which two pages are copies.
+WINDOW, ALIKE = 8, 90
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes by name; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, *values in _pair.findall(text):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def _rank(tag: str, attributes: str) -> int:
+    """How plainly an element is marked as the main text."""
+    if tag == "article":
+        return 3
+    if tag == "main":
+        return 2
+    if tag in ("html", "body") or not attributes:
+        return 0
+    has = _attributes(attributes)
+    if has.get("role", "").lower() in ("main", "article") or "articlebody" in has.get("itemprop", "").lower().split():
+        return 2
+    return int(tag in BLOCKS and not NAMED.isdisjoint(f"{has.get('class', '')} {has.get('id', '')}".lower().split()))
+
+
+class _Open:
+    """The open block elements, each with the highest rank around it."""
+
+    def __init__(self) -> None:
+        self.tags: list[str] = []
+        self.ranks: list[int] = []
+        self.count: Counter[str] = Counter()
+
+    def rank(self) -> int:
+        return self.ranks[-1] if self.ranks else 0
+
+    def cut(self, n: int) -> None:
+        for tag in self.tags[n:]:
+            self.count[tag] -= 1
+        del self.tags[n:], self.ranks[n:]
+
+    def make_room(self, tag: str) -> None:
+        """Ends what the start of a block element ends."""
+        if self.tags and self.tags[-1] == "p":
+            self.cut(len(self.tags) - 1)
+        same = SIBLINGS.get(tag, ())
+        if any(self.count[x] for x in same):
+            for i in range(len(self.tags) - 1, -1, -1):
+                if self.tags[i] in same:
+                    self.cut(i)
+                    break
+                if self.tags[i] in HOLDERS:
+                    break
+
+    def start(self, tag: str, rank: int) -> None:
+        self.tags.append(tag)
+        self.ranks.append(max(rank, self.rank()))
+        self.count[tag] += 1
+
+    def end(self, tag: str) -> None:
+        if self.count[tag]:
+            for i in range(len(self.tags) - 1, -1, -1):
+                if self.tags[i] == tag:
+                    self.cut(i)
+                    break
+                if self.tags[i] in FIRM and tag not in FIRM and tag not in ("body", "html"):
+                    break
 
 
 def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
@@ -60,11 +146,11 @@ def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
 
 
 def blocks(page: str) -> tuple[list[str], list[bool]]:
-    """Text of every block outside unwanted containers, and whether it stands in an article."""
+    """Text of every block outside unwanted containers, and whether it stands in what the page marks most plainly as its main text."""
     lines: list[str] = []
-    marked: list[bool] = []
+    ranks: list[int] = []
     open_text: list[str] = []
-    articles = 0
+    around = _Open()
     skip, depth = "", 0
     at = 0
 
@@ -75,7 +161,7 @@ def blocks(page: str) -> tuple[list[str], list[bool]]:
             open_text.clear()
             if line:
                 lines.append(line)
-                marked.append(articles > 0)
+                ranks.append(around.rank())
 
     for m in _token.finditer(page):
         if not skip and m.start() > at:
@@ -96,17 +182,22 @@ def blocks(page: str) -> tuple[list[str], list[bool]]:
         elif tag == "br":
             open_text.append(" ")
         if closing:
-            if tag == "article" and articles:
-                articles -= 1
-        elif tag not in VOID and not m[4].endswith("/") and _unwanted(tag, m[4], articles > 0):
+            around.end(tag)
+            continue
+        if tag in BLOCKS:
+            around.make_room(tag)
+        if tag in VOID or m[4].endswith("/"):
+            continue
+        if _unwanted(tag, m[4], around.rank() > 1):
             close()
             skip, depth = tag, 1
-        elif tag == "article":
-            articles += 1
+        elif tag in BLOCKS or tag == "main":
+            around.start(tag, _rank(tag, m[4]))
     if not skip and at < len(page):
         open_text.append(html.unescape(page[at:]))
     close()
-    return lines, marked
+    best = max(ranks, default=0)
+    return lines, [best > 0 and x == best for x in ranks]
 
 
 def shared_lines(mine: list[str], other: list[str]) -> set[int]:
@@ -136,12 +227,9 @@ def shared_lines(mine: list[str], other: list[str]) -> set[int]:
     return found
 
 
-def main_text(lines: list[str], marked: list[bool], pair: list[str] | None) -> str:
-    """The lines that stay after differencing with the paired page's lines."""
-    if pair and not all(marked):
-        gone = shared_lines(lines, pair)
-        lines = [x for i, (x, own) in enumerate(zip(lines, marked, strict=True)) if own or i not in gone]
-    return "\n".join(lines)
+def alike(mine: list[str], other: list[str], shared: set[int]) -> bool:
+    """Whether two pages are (nearly) the same, by the characters of the lines at the `shared` positions of `mine`."""
+    return 200 * sum(len(mine[i]) for i in shared) >= ALIKE * (sum(map(len, mine)) + sum(map(len, other)))
 
 
 def _common(a: str, b: str) -> int:
@@ -149,42 +237,184 @@ def _common(a: str, b: str) -> int:
     return next((i for i in range(n) if a[i] != b[i]), n)
 
 
+class _Neighbours:
+    """Pages of one host in order; gives each page's text as soon as its pairs are known.
+
+    Holds the last different contents, and pages whose next pair has not come yet: copies share their lines, and a page
+    waits for WINDOW different contents at most.
+    """
+
+    def __init__(self) -> None:
+        self.recent: dict[int, tuple[int, str, list[str]]] = {}  # content: last position, key and lines, oldest first
+        self.waiting: dict[int, deque] = {}
+        self.known: dict[tuple[int, int], tuple[set[int], bool]] = {}
+        self.at = 0
+
+    def compare(self, c: int, mine: list[str], d: int, other: list[str]) -> tuple[set[int], bool]:
+        if (c, d) not in self.known:
+            if len(self.known) > 16 * WINDOW:
+                self.known.clear()
+            shared = shared_lines(mine, other)
+            self.known[c, d] = shared, alike(mine, other, shared)
+        return self.known[c, d]
+
+    def settle(self, page: tuple, after: tuple | None) -> tuple:
+        page_id, url, key, lines, own, _, before = page
+        near = sorted((x for x in (before, after) if x), key=lambda x: -_common(x[0], key))  # stable: the earlier one at a tie
+        gone = near[0][1] if near else set()
+        if len(near) == 2 and gone & near[1][1]:
+            gone = gone & near[1][1]
+        text = "\n".join(x for i, x in enumerate(lines) if own[i] == "1" or i not in gone)
+        return page_id, url, text, len(text)
+
+    def add(self, key: str, c: int, lines: list[str], row: tuple | None) -> Iterator[tuple]:
+        """The next page; row is (page_id, url, own) where its text is wanted."""
+        for d, pages in list(self.waiting.items()):
+            if d != c:
+                shared, copy = self.compare(d, pages[0][3], c, lines)
+                if not copy:
+                    del self.waiting[d]
+                    yield from (self.settle(page, (key, shared)) for page in pages)
+        self.at += 1
+        if c in self.recent:
+            lines = self.recent.pop(c)[2]
+        self.recent[c] = self.at, key, lines
+        if len(self.recent) > WINDOW + 2:
+            del self.recent[next(iter(self.recent))]
+        for d, pages in list(self.waiting.items()):
+            ends = sorted((x[0] for k, x in self.recent.items() if k != d), reverse=True)
+            while pages and len(ends) >= WINDOW and ends[WINDOW - 1] > pages[0][5]:
+                yield self.settle(pages.popleft(), None)
+            if not pages:
+                del self.waiting[d]
+        if row:
+            before = None
+            for d in [k for k in reversed(self.recent) if k != c][:WINDOW]:
+                shared, copy = self.compare(c, lines, d, self.recent[d][2])
+                if not copy:
+                    before = self.recent[d][1], shared
+                    break
+            page_id, url, own = row
+            self.waiting.setdefault(c, deque()).append((page_id, url, key, lines, own, self.at, before))
+
+    def end(self) -> Iterator[tuple]:
+        for pages in self.waiting.values():
+            yield from (self.settle(page, None) for page in pages)
+
+
+PARSED = "page_id long, url string, _key string, lines string, own string, _c long"
+ENDS = "_run int, one boolean, head array<struct<k:string,c:long>>, tail array<struct<k:string,c:long>>"
 EXTRACTED = "page_id long, url string, text string, n_chars long"
 
 
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of every page, a digit for each (1: marked; none where all are) and the hash of the lines."""
+    for batch in batches:
+        texts, owns, hashes = [], [], []
+        for page in batch.column("html"):
+            lines, marked = blocks(page.as_py())
+            texts.append("\n".join(lines))
+            owns.append("" if all(marked) else "".join("01"[x] for x in marked))
+            hashes.append(int.from_bytes(hashlib.blake2b(texts[-1].encode(), digest_size=8).digest(), "big", signed=True))
+        kept = [batch.column(c).cast(k) for c, k in (("page_id", pa.int64()), ("url", pa.string()), ("_key", pa.string()))]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(owns, pa.string()), pa.array(hashes, pa.int64())], ["page_id", "url", "_key", "lines", "own", "_c"])
+
+
+def _host(key: str) -> str:
+    return key.split("\n")[0]
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of every run the first contents of its first host and the last ones of its last host, nearest to the end first."""
+    made, run, host = [], None, None
+    head: dict[int, str] = {}
+    tail: dict[int, str] = {}
+    one = True
+
+    def flush() -> None:
+        if run is not None:
+            made.append({"_run": run, "one": one, "head": [{"k": k, "c": c} for c, k in head.items()], "tail": [{"k": k, "c": c} for c, k in reversed(tail.items())]})
+
+    for batch in batches:
+        for r, key, c in zip(*(batch.column(x).to_pylist() for x in ("_run", "_key", "_c")), strict=True):
+            if r != run:
+                flush()
+                run, host, head, tail, one = r, _host(key), {}, {}, True
+            if _host(key) != host:
+                host, tail, one = _host(key), {}, False
+            if one and len(head) <= WINDOW:
+                head.setdefault(c, key)
+            tail.pop(c, None)
+            tail[c] = key
+            if len(tail) > WINDOW + 1:
+                del tail[next(iter(tail))]
+    flush()
+    if made:
+        ends = pa.list_(pa.struct([("k", pa.string()), ("c", pa.int64())]))
+        yield pa.RecordBatch.from_pylist(made, pa.schema([("_run", pa.int32()), ("one", pa.bool_()), ("head", ends), ("tail", ends)]))
+
+
+def _guests(runs: list) -> dict[tuple[str, int], list[tuple[int, int]]]:
+    """For (key, content): the runs it visits, and on which side (-1 before, 1 after)."""
+    visits: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    runs = sorted(runs, key=lambda x: x["_run"])
+    for i, run in enumerate(runs):
+        for side, mine, theirs, others in ((-1, "head", "tail", range(i - 1, -1, -1)), (1, "tail", "head", range(i + 1, len(runs)))):
+            host, found = _host(run[mine][0]["k"]), {}
+            for j in others:
+                if _host(runs[j][theirs][0]["k"]) != host:
+                    break
+                for x in runs[j][theirs]:
+                    if len(found) <= WINDOW:
+                        found.setdefault(x["c"], x["k"])
+                if len(found) > WINDOW or not runs[j]["one"]:
+                    break
+            for c, key in found.items():
+                visits.setdefault((key, c), []).append((run["_run"], side))
+    return visits
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of the own rows of each run."""
+
+    def batch_of(made: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*made, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], ["page_id", "url", "text", "n_chars"])
+
+    where, near = None, _Neighbours()
+    for batch in batches:
+        made: list[tuple] = []
+        for page_id, url, key, text, own, c, run, guest in zip(*(batch.column(x).to_pylist() for x in ("page_id", "url", "_key", "lines", "own", "_c", "_run", "_guest")), strict=True):
+            if (run, _host(key)) != where:
+                made += near.end()
+                where, near = (run, _host(key)), _Neighbours()
+            if guest == 0 and not own:  # every line is marked, or there is none
+                made.append((page_id, url, text, len(text)))
+            made += near.add(key, c, text.split("\n") if text else [], (page_id, url, own) if guest == 0 and own else None)
+        if made:
+            yield batch_of(made)
+    if made := list(near.end()):
+        yield batch_of(made)
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page."""
-    small_batches(pages.sparkSession, 256)
+    spark = pages.sparkSession
+    small_batches(spark, 256)
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     key = F.coalesce(F.concat(host, F.lit("\n"), path), F.lit("\n"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), key.alias("_key"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = now = None
-
-        def result(after):
-            near = [x for x in (before, after) if x and x["_run"] == now["_run"] and x["host"] == now["host"]]
-            pair = max(near, key=lambda x: _common(x["_key"], now["_key"]))["lines"] if near else None  # max keeps the first of equals
-            text = main_text(now["lines"], now["marked"], pair)
-            return now["page_id"], now["url"], text, len(text)
-
-        def batch_of(made):
-            columns = zip(*made, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], ["page_id", "url", "text", "n_chars"])
-
-        for batch in batches:
-            made = []
-            for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in ("page_id", "url", "_key", "_run", "_guest")}
-                row["lines"], row["marked"] = blocks(batch.column("html")[i].as_py())
-                row["host"] = row["_key"].split("\n")[0]
-                if now and now["_guest"] == 0:
-                    made.append(result(row))
-                before, now = now, row
-            if made:
-                yield batch_of(made)
-        if now and now["_guest"] == 0:
-            yield batch_of([result(None)])
-
-    return ordered(rows, "_key", ["page_id"], ring=False, both=True).select("page_id", "url", "html", "_key", "_run", "_guest").mapInArrow(run, EXTRACTED)
+    found = rows.select("_key").repartitionByRange(3 * partitions(spark), "_key").groupBy(F.spark_partition_id().alias("p")).agg(F.min("_key").alias("lo")).collect()
+    parsed = rows.mapInArrow(_parse, PARSED).withColumn("_run", bucket_of(F.col("_key"), sorted(r["lo"] for r in found), "string"))
+    # pages are parsed twice: the first time only hashes move
+    ends = parsed.select("_run", "_key", "page_id", "_c").repartition(partitions(spark), "_run").sortWithinPartitions("_run", "_key", "page_id", "_c").mapInArrow(_ends, ENDS)
+    visits = _guests(ends.collect())
+    own = F.array(F.struct(F.col("_run").alias("r"), F.lit(0).alias("g")))
+    if visits:
+        guests = spark.createDataFrame([(k, c, v) for (k, c), v in visits.items()], "_key string, _c long, _visits array<struct<r:int,g:int>>")
+        parsed = parsed.join(F.broadcast(guests), ["_key", "_c"], "left")
+        own = F.concat(own, F.coalesce("_visits", F.array().cast("array<struct<r:int,g:int>>")))
+    spread = parsed.withColumn("_to", F.explode(own)).withColumns({"_run": F.col("_to.r"), "_guest": F.col("_to.g")})
+    moved = spread.select("page_id", "url", "_key", "lines", "own", "_c", "_run", "_guest").repartition(partitions(spark), "_run")
+    return moved.sortWithinPartitions("_run", "_guest", "_key", "page_id", "_c").mapInArrow(_texts, EXTRACTED)

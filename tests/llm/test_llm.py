@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import html
+import os
 import random
 import re
 import zlib
@@ -332,6 +333,70 @@ def test_unmarked_templates_are_differenced(spark):
     assert got == {i: f"Story number {i} is told\nOnly {i}" for i in range(40)}
 
 
+PAGES = "page_id long, url string, html string"
+
+
+def texts_of(spark, rows, n=5):
+    return {x.page_id: x.text for x in extract.extract(spark.createDataFrame(rows, PAGES).repartition(n)).collect()}
+
+
+@pytest.mark.parametrize("inside", ["{}", "<main>{}</main>", "<div id=content>{}</div>", "<div role='main'><div>{}</div></div>"])
+def test_copied_pages_without_article(spark, inside):
+    page = lambda *story: "<div>Site name</div>" + inside.format("".join(f"<p>{x}</p>" for x in story)) + "<div>Imprint and terms</div>"
+    told = lambda i: (f"Story number {i} begins here and goes on", f"It ends with {i}")
+    rows = [(i, f"http://h.com/s/{i:03}", page(*told(i))) for i in range(30)]
+    rows += [(100 + i, f"http://h.com/s/007/copy{i:02}", page(*told(7))) for i in range(25)] + [(7, "http://h.com/s/007", page(*told(7)))]  # copies and a repeated row
+    long = [f"Paragraph {k} of a long story with many words" for k in range(12)]
+    rows += [(200 + i, f"http://h.com/t/{i}", page(*long, f"Edited {i}")) for i in range(3)]  # near copies
+    quote = "A sentence that two stories quote"
+    rows += [(300, "http://h.com/u/1", page("One story", quote)), (301, "http://h.com/u/2", page("Another story", quote)), (302, "http://h.com/u/3", page("A third"))]
+    want = {i: "\n".join(told(i)) for i in range(30)} | {100 + i: "\n".join(told(7)) for i in range(25)} | {200 + i: "\n".join([*long, f"Edited {i}"]) for i in range(3)}
+    want |= {300: f"One story\n{quote}", 301: f"Another story\n{quote}", 302: "A third"}
+    assert texts_of(spark, rows) == want
+
+
+def brute_text(rows, k):
+    """Text of row k by looking at all pages of the host."""
+    lines, own = rows[k][3], rows[k][4]
+    near = []
+    for side, step in ((range(k - 1, -1, -1), -1), (range(k + 1, len(rows)), 1)):
+        seen = [lines]
+        for j in side:
+            if rows[j][0] != rows[k][0] or len(seen) > extract.WINDOW:
+                break
+            if rows[j][3] in seen:
+                continue
+            seen.append(rows[j][3])
+            shared = extract.shared_lines(lines, rows[j][3])
+            if not extract.alike(lines, rows[j][3], shared):
+                near.append((-len(os.path.commonprefix([rows[j][1], rows[k][1]])), step, shared))
+                break
+    near.sort(key=lambda x: x[:2])
+    gone = near[0][2] if near else set()
+    gone = gone & near[1][2] if len(near) == 2 and gone & near[1][2] else gone
+    return "\n".join(x for i, x in enumerate(lines) if own[i] or i not in gone)
+
+
+@pytest.mark.parametrize("seed, window", [(0, 8), (1, 2), (2, 1)])
+def test_pairs_do_not_depend_on_runs(spark, seed, window, monkeypatch):
+    monkeypatch.setattr(extract, "WINDOW", window)  # forked workers see it only where they start anew
+    r = random.Random(seed)
+    host = [(f"h{r.choice('abb')}", f"/{r.choice('xy')}/{r.randrange(60)}") for _ in range(150)]
+    rows = []
+    for i, (h, path) in enumerate(host):
+        story = [f"{r.choice('pq')} tells {k}" for k in range(12)] if r.random() < 0.8 else [f"own {i} {k}" for k in range(r.randrange(3))]
+        rows.append((i, f"http://{h}{path}", "".join(f"<p>{x}</p>" for x in ["Top", *(["pppp"] * 12 if r.random() < 0.5 else story), "End"])))
+    cut_up = sorted((h, path, i, *extract.blocks(rows[i][2])) for i, (h, path) in enumerate(host))
+    cut_up = [(h, f"{h}\n{path}", i, lines, marked) for h, path, i, lines, marked in cut_up]
+    if window == 8:
+        assert texts_of(spark, rows) == {x[2]: brute_text(cut_up, k) for k, x in enumerate(cut_up)}
+    near, got = {}, {}
+    for h, key, i, lines, _ in cut_up:
+        got |= {x[0]: x[2] for x in near.setdefault(h, extract._Neighbours()).add(key, hash(tuple(lines)), lines, (i, "", "0" * len(lines)))}
+    got |= {x[0]: x[2] for n in near.values() for x in n.end()}
+    assert got == {x[2]: brute_text(cut_up, k) for k, x in enumerate(cut_up)}
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_longest_common_subsequence(seed):
     r = random.Random(seed)
