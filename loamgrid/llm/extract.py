@@ -1,7 +1,8 @@
 """Main text of web pages by differencing the nearest URLs.
 
-A page is cut into text blocks in page order. Containers whose tag or class names their role (menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts, styles) are left out. Every page is paired with the page of the same host whose URL path is
+A page is cut into text blocks in page order. Containers whose tag, or a whole class or id, names their role (menus, headers, footers,
+sidebars, notices, adverts, forms, comments, scripts, styles) are left out, up to their end tag or, where it is omitted, to the next of the row or the end of what
+holds them. Every page is paired with the page of the same host whose URL path is
 nearest in path order (the longer common beginning, the earlier one at a tie) and whose content is another one; the lines of both are
 aligned by longest common subsequence, and lines that both share are deleted, since a template repeats while an article doesn't. Where
 the page on the other side has a line of the template too, only lines that it shares as well go: a quotation in two stories stays.
@@ -38,16 +39,21 @@ BLOCKS = frozenset(
 #: Elements whose whole content is never text of the article.
 DROPPED = frozenset("script style noscript template head nav footer aside form button select textarea iframe object svg canvas audio video math dialog menu title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-ROLE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|banners?|promos?|sponsored|sponsor|sidebars?|side|menus?|nav|navbar|navigation|breadcrumbs?|header|footer|masthead|"
-    r"comments?|comment-list|disqus|replies|notices?|cookies?|consent|gdpr|popup|modal|newsletter|subscribe|signup|login|search|share|social|related|recommended|widget|toolbar|pagination|pager)(?:$|[\s_-])",
-    re.I,
+_ROLES = (
+    "(?:ads?|adverts?|advertisements?|banners?|promos?|sponsored|sponsor|sidebars?|side|menus?|nav|navbar|navigation|breadcrumbs?|header|footer|masthead|"
+    "comments?|disqus|replies|notices?|cookies?|consent|gdpr|popup|modal|newsletter|subscribe|signup|login|search|share|social|related|recommended|widget|toolbar|pagination|pager)"
 )
+_PLACES = "(?:site|page|global|main|top|bottom|left|right|primary|secondary|sticky|mobile|desktop|user|post|entry|article)"
+_PARTS = "(?:list|items?|box|bar|area|block|section|slot|unit|links?|buttons?|icons?|form|container|wrapper|wrap|inner|outer|content|body|text|\\d+)"
+#: A whole class or id that names a role; the words around it tell the place or a part, never what a page is without or about.
+ROLE = re.compile(f"(?!(?:post|entry|article)[_-]+header)(?:{_PLACES}[_-]+)*{_ROLES}(?:[_-]+(?:{_ROLES}|{_PLACES}|{_PARTS}))*", re.I)
+#: Elements that hold others; inside the main text only these are left out by name.
+CONTAINERS = frozenset("div section ul ol dl table center details fieldset figure li dd td th tr".split())
+HEADINGS = frozenset(f"h{i}" for i in range(1, 7))
 _token = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.S | re.I,
 )
-_attribute = re.compile(r"(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _pair = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: Names (class, id) of containers of the main text, for pages without article and main.
 NAMED = frozenset(
@@ -103,7 +109,7 @@ class _Open:
 
     def make_room(self, tag: str) -> None:
         """Ends what the start of a block element ends."""
-        if self.tags and self.tags[-1] == "p":
+        if self.tags and self.tags[-1] in ("p", "head"):
             self.cut(len(self.tags) - 1)
         same = SIBLINGS.get(tag, ())
         if any(self.count[x] for x in same):
@@ -119,30 +125,42 @@ class _Open:
         self.ranks.append(max(rank, self.rank()))
         self.count[tag] += 1
 
-    def end(self, tag: str) -> None:
+    def end(self, tag: str, level: int) -> None:
+        """Ends the innermost such element and all in it; what is left out (from `level` on) holds nothing firm."""
         if self.count[tag]:
             for i in range(len(self.tags) - 1, -1, -1):
                 if self.tags[i] == tag:
                     self.cut(i)
                     break
-                if self.tags[i] in FIRM and tag not in FIRM and tag not in ("body", "html"):
+                if i < level and self.tags[i] in FIRM and tag not in FIRM and tag not in ("body", "html"):
                     break
 
 
-def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in DROPPED or tag == "header" and not in_article:
+def _named(tag: str, has: dict[str, str], around: _Open) -> bool:
+    """Whether a class or id names an unwanted role. Headings, and what stands in a line of text, have no such names."""
+    block = around.tags[-1] if around.tags else ""
+    inside = around.rank() > 0
+    if tag in HEADINGS or inside and (tag not in CONTAINERS or block in HEADINGS) or tag not in BLOCKS and (block == "p" or block in HEADINGS):
+        return False
+    names = has.get("class", "").split()
+    if not inside or tag != "section":  # a section's id in the main text is the anchor of its heading
+        names += has.get("id", "").split()
+    return any(ROLE.fullmatch(x) and not (inside and x.lower() in ("header", "masthead")) for x in names)
+
+
+def _unwanted(tag: str, attributes: str, around: _Open) -> bool:
+    if tag in DROPPED or tag == "header" and around.rank() < 2:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
-    for name, *values in _attribute.findall(attributes):
-        value, name = "".join(values), name.lower()
-        if name in ("class", "id") and ROLE.search(value):
-            return True
-        if name == "role" and value.lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"):
-            return True
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return False
+    has = _attributes(attributes)
+    return (
+        _named(tag, has, around)
+        or has.get("role", "").lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar")
+        or "hidden" in has
+        or has.get("aria-hidden", "").lower() == "true"
+        or bool(re.search(r"display\s*:\s*none", has.get("style", ""), re.I))
+    )
 
 
 def blocks(page: str) -> tuple[list[str], list[bool]]:
@@ -151,7 +169,7 @@ def blocks(page: str) -> tuple[list[str], list[bool]]:
     ranks: list[int] = []
     open_text: list[str] = []
     around = _Open()
-    skip, depth = "", 0
+    skip, level = "", 0  # an element that is left out, and how many are open around it
     at = 0
 
     def close() -> None:
@@ -171,27 +189,27 @@ def blocks(page: str) -> tuple[list[str], list[bool]]:
         if not tag:
             continue
         closing = bool(m[2])
-        if skip:
-            if tag == skip:
-                depth += -1 if closing else 1
-                if not depth:
-                    skip = ""
-            continue
-        if tag in BLOCKS:
+        alone = tag in VOID or m[4].endswith("/")
+        if tag in BLOCKS and not skip:
             close()
-        elif tag == "br":
+        elif tag == "br" and not skip:
             open_text.append(" ")
         if closing:
-            around.end(tag)
-            continue
-        if tag in BLOCKS:
+            around.end(tag, level if skip else len(around.tags))
+        elif tag in BLOCKS:
             around.make_room(tag)
-        if tag in VOID or m[4].endswith("/"):
+        if skip and len(around.tags) <= level:
+            skip = ""
+        if closing or alone:
             continue
-        if _unwanted(tag, m[4], around.rank() > 1):
+        if skip:
+            if tag in BLOCKS or tag in DROPPED or tag == skip:
+                around.start(tag, 0)
+        elif _unwanted(tag, m[4], around):
             close()
-            skip, depth = tag, 1
-        elif tag in BLOCKS or tag == "main":
+            skip, level = tag, len(around.tags)
+            around.start(tag, 0)
+        elif tag in BLOCKS:
             around.start(tag, _rank(tag, m[4]))
     if not skip and at < len(page):
         open_text.append(html.unescape(page[at:]))

@@ -397,6 +397,29 @@ def test_pairs_do_not_depend_on_runs(spark, seed, window, monkeypatch):
     assert got == {x[2]: brute_text(cut_up, k) for k, x in enumerate(cut_up)}
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><div class='post has-sidebar'>A</div><div class='layout-no-sidebar'>B</div><h2 id='search'>C</h2><section id='related-work'>D</section><section id=related>E</section></article>", "A|B|C|D|E"),
+        ("<div class='post has-sidebar'><h2 class=header>A</h2><p>B</p></div>", "A|B"),
+        ("<p>See <a href='/hidden-treasures'>these</a>, <a title='a hidden gem' data-id='share'>those</a> and <a data-class=ad aria-label='x hidden'>more</a></p>", "See these, those and more"),
+        ("<main><div data-role=navigation title='style=display:none'>A</div><p class=notice>B <span class=share>C</span></p><div class='header'><h1>D</h1></div></main>", "A|B C|D"),
+        ("<div><p class='notice'>no<p>A<p>B</div><p>C", "A|B|C"),
+        ("<div><p class='notice'>no</div>A", "A"),
+        ("<ul><li class=ad>no<li>A<ul><li class=share>no</ul>B<li>C</ul>D", "A|B|C|D"),
+        ("<table><tr><td class=sidebar>no<td>A<tr><td class=ads>no</table>B", "A|B"),
+        ("<head><meta charset=utf-8><title>t</title><body><p>A", "A"),
+        ("<article><div class=ad>no<p>no</article><p>A</p>", "A"),
+        ("<div class='sidebar left'><div>no</div>no</div><div class='site-header'>no</div><div id=cookie-banner>no</div><ul class='main-nav'><li>no</ul><div class='ad-slot-3'>no</div><span class=ads>no</span><p hidden>no</p><p aria-hidden=true>no<p style='DISPLAY : none'>no<p>A", "A"),
+        ("<article><p>A</p><div id='comments'>no</div><ul class=share-buttons><li>no</ul><div class='related posts'>no</div><p>B</p></article>", "A|B"),
+        ("<nav><ul><li>no<li>no</ul><p>no</nav>A<form><table><tr><td>no</form>B", "A|B"),
+        ("<div class=related><article>no</div>A", "A"),
+    ],
+)
+def test_only_containers_of_a_role_are_left_out(page, text):
+    assert "|".join(extract.blocks(page)[0]) == text
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_longest_common_subsequence(seed):
     r = random.Random(seed)
