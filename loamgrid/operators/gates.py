@@ -164,22 +164,183 @@ def composition(units: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     """Composition rules (rule, kind, keyword, cap) against rosters' units (keywords array): caps count units with a keyword, a forbidding rule allows none."""
     with_rule = units.withColumn("keyword", F.explode(F.array_distinct("keywords"))).join(rules, "keyword")
     n = with_rule.groupBy(key, "rule", "kind", "cap").agg(F.count("*").alias("units"))
-    ok = F.when(F.col("kind") == "boolean_forbid", F.col("units") == 0).otherwise(F.col("units") <= F.col("cap"))
-    return n.select(key, "rule", "units", F.when(yes(ok), "PASS").otherwise("FAIL").alias("status"))
+    status = case(
+        [
+            ((F.col("kind") == "boolean_forbid") & (F.col("units") == 0), "PASS"),
+            (F.col("kind") == "boolean_forbid", "FAIL"),
+            (F.col("kind").isin("ally_unit_name_cap", "keyword_grant_selection", "marks_of_chaos"), "UNKNOWN"),  # kinds of `faction_rules`
+            (F.col("units") <= F.col("cap"), "PASS"),
+        ],
+        "FAIL",
+    )
+    return n.select(key, "rule", "units", status.alias("status"))
 
 
 def transport(passengers: DataFrame, profiles: DataFrame, key: str) -> DataFrame:
     """Space that passengers (transport, keywords, models) take and whether a transport may hold them.
 
-    A profile has capacity, requires_all, excludes and multipliers (keyword to space).
+    A profile has capacity, requires_all, excludes, multipliers (keyword to space) and, where a passenger needs one keyword of
+    each of several groups, requires_any_groups. Unknown keywords never fit.
     """
+    if "requires_any_groups" not in profiles.columns:
+        profiles = profiles.withColumn("requires_any_groups", F.lit(None).cast("array<array<string>>"))
     joined = passengers.join(profiles, key)
     space = F.coalesce(F.array_max(F.transform(F.map_entries("multipliers"), lambda e: F.when(F.array_contains(F.col("keywords"), e["key"]), e["value"]))), F.lit(1))
     fits = (F.size(F.array_except("requires_all", "keywords")) == 0) & ~F.arrays_overlap("excludes", "keywords")
+    fits = yes(fits & F.coalesce(F.forall("requires_any_groups", lambda g: F.arrays_overlap(g, F.col("keywords"))), F.col("requires_any_groups").isNull()))
     by = joined.groupBy(key).agg(F.sum(F.col("models") * space).alias("used"), F.max("capacity").alias("capacity"), F.bool_and(fits).alias("allowed"))
     return by.withColumn("status", F.when(F.col("allowed") & (F.col("used") <= F.col("capacity")), "PASS").otherwise("FAIL"))
 
 
+# --- rosters against the core limits and the rules of their faction ---------------------------------------------------
+
+
+def core_limits(rosters: DataFrame, units: DataFrame, enhancements: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(roster_id, check, subject, value, cap, status) of the core limits; a limit or a value that isn't known is UNKNOWN.
+
+    rosters: roster_id, battle_size, detachments (array of name, cost); units: roster_id, id, unit, keywords, points, role (LEADER, SUPPORT or
+    null), attached_to (id of its bodyguard); enhancements: roster_id, unit_ref, enhancement, upgrade, points; sizes: battle_size,
+    points_limit, detachment_points_limit, enhancement_limit, unit_limit, lone_detachment (what a roster's only detachment may cost at most).
+    """
+    base = rosters.join(sizes, "battle_size", "left")
+    has = lambda k: yes(F.array_contains("keywords", k))
+    enhancements = enhancements.withColumn("upgrade", yes(F.col("upgrade")))
+
+    def check(df: DataFrame, name: str, subject: Column, value: Column, cap: Column) -> DataFrame:
+        value, cap = value.cast("long"), cap.cast("long")
+        status = case([(value.isNull() | cap.isNull(), "UNKNOWN"), (value <= cap, "PASS")], "FAIL")
+        return df.select("roster_id", F.lit(name).alias("check"), subject.cast("string").alias("subject"), value.alias("value"), cap.alias("cap"), status.alias("status"))
+
+    whole = F.lit(None)
+    paid = units.select("roster_id", "points").unionAll(enhancements.select("roster_id", "points"))
+    paid = paid.groupBy("roster_id").agg(F.when(F.count_if(F.col("points").isNull()) == 0, F.sum("points")).alias("used"), F.lit(1).alias("any"))
+    points = base.join(paid, "roster_id", "left").withColumn("used", F.when(F.col("any").isNull(), F.lit(0)).otherwise(F.col("used")))
+    cost = F.aggregate(F.coalesce("detachments.cost", F.array().cast("array<int>")), F.lit(0), lambda a, x: a + x)
+    lone = F.when((F.size("detachments") == 1) & yes(F.col("lone_detachment") > F.col("detachment_points_limit")), F.col("lone_detachment")).otherwise(F.col("detachment_points_limit"))
+    names = rosters.select("roster_id", F.explode("detachments.name").alias("name")).groupBy("roster_id", "name").count()
+    copies = units.withColumn("kind", case([(has("EPIC HERO"), "EPIC"), (has("BATTLELINE") | has("DEDICATED TRANSPORT"), "DOUBLE")], "ONCE"))
+    copies = copies.groupBy("roster_id", "unit").agg(F.count("*").alias("n"), F.max(F.col("kind") == "EPIC").alias("epic"), F.max(F.col("kind") == "DOUBLE").alias("double"))
+    copies = copies.join(base.select("roster_id", "unit_limit"), "roster_id")
+    per_unit = F.when(F.col("epic"), F.lit(1)).when(F.col("double"), F.col("unit_limit") * 2).otherwise(F.col("unit_limit"))
+    same = enhancements.groupBy("roster_id", "enhancement").agg(F.count("*").alias("n"), F.bool_and("upgrade").alias("upgrade"))
+    counted = same.groupBy("roster_id").agg(F.sum(F.when(F.col("upgrade"), F.lit(1)).otherwise(F.col("n"))).alias("used"))  # second and third copies of an upgrade are free
+    counted = base.join(counted, "roster_id", "left")
+    bearers = enhancements.join(units.select("roster_id", F.col("id").alias("unit_ref"), "keywords"), ["roster_id", "unit_ref"], "left")
+    bearers = bearers.groupBy("roster_id", "unit_ref").agg(F.count("*").alias("n"), F.max(has("CHARACTER") & ~has("EPIC HERO")).alias("may"))
+    # equality of ids is within a roster; a null reference is no attachment
+    guards = units.select("roster_id", F.col("id").alias("attached_to"), F.lit(True).alias("found")).distinct()
+    joined = units.filter("attached_to IS NOT NULL").join(guards, ["roster_id", "attached_to"], "left")
+    leads = joined.groupBy("roster_id", "attached_to", "role").agg(F.count("*").alias("n"), F.max(yes(F.col("found")) & F.col("role").isin("LEADER", "SUPPORT")).alias("may"))
+    loose = units.filter((F.col("role") == "SUPPORT") & F.col("attached_to").isNull())
+    checks = [
+        check(points, "points", whole, F.col("used"), F.col("points_limit")),
+        check(base, "detachment_points", whole, cost, lone),
+        check(names, "same_detachment", F.col("name"), F.col("count"), F.lit(1)),
+        check(copies, "unit_copies", F.col("unit"), F.col("n"), per_unit),
+        check(counted, "enhancements", whole, F.coalesce("used", F.lit(0)), F.col("enhancement_limit")),
+        check(same, "enhancement_copies", F.col("enhancement"), F.col("n"), F.when(F.col("upgrade"), F.lit(3)).otherwise(F.lit(1))),
+        check(bearers, "enhancement_bearer", F.col("unit_ref"), F.col("n"), F.when(yes(F.col("may")), F.lit(1)).otherwise(F.lit(0))),
+        check(leads, "attachment", F.col("attached_to"), F.col("n"), F.when(yes(F.col("may")), F.lit(1)).otherwise(F.lit(0))),
+        check(loose, "support_attached", F.col("id"), F.lit(1), F.lit(0)),
+    ]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionAll(c)
+    return out
+
+
+#: Columns of the rules' file that `faction_rules` reads.
+RULES = (
+    "id string, army_faction string, detachment_required string, kind string, required_all array<string>, excluded array<string>, point_caps map<string,int>, point_cap int, "
+    "allied_warlord_forbidden boolean, allowed_source_faction string, allowed_units array<string>, roster_flag string, forbidden_value boolean, selection_field string, max_selected int, "
+    "grant array<string>, warlord_allowed boolean, allowed_marks array<string>, non_epic_heretic_astartes_requires_mark boolean, khorne_forbidden_for_psyker boolean, "
+    "attached_units_must_share_mark boolean, transport_and_passengers_must_share_mark boolean"
+)
+
+
+def applied_rules(rosters: DataFrame, rules: DataFrame) -> DataFrame:
+    """The rules (RULES) of each roster's faction and detachments."""
+    asked = F.col("detachment_required").isNull() | yes(F.array_contains("detachments", F.col("detachment_required")))
+    return rosters.join(rules.withColumnRenamed("id", "rule"), "army_faction").filter(asked)
+
+
+def _selected(applied: DataFrame) -> DataFrame:
+    return applied.filter("kind = 'keyword_grant_selection'").withColumn("chosen", F.array_distinct(F.coalesce(F.col("selections")[F.col("selection_field")], F.array().cast("array<string>"))))
+
+
+def granted(rosters: DataFrame, units: DataFrame, rules: DataFrame) -> DataFrame:
+    """Units with the keywords that a selection grants them, where they qualify."""
+    chosen = _selected(applied_rules(rosters, rules)).select("roster_id", F.explode("chosen").alias("id"), "required_all", "grant")
+    fit = chosen.join(units.select("roster_id", "id", "keywords"), ["roster_id", "id"]).filter(F.size(F.array_except("required_all", "keywords")) == 0)
+    more = fit.groupBy("roster_id", "id").agg(F.flatten(F.collect_list("grant")).alias("_more"))
+    both = units.join(more, ["roster_id", "id"], "left")
+    return both.withColumn("keywords", F.when(F.col("_more").isNull(), F.col("keywords")).otherwise(F.array_union("keywords", "_more"))).select(units.columns)
+
+
+def faction_rules(rosters: DataFrame, units: DataFrame, rules: DataFrame) -> DataFrame:
+    """(roster_id, rule, kind, status, reasons) for every rule (RULES) that applies to a roster; what can't be decided is UNKNOWN.
+
+    rosters: roster_id, army_faction, battle_size, detachments (array of names), flags (map to boolean), selections (map to arrays of unit ids);
+    units: roster_id, id, unit, faction, keywords, points, warlord, mark, attached_to and transported_in (ids of units).
+    """
+    applied = applied_rules(rosters, rules)
+    none = F.array().cast("array<string>")
+    words = F.coalesce("keywords", none)
+    ally = applied.join(units, "roster_id")
+    needed = F.size(F.array_except("required_all", words)) == 0
+    out = F.arrays_overlap(F.coalesce("excluded", none), words)
+    foreign = ~F.col("faction").eqNullSafe(F.col("army_faction"))
+    by_word = ally.filter((F.col("kind") == "ally_keyword_cap") & needed & (~out | foreign))
+    by_word = by_word.select("*", out.alias("barred"), F.col("point_caps")[F.col("battle_size")].alias("most"))
+    by_name = ally.filter((F.col("kind") == "ally_unit_name_cap") & (F.col("faction") == F.col("allowed_source_faction")))
+    by_name = by_name.select("*", (~yes(F.array_contains("allowed_units", F.col("unit")))).alias("barred"), F.col("point_cap").alias("most"))
+    caps = by_word.unionByName(by_name).groupBy("roster_id", "rule").agg(
+        F.sum("points").alias("used"),
+        F.count_if(F.col("points").isNull()).alias("unpriced"),
+        F.max("most").alias("most"),
+        F.max("barred").alias("barred"),
+        F.max(yes(F.col("allied_warlord_forbidden")) & yes(F.col("warlord"))).alias("led"),
+    )
+    reason = lambda test, name: F.when(test, F.lit(name))  # noqa: E731  unknown ones end in "?"
+    found = [caps.select("roster_id", "rule", F.array(reason(F.col("used") > F.col("most"), "OVER_CAP"), reason(F.col("barred"), "UNIT_NOT_ALLOWED"), reason(F.col("led"), "ALLIED_WARLORD"), reason(F.col("most").isNull(), "CAP?"), reason(F.col("unpriced") > 0, "POINTS?")).alias("r"))]
+
+    flag = F.col("flags")[F.col("roster_flag")]
+    found.append(applied.filter("kind = 'boolean_forbid'").select("roster_id", "rule", F.array(reason(flag == F.col("forbidden_value"), "FORBIDDEN"), reason(flag.isNull(), "FLAG?")).alias("r")))
+
+    chosen = _selected(applied)
+    found.append(chosen.select("roster_id", "rule", F.array(reason(F.size("chosen") > F.col("max_selected"), "TOO_MANY"), reason(F.col("max_selected").isNull(), "MAX?")).alias("r")))
+    picked = chosen.select("roster_id", "rule", "required_all", "warlord_allowed", F.explode("chosen").alias("id")).join(units.withColumn("found", F.lit(True)), ["roster_id", "id"], "left")
+    found.append(picked.select("roster_id", "rule", F.array(reason(F.col("found").isNull(), "UNKNOWN_REF"), reason(F.col("found") & ~needed, "NOT_ELIGIBLE"), reason(yes(F.col("warlord")) & ~F.coalesce("warlord_allowed", F.lit(True)), "WARLORD")).alias("r")))
+
+    # a unit's mark is the chosen one, else the one among its keywords
+    marked = ally.filter("kind = 'marks_of_chaos'").withColumn("own", F.coalesce("mark", F.get(F.array_intersect("allowed_marks", words), F.lit(0))))
+    has = lambda k: F.array_contains(words, k)
+    found.append(
+        marked.select(
+            "roster_id",
+            "rule",
+            F.array(
+                reason(~F.array_contains("allowed_marks", F.col("mark")), "MARK_NOT_ALLOWED"),
+                reason(yes(F.col("non_epic_heretic_astartes_requires_mark")) & has("HERETIC ASTARTES") & ~has("EPIC HERO") & F.col("own").isNull(), "NO_MARK"),
+                reason(yes(F.col("khorne_forbidden_for_psyker")) & has("PSYKER") & (F.col("own") == "KHORNE"), "KHORNE_PSYKER"),
+            ).alias("r"),
+        )
+    )
+    for ref, asked, name in (("attached_to", "attached_units_must_share_mark", "ATTACHED_MARK"), ("transported_in", "transport_and_passengers_must_share_mark", "TRANSPORT_MARK")):
+        other = marked.select("roster_id", "rule", F.col("id").alias(ref), F.col("own").alias("theirs"), F.lit(True).alias("found"))
+        pairs = marked.filter(yes(F.col(asked)) & F.col(ref).isNotNull()).join(other, ["roster_id", "rule", ref], "left")
+        found.append(pairs.select("roster_id", "rule", F.array(reason(F.col("found").isNull(), "UNKNOWN_REF"), reason(F.col("found") & ~F.col("own").eqNullSafe(F.col("theirs")), name)).alias("r")))
+
+    rows = found[0]
+    for x in found[1:]:
+        rows = rows.unionAll(x)
+    by = rows.groupBy("roster_id", "rule").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.array_compact("r"))))).alias("reasons"))
+    known = F.col("kind").isin("ally_keyword_cap", "ally_unit_name_cap", "boolean_forbid", "keyword_grant_selection", "marks_of_chaos")
+    all_ = applied.select("roster_id", "rule", "kind").join(by, ["roster_id", "rule"], "left").withColumn("reasons", F.when(yes(known), F.coalesce("reasons", none)).otherwise(F.array(F.lit("KIND?"))))
+    status = case([(F.exists("reasons", lambda x: ~x.endswith("?")), "FAIL"), (F.size("reasons") > 0, "UNKNOWN")], "PASS")
+    return all_.select("roster_id", "rule", "kind", status.alias("status"), "reasons")
+
+
 # --- currentness ---------------------------------------------------------------------------------------------------
 
 
