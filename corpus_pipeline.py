@@ -1,12 +1,14 @@
 """A corpus pipeline of five operators; each stage works on all rows that the stage before it kept.
 
-Every stage but the last returns the columns of documents. Rows that repeat an id stand or fall together in the stages that choose
-documents; rows with a null id are kept by the near-duplicate stage and dropped by mixing, which cannot name them.
+Every stage but the last returns the columns of documents. The stages that choose documents name each row by a key made of all its
+columns, so rows that repeat an id, or have none, are judged each for itself; equal rows are told apart by their number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import itertools
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loamgrid.llm import bpe, jaccard, langid, mixing, substring
@@ -23,11 +25,31 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return langid.keep_known(docs, langid.fit(langid.training(docs)))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with `_key`, a number that only equal rows share; another seed is taken where a second hash shows a clash."""
+    nulls = F.concat(*(F.when(F.col(c).isNull(), "0").otherwise("1") for c in COLUMNS))  # hashes pass over nulls
+    for seed in itertools.count():
+        hashed = lambda s: F.xxhash64(F.lit(s), nulls, *COLUMNS)
+        keyed = docs.select(*COLUMNS, hashed(2 * seed).alias("_key"))
+        check = docs.select(hashed(2 * seed).alias("_key"), hashed(2 * seed + 1).alias("check")).groupBy("_key").agg(F.min("check").alias("lo"), F.max("check").alias("hi"))
+        if check.filter("lo <> hi").isEmpty():
+            return keyed
+    raise AssertionError
+
+
+def _nth(key: str) -> Column:
+    """The number of a row among its equals, from 1."""
+    return F.row_number().over(Window.partitionBy(key).orderBy(key))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: of every group of near duplicates the document with the smallest id stays."""
-    found = jaccard.join(docs, NEAR)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """N-gram Jaccard join: of every group of near duplicates the row with the smallest id stays (rows without an id come last). Rows without words all stay."""
+    keyed = _keyed(docs)
+    found = jaccard.join(keyed.select(F.col("_key").alias("doc_id"), "text"), NEAR).withColumnRenamed("doc_id", "_key")
+    named = found.join(keyed.select("_key", F.col("doc_id").alias("id")).distinct(), "_key")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_key")).alias("first")
+    stay = named.groupBy("component_id").agg(first, F.max("n_shingles").alias("n")).select("first._key", "n")
+    return keyed.join(stay, "_key").withColumn("_nth", _nth("_key")).filter("n = 0 OR _nth = 1").select(*COLUMNS)
 
 
 def repeats_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +58,12 @@ def repeats_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing to target weights: a document comes as often as the mix takes it, once for each pass."""
-    passes = mixing.mix(docs, F.array("source")).groupBy("doc_id").agg(F.max("passes").cast("int").alias("passes")).filter("passes > 0")
-    return docs.select(*COLUMNS).join(passes, "doc_id").withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("passes")))).select(*COLUMNS)
+    """Mixing to target weights: a row comes as often as the mix takes it, once for each pass."""
+    keyed = _keyed(docs)
+    mixed = mixing.mix(keyed.withColumn("doc_id", F.col("_key")), F.array("source"))
+    passes = mixed.filter("passes > 0").groupBy(F.col("doc_id").alias("_key")).agg(F.sort_array(F.collect_list(F.col("passes").cast("int")), asc=False).alias("passes"))
+    taken = keyed.join(passes, "_key").withColumn("_nth", _nth("_key")).withColumn("_times", F.get("passes", F.col("_nth") - 1)).filter("_times > 0")
+    return taken.withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -638,3 +638,26 @@ def test_pipeline_stages(spark, library, tmp_path):
     assert len(out) == kept[-1].count()
     assert all(x.token_ids == library.encode(mixed[x.doc_id], add_special_tokens=False).ids for x in out)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(out)
+
+
+def test_pipeline_rows_without_an_id_of_their_own(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(5)
+    text = lambda n=40: " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    a, b, c, d, e = (text() for _ in range(5))
+    # id 5 holds a copy of id 1 and a text of its own; 7 holds one text twice; rows without an id: a copy of id 1, two copies of d, one e
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, c), (None, a), (None, d), (None, d), (None, e), (9, ""), (9, ""), (None, None)]
+    docs = common.cut(docs_of(spark, [(i, t, "x", "s") for i, t in rows]).select(*corpus_pipeline.COLUMNS))
+    near = common.cut(corpus_pipeline.one_of_each_group(spark, docs, ""))
+    order = lambda x: sorted(x, key=repr)
+    assert near.columns == docs.columns
+    assert order((x.doc_id, x.text) for x in near.collect()) == order([(1, a), (5, b), (7, c), (None, d), (None, e), (9, ""), (9, ""), (None, None)])
+    # one source takes 1.5 of its words: every row with words comes once or twice, ids or not
+    many = [(None if i % 3 == 0 else i // 4, text(10)) for i in range(120)] + [(3, a)] * 4
+    mixed = corpus_pipeline.mixed_sources(spark, common.cut(docs_of(spark, [(i, t, "x", "s") for i, t in many]).select(*corpus_pipeline.COLUMNS)), "").collect()
+    times = collections.Counter((x.doc_id, x.text) for x in mixed)
+    want = collections.Counter(many)
+    assert set(times) == set(want) and all(want[k] <= n <= 2 * want[k] for k, n in times.items())
+    words = sum(len(t.split()) * n for (_, t), n in times.items())
+    assert abs(words - 1.5 * sum(len(t.split()) for _, t in many)) <= 60
