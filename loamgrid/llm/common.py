@@ -242,7 +242,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) of an undirected edge table (a, b): component is the smallest reachable node. A node without an edge to another is left out.
 
     Alternates the large-star and small-star contractions, which keep every node's degree bounded by the edges it
-    already has, until nothing changes; each round is cut in the shared folder. No node's neighbours are gathered
+    already has, until nothing changes (after `rounds` rounds that is an error); each round is cut in the shared folder. No node's neighbours are gathered
     in one row: both steps are grouped minima and joins.
     """
     current = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
@@ -260,5 +260,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if mark == seen:
             break
         seen = mark
+    else:
+        raise RuntimeError(f"components: edges still changed in round {rounds}")
     found = current.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     return found.union(found.select("component", "component").distinct())

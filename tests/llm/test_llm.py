@@ -661,3 +661,21 @@ def test_pipeline_rows_without_an_id_of_their_own(spark, tmp_path):
     assert set(times) == set(want) and all(want[k] <= n <= 2 * want[k] for k, n in times.items())
     words = sum(len(t.split()) * n for (_, t), n in times.items())
     assert abs(words - 1.5 * sum(len(t.split()) for _, t in many)) <= 60
+
+
+def test_unfinished_components_are_an_error(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    assert {r.component for r in common.components(path).collect()} == {0}
+    with pytest.raises(RuntimeError, match="round 1"):
+        common.components(path, rounds=1)
+
+
+def test_pipeline_stages_are_parquet(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    rows = [(i, f"text {i}", "a", "s") for i in range(5)]
+    docs_of(spark, rows).select(*corpus_pipeline.COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
+    seen = []
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(k, lambda spark, docs, sf_dir: seen.append(docs.inputFiles()) or docs) for k in ("one", "two", "three")])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 5
+    assert ["documents.parquet" in x[0] for x in seen] == [True, False, False] and all("/pipeline-" in f and f.endswith(".parquet") for x in seen[1:] for f in x)
