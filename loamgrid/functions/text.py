@@ -126,7 +126,7 @@ def rule_refs(c: Text) -> Column:
 
 def mentions(text: Text, ref: Text) -> Column:
     """Whether a literal reference stands in the text with no digit at its sides."""
-    return F.regexp_like(col(text), F.concat(F.lit(r"(?<![0-9])\Q"), col(ref), F.lit(r"\E(?![0-9])")))
+    return F.regexp_like(col(text), F.concat(F.lit(r"(?<![0-9])\Q"), F.replace(col(ref), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![0-9])")))
 
 
 def date_near(text: Text, marker: str, window: int = 12000) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .classify import case
 
 yes = lambda c: F.coalesce(c, F.lit(False))  # noqa: E731  only a real true confirms
@@ -161,9 +162,13 @@ def roster_limits(units: DataFrame, key: str, caps: DataFrame) -> DataFrame:
 
 
 def composition(units: DataFrame, rules: DataFrame, key: str) -> DataFrame:
-    """Composition rules (rule, kind, keyword, cap) against rosters' units (keywords array): caps count units with a keyword, a forbidding rule allows none."""
-    with_rule = units.withColumn("keyword", F.explode(F.array_distinct("keywords"))).join(rules, "keyword")
-    n = with_rule.groupBy(key, "rule", "kind", "cap").agg(F.count("*").alias("units"))
+    """Composition rules (rule, kind, keyword, cap) against rosters' units (keywords array): caps count units with a keyword, a forbidding rule allows none.
+
+    Every roster meets every rule, a rule without units too: rules are a short list, spread over the rosters' keys.
+    """
+    words = units.select(key, F.explode(F.array_distinct("keywords")).alias("keyword")).groupBy(key, "keyword").agg(F.count("*").alias("n"))
+    every = rules.agg(F.collect_list(F.struct("rule", "kind", "keyword", "cap")).alias("r")).join(units.select(key).distinct()).select(key, F.inline("r"))
+    n = every.join(words, [key, "keyword"], "left").groupBy(key, "rule", "kind", "cap").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("units"))
     status = case(
         [
             ((F.col("kind") == "boolean_forbid") & (F.col("units") == 0), "PASS"),
@@ -344,18 +349,21 @@ def faction_rules(rosters: DataFrame, units: DataFrame, rules: DataFrame) -> Dat
 # --- currentness ---------------------------------------------------------------------------------------------------
 
 
-CLOSURE_SQL = """
-WITH RECURSIVE reach(profile, needs, path) AS (
-    SELECT name, name, array(name) FROM {names}
-    UNION ALL
-    SELECT r.profile, e.child, concat(r.path, array(e.child)) FROM reach r JOIN {edges} e ON e.parent = r.needs WHERE NOT array_contains(r.path, e.child)
-) SELECT DISTINCT profile, needs FROM reach
-"""
+def closure(names: DataFrame, edges: DataFrame) -> DataFrame:
+    """(profile, needs) for every profile (name) and what it needs directly or through others by edges (parent, child), itself included.
 
-
-def closure(spark, names: str, edges: str) -> DataFrame:
-    """(profile, needs) for every profile and what it needs directly or through others, itself included: a recursive query over views of names (name) and edges (parent, child). A path never visits a profile twice, so cycles end."""
-    return spark.sql(CLOSURE_SQL.format(names=names, edges=edges))
+    Pairs are joined with themselves until none is new: the rounds follow the logarithm of the longest way, cycles end, and many ways
+    between two profiles are one pair.
+    """
+    reach = names.select(F.col("name").alias("profile"), F.col("name").alias("needs"))
+    reach = cut(reach.union(reach.join(edges, F.col("needs") == F.col("parent")).select("profile", "child")).distinct())
+    known = reach.count()
+    while True:
+        further = reach.select(F.col("profile").alias("needs"), F.col("needs").alias("further"))
+        reach = cut(reach.union(reach.join(further, "needs").select("profile", "further")).distinct())
+        if (now := reach.count()) == known:
+            return reach
+        known = now
 
 
 def currentness(reach: DataFrame, profiles: DataFrame, sources: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,21 +23,16 @@ def parse_bands(bands: DataFrame, column: str = "range") -> DataFrame:
 def price(rows: DataFrame, bands: DataFrame, unit: str, size: str | None = None) -> DataFrame:
     """Rows (with copy_no) and the points of the first band in order that holds their copy number, and of their size.
 
-    The unit (and size) are equality keys and the range is a residual, so the join hashes on the unit.
+    A unit's bands are one ordered array, so one join on the unit prices a row where it stands: rows never multiply and need no key.
+    Where the first band doesn't price the size, later bands are not looked at. A unit without bands has null points.
     """
-    b = bands.select(F.col(unit).alias("_u"), "lo", "hi", "band_no", "points", *([F.col(size).alias("_size")] if size else []))
-    on = (F.col(unit) == F.col("_u")) & (F.col("copy_no") >= F.col("lo")) & (F.col("hi").isNull() | (F.col("copy_no") <= F.col("hi")))
-    hits = rows.withColumn("_row", F.monotonically_increasing_id()) if "row_id" not in rows.columns else rows.withColumn("_row", F.col("row_id"))
-    if not size:
-        joined = hits.join(b, on, "left")
-        first = joined.withColumn("_r", F.row_number().over(Window.partitionBy("_row").orderBy("band_no"))).filter("_r = 1")
-        return first.select(*rows.columns, "points")
-    # the first band decides; a size it doesn't price is not looked for in later bands
-    band = b.select("_u", "lo", "hi", "band_no").distinct()
-    first = hits.join(band, on, "left").withColumn("_r", F.row_number().over(Window.partitionBy("_row").orderBy("band_no"))).filter("_r = 1")
-    cost = b.select(F.col("_u").alias("_cu"), F.col("band_no").alias("_cb"), F.col("_size"), "points").dropDuplicates(["_cu", "_cb", "_size"])
-    done = first.join(cost, (F.col(unit) == F.col("_cu")) & (F.col("band_no") == F.col("_cb")) & (F.col(size) == F.col("_size")), "left")
-    return done.select(*rows.columns, "points")
+    item = F.struct("band_no", "lo", "hi", *([F.col(size).alias("size")] if size else []), "points")
+    lists = bands.filter(F.col(unit).isNotNull()).groupBy(F.col(unit).alias("_priced_unit")).agg(F.sort_array(F.collect_list(item)).alias("_priced_bands"))
+    hits = F.filter("_priced_bands", lambda b: (b["lo"] <= F.col("copy_no")) & (b["hi"].isNull() | (F.col("copy_no") <= b["hi"])))
+    if size:
+        hits = F.filter(hits, lambda b: (b["band_no"] == F.get(hits, 0)["band_no"]) & (b["size"] == F.col(size)))
+    priced = rows.join(lists, F.col(unit) == F.col("_priced_unit"), "left")
+    return priced.select(*[F.col(c) for c in rows.columns], F.get(hits, 0)["points"].alias("points"))
 
 
 def limit_check(priced: DataFrame, key: str, limit: Column | int) -> DataFrame:

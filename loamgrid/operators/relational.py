@@ -183,10 +183,14 @@ def catalog_drift(left: DataFrame, right: DataFrame, key: str, columns: Sequence
 
 
 def alias_lookup(rows: DataFrame, catalog: DataFrame, aliases: DataFrame, key: str, value: str) -> DataFrame:
-    """value by key, else by the key's alias (key, alias), with how it was found."""
-    direct = catalog.select(F.col(key), F.col(value).alias("_direct"))
-    other = catalog.select(F.col(key).alias("alias"), F.col(value).alias("_by_alias"))
-    joined = rows.join(direct, key, "left").join(aliases.select(key, "alias"), key, "left").join(other, "alias", "left")
+    """value by key, else by the key's alias (key, alias), with how it was found.
+
+    Rows never multiply: of a key's catalogue rows the smallest value counts, of its aliases the smallest that the catalogue has.
+    """
+    known = catalog.groupBy(key).agg(F.min(value).alias("_direct"))
+    other = aliases.select(key, "alias").join(known.select(F.col(key).alias("alias"), F.col("_direct").alias("_value")), "alias")
+    by_alias = other.groupBy(key).agg(F.min_by("_value", "alias").alias("_by_alias"))
+    joined = rows.join(known, key, "left").join(by_alias, key, "left")
     how = F.when(F.col("_direct").isNotNull(), "DIRECT").when(F.col("_by_alias").isNotNull(), "ALIAS").otherwise("UNRESOLVED")
     return joined.select(*rows.columns, F.coalesce("_direct", "_by_alias").alias(value), how.alias("resolution"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import contracts as V
@@ -98,25 +98,32 @@ def asset_verification(spark, sf_dir):
 
 
 @query("""
-SELECT id, result FROM (VALUES (1, 'YES'), (2, 'NO'), (3, 'YES'), (4, 'NO'), (5, 'YES'), (6, 'NO'), (7, '2'), (8, '0'), (9, 'SEPARATE_UNIT'), (10, 'UNKNOWN')) AS t(id, result)
+WITH x AS (SELECT l_orderkey, l_linenumber, l_linenumber % 6 AS kind, CAST(l_quantity AS BIGINT) % 3 AS n, l_partkey % 3 AS m, l_returnflag = 'A' AS a, l_linestatus = 'O' AS b FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE kind WHEN 0 THEN CASE WHEN n = 0 OR a THEN 'YES' ELSE 'NO' END WHEN 1 THEN CASE WHEN greatest(1 - n, 0) >= m THEN 'YES' ELSE 'NO' END
+ WHEN 2 THEN CASE WHEN (n > 0 AND NOT a) OR (m > 0 AND NOT b) THEN 'NO' ELSE 'YES' END WHEN 3 THEN CAST(CASE WHEN a AND b THEN 0 WHEN a THEN greatest(n - 1, 0) ELSE n END AS VARCHAR)
+ WHEN 4 THEN 'SEPARATE_UNIT' ELSE 'UNKNOWN' END AS result FROM x
 """)
 def interaction_answers(spark, sf_dir):
-    rows = [
-        (1, "can_make_normal_move", 0, 0, False, False), (2, "can_make_normal_move", 1, 0, False, False), (3, "gain_extra_cp", 0, 1, False, False), (4, "gain_extra_cp", 1, 1, False, False), (5, "can_use_stratagem", 1, 0, True, False),
-        (6, "can_use_stratagem", 0, 1, False, False), (7, "adjust_stratagem_cp_cost", 3, 0, True, False), (8, "adjust_stratagem_cp_cost", 3, 0, True, True), (9, "revived_character_attachment", 0, 0, False, False), (10, "other", 0, 0, False, False),
-    ]
-    df = spark.createDataFrame(rows, "id int, kind string, n int, m int, a boolean, b boolean")
-    return df.select("id", G.interaction(F.col("kind"), F.col("n"), F.col("m"), F.col("a"), F.col("b")).alias("result"))
+    kinds = ["can_make_normal_move", "gain_extra_cp", "can_use_stratagem", "adjust_stratagem_cp_cost", "revived_character_attachment", "other"]
+    kind = F.element_at(F.array(*map(F.lit, kinds)), (F.col("l_linenumber") % 6 + 1).cast("int"))
+    answer = G.interaction(kind, F.col("l_quantity").cast("long") % 3, F.col("l_partkey") % 3, F.col("l_returnflag") == "A", F.col("l_linestatus") == "O")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", answer.alias("result"))
 
 
-@query("SELECT profile, result, reasons FROM (VALUES ('a', 'PENDING', 'c.content_state=STALE; s2=FAIL'), ('b', 'PENDING', 'c.content_state=STALE; s2=FAIL'), ('c', 'PENDING', 'c.content_state=STALE; s2=FAIL'), ('d', 'PASS', ''), ('e', 'PASS', '')) AS t(profile, result, reasons)")
+@query("""
+WITH RECURSIVE edges AS (SELECT s_suppkey AS parent, s_suppkey // 2 AS child FROM supplier WHERE s_suppkey > 1 UNION ALL SELECT 1, 3),
+reach AS (SELECT s_suppkey AS profile, s_suppkey AS needs FROM supplier UNION SELECT profile, child FROM reach JOIN edges ON parent = needs),
+reasons AS (SELECT profile, needs || '.content_state=' || CASE WHEN s_acctbal < 0 THEN 'STALE' ELSE 'None' END AS reason FROM reach LEFT JOIN supplier ON s_suppkey = needs WHERE s_acctbal < 0 OR s_suppkey IS NULL
+ UNION SELECT profile, 's' || s_nationkey || '=FAIL' FROM reach JOIN supplier ON s_suppkey = needs WHERE s_nationkey % 10 = 3)
+SELECT CAST(s_suppkey AS VARCHAR) AS profile, CASE WHEN count(reason) = 0 THEN 'PASS' ELSE 'PENDING' END AS result, coalesce(string_agg(reason, '; ' ORDER BY reason), '') AS reasons
+FROM supplier LEFT JOIN reasons ON profile = s_suppkey GROUP BY s_suppkey
+""")
 def profile_currentness(spark, sf_dir):
-    names = spark.createDataFrame([("a", "PASS"), ("b", "PASS"), ("c", "STALE"), ("d", "PASS"), ("e", "PASS")], "name string, content_state string")
-    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "e")], "parent string, child string")
-    sources = spark.createDataFrame([("a", "s1", "PASS"), ("c", "s2", "FAIL"), ("e", "s1", "PASS")], "name string, source string, state string")
-    names.createOrReplaceTempView("loamgrid_profiles")
-    edges.createOrReplaceTempView("loamgrid_profile_edges")
-    return G.currentness(G.closure(spark, "loamgrid_profiles", "loamgrid_profile_edges"), names, sources)
+    s = table(spark, sf_dir, "supplier").withColumn("name", F.col("s_suppkey").cast("string"))
+    names = s.select("name", F.expr("case when s_acctbal < 0 then 'STALE' else 'PASS' end").alias("content_state"))
+    edges = s.filter("s_suppkey > 1").select(F.col("name").alias("parent"), F.expr("cast(s_suppkey div 2 as string)").alias("child")).union(s.filter("s_suppkey = 1").selectExpr("'1'", "'3'"))
+    sources = s.select("name", F.concat(F.lit("s"), "s_nationkey").alias("source"), F.expr("case when s_nationkey % 10 = 3 then 'FAIL' else 'PASS' end").alias("state"))
+    return G.currentness(G.closure(names, edges), names, sources)
 
 
 @query("""
@@ -174,7 +181,7 @@ SELECT CAST(o_custkey AS VARCHAR) AS roster_id, count(*) FILTER (WHERE CASE WHEN
   SELECT o_custkey, o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN 5 ELSE 10 END AS models, row_number() OVER (PARTITION BY o_custkey, o_orderkey % 10 ORDER BY o_orderkey) AS r FROM orders)) GROUP BY o_custkey
 """)
 def roster_scoped_checks(spark, sf_dir):
-    units = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("roster_id"), F.col("o_orderkey").alias("row_id"), (F.col("o_orderkey") % 10).cast("string").alias("id"), F.col("o_orderstatus").alias("unit"), F.expr("case when o_orderkey % 2 = 0 then 5 else 10 end").alias("models"))
+    units = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("roster_id"), F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).alias("row_id"), (F.col("o_orderkey") % 10).cast("string").alias("id"), F.col("o_orderstatus").alias("unit"), F.expr("case when o_orderkey % 2 = 0 then 5 else 10 end").alias("models"))
     catalog = spark.createDataFrame([("F",), ("O",)], "unit string")
     bands = [(u, b, r, m, m * p) for u in "FO" for b, r, p, sizes in ((0, "[1,3]", 2, (5, 10)), (1, "[4,)", 3, (5,))) for m in sizes]
     checks = S.scoped_checks(units, catalog, spark.createDataFrame(bands, "unit string, band_no int, range string, models int, points int"))

@@ -48,9 +48,11 @@ def or_failure(make, path: str, as_of: str) -> bool:
     return True
 
 
-def markdown(df: DataFrame, title: str) -> str:
-    """A small result (at most 1000 rows) as a Markdown table."""
-    rows = df.limit(1000).collect()
+def markdown(df: DataFrame, title: str, most: int = 1000) -> str:
+    """A small result as a Markdown table; one of more than `most` rows is refused, not cut."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a Markdown table has at most {most} rows")
     head = "| " + " | ".join(df.columns) + " |\n|" + "---|" * len(df.columns)
     return f"# {title}\n\n{head}\n" + "".join("| " + " | ".join("" if v is None else str(v) for v in r) + " |\n" for r in rows)
 

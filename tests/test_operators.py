@@ -555,3 +555,38 @@ def test_bands_and_weights(spark):
     assert sum(A.COMPETITIVE.values()) == sum(A.PERSONAL.values()) == 100
     with pytest.raises(ValueError):
         A.evidence_score({"a": 50})
+
+
+def test_rosters_whose_rows_are_numbered_alike(spark):
+    units = spark.createDataFrame([(r, 1, "a", "U", 5) for r in "xyz"], "roster_id string, row_id long, id string, unit string, models int")
+    bands = spark.createDataFrame([("U", 0, "[1,2]", 5, 10), ("U", 1, "[3,)", 5, 12)], "unit string, band_no int, range string, models int, points int")
+    got = S.scoped_checks(units, spark.createDataFrame([("U",)], "unit string"), bands)
+    assert sorted((r.roster_id, r.row_id, r.copy_no, r.points, r.status) for r in got.collect()) == [(r, 1, 1, 10, "PASS") for r in "xyz"]
+
+
+def test_alias_lookup_with_repeated_keys(spark):
+    rows = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "k string")
+    catalog = spark.createDataFrame([("a", 2), ("a", 1), ("z", 9), ("z", 8)], "k string, v int")
+    aliases = spark.createDataFrame([("b", "z"), ("b", "nowhere"), ("c", "nowhere")], "k string, alias string")
+    got = sorted(tuple(r) for r in R.alias_lookup(rows, catalog, aliases, "k", "v").collect())
+    assert got == [("a", 1, "DIRECT"), ("b", 8, "ALIAS"), ("b", 8, "ALIAS"), ("c", None, "UNRESOLVED")]
+
+
+def test_rules_that_no_unit_meets(spark):
+    units = spark.createDataFrame([("x", ["A"]), ("x", ["A"])], "roster string, keywords array<string>")
+    rules = spark.createDataFrame([("cap", "ally_keyword_cap", "A", 2), ("none", "boolean_forbid", "B", None)], "rule string, kind string, keyword string, cap int")
+    assert sorted(tuple(r) for r in G.composition(units, rules, "roster").collect()) == [("x", "cap", 2, "PASS"), ("x", "none", 0, "PASS")]
+
+
+def test_closure_of_many_ways(spark):
+    layers = [(f"{i}{a}", f"{i + 1}{b}") for i in range(30) for a in "pq" for b in "pq"]  # 2 ** 30 simple ways
+    names = spark.createDataFrame([(f"{i}{a}",) for i in range(31) for a in "pq"], "name string")
+    reach = G.closure(names, spark.createDataFrame([*layers, ("30p", "0p")], "parent string, child string"))
+    assert reach.filter("profile = '0p'").count() == 61 and reach.filter("profile = '30q'").count() == 1
+
+
+def test_literals_and_bounds(spark):
+    got = spark.createDataFrame([("see a\\E.b9", "a\\E.b"), ("see a\\E.b", "a\\E.b")], "t string, r string").select(T.mentions("t", "r").alias("m")).collect()
+    assert [r.m for r in got] == [False, True]
+    with pytest.raises(ValueError):
+        sinks.markdown(spark.range(3).toDF("n"), "t", most=2)
