@@ -4,16 +4,19 @@ A document's set is its distinct word shingles; two documents link when their se
 Hash values deal a set's shingles into groups; the group counts are a point, and two sets cannot share more than the sum of the smaller
 coordinates of their points. Points are indexed in an R-tree whose nodes bound that sum, and surviving pairs are verified on the sets.
 
-1. Equal sets are one class, found by a grouped hash; only classes go on, so thousands of copies cost one.
+1. Equal sets are one class, found by a grouped hash; only classes go on, so thousands of copies cost one. Sets are named by that hash
+   throughout, ids come back at the end: ids may repeat or be null.
 2. Sets that link share one of the first (n - ceil(t * n) + 1) shingles in any common order. The order here is rarest first by counters of fixed size,
-   so what very many documents share is no key unless a document hardly has anything else. Keys and points go to buckets; there the
-   R-tree bound thins out each key's documents, and what is left is merged to one edge for each document.
-3. Coarse components of these edges bring together the sets that must be verified; a component of more than TILE sets is dealt into
-   pairs of tiles. Inside, a pair is verified unless it is already in one component: no link that joins different components
-   is lost, and no group is expanded into all its pairs.
+   so what very many documents share is no key unless a document hardly has anything else. These keys only partition the work: they bring sets to
+   buckets. Candidates in a bucket come from one R-tree over the points of its sets, joined with itself from the root down: a pair of nodes is left
+   where their sizes, their summed coordinate minima or their keys cannot meet, or where all below them is one component already.
+3. Coarse components of the candidates bring together the sets that must be verified; one of more than TILE sets or TILE_SHINGLES
+   shingles is dealt into pairs of tiles. Inside, a pair that the tree doesn't exclude is verified unless it is already in one component: no link
+   that joins different components is lost, and no group is expanded into all its pairs.
 
 Edge cases: null or wordless texts have the empty set, link with nothing and form their own component; a text with fewer words than a shingle is one
-shingle; repeated ids are documents of their own; rows with a null id take their class's component; an empty table gives an empty result.
+shingle; repeated ids are documents of their own; rows with a null id link as all others and take their component's smallest id (null if it
+has none); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,10 +31,14 @@ from pyspark.sql import functions as F
 
 from .common import U64, chunks, components, cut, distinct_pairs, map_batches, mix, partitions, small_batches, text_shingles
 
-COUNTERS, SEGMENTS = 1 << 18, 16
-LEAF, FANOUT, TILE, SMALL, WIDE = 16, 16, 4096, 512, 8192
+COUNTERS = 1 << 18
+LEAF, FANOUT, GROUPS = 16, 16, 32
+#: What one verified tile holds at most, in sets and in shingles (8 bytes each).
+TILE, TILE_SHINGLES = 4096, 1 << 21
 BUCKET_TEXT = 16 << 20
-LARGE = 1 << 40
+LARGE = 1 << 30
+#: Node or item pairs in one numpy step.
+STEP = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -76,32 +83,39 @@ def fold(p: np.ndarray, d: int) -> np.ndarray:
 
 
 class Tree:
-    """A packed R-tree over points; node maxima bound the overlap with anything below."""
+    """A packed R-tree over points; node maxima bound the overlap with anything below.
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
+    With keys the items are ordered by them first, and only items of one key are pairs.
+    """
+
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, keys: np.ndarray | None = None):
+        self.points, self.sizes, self.keys = points, sizes, keys
         self.order = self._pack()
         self.levels = []
         low, high, top = sizes[self.order], sizes[self.order], points[self.order]
+        first = last = np.zeros(len(low), U64) if keys is None else keys[self.order]
         width = LEAF
-        while len(low) > 1:
+        while len(low) > 1 or not self.levels and len(low):
             at = np.arange(0, len(low), width)
             low, high, top = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at), np.maximum.reduceat(top, at, axis=0)
-            self.levels.append((width, low, high, top))
+            first, last = np.minimum.reduceat(first, at), np.maximum.reduceat(last, at)
+            self.levels.append((width, low, high, top, first, last))
             width = FANOUT
         self.levels.reverse()
 
     def _pack(self) -> np.ndarray:
-        """Sort-tile order: by size into slabs, then inside each by the widest-spread coordinates."""
-        order = np.argsort(self.sizes, kind="stable")
-        slab = max(LEAF, int(len(order) ** 0.5) // LEAF * LEAF)
-        spread = np.argsort(-self.points.var(axis=0), kind="stable")[:2] if len(order) > 1 else [0, 0]
-        return np.concatenate([part[np.lexsort((self.points[part][:, spread[1]], self.points[part][:, spread[0]]))] for part in np.split(order, range(slab, len(order), slab))]) if len(order) else order
+        """Sort-tile order: by key, by size into slabs, then inside each by the widest-spread coordinates."""
+        if len(self.sizes) < 2:
+            return np.arange(len(self.sizes))
+        spread = np.argsort(-self.points.var(axis=0), kind="stable")[:2]
+        slab = np.log2(np.maximum(self.sizes, 1) * 16).astype(np.int64)
+        sort = (self.points[:, spread[-1]], self.points[:, spread[0]], self.sizes if self.keys is None else slab)
+        return np.lexsort(sort if self.keys is None else (*sort, self.keys))
 
     def near(self, q: np.ndarray, n: int, rule: Rule) -> np.ndarray:
         """Items that may link with a set of size n and point q."""
         nodes = np.zeros(1, np.int64)
-        for level, (width, low, high, top) in enumerate(self.levels):
+        for level, (width, low, high, top, _, _) in enumerate(self.levels):
             if level:
                 nodes = nodes[nodes < len(low)]
             fits = (low[nodes] * rule.num <= n * rule.den) & (high[nodes] * rule.den >= n * rule.num)
@@ -111,56 +125,80 @@ class Tree:
         items = self.order[nodes[nodes < len(self.order)]]
         return items[rule.enough(np.minimum(self.points[items], q).sum(axis=1), n, self.sizes[items])]
 
-    def groups(self, rule: Rule) -> np.ndarray:
-        """A component number for every item under pairs that may link; each item is looked up once.
-
-        Among more than WIDE items whole leaves are joined instead, which may join too much but never too little.
-        """
-        wide = len(self.order) > WIDE
-        low, high, top = self.levels[-1][1:] if wide else (self.sizes, self.sizes, self.points)
-        number = np.full(len(low), -1)
-        for first in range(len(low)):
-            if number[first] >= 0:
-                continue
-            number[first], queue = first, [first]
-            while queue:
-                x = queue.pop()
-                if wide:
-                    may = np.flatnonzero(number < 0)
-                    may = may[(low[may] * rule.num <= high[x] * rule.den) & (high[may] * rule.den >= low[x] * rule.num)]
-                    may = may[rule.enough(np.minimum(top[may], top[x]).sum(axis=1), low[x], low[may])]
-                else:
-                    may = self.near(self.points[x], int(self.sizes[x]), rule)
-                    may = may[number[may] < 0]
-                number[may] = first
-                queue.extend(may.tolist())
-        if not wide:
-            return number
-        out = np.empty(len(self.order), np.int64)
-        out[self.order] = number[np.arange(len(self.order)) // LEAF]
-        return out
-
-
-class Union:
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        up = self.up
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    def join(self, a: int, b: int) -> None:
-        a, b = self.root(a), self.root(b)
-        if a != b:
-            self.up[max(a, b)] = min(a, b)
+    def _meet(self, level: int, a: np.ndarray, b: np.ndarray, rule: Rule) -> np.ndarray:
+        """Which pairs of nodes (a <= b) may have a pair of items below them."""
+        _, low, high, top, first, last = self.levels[level]
+        may = (a == b) | (last[a] == first[b])
+        may &= (low[a] * rule.num <= high[b] * rule.den) & (high[a] * rule.den >= low[b] * rule.num)
+        may &= (low[b] * rule.num <= high[a] * rule.den) & (high[b] * rule.den >= low[a] * rule.num)
+        at = np.flatnonzero(may & (a != b))
+        may[at] = rule.enough(np.minimum(top[a[at]], top[b[at]]).sum(axis=1), low[a[at]], low[b[at]])
+        return may
+
+    def pairs(self, rule: Rule, owner: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of owners whose items may link, leaf by leaf first. `label` is read anew before every step: pairs of one label are left out."""
+        if not self.levels:
+            return
+        sizes, points, own = self.sizes[self.order], self.points[self.order], owner[self.order]
+        keys = None if self.keys is None else self.keys[self.order]
+        at = np.arange(0, len(own), LEAF)
+
+        def items(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            i, j = ((x[:, None] * LEAF + np.arange(LEAF)) for x in (a, b))
+            i, j = np.broadcast_to(i[:, :, None], (len(a), LEAF, LEAF)).ravel(), np.broadcast_to(j[:, None, :], (len(a), LEAF, LEAF)).ravel()
+            keep = (i < j) & (j < len(own))
+            i, j = i[keep], j[keep]
+            keep = label[own[i]] != label[own[j]]
+            if keys is not None:
+                keep &= keys[i] == keys[j]
+            keep &= (sizes[i] * rule.den >= sizes[j] * rule.num) & (sizes[j] * rule.den >= sizes[i] * rule.num)
+            i, j = i[keep], j[keep]
+            keep = rule.enough(np.minimum(points[i], points[j]).sum(axis=1), sizes[i], sizes[j]) if len(i) else np.zeros(0, bool)
+            return own[i[keep]], own[j[keep]]
+
+        rows = STEP // (LEAF * LEAF)
+        for s in range(0, len(at), rows):
+            same = np.arange(s, min(s + rows, len(at)))
+            yield items(same, same)
+        stack = [(0, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        while stack:
+            level, a, b = stack.pop()
+            if len(a) > rows:
+                stack.append((level, a[rows:], b[rows:]))
+                a, b = a[:rows], b[:rows]
+            may = self._meet(level, a, b, rule)
+            a, b = a[may], b[may]
+            if level == len(self.levels) - 1:
+                a, b = a[a != b], b[a != b]
+                lows, highs = np.minimum.reduceat(label[own], at), np.maximum.reduceat(label[own], at)
+                done = (lows[a] == highs[a]) & (lows[b] == highs[b]) & (lows[a] == lows[b])
+                if not done.all():
+                    yield items(a[~done], b[~done])
+            elif len(a):
+                below = len(self.levels[level + 1][1])
+                width = self.levels[level][0]
+                x, y = ((n[:, None] * width + np.arange(width)) for n in (a, b))
+                x, y = np.broadcast_to(x[:, :, None], (len(a), width, width)).ravel(), np.broadcast_to(y[:, None, :], (len(a), width, width)).ravel()
+                keep = (x <= y) & (y < below)
+                stack.append((level + 1, x[keep], y[keep]))
+
+
+def merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the components of all pairs (a, b), in place; a component's label is its smallest member."""
+    while True:
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        differ = low != high
+        if not differ.any():
+            return
+        up = np.arange(len(label))
+        np.minimum.at(up, high[differ], low[differ])
+        while (up[up] != up).any():
+            up = up[up]
+        label[:] = up[label]
 
 
 def _rarity(docs: DataFrame, rule: Rule) -> np.ndarray:
     """The order of magnitude of how often each of COUNTERS groups of shingles occurs, over all documents."""
-    size = COUNTERS // SEGMENTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
@@ -168,21 +206,14 @@ def _rarity(docs: DataFrame, rule: Rule) -> np.ndarray:
             for part in chunks(batch, "text"):
                 value, _ = text_shingles(part.column("text"), rule.width, lower=True)
                 total += np.bincount((value >> U64(46)).astype(np.int64), minlength=COUNTERS)
-        if total.any():
-            way = int(total[:64].sum()) % 16
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(SEGMENTS), pa.int32()), pa.array([way] * SEGMENTS, pa.int32()), pa.array([total[i : i + size].tobytes() for i in range(0, COUNTERS, size)], pa.binary())], ["segment", "way", "counts"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(size, np.int64)
-        for x in table.column("counts"):
-            total += np.frombuffer(x.as_buffer(), np.int64)
-        return pa.table({"segment": table.column("segment")[:1], "way": table.column("way")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
-
-    schema = "segment int, way int, counts binary"
-    sums = docs.select("text").mapInArrow(count, schema).groupBy("segment", "way").applyInArrow(add, schema).groupBy("segment").applyInArrow(add, schema).collect()
+        slot = np.flatnonzero(total)
+        for i in range(0, len(slot), 1 << 16):
+            own = slot[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(total[own])], ["slot", "n"])
+
+    sums = docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(COUNTERS, np.int64)
-    for r in sums:
-        total[r["segment"] * size : (r["segment"] + 1) * size] = np.frombuffer(r["counts"], np.int64)
+    total[np.asarray(sums["slot"])] = np.asarray(sums["n"])
     return np.log2(total + 1).astype(np.uint8)
 
 
@@ -200,65 +231,45 @@ def _keys(column: pa.Array, rule: Rule, rarity: np.ndarray) -> tuple[np.ndarray,
 
 
 def _edges_in(keys: np.ndarray, who: np.ndarray, points: list[np.ndarray], n: np.ndarray, rule: Rule) -> np.ndarray:
-    """For every set its coarse component within one bucket: sets that share a key and whose points may link."""
-    union = Union(len(n))
+    """For every set its coarse component within one bucket: sets that share a key and whose points may link, found by the tree's join with itself."""
+    label = np.arange(len(n))
     order = np.lexsort((who, keys))
     keys, who = keys[order], who[order]
     fresh = np.ones(len(keys), bool)
     fresh[1:] = (keys[1:] != keys[:-1]) | (who[1:] != who[:-1])
     keys, who = keys[fresh], who[fresh]
-    start = np.flatnonzero(np.diff(keys.astype(np.int64), prepend=-1))
-    size = np.diff(np.append(start, len(keys)))
-    pairs = []
-    for m in np.unique(size[(size > 1) & (size <= SMALL)]):
-        groups = who[start[size == m][:, None] + np.arange(m)]
-        i, j = np.triu_indices(m, 1)
-        pairs.append((groups[:, i].ravel().astype(np.uint64) << U64(32)) | groups[:, j].ravel().astype(np.uint64))
-        if sum(map(len, pairs)) > 2_000_000:
-            pairs = [np.unique(np.concatenate(pairs))]
-    if pairs:
-        pair = np.unique(np.concatenate(pairs))
+    coarse = np.stack([np.minimum(fold(p[None, :], GROUPS)[0], LARGE) for p in points]).astype(np.int32) if points else np.zeros((0, GROUPS), np.int32)
+    d = np.array([len(p) for p in points])
+    for a, b in Tree(coarse[who], n[who], keys).pairs(rule, who, label):
+        pair = np.unique(np.minimum(a, b).astype(np.uint64) << U64(32) | np.maximum(a, b).astype(np.uint64))
         a, b = (pair >> U64(32)).astype(np.int64), (pair & U64(0xFFFFFFFF)).astype(np.int64)
-        fits = (n[a] * rule.den >= n[b] * rule.num) & (n[b] * rule.den >= n[a] * rule.num)
-        a, b = a[fits], b[fits]
-        d = np.array([len(p) for p in points])
         least = np.minimum(d[a], d[b])
         for width in np.unique(least):
-            own = np.unique(np.concatenate([a[least == width], b[least == width]]))
-            place = np.full(len(n), -1)
-            place[own] = np.arange(len(own))
-            flat = np.stack([fold(points[x][None, :], width)[0] for x in own.tolist()])
             x, y = a[least == width], b[least == width]
-            for s in range(0, len(x), 65536):
-                u, v = x[s : s + 65536], y[s : s + 65536]
-                ok = rule.enough(np.minimum(flat[place[u]], flat[place[v]]).sum(axis=1), n[u], n[v])
-                for p, q in zip(u[ok].tolist(), v[ok].tolist(), strict=True):
-                    union.join(p, q)
-    for g in np.flatnonzero(size > SMALL).tolist():
-        members = who[start[g] : start[g] + size[g]]
-        width = min(len(points[x]) for x in members.tolist())
-        number = Tree(np.stack([fold(points[x][None, :], width)[0] for x in members.tolist()]), n[members]).groups(rule)
-        by = np.argsort(number, kind="stable")
-        for p, q, same in zip(members[by][:-1].tolist(), members[by][1:].tolist(), (number[by][1:] == number[by][:-1]).tolist(), strict=True):
-            if same:
-                union.join(p, q)
-    return np.array([union.root(x) for x in range(len(n))], np.int64)
+            if width > GROUPS:  # larger sets have finer points
+                own, place = np.unique(np.concatenate([x, y]), return_inverse=True)
+                flat = np.stack([fold(points[k][None, :], width)[0] for k in own.tolist()])
+                u, v = place[: len(x)], place[len(x) :]
+                part = max(1, (1 << 22) // int(width))
+                ok = np.concatenate([rule.enough(np.minimum(flat[u[i : i + part]], flat[v[i : i + part]]).sum(axis=1), n[x[i : i + part]], n[y[i : i + part]]) for i in range(0, len(x), part)])
+                x, y = x[ok], y[ok]
+            merge(label, x, y)
+    return label
 
 
 def linked(values: list[np.ndarray], rule: Rule) -> np.ndarray:
     """For every set the number of the first set of its component, by verified links alone."""
     n = np.array([len(v) for v in values])
-    union = Union(len(values))
+    label = np.arange(len(values))
     width = int(dims(n.max(keepdims=True))[0])
     tree = Tree(np.stack([point(v, width) for v in values]), n)
     for i in np.argsort(n, kind="stable").tolist():
         near = tree.near(tree.points[i], int(n[i]), rule)
-        for j in near.tolist():
-            if union.root(i) != union.root(j):
-                both = len(np.intersect1d(values[i], values[j], assume_unique=True))
-                if rule.enough(both, int(n[i]), int(n[j])):
-                    union.join(i, j)
-    return np.array([union.root(i) for i in range(len(values))])
+        for j in near[label[near] != label[i]].tolist():
+            if label[i] != label[j] and rule.enough(len(np.intersect1d(values[i], values[j], assume_unique=True)), int(n[i]), int(n[j])):
+                low, high = min(label[i], label[j]), max(label[i], label[j])
+                label[label == high] = low
+    return label
 
 
 @dataclass
@@ -275,7 +286,7 @@ def groups(docs: DataFrame, rule: Rule) -> Groups:
     """Steps 1 and 2, and the sets of each coarse component brought together."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(partitions(spark), -(-total // BUCKET_TEXT))
     rarity = spark.sparkContext.broadcast(_rarity(docs, rule))
@@ -284,10 +295,12 @@ def groups(docs: DataFrame, rule: Rule) -> Groups:
         value, bounds, sid = sets(batch.column("text"), rule.width)
         n = np.diff(bounds)
         points = [np.minimum(point(value[a:b], d), 255).astype(np.uint8).tobytes() for a, b, d in zip(bounds[:-1].tolist(), bounds[1:].tolist(), dims(n).tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sid), pa.array(n), pa.array(points, pa.binary())], ["doc_id", "sid", "n", "point"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(sid), pa.array(n), pa.array(points, pa.binary())], ["doc_id", "th", "sid", "n", "point"])
 
-    slim = cut(map_batches(docs, describe, "doc_id long, sid long, n long, point binary"))
-    classes = slim.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("class_id"))
+    slim = cut(map_batches(docs, describe, "doc_id long, th long, sid long, n long, point binary"))
+    # a set's text is that of one row: its smallest id (null last) and of equal ones the smallest hash
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "n")).alias("first")
+    classes = slim.filter("n > 0").groupBy("sid").agg(first).select("sid", F.col("first.doc_id").alias("class_id"), F.col("first.th").alias("th"), F.col("first.n").alias("n"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,7 +339,7 @@ def groups(docs: DataFrame, rule: Rule) -> Groups:
         n, raw = np.asarray(table["n"])[first], table["point"].take(pa.array(first)).to_pylist()
         points = [np.frombuffer(x, np.uint8) for x in raw]
         # a count that filled its byte may be any larger number
-        full = [np.where(x == 255, LARGE, x.astype(np.int64)) if k > 255 else x.astype(np.int32) for x, k in zip(points, n.tolist(), strict=True)]
+        full = [np.where(x == 255, LARGE, x.astype(np.int64)) if k >= 255 else x.astype(np.int32) for x, k in zip(points, n.tolist(), strict=True)]
         root = _edges_in(np.asarray(table["key"]).astype(np.uint64), same, full, n, rule)
         tied = np.flatnonzero(root != np.arange(len(root)))
         return pa.table({"a": pa.array(sid[tied]), "b": pa.array(sid[root[tied]])})
@@ -337,15 +350,16 @@ def groups(docs: DataFrame, rule: Rule) -> Groups:
     edges = met.groupBy("bucket").applyInArrow(meet, "a long, b long")
     coarse = components(edges.distinct())
     members = cut(coarse.withColumnRenamed("node", "sid").join(classes, "sid"))
-    per_group = members.groupBy("component").agg(F.count("*").alias("members"))
-    placed = members.join(per_group, "component").select("component", "class_id", "sid", F.ceil(F.col("members") / TILE).cast("int").alias("tiles"))
+    per_group = members.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_SHINGLES)).cast("int").alias("tiles"))
+    placed = members.join(per_group, "component").select("component", "class_id", "sid", "th", "tiles")
     split = placed.filter("tiles > 1").limit(1).count() > 0
     # texts always meet their places by a shuffle: what moves then follows the input, and no side has to be small
-    texts = docs.join(placed.hint("merge"), docs["doc_id"] == placed["class_id"]).select("component", "class_id", "sid", "tiles", "text")
+    meets = (docs["th"] == placed["th"]) & docs["doc_id"].eqNullSafe(placed["class_id"])
+    texts = docs.join(placed.hint("merge"), meets).select(docs["th"], "component", "class_id", "sid", "tiles", "text").dropDuplicates(["th", "class_id", "sid"])
 
     def spell(batch: pa.RecordBatch) -> pa.RecordBatch:
         value, bounds, sid = sets(batch.column("text"), rule.width)
-        right = sid == np.asarray(batch.column("sid"))  # a repeated id may stand for other texts too
+        right = sid == np.asarray(batch.column("sid"))
         kept = [batch.column(c) for c in ("component", "class_id", "sid", "tiles")]
         made = pa.RecordBatch.from_arrays([*kept, pa.array([value[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["component", "class_id", "sid", "tiles", "shingles"])
         return made.filter(pa.array(right))
@@ -358,29 +372,31 @@ def groups(docs: DataFrame, rule: Rule) -> Groups:
 
 
 def _rows(table: pa.Table) -> list[dict]:
-    """The group's classes in order; a class whose smallest id repeats comes once for each such row."""
-    rows = {r["sid"]: r for r in table.select(["sid", "class_id", "shingles"]).to_pylist()}
-    return sorted(rows.values(), key=lambda r: r["class_id"])
+    """The group's sets, by class id (null last) and set id."""
+    return sorted(table.select(["sid", "class_id", "shingles"]).to_pylist(), key=lambda r: (r["class_id"] is None, r["class_id"], r["sid"]))
 
 
 def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """doc_id, n_shingles, class_id (smallest id with an equal set) and component_id of every document."""
+    """doc_id, n_shingles, component_id and class_id (smallest id with an equal set) of every document."""
     grouped = groups(docs, rule)
     slim, classes = grouped.documents, grouped.classes
 
     def verify(table: pa.Table) -> pa.Table:
         rows = _rows(table)
         root = linked([np.frombuffer(r["shingles"], U64) for r in rows], rule)
-        return pa.table({"a": pa.array([r["class_id"] for r in rows], pa.int64()), "b": pa.array([rows[k]["class_id"] for k in root.tolist()], pa.int64())})
+        return pa.table({"a": pa.array([r["sid"] for r in rows], pa.int64()), "b": pa.array([rows[k]["sid"] for k in root.tolist()], pa.int64())})
 
     verified = grouped.dealt.groupBy("component", "low", "high").applyInArrow(verify, "a long, b long")
     if grouped.split:
-        found = components(verified).select(F.col("node").alias("class_id"), F.col("component").alias("component_id"))
+        found = components(verified).select(F.col("node").alias("sid"), F.col("component").alias("root"))
     else:
-        found = verified.filter("a <> b").select(F.col("a").alias("class_id"), F.col("b").alias("component_id"))
-    named = classes.join(found, "class_id", "left").select("sid", "class_id", F.coalesce("component_id", "class_id").alias("component_id"))
+        found = verified.select(F.col("a").alias("sid"), F.col("b").alias("root"))
+    # sets are joined by their own ids; the smallest document id of each component is looked up at the end
+    within = found.join(classes.select("sid", "class_id"), "sid")
+    lowest = within.groupBy("root").agg(F.min("class_id").alias("component_id"))
+    named = classes.select("sid", "class_id").join(within.join(lowest, "root").select("sid", "component_id"), "sid", "left")
     full = slim.join(named.withColumnRenamed("sid", "named_sid"), (slim["sid"] == F.col("named_sid")) & (slim["n"] > 0), "left")
-    return full.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return full.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "class_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
 def links(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:

@@ -252,7 +252,7 @@ def test_merge_is_the_union(spark):
 @pytest.mark.parametrize("small", [False, True])
 def test_jaccard_join(spark, rule, small, monkeypatch):
     if small:
-        for name, value in (("SMALL", 2), ("WIDE", 20), ("TILE", 3)):
+        for name, value in (("LEAF", 3), ("FANOUT", 2), ("STEP", 32), ("TILE", 3), ("TILE_SHINGLES", 200)):
             monkeypatch.setattr(jaccard, name, value)
     rows = corpus(n=120)
     own = sets_of(rows, rule.width)
@@ -299,6 +299,36 @@ def test_jaccard_edges(spark):
     assert jaccard.join(docs.limit(0)).count() == 0
 
 
+def test_jaccard_repeated_and_null_ids(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(103, a), (103, b), (50, a + " x"), (40, b + " x"), (200, "y " + a), (None, "z " + b), (None, "z " + b), (None, a + " n"), (None, "only here and nowhere else at all")]
+    got = sorted((x.doc_id is None, x.doc_id or 0, x.component_id or 0) for x in jaccard.join(docs_of(spark, [(*r, None, None) for r in rows])).collect())
+    assert got == [(False, 40, 40), (False, 50, 50), (False, 103, 40), (False, 103, 50), (False, 200, 50), (True, 0, 0), (True, 0, 40), (True, 0, 40), (True, 0, 50)]
+
+
+@pytest.mark.parametrize("leaf, fanout, step", [(16, 16, 1 << 18), (3, 2, 32)])
+def test_tree_joins_all_pairs_of_a_key(leaf, fanout, step, monkeypatch):
+    for name, value in (("LEAF", leaf), ("FANOUT", fanout), ("STEP", step)):
+        monkeypatch.setattr(jaccard, name, value)
+    r = np.random.Generator(np.random.PCG64(5))
+    base = r.integers(0, 1 << 63, 120, dtype=np.uint64)
+    values = [np.unique(np.concatenate([r.choice(base, n, replace=False), r.integers(0, 1 << 63, 3, dtype=np.uint64)])) for n in r.integers(5, 115, 90)]
+    rule, n = jaccard.Rule(4, 70, 100), np.array([len(v) for v in values])
+    who = np.repeat(np.arange(90), 3)
+    keys = r.integers(0, 12, len(who)).astype(np.uint64)
+    points = np.stack([jaccard.point(v, 32) for v in values]).astype(np.int32)
+    found = set()
+    for a, b in jaccard.Tree(points[who], n[who], keys).pairs(rule, who, np.arange(90)):
+        found |= {(min(p), max(p)) for p in zip(a.tolist(), b.tolist(), strict=True)}
+    near = lambda i, j: rule.enough(np.minimum(points[i], points[j]).sum(), n[i], n[j]) and n[i] * 100 >= n[j] * 70 and n[j] * 100 >= n[i] * 70
+    own = {i: set(keys[who == i].tolist()) for i in range(90)}
+    assert found == {(i, j) for i in range(90) for j in range(i + 1, 90) if own[i] & own[j] and near(i, j)} and found
+    root = jaccard._edges_in(keys, who, [jaccard.point(v, 64).astype(np.int32) for v in values], n, rule)
+    for i, j in found:
+        if rule.enough(len(np.intersect1d(values[i], values[j])), n[i], n[j]):
+            assert root[i] == root[j]
+
+
 def test_tree_loses_no_pair():
     r = np.random.Generator(np.random.PCG64(1))
     base = r.integers(0, 1 << 63, 200, dtype=np.uint64)
