@@ -1,16 +1,20 @@
 """Exact top-k by inner product with MaxScore over dimension postings.
 
-Every dimension is a term; its postings are the dimension's values in a shard of vectors, its bound for a query is the largest
-product it can add there. For one query the terms are ordered by how far their products spread. The essential ones are summed
+Every dimension is a term; its postings are the dimension's values in a shard of vectors, its bounds for a query are the largest and the
+smallest product it can add there. For one query the terms are ordered by how far these lie apart. The essential ones are summed
 for all vectors of the shard; once the bounds of the rest (the non-essential ones) cannot lift a vector over the current k-th score,
-only the vectors that are still competitive are probed in the remaining terms, in blocks. The shards' best are merged.
+only the vectors that are still competitive are probed in the remaining terms, in blocks. The shards' best are merged. All shards start
+from a floor that a query block finds among its own queries, which are candidates too.
 
-Queries are a stated set and meet all vectors block by block: vectors are packed into shards, queries into blocks of BLOCK,
-and each pair of a shard and a query block is one row of a join on its number, so that neither side is broadcast or held whole.
+Arithmetic is exact: doubles while a bound on every sum lies below 2**53, else long integers, else Python's. A score that doesn't fit a long
+is an error, as is a component from 2**63 / 256 on.
 
-Edge cases: vectors that are null, empty, of another length than the commonest dimension count of their shard's queries, or that hold null or
-non-finite components take no part; ties go to the smaller id; fewer than k other vectors give fewer rows; equal vectors and repeated ids
-are candidates of their own, and a query never meets a vector with its own id.
+Queries are a stated set and meet all vectors block by block: vectors are packed into shards, queries into blocks of BLOCK, blocks stand in
+lanes of LANE, and each pair of a shard and a block is one row of a merge join on (way, lane, length), which spills and broadcasts neither side.
+
+Edge cases: vectors that are null or empty or hold null or non-finite components take no part; a query meets only vectors of its own
+length; ties go to the smaller id; fewer than k other vectors give fewer rows; equal vectors and repeated ids are candidates of their
+own, and a query never meets a vector with its own id.
 """
 
 from __future__ import annotations
@@ -24,14 +28,17 @@ from pyspark.sql import functions as F
 
 from .common import partitions, small_batches
 
-SHARD, BLOCK, STEP = 16_384, 1024, 8
+SHARD, BLOCK, LANE, STEP = 8192, 1024, 64, 8
 FOUND = "query_id long, vec_id long, score long"
+LONG = 1 << 63
 
 
 def grid(vectors: DataFrame) -> DataFrame:
     """vec_id and floor(256 * x) of every component, of the vectors that take part."""
     whole = F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("long"))
+    big = F.raise_error(F.lit("a component is too large for a long integer"))
+    step = lambda x: F.when((x >= float(LONG)) | (x < -float(LONG)), big).otherwise(F.floor(x).cast("long"))
+    steps = F.transform("embedding", lambda x: step(x.cast("double") * 256))
     return vectors.filter(whole & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), steps.alias("v"))
 
 
@@ -53,47 +60,81 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, "dims int, ids binary, values binary")
 
 
-def search(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vector, score) of the k best of one shard for every query. `matrix` is dimension by vector: its rows are the postings."""
-    low, high = matrix.min(axis=1), matrix.max(axis=1)
+def _largest(rows: np.ndarray) -> list[int]:
+    """The largest absolute value of every column, as Python integers."""
+    return [max(abs(int(a)), abs(int(b))) for a, b in zip(rows.min(axis=0), rows.max(axis=0), strict=True)]
+
+
+def kind_for(vectors: np.ndarray, queries: np.ndarray) -> type:
+    """Numbers in which no sum of products of these rows loses anything, with room for the bounds."""
+    most = sum(a * b for a, b in zip(_largest(vectors), _largest(queries), strict=True))
+    return np.float64 if 4 * most < 1 << 53 else np.int64 if 4 * most < LONG else object
+
+
+def first_floors(ids: np.ndarray, queries: np.ndarray, k: int) -> list[int | None]:
+    """For each query of a block the k-th best score among the block's other ids: no worse vector is among its k best."""
+    kind = kind_for(queries, queries)
+    own = queries.astype(kind)
+    floors = []
+    for query_id, query in zip(ids, own, strict=True):
+        score = (own @ query)[ids != query_id]
+        floors.append(int(np.sort(score)[-k]) if len(score) >= k else None)
+    return floors
+
+
+def search(ids: np.ndarray, matrix: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, floors: list[int | None] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vector, score) of the k best of one shard for every query, less those below the query's floor. `matrix` is dimension by vector: its rows are the postings."""
+    kind = kind_for(matrix.T, queries)
+    low, high = matrix.min(axis=1).astype(kind), matrix.max(axis=1).astype(kind)
     dims, n = matrix.shape
-    dense = matrix.astype(np.float64)  # products and sums of these integers stay far below 2**53
+    postings = matrix.astype(kind)
+    zero = np.zeros(1, kind)
     found = []
-    for query_id, query in zip(query_ids, queries, strict=True):
+    for query_id, query, given in zip(query_ids, queries.astype(kind), floors or [None] * len(queries), strict=True):
         top, bottom = np.maximum(query * low, query * high), np.minimum(query * low, query * high)
         order = np.argsort(bottom - top, kind="stable")
-        rest = np.concatenate([np.cumsum(top[order][::-1])[::-1], [0]]).astype(np.float64)
-        weights = query[order].astype(np.float64)
-        alive, score = None, np.zeros(n)
-        own = ids == query_id
-        floor = -np.inf
-        sure = np.concatenate([np.cumsum(bottom[order][::-1])[::-1], [0]]).astype(np.float64)
+        rest, sure = (np.concatenate([np.cumsum(x[order][::-1])[::-1], zero]) for x in (top, bottom))
+        if given is not None and given > int(rest[0]):
+            continue  # the whole shard is below the floor
+        weights = query[order]
+        alive, score = np.flatnonzero(ids != query_id), None
+        floor = int(sure[0]) if given is None else max(given, int(sure[0]))
         for a in range(0, dims, STEP):
             b = min(a + STEP, dims)
             terms = order[a:b]
-            if alive is None:
-                score += weights[a:b] @ dense[terms]
-                if n - own.sum() > k:
-                    # k vectors reach at least this score in the end: the k-th partial score and the least the rest can add
-                    masked = np.where(own, -np.inf, score)
-                    floor = max(floor, np.partition(masked, n - k)[n - k] + sure[b])
-                    keep = (masked + rest[b] >= floor) & ~own
-                    if keep.sum() * 2 < n or b == dims:
-                        alive = np.flatnonzero(keep)
-                        score = score[alive]
-            else:
-                score += weights[a:b] @ dense[np.ix_(terms, alive)]
-                if len(alive) > k:
-                    floor = max(floor, np.partition(score, len(score) - k)[len(score) - k] + sure[b])
-                    keep = score + rest[b] >= floor
-                    if not keep.all():
-                        alive, score = alive[keep], score[keep]
-        if alive is None:
-            alive = np.flatnonzero(~own)
-            score = score[alive]
+            if score is None:  # essential terms: all postings
+                part = weights[a:b] @ postings[terms] if a == 0 else part + weights[a:b] @ postings[terms]
+                here = part[alive]
+            else:  # the others are probed where a vector is still competitive
+                here = score = score + weights[a:b] @ postings[np.ix_(terms, alive)]
+            if len(alive) > k:
+                # k vectors reach at least this score in the end: the k-th partial score and the least the rest can add
+                floor = max(floor, int(np.partition(here, len(here) - k)[len(here) - k] + sure[b]))
+            keep = here + rest[b] >= floor
+            if score is not None or b == dims or 2 * keep.sum() < n:
+                alive, score = alive[keep], here[keep]
         best = np.lexsort((ids[alive], -score))[:k]
-        found.append((np.full(len(best), query_id), ids[alive[best]], score[best].astype(np.int64)))
-    return tuple(np.concatenate([x[i] for x in found]) for i in range(3))
+        found.append((np.full(len(best), query_id), ids[alive[best]], score[best]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    q, v, s = (np.concatenate([x[i] for x in found]) for i in range(3))
+    if kind is object and any(not -LONG <= x < LONG for x in s.tolist()):
+        raise OverflowError("a score is too large for a long integer")
+    return q, v, s.astype(np.int64)
+
+
+def with_floors(blocks: DataFrame, k: int) -> DataFrame:
+    """Query blocks (dims, ids, values) with their first floors as text, empty where there is none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for dims, ids, values in zip(*(batch.column(c) for c in ("dims", "ids", "values")), strict=True):
+                floors = first_floors(np.frombuffer(ids.as_buffer(), np.int64), np.frombuffer(values.as_buffer(), np.int64).reshape(-1, dims.as_py()), k)
+                made.append(",".join("" if x is None else str(x) for x in floors))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], ["q_dims", "q_ids", "q_values", "q_floors"])
+
+    return blocks.select("dims", "ids", "values").mapInArrow(run, "q_dims int, q_ids binary, q_values binary, q_floors string")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
@@ -102,13 +143,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     small_batches(spark, SHARD)
     rows = grid(vectors)
     ways = partitions(spark)
-    shards = packed(rows, SHARD).withColumn("way", F.pmod(F.xxhash64("ids"), F.lit(ways)))
     queries = rows.filter(is_query)
     blocks = max(1, -(-queries.count() // BLOCK))
+    lanes = -(-blocks // LANE)
+    shards = packed(rows, SHARD).withColumn("way", F.pmod(F.xxhash64("ids"), F.lit(ways)))
+    shards = shards.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     queries = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    queries = packed(queries.sortWithinPartitions("vec_id").select("vec_id", "v"), BLOCK).select(F.col("dims").alias("q_dims"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
-    queries = queries.withColumn("way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))).withColumn("way", F.col("way").cast("long"))
-    pairs = shards.hint("shuffle_hash").join(queries, (shards["way"] == queries["way"]) & (F.col("dims") == F.col("q_dims"))).select("dims", "ids", "values", "q_ids", "q_values")
+    queries = with_floors(packed(queries.sortWithinPartitions("block", "vec_id").select("vec_id", "v"), BLOCK), k)
+    queries = queries.withColumn("q_lane", F.pmod(F.xxhash64("q_ids"), F.lit(lanes)).cast("int")).withColumn("q_way", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ways - 1).cast("long"))))
+    on = (F.col("way") == F.col("q_way")) & (F.col("lane") == F.col("q_lane")) & (F.col("dims") == F.col("q_dims"))
+    pairs = shards.hint("merge").join(queries, on).select("dims", "ids", "values", "q_ids", "q_values", "q_floors")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,7 +160,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
                 dims = batch.column("dims")[i].as_py()
                 ids, q_ids = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int64) for c in ("ids", "q_ids"))
                 values, q_values = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int64).reshape(-1, dims) for c in ("values", "q_values"))
-                q, v, s = search(ids, np.ascontiguousarray(values.T), q_ids, q_values, k)
+                floors = [int(x) if x else None for x in batch.column("q_floors")[i].as_py().split(",")]
+                q, v, s = search(ids, np.ascontiguousarray(values.T), q_ids, q_values, k, floors)
                 yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())], ["query_id", "vec_id", "score"])
 
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

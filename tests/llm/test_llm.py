@@ -493,6 +493,38 @@ def test_top_k(spark, dims, n, monkeypatch):
     assert maxscore.top_k(vectors.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("seed, largest, kind", [(1, 1000, np.float64), (2, 10**6, np.float64), (3, 10**8, np.int64), (4, 6 * 10**8, np.int64)])
+def test_search_is_exact(seed, largest, kind):
+    r = random.Random(seed)
+    for dims in (1, 7, 20):
+        close = r.randint(-largest, largest)
+        rows = [[r.choice([close, close + 1, r.randint(-largest, largest)]) for _ in range(dims)] for _ in range(60)]
+        ids = [r.randrange(50) for _ in rows]
+        matrix, own = np.array(rows, np.int64), np.array(ids, np.int64)
+        for floors in (None, maxscore.first_floors(own[:20], matrix[:20], 4)):
+            found = maxscore.search(own, np.ascontiguousarray(matrix.T), own[:20], matrix[:20], 4, floors)
+            want = [(q, i, s) for q, v in zip(ids[:20], rows[:20], strict=True) for s, i in sorted(((sum(x * y for x, y in zip(v, w, strict=True)), i) for i, w in zip(ids, rows, strict=True) if i != q), key=lambda x: (-x[0], x[1]))[:4]]
+            assert list(zip(*(x.tolist() for x in found), strict=True)) == want
+    assert maxscore.kind_for(np.array([[largest]] * 2), np.array([[largest]])) is kind
+    assert maxscore.kind_for(np.array([[largest] * 20]), np.array([[largest] * 20])) is (object if seed == 4 else kind)
+
+
+def test_top_k_of_large_and_mixed_vectors(spark):
+    r = random.Random(9)
+    rows = [(i, [r.uniform(-(10**6), 10**6) for _ in range(3 + i % 2 * 5)]) for i in range(130)]
+    steps = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows]
+    want = []
+    for q, v in steps:
+        if q % 50 == 0:
+            best = sorted((-sum(x * y for x, y in zip(v, w, strict=True)), i) for i, w in steps if i != q and len(w) == len(v))[:5]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    frame = lambda x: spark.createDataFrame(x, "vec_id long, embedding array<double>")
+    assert sorted(tuple(x) for x in maxscore.top_k(frame(rows), F.col("vec_id") % 50 == 0).collect()) == sorted(want)
+    for bad in (1e17, 1e12):  # a component, then a score, that no long integer holds
+        with pytest.raises(Exception, match="too large"):
+            maxscore.top_k(frame([(0, [bad]), (1, [bad])]), F.col("vec_id") % 50 == 0).collect()
+
+
 # --- 8 BPE -----------------------------------------------------------------------------------------------------------
 
 PATH = "/opt/tokenizers/word_bpe_49k.json"
