@@ -165,6 +165,55 @@ def test_toxicity_on_held_out_texts(spark):
     assert np.allclose(again.ratio, model.ratio) and np.allclose(again.weights, model.weights)
 
 
+def test_kneser_ney_against_dictionaries():
+    r = random.Random(4)
+    texts = ["".join(r.choice("ab cé1") for _ in range(r.randint(0, 60))) for _ in range(40)] + ["", "aaaa", "zz top"]
+    toxic = [i % 3 == 0 for i in range(len(texts))]
+    letters = lambda t: [int(x) for x in toxicity.LETTER[np.frombuffer(t.encode(), np.uint8)]]
+    have = [collections.Counter(), collections.Counter()]
+    for t, bad in zip(texts, toxic, strict=True):
+        own = [0] * toxicity.GRAM + letters(t)
+        runs = [tuple(own[i - toxicity.GRAM + 1 : i + 1]) for i in range(toxicity.GRAM, len(own)) if own[i] or own[i - 1]]
+        have[bad].update(set(runs))
+        got, _ = toxicity.grams(pa.array([t]))
+        assert got.tolist() == [sum(x << 6 * (toxicity.GRAM - 1 - k) for k, x in enumerate(run)) for run in runs]
+    continuation = [None] * toxicity.GRAM
+    longer = set(have[0]) | set(have[1])
+    continuation[-1] = {run: sum(run in x for x in have) for run in longer}
+    for k in range(toxicity.GRAM - 1, 0, -1):
+        continuation[k - 1] = collections.Counter(run[1:] for run in longer)
+        longer = set(continuation[k - 1])
+    d = toxicity.DISCOUNT
+
+    def discounted(counts, history, letter, lower):
+        after = {run[-1]: n for run, n in counts.items() if run[:-1] == history and n}
+        total = sum(after.values())
+        return (max(after.get(letter, 0) - d, 0) + d * len(after) * lower) / total if total else lower
+
+    def shared(history, letter):
+        return discounted(continuation[len(history)], history, letter, shared(history[1:], letter) if history else 1 / toxicity.SYMBOLS)
+
+    p = lambda c, history, letter: discounted(have[c], history, letter, shared(history, letter))
+    number = lambda run: sum(x << 6 * (len(run) - 1 - k) for k, x in enumerate(run))
+    runs = sorted(continuation[-1], key=number)
+    counts = np.array([[x[run] for run in runs] for x in have])
+    logs, histories, backs = toxicity.log_models(np.array([number(x) for x in runs]), counts)
+    for c in (0, 1):
+        assert np.exp(logs[c]).tolist() == pytest.approx([p(c, x[:-1], x[-1]) for x in runs])
+    for history in r.sample([x[:-1] for x in runs], 8) + [(0, 0, 0, 63)]:
+        for c in (0, 1):
+            assert sum(p(c, history, x) for x in range(toxicity.SYMBOLS)) == pytest.approx(1)
+        if number(history) in histories:  # a letter that no class has after a history: the shared backoff cancels
+            at = int(np.searchsorted(histories, number(history)))
+            assert np.exp(backs[1, at] - backs[0, at]) == pytest.approx(p(1, history, 62) / p(0, history, 62))
+    model = toxicity.Models(np.array([number(x) for x in runs], np.int32), (logs[1] - logs[0]).astype(np.float32), histories.astype(np.int32), (backs[1] - backs[0]).astype(np.float32))
+    for t in ["ab c1", "unseen zz", "a" * 5000]:
+        own = [0] * toxicity.GRAM + letters(t)
+        events = [own[i - toxicity.GRAM + 1 : i + 1] for i in range(toxicity.GRAM, len(own)) if own[i] or own[i - 1]]
+        mean = np.mean([np.log(p(1, tuple(x[:-1]), x[-1])) - np.log(p(0, tuple(x[:-1]), x[-1])) for x in events[:200]])
+        assert toxicity.evidence(model, pa.array([t[: len(events[:200])]]))[0, 0] == pytest.approx(mean, abs=1e-4)
+
+
 def test_toxicity_without_a_class(spark):
     docs = docs_of(spark, [(1, "a b", "a", "s")])
     assert toxicity.fit(toxicity.training(docs, spark.createDataFrame([(1, 0)], "doc_id long, toxic int"))) is None
