@@ -1,30 +1,37 @@
 """Main text of web pages by differencing the nearest URLs.
 
-A page is cut into text blocks in page order. Containers whose tag, or a whole class or id, names their role (menus, headers, footers,
-sidebars, notices, adverts, forms, comments, scripts, styles) are left out, up to their end tag or, where it is omitted, to the next of the row or the end of what
-holds them. Every page is paired with the page of the same host whose URL path is
+A page is cut into text blocks in page order. Every page is paired with the page of the same host whose URL path is
 nearest in path order (the longer common beginning, the earlier one at a tie) and whose content is another one; the lines of both are
 aligned by longest common subsequence, and lines that both share are deleted, since a template repeats while an article doesn't. Where
 the page on the other side has a line of the template too, only lines that it shares as well go: a quotation in two stories stays.
+Lines inside an element marked as the main text (an article, else main, else a container named so) stay although they are shared.
 
-Pages with nearly the same lines (ALIKE) say nothing about a template and are passed over: copies of one story under two URLs would
+An exact check follows, for what a template fills anew on every page: lines go that are left in containers whose tag, or a whole class or
+id, names their role (menus, headers, footers, sidebars, notices, adverts, forms, comments), up to their end tag or, where it is omitted, to the
+next of the row or the end of what holds them. `n_shared` counts the lines that differencing deleted, `n_named` those that the check did. Scripts, styles
+and titles hold no lines.
+
+Pages whose lines outside such containers are nearly the same (ALIKE) say nothing about a template and are passed over: copies of one story under two URLs would
 otherwise lose their text. Of each side the nearest WINDOW different contents are looked at; where all of them are alike, the side has
-no pair. Lines inside an element marked as the main text (an article, else main, else a container named so) stay although they are shared.
+no pair.
 
-Pages move once, as lines, in runs of neighbouring (host, path), however many pages a host has; a run carries the nearest contents
-before and after it, which the driver finds from a few (key, hash) of each run. What a page is paired with doesn't depend on the runs.
+Pages move once, as lines, in runs of neighbouring (host, path, page id) of about RUN_BYTES, however many pages a host or a URL has, a partition
+each; a run carries the nearest contents before and after it, which the driver finds from a few (place, hash) of each of at most MOST_RUNS
+runs. What a page is paired with doesn't depend on the runs. The alignment keeps every k-th row of its table and works the rows between out again.
 
 Edge cases: null html is empty text; a null or odd URL belongs to the empty host; a host's only page has no pair; repeated pages are
-no pairs and lose no line by each other; unclosed or crossed tags are taken as they come; texts have any length.
+no pairs and lose no line by each other; unclosed or crossed tags are taken as they come; texts have any length; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import html
+import math
 import re
 from collections import Counter, deque
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +44,7 @@ BLOCKS = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 #: Elements whose whole content is never text of the article.
-DROPPED = frozenset("script style noscript template head nav footer aside form button select textarea iframe object svg canvas audio video math dialog menu title".split())
+DROPPED = frozenset("script style noscript template head nav footer aside form button select textarea iframe object svg canvas audio video dialog menu title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _ROLES = (
     "(?:ads?|adverts?|advertisements?|banners?|promos?|sponsored|sponsor|sidebars?|side|menus?|nav|navbar|navigation|breadcrumbs?|header|footer|masthead|"
@@ -67,6 +74,10 @@ SIBLINGS = {k: frozenset(group.split()) for group in ("li", "dt dd", "td th", "t
 HOLDERS = frozenset("ul ol menu dir dl table select article main section body".split())
 #: How many different contents on each side are looked at, and the share of characters in common lines, in hundredths, from which two pages are copies.
 WINDOW, ALIKE = 8, 90
+#: Bytes of html in a run, and how many runs there are at most.
+RUN_BYTES, MOST_RUNS = 32 << 20, 20_000
+#: What a line is: text, marked as main text, or in a container that names another role.
+PLAIN, MAIN, NAMED_OTHER = "012"
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -163,10 +174,10 @@ def _unwanted(tag: str, attributes: str, around: _Open) -> bool:
     )
 
 
-def blocks(page: str) -> tuple[list[str], list[bool]]:
-    """Text of every block outside unwanted containers, and whether it stands in what the page marks most plainly as its main text."""
+def blocks(page: str) -> tuple[list[str], str]:
+    """Text of every block, and for each what it is: MAIN stands in what the page marks most plainly as its main text, NAMED_OTHER in an unwanted container."""
     lines: list[str] = []
-    ranks: list[int] = []
+    ranks: list[int] = []  # -1 in an unwanted container
     open_text: list[str] = []
     around = _Open()
     skip, level = "", 0  # an element that is left out, and how many are open around it
@@ -179,10 +190,10 @@ def blocks(page: str) -> tuple[list[str], list[bool]]:
             open_text.clear()
             if line:
                 lines.append(line)
-                ranks.append(around.rank())
+                ranks.append(-1 if skip else around.rank())
 
     for m in _token.finditer(page):
-        if not skip and m.start() > at:
+        if m.start() > at:
             open_text.append(html.unescape(page[at : m.start()]))
         at = m.end()
         tag = (m[3] or "").lower()
@@ -190,15 +201,16 @@ def blocks(page: str) -> tuple[list[str], list[bool]]:
             continue
         closing = bool(m[2])
         alone = tag in VOID or m[4].endswith("/")
-        if tag in BLOCKS and not skip:
+        if tag in BLOCKS:
             close()
-        elif tag == "br" and not skip:
+        elif tag == "br":
             open_text.append(" ")
         if closing:
             around.end(tag, level if skip else len(around.tags))
         elif tag in BLOCKS:
             around.make_room(tag)
         if skip and len(around.tags) <= level:
+            close()
             skip = ""
         if closing or alone:
             continue
@@ -211,43 +223,56 @@ def blocks(page: str) -> tuple[list[str], list[bool]]:
             around.start(tag, 0)
         elif tag in BLOCKS:
             around.start(tag, _rank(tag, m[4]))
-    if not skip and at < len(page):
+    if at < len(page):
         open_text.append(html.unescape(page[at:]))
     close()
     best = max(ranks, default=0)
-    return lines, [best > 0 and x == best for x in ranks]
+    return lines, "".join(NAMED_OTHER if x < 0 else MAIN if 0 < x == best else PLAIN for x in ranks)
 
 
 def shared_lines(mine: list[str], other: list[str]) -> set[int]:
     """Positions in `mine` of a longest common subsequence with `other`.
 
-    Rows of the table are kept as bit strings: a zero bit marks where the subsequence grows.
+    Rows of the table are bit strings: a zero bit marks where the subsequence grows. Only every k-th row is kept, k near the root of
+    their number; the way back works out the k rows that it passes again.
     """
     width = len(other)
     where: dict[str, int] = {}
     for j, line in enumerate(other):
         where[line] = where.get(line, 0) | 1 << j
     full = (1 << width) - 1
-    row, rows = full, []
-    for line in mine:
+
+    def below(row: int, line: str) -> int:
         hit = row & where.get(line, 0)
-        row = ((row + hit) | (row - hit)) & full
-        rows.append(row)
-    found, i, j = set(), len(mine), width
-    while i and j:
-        if rows[i - 1] >> (j - 1) & 1:
-            j -= 1
-            continue
-        i -= 1
-        if not i or rows[i - 1] >> (j - 1) & 1:
-            found.add(i)
-            j -= 1
+        return ((row + hit) | (row - hit)) & full
+
+    step = max(1, math.isqrt(len(mine)))
+    kept, row = [full], full
+    for i, line in enumerate(mine, 1):
+        row = below(row, line)
+        if i % step == 0:
+            kept.append(row)
+    found, j = set(), width
+    for start in range((len(mine) - 1) // step * step, -1, -step):
+        rows = [kept[start // step]]
+        for line in mine[start : min(start + step, len(mine))]:
+            rows.append(below(rows[-1], line))
+        i = len(rows) - 1
+        while i and j:
+            if rows[i] >> (j - 1) & 1:
+                j -= 1
+                continue
+            i -= 1
+            if rows[i] >> (j - 1) & 1:
+                found.add(start + i)
+                j -= 1
     return found
 
 
-def alike(mine: list[str], other: list[str], shared: set[int]) -> bool:
-    """Whether two pages are (nearly) the same, by the characters of the lines at the `shared` positions of `mine`."""
-    return 200 * sum(len(mine[i]) for i in shared) >= ALIKE * (sum(map(len, mine)) + sum(map(len, other)))
+def alike(mine: list[str], own: str, other: list[str], others: str, shared: set[int]) -> bool:
+    """Whether two pages are (nearly) the same, by the characters of the lines at the `shared` positions of `mine`, apart from unwanted containers."""
+    size = lambda lines, kinds: sum(len(x) for x, k in zip(lines, kinds, strict=True) if k != NAMED_OTHER)
+    return 200 * sum(len(mine[i]) for i in shared if own[i] != NAMED_OTHER) >= ALIKE * (size(mine, own) + size(other, others))
 
 
 def _common(a: str, b: str) -> int:
@@ -255,87 +280,112 @@ def _common(a: str, b: str) -> int:
     return next((i for i in range(n) if a[i] != b[i]), n)
 
 
+@dataclass
+class Page:
+    """A page in order: its key, the hash of its content (lines outside unwanted containers), its lines and what they are."""
+
+    key: str
+    content: int
+    lines: list[str]
+    own: str
+    row: tuple | None = None
+    at: int = 0
+    before: tuple[str, set[int]] | None = None
+
+
 class _Neighbours:
     """Pages of one host in order; gives each page's text as soon as its pairs are known.
 
-    Holds the last different contents, and pages whose next pair has not come yet: copies share their lines, and a page
+    Holds the last different contents, and pages whose next pair has not come yet: equal pages share their lines, and a page
     waits for WINDOW different contents at most.
     """
 
     def __init__(self) -> None:
-        self.recent: dict[int, tuple[int, str, list[str]]] = {}  # content: last position, key and lines, oldest first
-        self.waiting: dict[int, deque] = {}
-        self.known: dict[tuple[int, int], tuple[set[int], bool]] = {}
+        self.recent: dict[int, Page] = {}  # the last page of each content, oldest first
+        self.waiting: dict[int, deque[Page]] = {}
+        self.known: dict[tuple[int, int], tuple[list, list, set[int], bool]] = {}
         self.at = 0
 
-    def compare(self, c: int, mine: list[str], d: int, other: list[str]) -> tuple[set[int], bool]:
-        if (c, d) not in self.known:
+    def compare(self, a: Page, b: Page) -> tuple[set[int], bool]:
+        """Shared positions of a, and whether the two are copies. Pages that share their list of lines are compared once."""
+        key = id(a.lines), id(b.lines)
+        got = self.known.get(key)
+        if got is None:
             if len(self.known) > 16 * WINDOW:
                 self.known.clear()
-            shared = shared_lines(mine, other)
-            self.known[c, d] = shared, alike(mine, other, shared)
-        return self.known[c, d]
+            shared = shared_lines(a.lines, b.lines)
+            got = self.known[key] = a.lines, b.lines, shared, alike(a.lines, a.own, b.lines, b.own, shared)  # the lists stay alive with their ids
+        return got[2], got[3]
 
-    def settle(self, page: tuple, after: tuple | None) -> tuple:
-        page_id, url, key, lines, own, _, before = page
-        near = sorted((x for x in (before, after) if x), key=lambda x: -_common(x[0], key))  # stable: the earlier one at a tie
+    def settle(self, page: Page, after: tuple[str, set[int]] | None) -> tuple:
+        near = sorted((x for x in (page.before, after) if x), key=lambda x: -_common(x[0], page.key))  # stable: the earlier one at a tie
         gone = near[0][1] if near else set()
         if len(near) == 2 and gone & near[1][1]:
             gone = gone & near[1][1]
-        text = "\n".join(x for i, x in enumerate(lines) if own[i] == "1" or i not in gone)
-        return page_id, url, text, len(text)
-
-    def add(self, key: str, c: int, lines: list[str], row: tuple | None) -> Iterator[tuple]:
-        """The next page; row is (page_id, url, own) where its text is wanted."""
-        for d, pages in list(self.waiting.items()):
-            if d != c:
-                shared, copy = self.compare(d, pages[0][3], c, lines)
-                if not copy:
-                    del self.waiting[d]
-                    yield from (self.settle(page, (key, shared)) for page in pages)
+        left = [i for i in range(len(page.lines)) if page.own[i] == MAIN or i not in gone]
+        kept = [page.lines[i] for i in left if page.own[i] != NAMED_OTHER]
+        text = "\n".join(kept)
+        return *page.row, text, len(text), len(page.lines) - len(left), len(left) - len(kept)
+
+    def add(self, page: Page) -> Iterator[tuple]:
+        """The next page; its row is (page_id, url) where its text is wanted."""
+        c = page.content
+        for d in [d for d in self.waiting if d != c]:
+            stay: deque[Page] = deque()
+            for waiting in self.waiting[d]:
+                shared, copy = self.compare(waiting, page)
+                if copy:
+                    stay.append(waiting)
+                else:
+                    yield self.settle(waiting, (page.key, shared))
+            if stay:
+                self.waiting[d] = stay
+            else:
+                del self.waiting[d]
         self.at += 1
-        if c in self.recent:
-            lines = self.recent.pop(c)[2]
-        self.recent[c] = self.at, key, lines
+        page.at = self.at
+        last = self.recent.pop(c, None)
+        if last and last.lines == page.lines and last.own == page.own:
+            page.lines, page.own = last.lines, last.own
+        self.recent[c] = page
         if len(self.recent) > WINDOW + 2:
             del self.recent[next(iter(self.recent))]
         for d, pages in list(self.waiting.items()):
-            ends = sorted((x[0] for k, x in self.recent.items() if k != d), reverse=True)
-            while pages and len(ends) >= WINDOW and ends[WINDOW - 1] > pages[0][5]:
+            ends = sorted((x.at for k, x in self.recent.items() if k != d), reverse=True)
+            while pages and len(ends) >= WINDOW and ends[WINDOW - 1] > pages[0].at:
                 yield self.settle(pages.popleft(), None)
             if not pages:
                 del self.waiting[d]
-        if row:
-            before = None
+        if page.row:
             for d in [k for k in reversed(self.recent) if k != c][:WINDOW]:
-                shared, copy = self.compare(c, lines, d, self.recent[d][2])
+                shared, copy = self.compare(page, self.recent[d])
                 if not copy:
-                    before = self.recent[d][1], shared
+                    page.before = self.recent[d].key, shared
                     break
-            page_id, url, own = row
-            self.waiting.setdefault(c, deque()).append((page_id, url, key, lines, own, self.at, before))
+            self.waiting.setdefault(c, deque()).append(page)
 
     def end(self) -> Iterator[tuple]:
         for pages in self.waiting.values():
             yield from (self.settle(page, None) for page in pages)
 
 
-PARSED = "page_id long, url string, _key string, lines string, own string, _c long"
+PARSED = "page_id long, url string, _place string, lines string, own string, _c long"
 ENDS = "_run int, one boolean, head array<struct<k:string,c:long>>, tail array<struct<k:string,c:long>>"
-EXTRACTED = "page_id long, url string, text string, n_chars long"
+EXTRACTED = "page_id long, url string, text string, n_chars long, n_shared long, n_named long"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines of every page, a digit for each (1: marked; none where all are) and the hash of the lines."""
+    """Lines of every page, what each is, and the hash of those outside unwanted containers."""
     for batch in batches:
         texts, owns, hashes = [], [], []
         for page in batch.column("html"):
-            lines, marked = blocks(page.as_py())
+            lines, own = blocks(page.as_py())
             texts.append("\n".join(lines))
-            owns.append("" if all(marked) else "".join("01"[x] for x in marked))
-            hashes.append(int.from_bytes(hashlib.blake2b(texts[-1].encode(), digest_size=8).digest(), "big", signed=True))
-        kept = [batch.column(c).cast(k) for c, k in (("page_id", pa.int64()), ("url", pa.string()), ("_key", pa.string()))]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(owns, pa.string()), pa.array(hashes, pa.int64())], ["page_id", "url", "_key", "lines", "own", "_c"])
+            owns.append(own)
+            content = "\n".join(x for x, k in zip(lines, own, strict=True) if k != NAMED_OTHER)
+            hashes.append(int.from_bytes(hashlib.blake2b(content.encode(), digest_size=8).digest(), "big", signed=True))
+        kept = [batch.column(c).cast(k) for c, k in (("page_id", pa.int64()), ("url", pa.string()), ("_place", pa.string()))]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(owns, pa.string()), pa.array(hashes, pa.int64())], ["page_id", "url", "_place", "lines", "own", "_c"])
 
 
 def _host(key: str) -> str:
@@ -354,7 +404,7 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             made.append({"_run": run, "one": one, "head": [{"k": k, "c": c} for c, k in head.items()], "tail": [{"k": k, "c": c} for c, k in reversed(tail.items())]})
 
     for batch in batches:
-        for r, key, c in zip(*(batch.column(x).to_pylist() for x in ("_run", "_key", "_c")), strict=True):
+        for r, key, c in zip(*(batch.column(x).to_pylist() for x in ("_run", "_place", "_c")), strict=True):
             if r != run:
                 flush()
                 run, host, head, tail, one = r, _host(key), {}, {}, True
@@ -396,19 +446,17 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of the own rows of each run."""
 
     def batch_of(made: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*made, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], ["page_id", "url", "text", "n_chars"])
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made, strict=True), kinds, strict=True)], [x.split()[0] for x in EXTRACTED.split(", ")])
 
     where, near = None, _Neighbours()
     for batch in batches:
         made: list[tuple] = []
-        for page_id, url, key, text, own, c, run, guest in zip(*(batch.column(x).to_pylist() for x in ("page_id", "url", "_key", "lines", "own", "_c", "_run", "_guest")), strict=True):
-            if (run, _host(key)) != where:
+        for page_id, url, place, text, own, c, run, guest in zip(*(batch.column(x).to_pylist() for x in ("page_id", "url", "_place", "lines", "own", "_c", "_run", "_guest")), strict=True):
+            if (run, _host(place)) != where:
                 made += near.end()
-                where, near = (run, _host(key)), _Neighbours()
-            if guest == 0 and not own:  # every line is marked, or there is none
-                made.append((page_id, url, text, len(text)))
-            made += near.add(key, c, text.split("\n") if text else [], (page_id, url, own) if guest == 0 and own else None)
+                where, near = (run, _host(place)), _Neighbours()
+            made += near.add(Page(place.rsplit("\1", 1)[0], c, text.split("\n") if own else [], own, (page_id, url) if guest == 0 else None))
         if made:
             yield batch_of(made)
     if made := list(near.end()):
@@ -416,23 +464,30 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars (code points) of every page."""
+    """page_id, url, text, n_chars (code points), n_shared and n_named of every page."""
     spark = pages.sparkSession
     small_batches(spark, 256)
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     key = F.coalesce(F.concat(host, F.lit("\n"), path), F.lit("\n"))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), key.alias("_key"))
-    found = rows.select("_key").repartitionByRange(3 * partitions(spark), "_key").groupBy(F.spark_partition_id().alias("p")).agg(F.min("_key").alias("lo")).collect()
-    parsed = rows.mapInArrow(_parse, PARSED).withColumn("_run", bucket_of(F.col("_key"), sorted(r["lo"] for r in found), "string"))
+    # pages of one URL stand by id, so that a run can end between them
+    half = F.lit(str(1 << 63)).cast("decimal(20,0)")
+    number = F.lpad((F.coalesce(F.col("page_id").cast("decimal(20,0)"), -half) + half).cast("string"), 20, "0")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), F.concat(key, F.lit("\1"), number).alias("_place"))
+    total = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    most = min(max(partitions(spark), -(-total // RUN_BYTES)), MOST_RUNS)
+    found = rows.select("_place").repartitionByRange(most, "_place").groupBy(F.spark_partition_id().alias("p")).agg(F.min("_place").alias("lo")).collect()
+    firsts = sorted({r["lo"] for r in found})
+    runs = max(1, len(firsts))
+    parsed = rows.mapInArrow(_parse, PARSED).withColumn("_run", bucket_of(F.col("_place"), firsts, "string"))
     # pages are parsed twice: the first time only hashes move
-    ends = parsed.select("_run", "_key", "page_id", "_c").repartition(partitions(spark), "_run").sortWithinPartitions("_run", "_key", "page_id", "_c").mapInArrow(_ends, ENDS)
+    ends = parsed.select("_run", "_place", "_c").repartitionById(runs, F.col("_run")).sortWithinPartitions("_run", "_place", "_c").mapInArrow(_ends, ENDS)
     visits = _guests(ends.collect())
     own = F.array(F.struct(F.col("_run").alias("r"), F.lit(0).alias("g")))
     if visits:
-        guests = spark.createDataFrame([(k, c, v) for (k, c), v in visits.items()], "_key string, _c long, _visits array<struct<r:int,g:int>>")
-        parsed = parsed.join(F.broadcast(guests), ["_key", "_c"], "left")
+        guests = spark.createDataFrame([(k, c, v) for (k, c), v in visits.items()], "_place string, _c long, _visits array<struct<r:int,g:int>>")
+        parsed = parsed.join(F.broadcast(guests), ["_place", "_c"], "left")
         own = F.concat(own, F.coalesce("_visits", F.array().cast("array<struct<r:int,g:int>>")))
     spread = parsed.withColumn("_to", F.explode(own)).withColumns({"_run": F.col("_to.r"), "_guest": F.col("_to.g")})
-    moved = spread.select("page_id", "url", "_key", "lines", "own", "_c", "_run", "_guest").repartition(partitions(spark), "_run")
-    return moved.sortWithinPartitions("_run", "_guest", "_key", "page_id", "_c").mapInArrow(_texts, EXTRACTED)
+    moved = spread.select("page_id", "url", "_place", "lines", "own", "_c", "_run", "_guest").repartitionById(runs, F.col("_run"))
+    return moved.sortWithinPartitions("_run", "_guest", "_place", "_c").mapInArrow(_texts, EXTRACTED)

@@ -434,26 +434,31 @@ def test_copied_pages_without_article(spark, inside):
     assert texts_of(spark, rows) == want
 
 
+def core(lines, own):
+    return [x for x, k in zip(lines, own, strict=True) if k != "2"]
+
+
 def brute_text(rows, k):
     """Text of row k by looking at all pages of the host."""
     lines, own = rows[k][3], rows[k][4]
     near = []
     for side, step in ((range(k - 1, -1, -1), -1), (range(k + 1, len(rows)), 1)):
-        seen = [lines]
+        seen = [core(lines, own)]
         for j in side:
             if rows[j][0] != rows[k][0] or len(seen) > extract.WINDOW:
                 break
-            if rows[j][3] in seen:
+            content = core(rows[j][3], rows[j][4])
+            if content in seen:
                 continue
-            seen.append(rows[j][3])
+            seen.append(content)
             shared = extract.shared_lines(lines, rows[j][3])
-            if not extract.alike(lines, rows[j][3], shared):
+            if not extract.alike(lines, own, rows[j][3], rows[j][4], shared):
                 near.append((-len(os.path.commonprefix([rows[j][1], rows[k][1]])), step, shared))
                 break
     near.sort(key=lambda x: x[:2])
     gone = near[0][2] if near else set()
     gone = gone & near[1][2] if len(near) == 2 and gone & near[1][2] else gone
-    return "\n".join(x for i, x in enumerate(lines) if own[i] or i not in gone)
+    return "\n".join(x for i, x in enumerate(lines) if own[i] == "1" or own[i] == "0" and i not in gone)
 
 
 @pytest.mark.parametrize("seed, window", [(0, 8), (1, 2), (2, 1)])
@@ -464,14 +469,14 @@ def test_pairs_do_not_depend_on_runs(spark, seed, window, monkeypatch):
     rows = []
     for i, (h, path) in enumerate(host):
         story = [f"{r.choice('pq')} tells {k}" for k in range(12)] if r.random() < 0.8 else [f"own {i} {k}" for k in range(r.randrange(3))]
-        rows.append((i, f"http://{h}{path}", "".join(f"<p>{x}</p>" for x in ["Top", *(["pppp"] * 12 if r.random() < 0.5 else story), "End"])))
+        rows.append((i, f"http://{h}{path}", f"<nav>{r.choice('mn')}</nav>" + "".join(f"<p>{x}</p>" for x in ["Top", *(["pppp"] * 12 if r.random() < 0.5 else story), "End"])))
     cut_up = sorted((h, path, i, *extract.blocks(rows[i][2])) for i, (h, path) in enumerate(host))
-    cut_up = [(h, f"{h}\n{path}", i, lines, marked) for h, path, i, lines, marked in cut_up]
+    cut_up = [(h, f"{h}\n{path}", i, lines, own) for h, path, i, lines, own in cut_up]
     if window == 8:
         assert texts_of(spark, rows) == {x[2]: brute_text(cut_up, k) for k, x in enumerate(cut_up)}
     near, got = {}, {}
-    for h, key, i, lines, _ in cut_up:
-        got |= {x[0]: x[2] for x in near.setdefault(h, extract._Neighbours()).add(key, hash(tuple(lines)), lines, (i, "", "0" * len(lines)))}
+    for h, key, i, lines, own in cut_up:
+        got |= {x[0]: x[2] for x in near.setdefault(h, extract._Neighbours()).add(extract.Page(key, hash(tuple(core(lines, own))), lines, own, (i, "")))}
     got |= {x[0]: x[2] for n in near.values() for x in n.end()}
     assert got == {x[2]: brute_text(cut_up, k) for k, x in enumerate(cut_up)}
 
@@ -496,7 +501,39 @@ def test_pairs_do_not_depend_on_runs(spark, seed, window, monkeypatch):
     ],
 )
 def test_only_containers_of_a_role_are_left_out(page, text):
-    assert "|".join(extract.blocks(page)[0]) == text
+    assert "|".join(core(*extract.blocks(page))) == text
+
+
+def test_what_stands_in_a_line_of_text():
+    page = '<article><p>In the <span class="share-price">42</span> share of <math>x+1</math> growth</p></article>'
+    assert extract.blocks(page) == (["In the 42 share of x+1 growth"], "1")
+    assert extract.blocks("<nav>a<ul><li>b</ul></nav><p>c<button>d</button>e<script>f</script>") == (["a", "b", "c", "d", "e"], "22020")
+
+
+def test_lines_that_differencing_deletes(spark, data):
+    page = lambda i, menu: f"<nav><p>Home</p><p>{menu}</p></nav><p>Our site</p><div class=content><p>Story {i}</p></div>"
+    rows = [(i, f"http://h.com/{i:02}", page(i, f"Only here {i}")) for i in range(12)] + [(50 + i, f"http://h.com/03/{i}", page(3, f"Copy menu {i}")) for i in range(4)]
+    got = {x.page_id: x for x in extract.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all((x.text, x.n_shared, x.n_named) == (f"Story {i if i < 50 else 3}", 2, 1) for i, x in got.items()) and len(got) == 16
+    total = queries.op6_html_extraction(spark, data).agg(F.sum("n_shared"), F.sum("n_named")).first()
+    assert total[0] > 0 and total[1] > 0
+
+
+def test_many_pages_of_one_url(spark, monkeypatch):
+    monkeypatch.setattr(extract, "RUN_BYTES", 400)
+    make = lambda i: f"<div>Site name</div><div>Story {i} is told</div><div>Imprint</div>"
+    rows = [(i, None if i % 2 else "http://h.com/same", make(i)) for i in range(80)] + [(None, None, make(99))]
+    clashing = spark.createDataFrame([(*r, 7, "x", 1.5) for r in rows], PAGES + ", _run int, lines string, own double")
+    got = {x.page_id: x.text for x in extract.extract(clashing).collect()}
+    assert got == {i: f"Story {99 if i is None else i} is told" for i, *_ in rows}
+
+
+def test_long_pages():
+    a = [f"line {i % 700}" for i in range(3000)]
+    b = a[:1000] + ["new"] * 50 + a[1100:]
+    found = sorted(extract.shared_lines(a, b))
+    rest = iter(b)
+    assert len(found) >= 2900 and all(any(y == a[i] for y in rest) for i in found)
 
 
 @pytest.mark.parametrize("seed", range(30))
