@@ -7,7 +7,6 @@ so every byte of a multi-byte character belongs to a word. A null text counts as
 from __future__ import annotations
 
 import json
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import cut, shared_dir, ship  # noqa: F401  cut and shared_dir are for the operators
 
 #: Bytes of text that a worker handles in one numpy step. A single longer text makes a step of its own.
 CHUNK_BYTES = 1 << 18
@@ -35,28 +34,15 @@ ASCII_LOWER[65:91] += 32
 
 
 def small_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """Bound what one Arrow batch holds, so that a worker's memory doesn't follow the longest texts; send the package along."""
+    """Bound what one Arrow batch holds, so that a worker's memory doesn't follow the longest texts; send the package along.
+
+    A smaller bound that the session has already stays: plans run later than they are made, under the setting of that time, and results don't
+    depend on it.
+    """
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and all is local (tests)."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = getattr(spark.sparkContext, "_loamgrid_dir", None) or tempfile.mkdtemp(prefix="loamgrid-")
-        spark.sparkContext._loamgrid_dir = folder
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows without their lineage, kept in the shared folder, so a lost executor costs no recomputation chain."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
 
 
 def partitions(spark: SparkSession) -> int:

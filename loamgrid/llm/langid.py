@@ -9,7 +9,7 @@ Fitting uses a bounded sample: at most `per_lang` labelled texts of each languag
 Prediction reads every text as a whole.
 
 Edge cases: a null text or one without a letter is `und` with score 0 and rejected; equal texts get equal results; an
-empty training set makes every text `und`; extra columns are ignored by `predict` and kept by `keep_known`.
+empty training set makes every text `und`, and `keep_known` keeps all rows; extra columns are ignored by `predict` and kept by `keep_known`.
 """
 
 from __future__ import annotations
@@ -146,7 +146,9 @@ def predict(docs: DataFrame, model: Centroids) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Centroids) -> DataFrame:
-    """The rows, with all their columns, whose language is not rejected."""
+    """The rows, with all their columns, whose language is not rejected. A model that has learned no language rejects none: all rows stay."""
+    if not model.langs:
+        return docs
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

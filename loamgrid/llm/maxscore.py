@@ -43,19 +43,32 @@ def grid(vectors: DataFrame) -> DataFrame:
 
 
 def packed(rows: DataFrame, size: int) -> DataFrame:
-    """Rows packed into blobs of up to `size` vectors: n, dims, ids, values (int64, one vector after the other)."""
+    """Rows packed into blobs of `size` vectors, the last ones of a partition fewer: dims, ids, values (int64, one vector after the other)."""
+
+    def blob(dims: int, parts: list) -> pa.RecordBatch:
+        ids, values = (b"".join(x) for x in zip(*parts, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array([dims], pa.int32()), pa.array([ids], pa.binary()), pa.array([values], pa.binary())], ["dims", "ids", "values"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: dict[int, list] = {}
+        held: dict[int, int] = {}
         for batch in batches:
             lists = batch.column("v")
             lengths = np.diff(np.asarray(lists.offsets))
             ids = np.asarray(batch.column("vec_id"))
-            for dims in np.unique(lengths):
+            for dims in np.unique(lengths).tolist():
                 own = np.flatnonzero(lengths == dims)
-                for a in range(0, len(own), size):
-                    part = own[a : a + size]
+                while len(own):
+                    room = size - held.get(dims, 0)
+                    part, own = own[:room], own[room:]
                     values = np.asarray(lists.take(pa.array(part)).flatten())
-                    yield pa.RecordBatch.from_arrays([pa.array([int(dims)], pa.int32()), pa.array([ids[part].astype(np.int64).tobytes()], pa.binary()), pa.array([values.astype(np.int64).tobytes()], pa.binary())], ["dims", "ids", "values"])
+                    open_.setdefault(dims, []).append((ids[part].astype(np.int64).tobytes(), values.astype(np.int64).tobytes()))
+                    held[dims] = held.get(dims, 0) + len(part)
+                    if held[dims] == size:
+                        yield blob(dims, open_.pop(dims))
+                        del held[dims]
+        for dims, parts in open_.items():
+            yield blob(dims, parts)
 
     return rows.mapInArrow(run, "dims int, ids binary, values binary")
 
@@ -140,7 +153,7 @@ def with_floors(blocks: DataFrame, k: int) -> DataFrame:
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: for every query row its k best among all other rows."""
     spark = vectors.sparkSession
-    small_batches(spark, SHARD)
+    small_batches(spark)
     rows = grid(vectors)
     ways = partitions(spark)
     queries = rows.filter(is_query)

@@ -210,7 +210,11 @@ def removed(docs: DataFrame, output: str, finish) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(partitions(spark), -(-total // CHUNK_TEXT))
     buckets = max(partitions(spark), -(-total // BUCKET_TEXT))
-    rows = docs.withColumn("_chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
+    place = "_chunk"
+    while place in docs.columns:
+        place += "_"
+    # by id and text: rows that share an id, or have none, spread too
+    rows = docs.withColumn(place, F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
 
     def send_anchors(table: pa.Table) -> pa.Table:
         h, bucket, several = Chunk(table).anchors(buckets)
@@ -305,12 +309,12 @@ def removed(docs: DataFrame, output: str, finish) -> DataFrame:
         return finish(chunk, covered)
 
     def _table(table: pa.Table, out: list, fields: list) -> pa.Table:
-        name = "_chunk" if "_chunk" in table.column_names else "chunk"
+        name = place if place in table.column_names else "chunk"
         chunk = table.column(name)[0].as_py() if table.num_rows else 0
         columns = {"chunk": pa.array([chunk] * len(out), pa.int32())}
         return pa.table(columns | {name: pa.array([x[i] for x in out], kind) for i, (name, kind) in enumerate(fields)})
 
-    by_chunk = rows.groupBy("_chunk")
+    by_chunk = rows.groupBy(place)
     shared = by_chunk.applyInArrow(send_anchors, "chunk int, bucket int, hashes binary, several binary").groupBy("bucket").applyInArrow(find_shared, "chunk int, bucket int, bits binary")
     contexts = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(send_contexts, "chunk int, bucket int, lead binary, length binary, least binary, data binary")
 

@@ -250,6 +250,52 @@ def test_mixing(spark):
     assert mixing.mix(docs.limit(0), F.array("source")).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_routes_cost_the_least(seed):
+    """Every way to share a few words of overlapping patterns among the sources, against the flow."""
+    import itertools
+    import json
+
+    r = random.Random(seed)
+    patterns = {p: r.randint(1, 3) for p in ('["a"]', '["a","b"]', '["b"]')}
+    quotas = {"a": float(r.randint(0, 6)), "b": float(r.randint(0, 6))}
+    rows = mixing.route(patterns, quotas)
+    given, own = collections.Counter(), collections.Counter()
+    for pattern, k, source, words in rows:
+        assert source in json.loads(pattern) and 0 <= words
+        given[pattern, k] += words
+        own[source] += words
+    assert all(given[p, k] <= patterns[p] for p in patterns for k in (0, 1)) and all(own[x] <= quotas[x] for x in quotas)
+    best = None
+    choices = [range(2 * patterns['["a"]'] + 1), range(2 * patterns['["a","b"]'] + 1), range(2 * patterns['["a","b"]'] + 1), range(2 * patterns['["b"]'] + 1)]
+    for a, ab_a, ab_b, b in itertools.product(*choices):
+        use = {'["a"]': a, '["a","b"]': ab_a + ab_b, '["b"]': b}
+        if any(use[p] > 2 * patterns[p] for p in use) or a + ab_a > quotas["a"] or b + ab_b > quotas["b"]:
+            continue
+        cost = sum(max(use[p] - patterns[p], 0) for p in use)
+        best = min(best or (0, 0), (-sum(use.values()), cost))
+    assert (-sum(given.values()), sum(n for (_, k), n in given.items() if k)) == best
+
+
+def test_which_documents_are_taken(spark):
+    """Documents in the order of their seeded hash, as often as their middle lies below what each pass gives."""
+    rows = [(i, " ".join("w" * (1 + i % 9)), None, f"s{i % 3}") for i in range(120)]
+    got = mixing.mix(docs_of(spark, rows), F.array("source")).collect()
+    hashed = {x.doc_id: x.h for x in spark.createDataFrame([(i, f'["{s}"]', len(t.split())) for i, t, _, s in rows], "doc_id long, pattern string, size long").select("doc_id", F.xxhash64(F.lit(17), "doc_id", "pattern", "size").alias("h")).collect()}
+    sizes = collections.Counter()
+    for _, t, _, s in rows:
+        sizes[s] += len(t.split())
+    quotas = mixing.targets(dict(sizes))
+    for source in sizes:
+        room = [min(sizes[source], round(quotas[source])), max(0, round(quotas[source]) - sizes[source])]
+        order = sorted((hashed[i] % mixing.SLICES, hashed[i], i, len(t.split())) for i, t, _, s in rows if s == source)
+        at = 0
+        for *_, i, n in order:
+            middle = at + n - n / 2
+            at += n
+            assert [x.passes for x in got if x.doc_id == i] == [sum(middle < k for k in room)]
+
+
 def test_overlapping_sources(spark):
     rows = [(i, "w " * 10, None, None) for i in range(300)]
     docs = docs_of(spark, rows)
@@ -285,6 +331,19 @@ def test_followed(spark):
     assert alone.edited_sha256 == hashlib.sha256(b"abab").hexdigest()
 
 
+def test_fingerprints_against_sets(spark):
+    """Which five-word runs a sketch keeps, by hashing each run on its own."""
+    rows = [(i, t, *x) for i, (_, t, *x) in enumerate(corpus(n=60))]
+    got = {x.doc_id: x.fingerprint for x in fingerprint.fingerprints(docs_of(spark, rows)).collect()}
+    for i, t, *_ in rows:
+        w = WORD.findall(t or "")
+        runs = {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+        own = sorted({int(common.text_shingles(pa.array([x]), 5)[0][0]) for x in runs})
+        assert len(own) == len(runs)
+        kept = [h for h in own if h < 1 << 62] or own[:1]
+        assert got[i] == "".join(f"{h:016x}" for h in kept)
+
+
 def test_merge_is_the_union(spark):
     texts = [(1, "a b c d e f g h", None, None), (2, "q r s t u v w x y z", None, None)]
     f = {x.doc_id: x.fingerprint for x in fingerprint.fingerprints(docs_of(spark, texts)).collect()}
@@ -702,6 +761,29 @@ def test_substring_edges(spark):
     assert substring.digest(docs_of(spark, rows).limit(0)).count() == 0
     kept = {x.doc_id: (x.text, x.lang, x.n_chars) for x in substring.kept_texts(docs_of(spark, [(1, "é" * 60, "a", "s"), (2, "x" + "é" * 60 + "y", "b", "s"), (3, None, "c", "s")])).collect()}
     assert kept == {1: ("é" * 60, "a", 60), 2: ("xy", "b", 2), 3: (None, "c", 0)}
+    clashing = docs_of(spark, rows).withColumns({"_chunk": F.lit("mine"), "_chunk_": F.lit(7)})
+    assert {(x._chunk, x._chunk_) for x in substring.kept_texts(clashing).collect()} == {("mine", 7)}
+
+
+def test_substring_ids_that_repeat_in_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(substring, "CHUNK_TEXT", 500)
+    r = random.Random(6)
+    shared = "".join(r.choice("abcdef") for _ in range(80))
+    rows = [(5, "".join(r.choice("xyz") for _ in range(60)) + shared, None, None) for _ in range(30)] + [(9, "z" + shared + "z", None, None), (4, shared[:60], None, None)]
+    rows += [(None, shared + str(i), None, None) for i in range(30)]
+    got = sorted(tuple(x) for x in substring.digest(docs_of(spark, rows)).filter("doc_id is not null").collect())
+    first = {}
+    for i, t, *_ in rows:
+        for k in range(len(t) - 49):
+            if i is not None:
+                first[t[k : k + 50]] = min(first.get(t[k : k + 50], i), i)
+    want = []
+    for i, t, *_ in rows:
+        if i is not None:
+            gone = {j for k in range(len(t) - 49) if first[t[k : k + 50]] < i for j in range(k, k + 50)}
+            kept = "".join(x for j, x in enumerate(t) if j not in gone)
+            want.append((i, len(t), len(gone), sum(j - 1 not in gone for j in gone), hashlib.sha256(kept.encode()).hexdigest()))
+    assert got == sorted(want)
 
 
 # --- 10 language ID ----------------------------------------------------------------------------------------------------
@@ -732,9 +814,50 @@ def test_language_without_training(spark):
     docs = docs_of(spark, [(1, "abc", None, "s")])
     model = langid.fit(langid.training(docs))
     assert tuple(langid.predict(docs, model).select("lang_pred", "score", "rejected").first()) == ("und", 0.0, True)
+    assert langid.keep_known(docs, model).count() == 1
     assert langid.predict(docs.limit(0), model).count() == 0
 
 
+def test_language_against_plain_counting(spark):
+    rows = spoken(90) + [(700, "tha tha", None, "s"), (701, None, None, "s"), (702, "tha " * 20000, None, "s")]
+    docs = docs_of(spark, rows)
+    model = langid.fit(langid.training(docs), per_lang=10_000, clusters=2)
+    codes = langid._codes
+
+    def vector(text):
+        own = [int(x) for x in langid._letters[np.frombuffer((text or "").lower().encode(), np.uint8)]]
+        tf = collections.Counter()
+        for width, table in ((3, codes[:3]), (2, codes[3:])):
+            for k in range(len(own) - width + 1):
+                run = own[k : k + width]
+                if run[:2] != [32, 32]:
+                    slot = 0
+                    for j, x in enumerate(run):
+                        slot ^= int(table[j][x])
+                    tf[slot] += 1
+        return tf
+
+    learned = [(lang, vector(t)) for i, t, lang, _ in rows if t is not None and lang and zlib.crc32(str(i).encode()) % 5]
+    df = collections.Counter(slot for _, v in learned for slot in v)
+    idf = {slot: np.log((1 + len(learned)) / (1 + df[slot])) + 1 for slot in range(langid.DIMS)}
+    assert model.idf.tolist() == pytest.approx([idf[k] for k in range(langid.DIMS)], rel=1e-5)
+    got = {x.doc_id: x for x in langid.predict(docs, model).collect()}
+    for i, t, *_ in rows:
+        own = {k: np.log1p(n) * idf[k] for k, n in vector(t).items()}
+        norm = np.sqrt(sum(x * x for x in own.values())) or 1
+        cosine = [sum(x / norm * float(center[k]) for k, x in own.items()) for center in model.matrix]
+        if t is None:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+        else:
+            assert got[i].score == pytest.approx(max(cosine), abs=1e-4) and got[i].lang_pred == model.langs[model.owner[int(np.argmax(cosine))]]
+
+
+def test_language_ties_go_to_the_first(spark):
+    row = np.ones((1, langid.DIMS), np.float32) / np.sqrt(langid.DIMS)
+    model = langid.Centroids(["aa", "bb"], np.array([0, 1]), np.ones(langid.DIMS, np.float32), np.concatenate([row, row]), 0.0)
+    assert langid.label(model, pa.array(["some text"]))[0] == ["aa"]
+
+
 # --- registry and pipeline ---------------------------------------------------------------------------------------------
 
 
