@@ -32,7 +32,7 @@ from tokenizers import Tokenizer
 from .common import map_batches, small_batches
 
 #: Entries of a worker's caches of encoded words and chunks; they start anew when full, results don't depend on them.
-CACHE = 200_000
+CACHE = 400_000
 _odd_space = re.compile("[\x1c-\x1f]")
 _white = re.compile("[\t-\r \x85\xa0  -     　]+")
 
