@@ -31,7 +31,7 @@ from tokenizers import Tokenizer
 
 from .common import map_batches, small_batches
 
-#: Entries of a worker's caches of encoded words and chunks; they start anew when full, results don't depend on them.
+#: Entries of a worker's caches of encoded words and chunks; they start anew when full and are given up when a task ends. Results don't depend on them.
 CACHE = 400_000
 _odd_space = re.compile("[\x1c-\x1f]")
 _white = re.compile("[\t-\r \x85\xa0  -     　]+")
@@ -106,15 +106,20 @@ class Codec:
         self.assigned: set[str] = set()
         self.longest = max(map(len, chain(self.inner, self.final)))
         self.size = {i: len(x) for x, i in chain(self.inner.items(), self.final.items())}
-        self.fits: dict[int, bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.cache: dict[str | tuple[int, ...], int] = {}
-        self.pool, self.spans = Growing(np.int32), Growing(np.int64, 2)
+        self.forget()
         names = [""] * (max(self.names) + 1)
         for i, token in self.names.items():
             names[i] = token
         self.name_array, self.digit_array = pa.array(names, pa.string()), pa.array([str(i) for i in range(len(names))], pa.string())
 
+    def forget(self) -> None:
+        """Empties the caches."""
+        self.fits: dict[int, bool] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str | tuple[int, ...], int] = {}
+        self.pool, self.spans = Growing(np.int32), Growing(np.int64, 2)
+        pa.default_memory_pool().release_unused()
+
     def _own(self, token: int) -> bool:
         left, right = self.parts[token]
         return self.pair.get((left, right)) == self.rank[token] and all(x not in self.parts or self._own(x) for x in (left, right)) and self._side(left, right, self.rank[token])
@@ -289,7 +294,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         ids, offsets = codec(vocab.value).encode_flat([x or "" for x in batch.column("text").to_pylist()])
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))], ["doc_id", "token_ids"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), step, "doc_id long, token_ids array<int>")
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), step, "doc_id long, token_ids array<int>", done=lambda: codec(vocab.value).forget())
 
 
 def digest(docs: DataFrame, path: str, keep: list[str] | None = None, ids_too: bool = False) -> DataFrame:
@@ -309,4 +314,4 @@ def digest(docs: DataFrame, path: str, keep: list[str] | None = None, ids_too: b
         return pa.RecordBatch.from_arrays([*[batch.column(x) for x in names], *made], [*names, "n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * ids_too])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(keep or []), "text")
-    return map_batches(rows, step, ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids_too)
+    return map_batches(rows, step, ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids_too, done=lambda: codec(vocab.value).forget())
