@@ -74,6 +74,22 @@ def transition(confirmed: Column, scoped: Column, applied: Column, changed: Colu
     return state, state == "READY_FOR_GUARDED_REINGESTION"
 
 
+# The action that each release state asks for.
+ACTION = {
+    "CURRENT_SCOPED_RECONCILED": "NO_ACTION_SCOPED_CURRENT",
+    "READY_FOR_GUARDED_REINGESTION": "BUILD_ISOLATED_CANDIDATE",
+    "CURRENT_LEGAL_CONFIRMED_WAITING_UPSTREAM_PROJECTION": "WAIT_FOR_UPSTREAM_CHANGE",
+    "UPCOMING_HOLD_NO_RELEASE_DATE": "WAIT_FOR_OFFICIAL_CURRENT_LEGAL_EVIDENCE",
+    "PRE_RELEASE_HOLD": "WAIT_UNTIL_RELEASE_DATE_THEN_RECHECK_OFFICIAL_CURRENTNESS",
+    "RELEASE_DATE_REACHED_AWAITING_OFFICIAL_CURRENTNESS": "REQUIRE_OFFICIAL_CURRENT_LEGAL_CONFIRMATION",
+}
+
+
+def transition_action(state: Column) -> Column:
+    """What a release state asks for; another state gives null."""
+    return case([(state == k, v) for k, v in ACTION.items()])
+
+
 # Watch status and action of each release state.
 WATCH = {
     "PRE_RELEASE_HOLD": ("NO_ACTION", "WAIT_PRE_RELEASE"),

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
 from .flow import Network
 from .gates import feasibility, overall_status
 from .pricing import parse_bands, price
-from .relational import duplicate_ids, only_one
+from .relational import only_one
 
 BUILD_COST, CONVERSION_COST = 10, 100
 ALLOCATION = "roster_id string, pool_id string, unit string, readiness string, mode string, bodies long"
@@ -113,9 +113,10 @@ def physical_state(rosters: DataFrame, deficits: DataFrame, components: DataFram
 def scoped_checks(units: DataFrame, catalog: DataFrame, bands: DataFrame) -> DataFrame:
     """Requested units (roster_id, row_id, id, unit, models; names normalised) with uniqueness, resolution, copy number, points and status.
 
-    Copies are numbered among resolved units with a unique id, in request order; a unit without a price fails but keeps its place.
+    Copies are numbered among resolved units with a unique id, in request order; a unit without a price fails but keeps its place. Blank ids fail.
     """
-    marked = duplicate_ids(units.withColumn("_k", F.concat_ws("\n", "roster_id", "id")), "_k", "row_id").withColumnRenamed("status", "id_status").drop("_k")
+    first = F.row_number().over(Window.partitionBy("roster_id", "id").orderBy("row_id")) == 1
+    marked = units.withColumn("id_status", F.when(first & F.col("id").isNotNull() & (F.col("id") != ""), "PASS").otherwise("FAIL"))
     known = only_one(catalog.select("unit", F.lit(True).alias("known")), "unit")
     found = marked.join(known, "unit", "left")
     usable = (F.col("id_status") == "PASS") & F.col("known")
@@ -145,6 +146,54 @@ def attachments(pairs: DataFrame, units: DataFrame, leads: DataFrame) -> DataFra
     return out.select("roster_id", "leader_ref", "bodyguard_ref", "leader", "bodyguard", F.when(reason.isNull(), "PASS").otherwise("FAIL").alias("status"), reason.alias("reason"))
 
 
+def scoped_rows(requests: dict[str, DataFrame], rules: dict[str, DataFrame]) -> DataFrame:
+    """Every scoped check of every roster but the points limit: (roster_id, check, subject, points, status).
+
+    `requests` has rosters (roster_id, detachment, points_limit), units (as in scoped_checks), wargear (roster_id, row_id of its unit, item, quantity),
+    enhancements (roster_id, name) and attachments (roster_id, leader_ref, bodyguard_ref). `rules` has units, bands, detachments (detachment),
+    wargear (unit, item, points), enhancements (detachment, name, points) and leads (leader, bodyguard). Names are normalised; a price is the largest
+    where its key repeats. A detachment that isn't named once is none, and no enhancement is in it. Wargear of a unit that isn't resolved is not
+    looked at; that of a unit without a price is checked, but adds no points. A quantity that isn't given is one.
+    """
+    units = scoped_checks(requests["units"], rules["units"], rules["bands"])
+    resolved = units.filter(F.col("check") == "unit_size_and_copy_tier").select("roster_id", "row_id", "id", "unit", F.col("points").alias("base"))
+    detachments = only_one(rules["detachments"].select("detachment", F.lit(True).alias("known")), "detachment")
+    rosters = requests["rosters"].select("roster_id", "detachment").join(detachments, "detachment", "left")
+
+    paid = requests["wargear"].select("roster_id", "row_id", "item", F.coalesce("quantity", F.lit(1)).alias("quantity")).join(resolved, ["roster_id", "row_id"])
+    paid = wargear_costs(paid, rules["wargear"].groupBy("unit", "item").agg(F.max("points").alias("points")))
+    offered = rules["enhancements"].groupBy("detachment", "name").agg(F.max("points").alias("points"))
+    chosen = requests["enhancements"].select("roster_id", "name").join(rosters.filter("known").select("roster_id", "detachment"), "roster_id", "left").join(offered, ["detachment", "name"], "left")
+    leaders = attachments(requests["attachments"], resolved, rules["leads"])
+
+    def rows(df: DataFrame, check: Column, subject: Column, points: Column, status: Column) -> DataFrame:
+        return df.select("roster_id", check.alias("check"), subject.cast("string").alias("subject"), points.cast("long").alias("points"), status.alias("status"))
+
+    passed = lambda ok: F.when(F.coalesce(ok, F.lit(False)), "PASS").otherwise("FAIL")
+    none = F.lit(None)
+    out = rows(rosters, F.lit("detachment_exists"), F.col("detachment"), none, passed(F.col("known")))
+    out = out.union(rows(units, F.col("check"), F.col("id"), F.col("points"), F.col("status")))
+    out = out.union(rows(paid, F.lit("paid_wargear_cost"), F.col("item"), F.when(F.col("base").isNotNull(), F.col("points")), F.col("status")))
+    out = out.union(rows(chosen, F.lit("enhancement_exists_in_detachment"), F.col("name"), F.col("points"), passed(F.col("points").isNotNull())))
+    return out.union(rows(leaders, F.lit("leader_relation"), F.concat_ws("|", "leader_ref", "bodyguard_ref"), none, F.col("status")))
+
+
+def evaluate(requests: dict[str, DataFrame], rules: dict[str, DataFrame], physical: DataFrame) -> DataFrame:
+    """One row for each requested roster: its points, the number of failed checks (the points limit among them, where there is one), legality and status.
+
+    `requests` and `rules` are those of scoped_rows; `physical` (roster_id, physical_state) has every roster. A roster id that is requested twice is an error of
+    the caller's: it gives two rows.
+    """
+    sums = lambda name, own: F.coalesce(F.sum(F.when(own, F.col("points"))), F.lit(0)).alias(name)
+    bonus = F.col("check") == "enhancement_exists_in_detachment"
+    totals = scoped_rows(requests, rules).groupBy("roster_id").agg(F.count_if(F.col("status") == "FAIL").alias("failed"), sums("unit_points", ~bonus), sums("enhancement_points", bonus))
+    out = requests["rosters"].select("roster_id", F.col("points_limit").cast("long").alias("points_limit")).join(totals, "roster_id", "left").join(physical.select("roster_id", "physical_state"), "roster_id", "left")
+    total = F.col("unit_points") + F.col("enhancement_points")
+    out = out.withColumn("points", total).withColumn("failed", F.col("failed") + F.coalesce(F.col("points") > F.col("points_limit"), F.lit(False)).cast("long"))
+    legality = F.when(F.col("failed") > 0, "FAIL").otherwise("PASS")
+    return out.select("roster_id", "unit_points", "enhancement_points", "points", "points_limit", "failed", legality.alias("scoped_legality"), "physical_state", overall_status(F.col("failed"), F.col("physical_state")).alias("status"))
+
+
 def roster_status(checks: DataFrame, physical: DataFrame) -> DataFrame:
     """One status for each roster from its failed checks and its feasibility."""
     failed = checks.groupBy("roster_id").agg(F.count_if(F.col("status") == "FAIL").alias("failed"))

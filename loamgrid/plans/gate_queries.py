@@ -50,6 +50,14 @@ def transition_state(spark, sf_dir):
     return _transitions(spark, sf_dir)
 
 
+@query(f"""
+WITH {_TRANSITION_SQL} SELECT user_id, CASE state WHEN 'CURRENT_SCOPED_RECONCILED' THEN 'NO_ACTION_SCOPED_CURRENT' WHEN 'READY_FOR_GUARDED_REINGESTION' THEN 'BUILD_ISOLATED_CANDIDATE' WHEN 'CURRENT_LEGAL_CONFIRMED_WAITING_UPSTREAM_PROJECTION' THEN 'WAIT_FOR_UPSTREAM_CHANGE'
+ WHEN 'UPCOMING_HOLD_NO_RELEASE_DATE' THEN 'WAIT_FOR_OFFICIAL_CURRENT_LEGAL_EVIDENCE' WHEN 'PRE_RELEASE_HOLD' THEN 'WAIT_UNTIL_RELEASE_DATE_THEN_RECHECK_OFFICIAL_CURRENTNESS' ELSE 'REQUIRE_OFFICIAL_CURRENT_LEGAL_CONFIRMATION' END AS action FROM st
+""")
+def transition_action(spark, sf_dir):
+    return _transitions(spark, sf_dir).select("user_id", G.transition_action(F.col("state")).alias("action"))
+
+
 @query(f"""
 WITH {_TRANSITION_SQL}, w AS (SELECT CASE state WHEN 'READY_FOR_GUARDED_REINGESTION' THEN 'READY_FOR_CANDIDATE' WHEN 'RELEASE_DATE_REACHED_AWAITING_OFFICIAL_CURRENTNESS' THEN 'ACTION_REQUIRED'
   WHEN 'CURRENT_LEGAL_CONFIRMED_WAITING_UPSTREAM_PROJECTION' THEN 'MONITORING' ELSE 'NO_ACTION' END AS s, user_id % 10 AS fleet FROM st)
@@ -229,3 +237,45 @@ UNION ALL SELECT 'part', CAST(p_partkey AS VARCHAR), 'p_brand.enum', 'ERROR' FRO
 def schema_contract(spark, sf_dir):
     schema = {"required": ["p_partkey", "p_name"], "properties": {"p_size": {"minimum": 1, "maximum": 40}, "p_brand": {"enum": ["Brand#1", "Brand#2"]}}}
     return V.schema_violations(table(spark, sf_dir, "part"), "part", "p_partkey", schema)
+
+
+@query("""
+WITH o AS (SELECT o_orderkey AS k, o_custkey % 5 + 1 AS d, CASE WHEN o_orderkey % 7 <> 0 THEN 60 END AS points_limit, CASE o_orderstatus WHEN 'P' THEN 'INFEASIBLE_FROM_SNAPSHOT' WHEN 'F' THEN 'UNKNOWN_COMPONENT_FEASIBILITY' ELSE 'FEASIBLE_PROVISIONAL' END AS physical_state FROM orders),
+u AS (SELECT l_orderkey AS k, n, CASE WHEN l_partkey % 11 <> 0 THEN n % 6 END AS id, l_returnflag AS unit, l_linestatus AS name, CASE WHEN n % 2 = 0 THEN 5 ELSE 10 END AS models, l_suppkey % 3 AS item, CAST(l_quantity AS BIGINT) % 3 AS quantity FROM
+ (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, l_linestatus) AS n FROM lineitem)),
+g AS (SELECT *, id IS NOT NULL AND unit <> 'R' AND row_number() OVER (PARTITION BY k, id ORDER BY n) = 1 AS usable FROM u),
+c AS (SELECT *, row_number() OVER (PARTITION BY k, unit, usable ORDER BY n) AS copy_no FROM g),
+p AS (SELECT *, CASE WHEN usable AND copy_no <= 3 THEN models * 2 WHEN usable AND models = 5 THEN 15 END AS base, CASE WHEN usable AND item = 0 THEN quantity * CASE unit WHEN 'A' THEN 4 ELSE 3 END END AS paid FROM c),
+t AS (SELECT k, count(*) FILTER (WHERE base IS NULL) + count(*) FILTER (WHERE usable AND item = 1) AS failed, sum(CASE WHEN base IS NULL THEN 0 ELSE base + coalesce(paid, 0) END) AS unit_points,
+ max(CASE WHEN usable AND id = 1 THEN unit END) AS leader, max(CASE WHEN usable AND id = 2 THEN unit END) AS bodyguard, max(CASE WHEN n = 1 THEN name END) AS name FROM p GROUP BY k),
+e AS (SELECT o.*, coalesce(failed, 0) AS failed, coalesce(unit_points, 0) AS unit_points, leader, bodyguard, name, CASE WHEN d = 1 AND name = 'O' THEN 10 WHEN d = 2 AND name = 'F' THEN 15 END AS bonus FROM o LEFT JOIN t USING (k)),
+f AS (SELECT *, unit_points + coalesce(bonus, 0) AS points, failed + CASE WHEN d > 3 THEN 1 ELSE 0 END + CASE WHEN name IS NOT NULL AND bonus IS NULL THEN 1 ELSE 0 END + CASE WHEN bodyguard = 'A' AND leader IS NOT NULL THEN 0 ELSE 1 END AS before FROM e),
+s AS (SELECT *, before + CASE WHEN points > points_limit THEN 1 ELSE 0 END AS total_failed FROM f)
+SELECT CAST(k AS VARCHAR) AS roster_id, CAST(unit_points AS BIGINT) AS unit_points, CAST(coalesce(bonus, 0) AS BIGINT) AS enhancement_points, CAST(points AS BIGINT) AS points, CAST(points_limit AS BIGINT) AS points_limit, CAST(total_failed AS BIGINT) AS failed,
+ CASE WHEN total_failed > 0 THEN 'FAIL' ELSE 'PASS' END AS scoped_legality, physical_state, CASE WHEN total_failed > 0 THEN 'INVALID_SCOPED_RULES' WHEN physical_state LIKE 'INF%' THEN 'SCOPED_RULES_PASS_PHYSICAL_INFEASIBLE' WHEN physical_state LIKE 'UNK%' THEN 'SCOPED_RULES_PASS_PHYSICAL_UNKNOWN' ELSE 'SCOPED_RULES_PASS_PHYSICAL_FEASIBLE' END AS status FROM s
+""")
+def roster_evaluation(spark, sf_dir):
+    """All eight scoped checks of every order as a roster, with one status."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    rosters = orders.select(F.col("o_orderkey").cast("string").alias("roster_id"), (F.col("o_custkey") % 5 + 1).alias("detachment"), F.expr("case when o_orderkey % 7 <> 0 then 60 end").alias("points_limit"), "o_orderstatus")
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"))
+    u = lines.withColumns({"roster_id": F.col("l_orderkey").cast("string"), "row_id": place})
+    frame = spark.createDataFrame
+    requests = {
+        "rosters": rosters,
+        "units": u.select("roster_id", "row_id", F.expr("case when l_partkey % 11 <> 0 then cast(row_id % 6 as string) end").alias("id"), F.col("l_returnflag").alias("unit"), F.expr("case when row_id % 2 = 0 then 5 else 10 end").alias("models")),
+        "wargear": u.filter("l_suppkey % 3 < 2").select("roster_id", "row_id", F.expr("case when l_suppkey % 3 = 0 then 'blade' else 'relic' end").alias("item"), (F.col("l_quantity").cast("long") % 3).alias("quantity")),
+        "enhancements": u.filter("row_id = 1").select("roster_id", F.col("l_linestatus").alias("name")),
+        "attachments": rosters.select("roster_id", F.lit("1").alias("leader_ref"), F.lit("2").alias("bodyguard_ref")),
+    }
+    bands = [(x, b, r, m, m * p) for x in "AN" for b, r, p, sizes in ((0, "[1,3]", 2, (5, 10)), (1, "[4,)", 3, (5,))) for m in sizes]
+    rules = {
+        "units": frame([("A",), ("N",)], "unit string"),
+        "bands": frame(bands, "unit string, band_no int, range string, models int, points int"),
+        "detachments": frame([(1,), (2,), (3,), (4,), (4,)], "detachment long"),
+        "wargear": frame([("A", "blade", 4), ("N", "blade", 3)], "unit string, item string, points int"),
+        "enhancements": frame([(1, "O", 10), (2, "F", 15), (4, "O", 20)], "detachment long, name string, points int"),
+        "leads": frame([("A", "A"), ("N", "A")], "leader string, bodyguard string"),
+    }
+    state = F.expr("case o_orderstatus when 'P' then 'INFEASIBLE_FROM_SNAPSHOT' when 'F' then 'UNKNOWN_COMPONENT_FEASIBILITY' else 'FEASIBLE_PROVISIONAL' end")
+    return S.evaluate(requests, rules, rosters.select("roster_id", state.alias("physical_state")))

@@ -590,3 +590,53 @@ def test_literals_and_bounds(spark):
     assert [r.m for r in got] == [False, True]
     with pytest.raises(ValueError):
         sinks.markdown(spark.range(3).toDF("n"), "t", most=2)
+
+
+def _request(spark, **tables):
+    kinds = {
+        "rosters": "roster_id string, detachment string, points_limit int", "units": "roster_id string, row_id int, id string, unit string, models int", "wargear": "roster_id string, row_id int, item string, quantity int",
+        "enhancements": "roster_id string, name string", "attachments": "roster_id string, leader_ref string, bodyguard_ref string",
+    }
+    rules = {
+        "units": spark.createDataFrame([("elf",), ("orc",), ("orc",)], "unit string"),
+        "bands": spark.createDataFrame([("elf", 0, "[1,1]", 5, 50), ("elf", 1, "[2,)", 5, 70)], "unit string, band_no int, range string, models int, points int"),
+        "detachments": spark.createDataFrame([("wood",), ("twin",), ("twin",)], "detachment string"),
+        "wargear": spark.createDataFrame([("elf", "bow", 5)], "unit string, item string, points int"),
+        "enhancements": spark.createDataFrame([("wood", "cloak", 20), ("twin", "cloak", 1)], "detachment string, name string, points int"),
+        "leads": spark.createDataFrame([("elf", "elf")], "leader string, bodyguard string"),
+    }
+    return {k: spark.createDataFrame(tables.get(k, []), v) for k, v in kinds.items()}, rules
+
+
+def test_roster_checks(spark):
+    requests, rules = _request(
+        spark,
+        rosters=[("ok", "wood", 145), ("tight", "wood", 144), ("twin", "twin", None), ("bare", None, 0), ("bad", "wood", None)],
+        units=[(r, n, str(n), "elf", 5) for r in ("ok", "tight") for n in (1, 2)] + [("bad", 1, None, "elf", 5), ("bad", 2, "", "elf", 5), ("bad", 3, "a", "elf", 6), ("bad", 4, "a", "elf", 5), ("bad", 5, "b", "orc", 5), ("bad", 6, "c", None, 5)],
+        wargear=[("ok", 2, "bow", None), ("tight", 1, "bow", 1), ("bad", 3, "bow", 2), ("bad", 3, "axe", 1), ("bad", 4, "bow", 1), ("bad", 5, "axe", 1)],
+        enhancements=[("ok", "cloak"), ("tight", "cloak"), ("twin", "cloak"), ("bad", None)],
+        attachments=[("ok", "1", "2"), ("bad", "a", "b")],
+    )
+    found = S.scoped_rows(requests, rules).filter("roster_id = 'bad'").select("check", "subject", "points", "status").collect()
+    assert sorted(repr(tuple(r)) for r in found) == sorted(map(repr, [
+        ("detachment_exists", "wood", None, "PASS"), ("unique_unit_id", None, None, "FAIL"), ("unique_unit_id", "", None, "FAIL"), ("unit_size_and_copy_tier", "a", None, "FAIL"), ("unique_unit_id", "a", None, "FAIL"),
+        ("unit_exists", "b", None, "FAIL"), ("unit_exists", "c", None, "FAIL"), ("paid_wargear_cost", "bow", None, "PASS"), ("paid_wargear_cost", "axe", None, "FAIL"), ("enhancement_exists_in_detachment", None, None, "FAIL"),
+        ("leader_relation", "a|b", None, "FAIL"),
+    ]))
+    physical = requests["rosters"].select("roster_id", F.expr("case when roster_id = 'ok' then 'INFEASIBLE_FROM_SNAPSHOT' else 'FEASIBLE_PROVISIONAL' end").alias("physical_state"))
+    got = {r["roster_id"]: (r["unit_points"], r["enhancement_points"], r["failed"], r["scoped_legality"], r["status"]) for r in S.evaluate(requests, rules, physical).collect()}
+    assert got == {
+        "ok": (125, 20, 0, "PASS", "SCOPED_RULES_PASS_PHYSICAL_INFEASIBLE"), "tight": (125, 20, 1, "FAIL", "INVALID_SCOPED_RULES"), "twin": (0, 0, 2, "FAIL", "INVALID_SCOPED_RULES"),
+        "bare": (0, 0, 1, "FAIL", "INVALID_SCOPED_RULES"), "bad": (0, 0, 9, "FAIL", "INVALID_SCOPED_RULES"),
+    }
+
+
+def test_roster_checks_of_nothing(spark):
+    requests, rules = _request(spark)
+    assert S.evaluate(requests, rules, spark.createDataFrame([], "roster_id string, physical_state string")).collect() == []
+
+
+def test_every_release_state_has_an_action(spark):
+    states = spark.createDataFrame([(s,) for s in [*G.WATCH, "other", None]], "s string")
+    got = {r["s"]: r["a"] for r in states.select("s", G.transition_action(F.col("s")).alias("a")).collect()}
+    assert got == {**G.ACTION, "other": None, None: None} and set(G.ACTION) == set(G.WATCH)
