@@ -160,20 +160,34 @@ class Tree:
         for s in range(0, len(at), rows):
             same = np.arange(s, min(s + rows, len(at)))
             yield items(same, same)
+        def wholes() -> list[np.ndarray]:
+            """For every node of each level the label that all its items have, -1 where they differ."""
+            low = high = label[own]
+            found = []
+            for width, *_ in reversed(self.levels):
+                ends = np.arange(0, len(low), width)
+                low, high = np.minimum.reduceat(low, ends), np.maximum.reduceat(high, ends)
+                found.append(np.where(low == high, low, -1))
+            return found[::-1]
+
         stack = [(0, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        whole, spent = wholes(), 0
         while stack:
             level, a, b = stack.pop()
+            if spent > len(own):  # components only grow: labels read earlier leave out less, never more
+                whole, spent = wholes(), 0
+            spent += min(len(a), rows) * points.shape[1]
             if len(a) > rows:
                 stack.append((level, a[rows:], b[rows:]))
                 a, b = a[:rows], b[:rows]
+            apart = (whole[level][a] < 0) | (whole[level][a] != whole[level][b])
+            a, b = a[apart], b[apart]
             may = self._meet(level, a, b, rule)
             a, b = a[may], b[may]
             if level == len(self.levels) - 1:
                 a, b = a[a != b], b[a != b]
-                lows, highs = np.minimum.reduceat(label[own], at), np.maximum.reduceat(label[own], at)
-                done = (lows[a] == highs[a]) & (lows[b] == highs[b]) & (lows[a] == lows[b])
-                if not done.all():
-                    yield items(a[~done], b[~done])
+                if len(a):
+                    yield items(a, b)
             elif len(a):
                 below = len(self.levels[level + 1][1])
                 width = self.levels[level][0]
@@ -258,17 +272,33 @@ def _edges_in(keys: np.ndarray, who: np.ndarray, points: list[np.ndarray], n: np
 
 
 def linked(values: list[np.ndarray], rule: Rule) -> np.ndarray:
-    """For every set the number of the first set of its component, by verified links alone."""
+    """For every set the number of the first set of its component, by verified links alone.
+
+    Sets are taken by size. One is marked in a table of the tile's distinct shingles and all the tree's candidates that come later and are
+    not in its component yet are counted against it in one step, so a set costs the shingles of its open candidates.
+    """
     n = np.array([len(v) for v in values])
-    label = np.arange(len(values))
-    width = int(dims(n.max(keepdims=True))[0])
-    tree = Tree(np.stack([point(v, width) for v in values]), n)
+    label, open_ = np.arange(len(values)), np.ones(len(values), bool)
+    tree = Tree(np.stack([point(v, int(dims(n.max(keepdims=True))[0])) for v in values]), n)
+    distinct, code = np.unique(np.concatenate(values), return_inverse=True)
+    code, starts = code.astype(np.int32), np.cumsum(n) - n
+    marked = np.zeros(len(distinct), bool)
     for i in np.argsort(n, kind="stable").tolist():
+        open_[i] = False
         near = tree.near(tree.points[i], int(n[i]), rule)
-        for j in near[label[near] != label[i]].tolist():
-            if label[i] != label[j] and rule.enough(len(np.intersect1d(values[i], values[j], assume_unique=True)), int(n[i]), int(n[j])):
-                low, high = min(label[i], label[j]), max(label[i], label[j])
-                label[label == high] = low
+        near = near[open_[near] & (label[near] != label[i])]
+        if not len(near):
+            continue
+        own = code[starts[i] : starts[i] + n[i]]
+        marked[own] = True
+        first = np.cumsum(n[near]) - n[near]
+        at = np.repeat(starts[near] - first, n[near]) + np.arange(int(n[near].sum()))
+        both = np.add.reduceat(marked[code[at]].astype(np.int64), first)
+        marked[own] = False
+        hit = near[rule.enough(both, n[i], n[near])]
+        if len(hit):
+            joined = np.unique(np.append(label[hit], label[i]))
+            label[np.isin(label, joined)] = joined[0]
     return label
 
 
@@ -390,7 +420,7 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     if grouped.split:
         found = components(verified).select(F.col("node").alias("sid"), F.col("component").alias("root"))
     else:
-        found = verified.select(F.col("a").alias("sid"), F.col("b").alias("root"))
+        found = cut(verified.select(F.col("a").alias("sid"), F.col("b").alias("root")))  # read twice below
     # sets are joined by their own ids; the smallest document id of each component is looked up at the end
     within = found.join(classes.select("sid", "class_id"), "sid")
     lowest = within.groupBy("root").agg(F.min("class_id").alias("component_id"))
