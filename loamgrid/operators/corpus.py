@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_short_label, fingerprint_normalize, rule_refs, shingles, token_count
+from ..functions.text import clean_short_label, fingerprint_normalize, name_norm, rule_refs, shingles, token_count
+from .relational import last_by_key
 
 
 def lines(pages: DataFrame, key: list[str], text: str = "text") -> DataFrame:
@@ -180,6 +181,21 @@ def provenance(hits: DataFrame, units: DataFrame) -> DataFrame:
     return by.select("unit_key", "documents", scope.alias("provenance_scope"), match.alias("match_class"))
 
 
+def pack_mapping(factions: DataFrame, sources: DataFrame, documents: DataFrame, aliases: dict[str, str], order: str, edition: str = "11", kind: str = "Faction Pack") -> DataFrame:
+    """(faction_id, source_id, document_id): each faction's pack by its normalised name or that name's alias, if a document of it is there.
+
+    factions: id, name; sources: id, name, edition, type; documents: source_id, document_id; all with `order`, by which the last of equal names, sources
+    or ids counts (a name's last source counts even where it has no document). A null name is an empty one. `aliases` is a fixed table of normalised names.
+    """
+    name = name_norm(F.coalesce("name", F.lit("")))
+    other = F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair]) if aliases else None
+    packs = sources.filter((F.col("edition").cast("string") == edition) & (F.col("type") == kind))
+    packs = last_by_key(packs.select(name.alias("_name"), F.col("id").alias("source_id"), order), order, "_name").drop(order)
+    held = last_by_key(documents.filter("source_id is not null and cast(source_id as string) <> ''").select("source_id", "document_id", order), order, "source_id").drop(order)
+    asked = factions.withColumn("_n", name).select(F.col("id").alias("faction_id"), (F.coalesce(F.try_element_at(other, "_n"), "_n") if aliases else F.col("_n")).alias("_name"), order)
+    return last_by_key(asked.join(packs, "_name").join(held, "source_id"), order, "faction_id").select("faction_id", "source_id", "document_id")
+
+
 def document_hash(pages: DataFrame) -> DataFrame:
     """SHA-256 of a document's normalised pages in order."""
     from .aggregates import ordered_hash

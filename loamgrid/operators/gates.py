@@ -395,3 +395,33 @@ def currentness(reach: DataFrame, profiles: DataFrame, sources: DataFrame) -> Da
 
 def coverage_gate(result: Column, coverage: Column, required: bool) -> Column:
     return F.when((result == "PASS") & (F.lit(not required) | (F.coalesce(coverage, F.lit(0)) >= 100)), "PASS").otherwise("PENDING")
+
+
+#: Report states that may be synced.
+SYNCABLE = ("PASS", "PASS_WITH_KNOWN_RUNTIME_DRIFT")
+
+
+def runtime_sync(report: DataFrame) -> DataFrame:
+    """What a runtime report (one row) adds to the release state; reading fails on another schema, an unresolved state or new drift.
+
+    report: schema_version, status, resolved, and points and surfaces as structs of checks, matched, known_drift_count, new_drift_count (null: 0) and
+    known_drifts (array of structs with known_drift_id; null and empty ids are left out).
+    """
+    count = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(0))
+    new = count("points.new_drift_count") + count("surfaces.new_drift_count")
+    anew = (count("points.new_drift_count") != 0) | (count("surfaces.new_drift_count") != 0)
+    refuse = lambda why: F.raise_error(why).cast("boolean")
+    fine = (
+        F.when(~F.col("schema_version").eqNullSafe("2.0"), refuse(F.lit("the report's schema must be 2.0")))
+        .when(~F.coalesce(F.col("status").isin(*SYNCABLE), F.lit(False)), refuse(F.concat(F.lit("unresolved state: "), F.coalesce("status", F.lit("none")))))
+        .when(anew, refuse(F.lit("unclassified drift"))).otherwise(True)
+    )
+    none = F.array().cast("array<string>")
+    ids = F.concat(*[F.coalesce(F.col(f"{side}.known_drifts.known_drift_id"), none) for side in ("points", "surfaces")])
+    return report.filter(fine).select(
+        F.col("status").alias("state"), F.col("resolved").alias("roster_identities_resolved"),
+        F.col("points.checks").alias("representative_point_checks"), F.col("points.matched").alias("representative_point_matches"), F.col("points.known_drift_count").alias("known_point_drifts"),
+        F.col("surfaces.checks").alias("representative_surface_checks"), F.col("surfaces.matched").alias("representative_surface_matches"), F.col("surfaces.known_drift_count").alias("known_surface_drifts"),
+        (count("points.known_drift_count") + count("surfaces.known_drift_count")).alias("known_runtime_drifts"), new.alias("new_runtime_drifts"),
+        F.filter(ids, lambda x: x.isNotNull() & (x != "")).alias("active_known_drift_ids"),
+    )

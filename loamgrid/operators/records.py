@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .relational import only_one
+from .relational import last_by_key, only_one
 
 
 def expected_hashes(docs: DataFrame, kinds: dict[str, tuple[str, list[str], list[str]]]) -> DataFrame:
@@ -36,6 +36,14 @@ def exactly_one(df: DataFrame, condition: Column, what: str) -> DataFrame:
     return found.join(F.broadcast(n), F.col("_n") == 1).drop("_n")
 
 
+def passed(documents: DataFrame, report: DataFrame, key: str, order: str) -> DataFrame:
+    """Documents by key (of repeated ones the last in `order`), if the report they come from, one row with a status, is a PASS; else an error."""
+    states = [r["status"] for r in report.select("status").take(2)]
+    if states != ["PASS"]:
+        raise ValueError(f"the report is not PASS: {states}")
+    return last_by_key(documents, order, key)
+
+
 def unique_names(df: DataFrame, key: str) -> DataFrame:
     return only_one(df, key)
 

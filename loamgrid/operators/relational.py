@@ -251,6 +251,19 @@ def same_identity(left: DataFrame, right: DataFrame, *key: str) -> DataFrame:
     return row.withColumn("same", (F.col("missing") == 0) & (F.col("extra") == 0))
 
 
+def joined_if_same(first: DataFrame, others: dict[str, DataFrame], key: str, order: str) -> DataFrame:
+    """Rows of `first` with a struct of each other table's columns; reading fails unless all have the same set of keys.
+
+    Where another table repeats a key its last row in `order` counts. A null key meets nothing, so it fails too. Everything hashes to one partitioning.
+    """
+    out, same = first.withColumn("_in_first", F.lit(True)), F.col("_in_first")
+    for name, df in others.items():
+        last = last_by_key(df, order, key).select(key, F.struct(*[c for c in df.columns if c not in (key, order)]).alias(name))
+        out, same = out.join(last, key, "full_outer"), same & F.col(name).isNotNull()
+    fine = F.when(F.coalesce(same, F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.lit("identity sets differ")).cast("boolean"))
+    return out.filter(fine).drop("_in_first")
+
+
 def fingerprint_status(expected: DataFrame, live: DataFrame) -> DataFrame:
     """MATCH, DRIFT or MISSING_LIVE for every expected (id, group, hash) against live (id, group, hash).
 

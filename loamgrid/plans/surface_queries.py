@@ -385,3 +385,54 @@ def lookup_surface(spark, sf_dir):
 @query("SELECT p_partkey, contains(p_name, 'a') AND contains(p_name, 'w') AS all_there, round(len(regexp_extract_all(p_type, '\\p{Lu}')) / len(regexp_extract_all(p_type, '\\p{L}')), 6) AS capitals FROM part")
 def words_present(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", R.all_present(F.col("p_name"), F.array(F.lit("a"), F.lit("w"))).alias("all_there"), F.round(T.upper_ratio("p_type"), 6).alias("capitals"))
+
+
+# --- gated and joined dimensions -----------------------------------------------------------------------------------
+
+
+@query("SELECT p_brand, arg_max(p_name, p_partkey) AS p_name, max(p_partkey) AS p_partkey FROM part GROUP BY p_brand")
+def passed_dimension(spark, sf_dir):
+    """A dimension by key, taken only from a report that passed."""
+    parts = table(spark, sf_dir, "part").select("p_brand", "p_name", "p_partkey")
+    report = parts.agg(F.when(F.count_if(F.col("p_partkey").isNull()) == 0, "PASS").otherwise("FAIL").alias("status"))
+    return records.passed(parts, report, "p_brand", "p_partkey")
+
+
+@query("""
+WITH s AS (SELECT lower(replace(p_brand, '#', ' ')) AS n, max(p_partkey) AS id FROM part WHERE p_size % 3 > 0 GROUP BY 1),
+ f AS (SELECT s_suppkey, CASE s_nationkey WHEN 24 THEN 'brand 23' WHEN 0 THEN 'brand 11' ELSE 'brand ' || s_nationkey END AS n FROM supplier)
+SELECT s_suppkey AS faction_id, id AS source_id, max(l_orderkey) AS document_id FROM f JOIN s USING (n) JOIN lineitem ON l_partkey = id GROUP BY s_suppkey, id
+""")
+def pack_mapping(spark, sf_dir):
+    """Suppliers by the brand that their nation's number names, its last part, and the last order of that part."""
+    factions = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.concat(F.lit("BRAND "), "s_nationkey").alias("name"), F.col("s_suppkey").alias("o"))
+    sources = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("name"), F.when(F.col("p_size") % 3 > 0, 11).otherwise(10).alias("edition"), F.lit("Faction Pack").alias("type"), F.col("p_partkey").alias("o"))
+    documents = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("source_id"), F.col("l_orderkey").alias("document_id"), F.col("l_orderkey").alias("o"))
+    return C.pack_mapping(factions, sources, documents, {"brand 24": "brand 23", "brand 0": "brand 11"}, "o")
+
+
+@query("""
+WITH l AS (SELECT o_custkey, arg_max(o_totalprice, o_orderkey) AS price, arg_max(o_orderpriority, o_orderkey) AS priority FROM orders GROUP BY o_custkey)
+SELECT o_custkey, o_orderkey, price, priority FROM orders JOIN l USING (o_custkey)
+""")
+def three_way_identity_join(spark, sf_dir):
+    """Every order with its customer's last price and priority, each from a table of its own that must know the same customers."""
+    orders = table(spark, sf_dir, "orders")
+    prices = orders.select("o_custkey", F.col("o_orderkey").alias("o"), F.col("o_totalprice").alias("price"))
+    priorities = orders.select("o_custkey", F.col("o_orderkey").alias("o"), F.col("o_orderpriority").alias("priority"))
+    joined = R.joined_if_same(orders.select("o_custkey", "o_orderkey"), {"sem": prices, "atom": priorities}, "o_custkey", "o")
+    return joined.select("o_custkey", "o_orderkey", "sem.price", "atom.priority")
+
+
+@query("""
+SELECT 'PASS' AS state, count(DISTINCT o_custkey) AS resolved, count(*) AS checks, count(*) FILTER (o_orderstatus = 'F') AS matched, count(*) FILTER (o_orderstatus = 'P') + 2 AS known, 0 AS fresh, 'D1|D2' AS ids FROM orders
+""")
+def runtime_sync(spark, sf_dir):
+    """What a runtime report over the orders adds to the release state."""
+    drift = lambda *ids: F.array(*[F.struct(F.lit(i).cast("string").alias("known_drift_id")) for i in ids])
+    points = F.struct(F.count("*").alias("checks"), F.count_if(F.col("o_orderstatus") == "F").alias("matched"), F.count_if(F.col("o_orderstatus") == "P").alias("known_drift_count"), F.lit(0).alias("new_drift_count"), drift("D1", None).alias("known_drifts"))
+    surfaces = F.struct(F.count("*").alias("checks"), F.count("*").alias("matched"), F.lit(2).alias("known_drift_count"), F.lit(None).cast("int").alias("new_drift_count"), drift("D2", "").alias("known_drifts"))
+    report = table(spark, sf_dir, "orders").agg(F.lit("2.0").alias("schema_version"), F.lit("PASS").alias("status"), F.count_distinct("o_custkey").alias("resolved"), points.alias("points"), surfaces.alias("surfaces"))
+    found = G.runtime_sync(report)
+    names = {"roster_identities_resolved": "resolved", "representative_point_checks": "checks", "representative_point_matches": "matched", "known_runtime_drifts": "known", "new_runtime_drifts": "fresh"}
+    return found.select("state", *[F.col(a).alias(b) for a, b in names.items()], F.array_join("active_known_drift_ids", "|").alias("ids"))

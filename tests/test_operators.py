@@ -640,3 +640,49 @@ def test_every_release_state_has_an_action(spark):
     states = spark.createDataFrame([(s,) for s in [*G.WATCH, "other", None]], "s string")
     got = {r["s"]: r["a"] for r in states.select("s", G.transition_action(F.col("s")).alias("a")).collect()}
     assert got == {**G.ACTION, "other": None, None: None} and set(G.ACTION) == set(G.WATCH)
+
+
+def test_passed_dimension(spark):
+    documents = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), (None, 3, "z")], "id string, o int, v string")
+    report = lambda *states: spark.createDataFrame([(s,) for s in states], "status string")
+    assert sorted(r["v"] for r in records.passed(documents, report("PASS"), "id", "o").collect()) == ["y", "z"]
+    for states in ((), ("FAIL",), (None,), ("PASS", "PASS")):
+        with pytest.raises(ValueError):
+            records.passed(documents, report(*states), "id", "o")
+
+
+def test_pack_mapping(spark):
+    factions = spark.createDataFrame([("f1", "Érin", 1), ("f2", "Old-Name", 2), ("f3", "Lone", 3), ("f4", None, 4), ("f1", "Void", 5)], "id string, name string, o int")
+    sources = spark.createDataFrame(
+        [("s0", "erin", "11", "Faction Pack", 1), ("s1", "ERIN", "11", "Faction Pack", 2), ("s2", "New Name", "11", "Faction Pack", 3), ("s3", "Lone", "10", "Faction Pack", 4), ("s4", "Void", "11", "Faction Pack", 5), ("s5", "Lone", "11", "Index", 6)],
+        "id string, name string, edition string, type string, o int",
+    )
+    documents = spark.createDataFrame([("s1", "d1", 1), ("s1", "d2", 2), ("s2", "d3", 3), ("", "d4", 4), (None, "d5", 5)], "source_id string, document_id string, o int")
+    got = C.pack_mapping(factions, sources, documents, {"old name": "new name"}, "o")
+    assert sorted(map(tuple, got.collect())) == [("f1", "s1", "d2"), ("f2", "s2", "d3")]
+    assert C.pack_mapping(factions, sources, documents.limit(0), {}, "o").collect() == []
+
+
+def test_joined_if_same(spark):
+    first = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
+    sem = spark.createDataFrame([("a", 1, "old"), ("a", 2, "new"), ("b", 3, None)], "k string, o int, s string")
+    atom = spark.createDataFrame([("a", 1, 7), ("b", 1, 8)], "k string, o int, n int")
+    got = R.joined_if_same(first, {"sem": sem, "atom": atom}, "k", "o").select("k", "v", "sem.s", "atom.n")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [("a", 1, "new", 7), ("a", 2, "new", 7), ("b", 3, None, 8)]))
+    extra = spark.createDataFrame([("c", 9, 9)], "k string, o int, n int")
+    for x, y, z in ((first, sem, atom.union(extra)), (first.filter("k = 'a'"), sem, atom), (first, sem.filter("k = 'a'"), atom), (first.union(spark.createDataFrame([(None, 1)], "k string, v int")), sem, atom)):
+        for read in (lambda df: df.collect(), lambda df: df.count()):
+            with pytest.raises(Exception, match="identity sets differ"):
+                read(R.joined_if_same(x, {"sem": y, "atom": z}, "k", "o"))
+
+
+def test_runtime_sync_refuses(spark):
+    side = "struct<checks: int, matched: int, known_drift_count: int, new_drift_count: int, known_drifts: array<struct<known_drift_id: string>>>"
+    kind = f"schema_version string, status string, resolved int, points {side}, surfaces {side}"
+    report = lambda schema, status, new, other=None: spark.createDataFrame([(schema, status, 5, (3, 2, 1, new, [("D1",), (None,)]), (4, 4, None, other, None))], kind)
+    row = G.runtime_sync(report("2.0", "PASS_WITH_KNOWN_RUNTIME_DRIFT", 0)).first()
+    assert (row["state"], row["known_runtime_drifts"], row["new_runtime_drifts"], row["active_known_drift_ids"], row["representative_surface_checks"]) == ("PASS_WITH_KNOWN_RUNTIME_DRIFT", 1, 0, ["D1"], 4)
+    for bad in (report("1.0", "PASS", 0), report(None, "PASS", 0), report("2.0", "FAIL", 0), report("2.0", None, 0), report("2.0", "PASS", 1), report("2.0", "PASS", 1, -1)):
+        for read in (lambda df: df.collect(), lambda df: df.count()):
+            with pytest.raises(Exception, match="schema must be|unresolved state|unclassified drift"):
+                read(G.runtime_sync(bad))
