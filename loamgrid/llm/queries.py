@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, chat, extract, fingerprint, jaccard, langid, maxscore, mixing, substring, toxicity
+from . import bpe, chat, extract, fingerprint, jaccard, langid, maxscore, mixing, repair, substring, toxicity
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 
@@ -87,6 +92,68 @@ def _escaped(c: str) -> str:
 _FIXED = len(chat.HEAD) + len(chat.AFTER_ROLE) + len(chat.CLOSE)
 _UPPER = "".join(map(chr, range(65, 91)))
 
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT)"""
+
+
+def _edit(state: str, cost: str, mark: str, said: str | None, when: str = "true") -> str:
+    """A state (cost, audit, repaired turns) after one edit; null where the state or the edit isn't there."""
+    turns = f"list_append({state}.t, {said})" if said else f"{state}.t"
+    return f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{mark}', 't': {turns}}} END"
+
+
+def _least(*states: str) -> str:
+    return f"list_sort(list_filter([{', '.join(states)}], lambda x: x IS NOT NULL))[1]"
+
+
+def _repair_sql() -> str:
+    """Four states a conversation, turn by turn: inserts first, then what is done with the turn."""
+    insert = lambda s, role: _edit(s, "2", "I", f"'{role}:'")
+    keep = lambda s, initial: _edit(s, "(fault = 3)::INT", "K", "role || ':' || text", f"fault IN (0, 3) AND left(role, 1) = '{initial}'")
+    turn = lambda s, role: _edit(s, "2 + (fault = 3)::INT", "R", f"'{role}:' || text", "fault IN (0, 3)")
+    gone = lambda s: _edit(s, "3", "D", None)
+    said_user = [f(s, who) for s in ("p0", "p1", "p3") for f, who in ((keep, "u"), (turn, "user"))]
+    return f"""
+        WITH RECURSIVE hits AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS hit FROM conversations
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role, CASE hit WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                   unnest(CASE WHEN hit = 3 THEN [0, 1] ELSE [0] END) AS copy
+            FROM hits WHERE hit <> 0
+        ), placed AS (
+            SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+                   rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+            FROM damaged
+        ), faults AS (
+            SELECT *, CASE WHEN bare = '' THEN 1 WHEN nth > 1 THEN 2 WHEN right(bare, 1) IN ('.', '!', '?') THEN 0 ELSE 3 END AS fault,
+                   i > 1 AND lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au') AS bad
+            FROM placed
+        ), counts AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+                   count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (bad) AS illegal
+            FROM faults GROUP BY conv_id
+        ), walk AS (
+            SELECT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 't': []::VARCHAR[]}} AS s0, NULL::STRUCT(c INT, a VARCHAR, t VARCHAR[]) AS s1, NULL::STRUCT(c INT, a VARCHAR, t VARCHAR[]) AS s2, NULL::STRUCT(c INT, a VARCHAR, t VARCHAR[]) AS s3
+            FROM counts
+            UNION ALL
+            SELECT conv_id, i, {gone("p0")}, {_least(gone("p1"), keep("p0", "s"))}, {_least(gone("p2"), *said_user)}, {_least(gone("p3"), keep("p2", "a"), turn("p2", "assistant"))}
+            FROM (
+                SELECT f.conv_id, f.i, f.role, f.text, f.fault, s0 AS p0, s1 AS p1, s2, s3, o0, o1, {_least("s2", "o0", "o1", insert("s3", "user"))} AS p2,
+                       {_least("s3", insert("s2", "assistant"), insert("o0", "assistant"), insert("o1", "assistant"))} AS p3
+                FROM (SELECT *, {insert("s0", "user")} AS o0, {insert("s1", "user")} AS o1 FROM walk) w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+            )
+        ), ends AS (
+            SELECT w.conv_id, gaps, blank, duplicate, truncated, illegal, {_least("s0", insert("e1", "assistant"), insert("s2", "assistant"), "s3")} AS best
+            FROM (SELECT *, {insert("s1", "user")} AS e1 FROM walk) w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i
+        ), convs AS (
+            SELECT DISTINCT conv_id FROM conversations
+        )
+        SELECT convs.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+        FROM convs LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM convs.conv_id
+    """
+
+
 ORACLES: dict[str, str] = {
     "op1_chat_format": f"""
         WITH turns AS (
@@ -156,4 +223,5 @@ ORACLES: dict[str, str] = {
                sha256(unhex(string_agg(substr(x, 2 * s + 1, 2 * (e - s)), '' ORDER BY s))) AS kept_sha256
         FROM docs JOIN kept ON kept.doc_id = docs.doc_id GROUP BY docs.doc_id
     """,
+    "op11_conversation_repair": _repair_sql(),
 }
