@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, chat, extract, fingerprint, jaccard, langid, maxscore, mixing, repair, substring, toxicity
+from . import bpe, chat, extract, fim, fingerprint, jaccard, langid, maxscore, mixing, repair, substring, toxicity
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fill_in_middle(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 
@@ -224,4 +229,20 @@ ORACLES: dict[str, str] = {
         FROM docs JOIN kept ON kept.doc_id = docs.doc_id GROUP BY docs.doc_id
     """,
     "op11_conversation_repair": _repair_sql(),
+    "op12_fill_in_middle": """
+        WITH hashed AS (
+            SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+        ), drawn AS (
+            SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS a, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS b,
+                   CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+                        WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM hashed
+        ), parts AS (
+            SELECT doc_id, n, form, text, least(a, b) AS lo, greatest(a, b) AS hi, substring(text, 1, least(a, b)) AS p, substring(text, least(a, b) + 1, greatest(a, b) - least(a, b)) AS m, substring(text, greatest(a, b) + 1) AS s FROM drawn
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars, CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256
+        FROM parts
+    """,
 }

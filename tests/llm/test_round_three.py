@@ -123,3 +123,77 @@ def test_repair_edges(spark):
 def test_codes_compare_like_audits():
     for a, b in itertools.product(itertools.product(repair.CODES, repeat=2), repeat=2):
         assert (a < b) == ("".join(a) < "".join(b))
+
+
+# --- 12: fill in middle -----------------------------------------------------------------------------------------------
+
+
+def formed(doc_id, text):
+    text = text or ""
+    h = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[8 * i : 8 * i + 8], 16) for i in range(4))
+    n = len(text)
+    lo, hi = sorted((h1 % (n + 1), h2 % (n + 1)))
+    form = "plain" if not n or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90 else "spm" if h4 % 100 < 20 else "psm"
+    p, m, s = text[:lo], text[lo:hi], text[hi:]
+    output = {"plain": text, "psm": f"<P>{p}<S>{s}<M>{m}", "spm": f"<S>{s}<P>{p}<M>{m}"}[form]
+    plain = form == "plain"
+    return (doc_id, n, form, None if plain else lo, None if plain else hi - lo, hashlib.sha256(output.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def some_texts(seed, count):
+    r = random.Random(seed)
+    bits = ["a", "bc ", "é", "ß\n", "漢字", "𝄞", "<", "<P", "S>", "<M", ">", "\x00", "x" * 70]
+    texts = ["".join(r.choice(bits) for _ in range(r.choice([0, 1, 3, 20, 90]))) for _ in range(count)]
+    return [*texts, None, "", "<M>", "<P>", "a<S>b", "<", "漢", "é" * 400, "𝄞" * 33 + "<P>"]
+
+
+@pytest.mark.parametrize("limits", [{}, {"whole_bytes": 6, "slice_bytes": 5}, {"whole_bytes": 0, "slice_bytes": 1}, {"whole_bytes": 100, "slice_bytes": 64}])
+def test_fill_in_middle_equals_plain_slicing(spark, limits):
+    from loamgrid.llm import fim
+
+    rows = [(i, t) for i, t in enumerate(some_texts(1, 60))] + [(None, "no id"), (3, "again"), (3, "again"), (-5, "below")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"key": F.lit(1), "h1": F.lit("x"), "slice": F.lit(0)})
+    key = lambda r: tuple(map(repr, r))
+    assert sorted((tuple(r) for r in fim.fill_in_middle(df, **limits).select(*fim.NAMES).collect()), key=key) == sorted((formed(*r) for r in rows), key=key)
+    assert {formed(*r)[2] for r in rows} == {"plain", "psm", "spm"}
+
+
+def test_fill_in_middle_edges(spark):
+    from loamgrid.llm import fim
+
+    assert fim.fill_in_middle(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    long = "ab𝄞" * 700_000
+    df = spark.createDataFrame([(1, long)], "doc_id long, text string")
+    for limits in ({}, {"whole_bytes": 1 << 20, "slice_bytes": (1 << 17) + 1}):
+        assert [tuple(r) for r in fim.fill_in_middle(df, **limits).collect()] == [formed(1, long)]
+    assert {r.doc_id: r.output for r in fim.outputs(df.union(df.selectExpr("2L", "'<P>'"))).collect()}[2] == "<P>"
+
+
+def test_automaton_composes(spark):
+    import numpy as np
+
+    from loamgrid.llm import fim
+
+    machine = fim.Automaton()
+    data = np.frombuffer("".join(x or "" for x in some_texts(9, 80)).encode(), np.uint8)
+    whole = fim.Scan(machine, data, np.array([0, len(data)]), np.zeros(1, np.int64))
+    ends, units, marks = whole.functions()
+    text = data.tobytes().decode()
+    assert whole.n[0] == units[0] == len(text) and whole.marks[0] == marks[0] == sum(text.count(m.decode()) for m in fim.MARKS)
+    a, b = (fim.Scan(machine, x, np.array([0, len(x)])).functions() for x in (data[:301], data[301:]))
+    assert (b[0][a[0]] == ends).all() and (a[1] + b[1][a[0]] == units).all() and (a[2] + b[2][a[0]] == marks).all()
+
+
+@pytest.mark.parametrize("name", [n for n in Q.ORACLES if n.split("_")[0] in ("op11", "op12", "op13")])
+def test_new_queries_equal_their_sql(spark, data, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.sql(f"create view {t} as select * from '{data}/{t}.parquet'")
+    twin = con.sql(Q.ORACLES[name])
+    got = Q.QUERIES[name](spark, data)
+    assert sorted(got.columns) == sorted(twin.columns)
+    key = lambda r: tuple(map(repr, r))
+    assert sorted((tuple(r) for r in got.select(twin.columns).collect()), key=key) == sorted(twin.fetchall(), key=key)
