@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, chat, extract, fim, fingerprint, jaccard, langid, maxscore, mixing, repair, substring, toxicity
+from . import bpe, chat, countmin, extract, fim, fingerprint, jaccard, langid, maxscore, mixing, repair, substring, toxicity
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +69,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fill_in_middle(table(spark, sf_dir, "documents"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return countmin.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 
@@ -245,4 +250,20 @@ ORACLES: dict[str, str] = {
                sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256
         FROM parts
     """,
+    "op13_substring_dedup": """
+        WITH docs AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+        ), starts AS (
+            SELECT doc_id, i, array_to_string(list_slice(w, i, i + 49), ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM docs WHERE len(w) >= 50)
+        ), firsts AS (
+            SELECT g, min(doc_id) AS first FROM starts GROUP BY g
+        ), gone AS (
+            SELECT DISTINCT doc_id, i + k AS i FROM (SELECT doc_id, i, unnest(generate_series(0, 49)) AS k FROM starts JOIN firsts USING (g) WHERE first < doc_id)
+        ), every AS (
+            SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM docs
+        ), left_over AS (
+            SELECT every.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM every ANTI JOIN gone ON gone.doc_id = every.doc_id AND gone.i = every.i GROUP BY every.doc_id
+        )
+        SELECT docs.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(left_over.text, '')) AS kept_sha256 FROM docs LEFT JOIN left_over ON left_over.doc_id = docs.doc_id
+    """,
 }

@@ -197,3 +197,61 @@ def test_new_queries_equal_their_sql(spark, data, name):
     assert sorted(got.columns) == sorted(twin.columns)
     key = lambda r: tuple(map(repr, r))
     assert sorted((tuple(r) for r in got.select(twin.columns).collect()), key=key) == sorted(twin.fetchall(), key=key)
+
+
+# --- 13: substring dedup over words -----------------------------------------------------------------------------------
+
+
+def every_window(rows, k):
+    first, out = {}, []
+    split = [(i, re.findall("[^\x20\x09-\x0d]+", t or "")) for i, t in rows]
+    for i, w in split:
+        for a in range(len(w) - k + 1 if i is not None else 0):
+            key = tuple(w[a : a + k])
+            first[key] = min(first.get(key, i), i)
+    for i, w in split:
+        gone = set()
+        for a in range(len(w) - k + 1 if i is not None else 0):
+            if first[tuple(w[a : a + k])] < i:
+                gone.update(range(a, a + k))
+        out.append((i, len(w), len(gone), hashlib.sha256(" ".join(x for j, x in enumerate(w) if j not in gone).encode()).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("limits", [{}, {"chunk_text": 200, "shard_text": 300}])
+def test_word_windows_equal_brute_force(spark, limits, monkeypatch):
+    from loamgrid.llm import countmin
+
+    r = random.Random(2)
+    passages = [[r.choice("abcdé") * r.randint(1, 2) for _ in range(r.randint(3, 12))] for _ in range(12)]
+    rows = [(i, r.choice([" ", "\n", "\t "]).join(x for _ in range(r.randint(0, 5)) for x in r.choice(passages))) for i in range(150)]
+    rows += [(3, "a b c d e f g"), (3, "a b c d e f g"), (None, rows[5][1]), (None, None), (200, None), (201, ""), (202, rows[9][1]), (-4, rows[9][1]), (202, rows[9][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"chunk": F.lit("x"), "copies": F.lit(9), "order": F.lit(0)})
+    for k in (3, 5):
+        got = [tuple(x) for x in countmin.digest(df, window=k, **limits).collect()]
+        assert sorted(got, key=repr) == sorted(every_window(rows, k), key=repr)
+
+
+def test_full_sketches_lose_nothing(spark):
+    """With counters far too few every window is estimated repeated; the exact pass decides all the same."""
+    import numpy as np
+
+    from loamgrid.llm import countmin
+
+    h = np.arange(1, 4000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    slots = [np.unique(countmin.counters(h, j), return_counts=True) for j in range(countmin.DEPTH)]
+    alone = countmin.added([([s for s, _ in slots], [c > 1 for _, c in slots])])
+    twice = countmin.added([([s for s, _ in slots], [c > 1 for _, c in slots])] * 2)
+    assert sum(x.sum() for x in alone[0]) < 40 and all(x.all() for answer in twice for x in answer)
+    steps = np.array([0, 1, 65534, 65535, 65536, 131070, 131071, 1 << 22])
+    assert (countmin.slots_of(countmin.gaps(steps)) == steps).all()
+
+
+def test_word_windows_edges(spark):
+    from loamgrid.llm import countmin
+
+    assert countmin.digest(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    long = " ".join(f"w{i}" for i in range(300_000))
+    df = spark.createDataFrame([(2, "x " + long), (1, long + " y"), (9, " ".join(["w"] * 200)), (8, " ".join(["w"] * 60))], "doc_id long, text string")
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in countmin.digest(df).collect()} == {1: (300_001, 0), 2: (300_001, 300_000), 8: (60, 0), 9: (200, 200)}
+    assert {r.doc_id: r.text for r in countmin.kept_texts(df).collect()}[2] == "x"
