@@ -9,37 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship
+from . import nested
 
 
 def walk_json(df: DataFrame, key: str, column: str) -> DataFrame:
-    """(key, path, name, kind, value) of every scalar in a JSON text, depth first; text that is no JSON gives nothing. Arrow batches, any depth."""
-
-    def leaves(x: object, path: str) -> Iterator[tuple[str, str, str, str]]:
-        stack = [(path, x)]
-        while stack:
-            at, node = stack.pop()
-            if isinstance(node, dict):
-                stack += [(f"{at}.{k}", v) for k, v in reversed(list(node.items()))]
-            elif isinstance(node, list):
-                stack += [(f"{at}[{i}]", v) for i, v in reversed(list(enumerate(node)))]
-            else:
-                kind = "null" if node is None else "boolean" if isinstance(node, bool) else "number" if isinstance(node, int | float) else "string"
-                yield at, at.rpartition(".")[2].partition("[")[0], kind, "" if node is None else str(node).lower() if isinstance(node, bool) else str(node)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for k, text in zip(pdf[key], pdf[column], strict=True):
-                try:
-                    rows += [(k, *x) for x in leaves(json.loads(text), "$")]
-                except (TypeError, ValueError):
-                    continue
-            yield pd.DataFrame(rows, columns=[key, "path", "name", "kind", "value"])
-
-    ship(df.sparkSession)
-    kind = dict(df.dtypes)[key]
-    return df.select(key, column).mapInPandas(run, f"{key} {kind}, path string, name string, kind string, value string")
+    """(key, path, name, kind, value) of every scalar in a JSON text of any depth; text that is no JSON gives nothing."""
+    return nested.scalars(df, key, column)
 
 
 def typed_path(column: str, path: str, kind: str) -> Column:

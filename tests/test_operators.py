@@ -1,6 +1,7 @@
 """Literal-row tests of single operators."""
 
 import datetime
+import hashlib
 import itertools
 import json
 import random
@@ -14,7 +15,7 @@ from loamgrid.operators import classify as K
 from loamgrid.operators import contracts as V
 from loamgrid.operators import corpus as C
 from loamgrid.operators import gates as G
-from loamgrid.operators import graph, pricing, promotion, records
+from loamgrid.operators import graph, nested, pricing, promotion, records
 from loamgrid.operators import relational as R
 from loamgrid.operators import solver as S
 from loamgrid.operators.flow import Network
@@ -448,9 +449,33 @@ def test_core_limits(spark):
 # --- records, contracts, sources and sinks ---------------------------------------------------------------------------
 
 
+NESTED = {
+    "id": "e1", "name": "Guard", "type": "unit", "categoryLinks": [{"name": "Infantry"}, {"name": None}, {"x": 1}], "costs": [{"name": "pts", "value": 65}, {"value": 3}],
+    "constraints": [{"field": "selections", "value": 2}], "profiles": [
+        {"name": "Guard", "typeName": "Unit", "characteristics": [{"name": "M", "$text": "6"}, {"name": "M", "$text": "7"}, {"name": "T"}], "profiles": [{"name": "hidden", "typeName": "Unit"}]},
+        {"name": "Aura", "typeName": "Abilities", "characteristics": [{"name": "Description", "$text": ""}, {"name": "Capacity", "$text": "ten"}]}, {"name": "Odd", "typeName": "Other"}],
+    "entries": [[{"name": "Rifle", "type": "UNIT", "costs": [{"name": "pts", "value": "5"}, {"name": "pts", "value": "x"}], "profiles": [{"name": "Rifle", "typeName": "Ranged Weapons", "characteristics": [{"name": "A", "$text": "2"}]}] * 2}], {"deep": [[[{"name": "guard", "type": "Unit", "costs": [{"name": "pts", "value": 70}]}]]]}],
+}
+
+
+def test_typed_walks(spark):
+    df = spark.createDataFrame([(1, json.dumps(NESTED)), (2, '{"name": "Guard", "costs": [{"name": "pts", "value": 5}], "profiles": 3}'), (3, "{"), (4, None), (5, '{"a": 1, "a": 2}')], "doc int, j string")
+    df = df.withColumns({"path": F.lit("x"), "value": F.lit("Guard")})
+    assert {(r.doc, r["name"]) for r in nested.typed_names(df, "doc", "j", "unit").collect()} == {(1, "Guard"), (1, "Rifle"), (1, "guard")}
+    assert {r.doc: (r.costs, r.cost) for r in nested.named_costs(df, "doc", "j", F.col("value"), "pts").collect()} == {1: ([65, 70], None), 2: ([5], 5)}
+    assert [r.doc for r in nested.holding(df, "doc", "j", F.lit("RIFLE")).collect()] == [1]
+    got = {(r["class"], r["name"]): (r.characteristics and [tuple(c) for c in r.characteristics], r.text_sha256) for r in nested.profiles(df, "doc", "j").collect()}
+    assert got == {("unit", "Guard"): ([("M", "7")], None), ("semantic", "Aura"): (None, hashlib.sha256(b"ten").hexdigest()), ("weapon", "Rifle"): ([("A", "2")], None)}
+    rows = {r.doc: r for r in nested.entry_summaries(df, "doc", "j").collect()}
+    assert set(rows) == {1, 2} and rows[1].categories == ["Infantry"] and [tuple(c) for c in rows[1].costs] == [("pts", "65")] and [tuple(c) for c in rows[1].constraints] == [("selections", None, None, "2")]
+    assert len(rows[1].weapon_profiles) == 1 and rows[2].unit_profiles is None
+    plan = nested.scalars(df, "doc", "j")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
 def test_walk_and_links(spark):
     df = spark.createDataFrame([(1, '{"a": [1, {"b": null}], "c": true}'), (2, "no json"), (3, None)], "id int, j string")
-    assert [(r.id, r.path, r["name"], r.kind, r.value) for r in graph.walk_json(df, "id", "j").collect()] == [(1, "$.a[0]", "a", "number", "1"), (1, "$.a[1].b", "b", "null", ""), (1, "$.c", "c", "boolean", "true")]
+    assert [(r.id, r.path, r["name"], r.kind, r.value) for r in graph.walk_json(df, "id", "j").orderBy("path").collect()] == [(1, "$.a[0]", "a", "number", "1"), (1, "$.a[1].b", "b", "null", ""), (1, "$.c", "c", "boolean", "true")]
     entries = spark.createDataFrame([("c1", "e1", "axe", 5), ("c2", "e2", "axe", 7)], "catalog string, id string, name string, cost int")
     links = spark.createDataFrame([("c1", "l1", "e2")], "catalog string, link_id string, target_id string")
     assert {r.catalog: r.cost for r in graph.costs_of(links, entries, "axe").collect()} == {"c1": None, "c2": 7}
