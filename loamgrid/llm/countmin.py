@@ -31,7 +31,7 @@ from .common import U64, _Powers, mix, partitions, range_hashes, small_batches,
 WINDOW, DEPTH = 50, 2
 #: Counters of a shard's row, by bits; a shard gets the windows of about SHARD_TEXT bytes, a sixth of its counters.
 ROW_BITS = 23
-CHUNK_TEXT = SHARD_TEXT = 8 << 20
+CHUNK_TEXT, SHARD_TEXT = 4 << 20, 8 << 20
 NO_ID = np.iinfo(np.int64).min
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
