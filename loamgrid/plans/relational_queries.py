@@ -10,7 +10,7 @@ from ..operators import aggregates as A
 from ..operators import pricing as P
 from ..operators import relational as R
 from ..session import table
-from ..sources.readers import clean_strings, link_map, plain_links, volume_guard
+from ..sources.readers import clean_strings, link_map, page_links, plain_links, volume_guard
 from .base import query
 
 #: Price bands by copy number, an inline dimension.
@@ -41,22 +41,32 @@ def volume_guards(spark, sf_dir):
     return volume_guard(table(spark, sf_dir, "nation"), regions=F.count_distinct("n_regionkey") >= 5, nations=F.count("*") >= 25, names=F.max(F.length("n_name")) <= 25)
 
 
+_ANCHORS_SQL = """
+    anchors AS (
+        SELECT page_id, regexp_extract(a, '>([^<]*)</a>', 1) AS text, regexp_extract(url, '^[a-z]+://[^/]*', 0) || regexp_extract(a, 'href="([^"]*)"', 1) AS url
+        FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="/[^"]*">[^<]*</a>')) AS a FROM pages)
+    )"""
+
+
+@query(f"WITH {_ANCHORS_SQL} SELECT page_id, text, url FROM anchors")
+def page_anchors(spark, sf_dir):
+    """Anchors of all pages with absolute addresses, by the lenient table function."""
+    return page_links(table(spark, sf_dir, "pages"))
+
+
 @query("""
 SELECT page_id, regexp_extract(a, '>([^<]*)</a>', 1) AS text, regexp_extract(a, 'href="([^"]*)"', 1) AS href
 FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>')) AS a FROM pages)
 """)
-def page_anchors(spark, sf_dir):
+def well_formed_anchors(spark, sf_dir):
+    """Anchors without other attributes or markup inside, as they stand, in generated code."""
     return plain_links(table(spark, sf_dir, "pages"))
 
 
-@query("""
-SELECT name, array_to_string(list_sort(list(DISTINCT href)), '|') AS urls FROM (
-    SELECT lower(regexp_extract(a, '>([^<]*)</a>', 1)) AS name, regexp_extract(a, 'href="([^"]*)"', 1) AS href
-    FROM (SELECT unnest(regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>')) AS a FROM pages))
-GROUP BY name
-""")
+@query(f"WITH {_ANCHORS_SQL} SELECT lower(text) AS name, array_to_string(list_sort(list(DISTINCT url)), '|') AS urls FROM anchors GROUP BY 1")
 def anchor_link_map(spark, sf_dir):
-    links = link_map(plain_links(table(spark, sf_dir, "pages")), F.lower, url="href")
+    """Anchor text, lower-cased, with its distinct absolute addresses."""
+    links = link_map(page_links(table(spark, sf_dir, "pages")), F.lower)
     return links.select("name", F.array_join("urls", "|").alias("urls"))
 
 

@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import html
 import time
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 from functools import reduce
-from html.parser import HTMLParser
 from pathlib import Path
-from urllib.parse import urljoin
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship
+from .anchors import page_links  # noqa: F401
 
 CORRUPT = "_corrupt_record"
 
@@ -116,41 +112,6 @@ def page_corpus(docs: DataFrame, lines_per_page: int = 4, doc: str = "doc_id", t
     return docs.filter(F.col(text).isNotNull()).select(F.col(doc).alias("doc_id"), F.posexplode(pages).alias("page", "text")).withColumn("page", F.col("page") + 1)
 
 
-class _Anchors(HTMLParser):
-    def __init__(self, base: str):
-        super().__init__(convert_charrefs=True)
-        self.base, self.open, self.found, self.words = base, None, [], []
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "a":
-            self.open, self.words = dict(attrs).get("href"), []
-
-    def handle_data(self, data):
-        if self.open is not None:
-            self.words.append(data)
-
-    def handle_endtag(self, tag):
-        if tag == "a" and self.open is not None:
-            self.found.append((" ".join("".join(self.words).split()), urljoin(self.base, self.open)))
-            self.open = None
-
-
-def page_links(pages: DataFrame) -> DataFrame:
-    """page_id, text and absolute url of every anchor, parsed leniently in Arrow batches."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for page_id, base, page in zip(pdf.page_id, pdf.url, pdf.html, strict=True):
-                parser = _Anchors(base or "")
-                parser.feed(page or "")
-                rows += [(page_id, *x) for x in parser.found]
-            yield pd.DataFrame(rows, columns=["page_id", "text", "url"])
-
-    ship(pages.sparkSession)
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, text string, url string")
-
-
 def plain_links(pages: DataFrame) -> DataFrame:
     """page_id, text and href of well-formed anchors without markup inside, without leaving generated code."""
     hits = F.explode(F.regexp_extract_all("html", F.lit(r'(<a href="[^"]*">[^<]*</a>)'), F.lit(1)))
@@ -163,15 +124,6 @@ def link_map(links: DataFrame, norm: Callable[[str], Column], text: str = "text"
     return links.groupBy(norm(text).alias("name")).agg(F.sort_array(F.collect_set(url)).alias("urls"))
 
 
-def page_text(page: str) -> str:
-    """Visible text of a small page on the driver."""
-    parser = HTMLParser(convert_charrefs=True)
-    words: list[str] = []
-    parser.handle_data = words.append
-    parser.feed(html.unescape(page))
-    return " ".join(" ".join(words).split())
-
-
 def current_snapshot(df: DataFrame, pointer: DataFrame, column: str = "snapshot_date") -> DataFrame:
     """Rows of the snapshot that the one-row pointer names."""
     return df.join(F.broadcast(pointer.select(column).limit(1)), column, "left_semi")

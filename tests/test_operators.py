@@ -5,6 +5,9 @@ import hashlib
 import itertools
 import json
 import random
+import time
+from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,7 +23,7 @@ from loamgrid.operators import relational as R
 from loamgrid.operators import solver as S
 from loamgrid.operators.flow import Network
 from loamgrid.plans import api
-from loamgrid.sources import readers, sinks
+from loamgrid.sources import anchors, readers, sinks
 
 
 def one(spark, *columns):
@@ -547,6 +550,55 @@ def test_links_of_pages(spark):
     assert [tuple(r) for r in readers.page_links(df).collect()] == [(1, "x y", "https://a.com/b/c")]
 
 
+class PlainAnchors(HTMLParser):
+    """Anchors as the standard parser has them."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.href, self.words, self.found = None, [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            self.href, self.words = dict(attrs).get("href"), []
+
+    def handle_data(self, data):
+        if self.href is not None:
+            self.words.append(data)
+
+    def handle_endtag(self, tag):
+        if tag == "a" and self.href is not None:
+            self.found.append((" ".join("".join(self.words).split()), urljoin("http://h/p/", self.href)))
+            self.href = None
+
+
+ANCHORS = [
+    "<A CLASS='x' HREF='one.html' >One <B>big</B>\n step</A>", '<a title="a > b" href=two?x=1&amp;y=2>T&eacute;</a>', "<a href='#3'>a<img alt='>' src=x>b</a >", "<p>no<a>none</a>", '<a href="x"><a href="y">y</a></a>',
+    "<!-- <a href='no'>no</a> --><a href=z/>z", "<script>if (a<b) '<a href=no>'</script>", '<a href="s"><script>var a;</script>t</a>', '<a href="1" href="2">twice</a>', "<a href>empty</a>", '<a href="">own</a>', "a < b <3 & <a href='q'>&lt;q&gt;</a>",
+    "<!DOCTYPE html><a\nhref\n=\n'w'\n>w</a\n>", "<area href='no'>", '<a href="//other/x">o</a>', "<a href='mailto:a@b'>m</a>", "<a/href='k'>k</a>", "<style>a{}</style>",
+]
+
+
+def test_lenient_anchors_equal_the_standard_parser(spark):
+    r = random.Random(4)
+    rows = [(i, "http://h/p/", "".join(r.choice(ANCHORS) for _ in range(r.randint(0, 6)))) for i in range(300)] + [(1000 + i, "http://h/p/", a) for i, a in enumerate(ANCHORS)]
+    got = {}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
+    for row in readers.page_links(df).collect():
+        got.setdefault(row.page_id, []).append((row.text, row.url))
+    for page_id, _, page in rows:
+        parser = PlainAnchors()
+        parser.feed(page)
+        assert got.get(page_id, []) == parser.found, page
+
+
+def test_unclosed_markup_is_read_once():
+    for page in ("<a " * 350_000, '<a x="' * 200_000, "<!--" * 250_000, "</" * 500_000, "<a href='x'>" * 100_000, "<" * 1_000_000, "<a b=" * 200_000):
+        start = time.perf_counter()
+        assert list(anchors.anchors(page, None)) == []
+        assert time.perf_counter() - start < 5
+    assert list(anchors.anchors("<a href=http://[x>t</a>", "http://h/")) == [("t", "http://[x")]
+
+
 def test_api(spark):
     assert api.keyword(spark.createDataFrame([("e", "k")], "entity string, keyword string"), spark.createDataFrame([("e", True)], "entity string, complete boolean"), "e", "z").first().answer == "ABSENT"
     strat = spark.createDataFrame([("Élan Vital", "Spear")], "name string, detachment string")
