@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import files
 from .anchors import page_links  # noqa: F401
 
 CORRUPT = "_corrupt_record"
@@ -27,9 +28,11 @@ def json_directory(spark: SparkSession, glob: str, schema: T.StructType | str) -
 
 
 def json_problems(spark: SparkSession, folder: str) -> DataFrame:
-    """Files under a folder that are no JSON."""
-    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").withColumn("file", F.col("_metadata.file_path"))
-    return files.filter(F.try_parse_json("value").isNull()).select("file")
+    """Files under a folder that are no JSON; an empty one is none either."""
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(folder)
+    broken = every.filter(F.try_parse_json(F.decode("content", "UTF-8")).isNull()).select(F.col("path").alias("file"))
+    empty = files.names(spark, folder).filter((F.col("bytes") == 0) & F.col("file").endswith(".json"))
+    return broken.union(empty.select("file"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -46,7 +49,7 @@ def clean_strings(df: DataFrame) -> DataFrame:
 
 def pipe_table(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:
     """A pipe-delimited table of strings; missing headers fail."""
-    df = clean_strings(spark.read.option("sep", "|").option("header", True).option("encoding", "UTF-8").option("multiLine", True).csv(path))
+    df = clean_strings(spark.read.option("sep", "|").option("header", True).option("encoding", "UTF-8").option("multiLine", True).option("quote", '"').option("escape", '"').csv(path))
     require_headers(df, required)
     return df
 
@@ -82,11 +85,9 @@ def with_retry(fetch: Callable[[], bytes], attempts: int = 4, most: int | None =
     raise ValueError("no attempts")
 
 
-def file_inventory(spark: SparkSession, path: str, magic: bytes | None = None) -> DataFrame:
-    """file, bytes, modified, sha256 and whether the content starts with `magic`."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    starts = F.lit(True) if magic is None else F.substring("content", 1, len(magic)) == F.lit(magic)
-    return df.select(F.col("path").alias("file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"), starts.alias("magic_ok"))
+def file_inventory(spark: SparkSession, path: str, magic: bytes | None = None, most: int | None = None) -> DataFrame:
+    """file, bytes, modified, sha256, whether the content starts with `magic`, and what went wrong; files are streamed."""
+    return files.digests(spark, path, magic or b"", most)
 
 
 def yaml_document(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

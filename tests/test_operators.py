@@ -1,7 +1,9 @@
 """Literal-row tests of single operators."""
 
+import csv
 import datetime
 import hashlib
+import io
 import itertools
 import json
 import random
@@ -23,7 +25,7 @@ from loamgrid.operators import relational as R
 from loamgrid.operators import solver as S
 from loamgrid.operators.flow import Network
 from loamgrid.plans import api
-from loamgrid.sources import anchors, readers, sinks
+from loamgrid.sources import anchors, files, readers, sinks
 
 
 def one(spark, *columns):
@@ -545,6 +547,59 @@ def test_retry():
     assert readers.with_retry(fetch, sleep=waits.append) == b"x" and waits == [1, 2]
 
 
+def test_files_are_streamed(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    bodies = {"a.pdf": b"%PDF-" + bytes(range(256)) * 20_000, "deep/b.bin": b"x" * 3_000_001, "empty": b"", "deep/_hidden": b"no"}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    for path in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        rows = {r.file.split("/", 1)[1].split(tmp_path.name + "/")[1]: r for r in readers.file_inventory(spark, path, b"%PDF-").collect()}
+        assert {k: (r.bytes, r.sha256, r.magic_ok, r.error) for k, r in rows.items()} == {k: (len(b), hashlib.sha256(b).hexdigest(), b[:5] == b"%PDF-", None) for k, b in bodies.items() if "_" not in k}
+    own = spark.read.format("binaryFile").load(f"{tmp_path}/a.pdf").select(F.sha2("content", 256)).first()[0]
+    assert rows["a.pdf"].sha256 == own and rows["a.pdf"].modified is not None
+    capped = {r.bytes: r.error for r in readers.file_inventory(spark, str(tmp_path / "deep"), most=10).collect()}
+    assert list(capped.values()) == ["more than 10 bytes"] and next(iter(capped)) <= 1 << 20
+    parts = sorted(tuple(r) for r in files.chunks(spark, str(tmp_path / "deep" / "b.bin")).selectExpr("chunk", "length(content)").collect())
+    assert parts == [(0, 1 << 20), (1, 1 << 20), (2, 3_000_001 - (2 << 20))]
+    (tmp_path / "none").mkdir()
+    assert readers.file_inventory(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_files_that_fail_are_read_again():
+    calls, waits = [], []
+
+    class Breaking(io.BytesIO):
+        def read(self, n=-1):
+            if len(calls) < 3 and self.tell() > 4:
+                raise OSError("gone")
+            return super().read(n)
+
+    def open_(path):
+        calls.append(path)
+        return Breaking(b"0123456789")
+
+    got = files.digest("p", chunk=4, magic=b"012345", open_=open_, sleep=waits.append)
+    assert got == (10, hashlib.sha256(b"0123456789").hexdigest(), True, None) and waits == [1, 2] and len(calls) == 3
+    calls.clear()
+    assert files.digest("p", attempts=2, open_=lambda _: (_ for _ in ()).throw(OSError("no")), sleep=waits.append)[3] == "OSError: no"
+
+
+def test_pipe_tables_equal_the_standard_reader(spark, tmp_path):
+    body = 'Id|Name|\n1|"a ""b"" c"|\n2|"x|y"|\n3|back\\slash \\" q|\n4|"two\nlines"|\n||\n5|"\\"|\n'
+    (tmp_path / "t.csv").write_text(body, encoding="utf-8")
+    want = [(r["Id"], r["Name"]) for r in csv.DictReader(io.StringIO(body), delimiter="|") if r["Id"]]
+    assert [tuple(r) for r in readers.pipe_table(spark, str(tmp_path / "t.csv"), ["id"]).orderBy("id").collect()] == want
+
+
+def test_json_problems_and_directories(spark, tmp_path):
+    for name, body in {"good.json": '{"name": "a"}', "bad.json": "{broken", "empty.json": "", "sub/worse.json": "]", "note.txt": "{"}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(body)
+    assert {r.file.split("/")[-1] for r in readers.json_problems(spark, str(tmp_path)).collect()} == {"bad.json", "empty.json", "worse.json"}
+    good = readers.json_directory(spark, f"{tmp_path}/*.json", "name string").filter("name is not null").collect()
+    assert [(r.name, r.file.split("/")[-1]) for r in good] == [("a", "good.json")]
+
+
 def test_links_of_pages(spark):
     df = spark.createDataFrame([(1, "https://a.com/b/", '<a href="c">x <b>y</b></a><a>none</a>'), (2, None, None)], "page_id long, url string, html string")
     assert [tuple(r) for r in readers.page_links(df).collect()] == [(1, "x y", "https://a.com/b/c")]
