@@ -111,3 +111,9 @@ def evidence_score(weights: dict[str, int]) -> Column:
     if sum(weights.values()) != 100:
         raise ValueError("weights must sum to 100")
     return F.round(reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0.0)) * w for c, w in weights.items()]), 4)
+
+
+def table_hash(df: DataFrame) -> DataFrame:
+    """One row: rows and a hash of all of them, whatever their order; repeated rows count, and nulls differ from other values."""
+    nulls = [F.col(c).isNull() for c in df.columns]
+    return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.xxhash64(*nulls, *df.columns).cast("decimal(38,0)")), F.lit(0)).alias("hash"))

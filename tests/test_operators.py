@@ -237,33 +237,56 @@ def watch(**changes):
     return base | changes
 
 
-def test_plans():
-    assert promotion.plan(watch(status="NO_CHANGE"), "d")["state"] == "NO_ACTION"
-    mirror = promotion.plan(watch(wahapedia={"changed_files": [{"file": "Source.csv"}]}), "d")
-    assert [s["id"] for s in mirror["stages"]] == ["WAHAPEDIA_INGEST", "WAVE_B_RECONCILE", "WAVE_B_ROSTER_VIEWS", "WAHAPEDIA_SEMANTIC_AUDIT", "OFFICIAL_ASSET_AUDIT"] and not mirror["blockers"]
-    code = promotion.plan(watch(github_sources=[{"source_id": "BSDATA_WH40K_11E", "changed": True}]), "d")
-    assert [s["id"] for s in code["stages"]] == ["WAVE_B_RECONCILE", "BSDATA_FALLBACK_REBUILD"]
-    prices = promotion.plan(watch(official_sources=[{"source_id": "GW_MFM", "changed": True}]), "d")
-    assert prices["blockers"] and prices["promotion"]["state"] == "BLOCKED_AUTHORITY_REVALIDATION"
-    assert promotion.plan(watch(), "d")["blockers"][0]["id"] == "UNCLASSIFIED_WATCH_CHANGE"
-    assert mirror == promotion.plan(watch(wahapedia={"changed_files": [{"file": "Source.csv"}]}), "d")
-
-
-def test_candidates_and_promotion_fail_closed():
-    plan = promotion.plan(watch(github_sources=[{"source_id": "BSDATA_WH40K_11E", "changed": True, "live": "abc"}]), "2026-10-20")
-    stages = {"WAVE_B_RECONCILE": lambda: "PASS", "BSDATA_FALLBACK_REBUILD": lambda: "PASS"}
-    report = promotion.run_candidate(plan, stages, ["x.json"])
-    evidence = {"fallback": {"commit_sha": "abc"}}
-    assert report["status"] == "PASS" and promotion.check(plan, report, evidence)["plan_id"] == plan["plan_id"]
-    assert promotion.run_candidate(plan, stages, ["sources/registry.json"])["promotion_gate"] == "CANDIDATE_FAILED"
-    assert promotion.run_candidate(plan, {}, [])["status"] == "PASS_WITH_BLOCKER"
-    for broken in ({"plan_id": "x"}, {"plan_fingerprint": "x"}, {"status": "FAIL"}, {"auto_promote": True}, {"forbidden_mutations": ["x"]}):
-        with pytest.raises(promotion.Refused):
-            promotion.check(plan, report | broken, evidence)
-    with pytest.raises(promotion.Refused):
-        promotion.check(plan, report, {"fallback": {"commit_sha": "other"}})
+def plans_of(spark, *reports):
+    rows = promotion.plans(spark.createDataFrame([(i, json.dumps(r) if isinstance(r, dict) else r, "2026-10-20") for i, r in enumerate(reports)], "i int, report string, candidate_snapshot_date string"))
+    return {r.i: r for r in rows.collect()}
+
+
+def test_plans(spark):
+    catalog = watch(wahapedia={"changed_files": [{"file": "Source.csv"}], "live_last_update": "new"})
+    code = watch(github_sources=[{"source_id": "BSDATA_WH40K_11E", "changed": True, "live": "abc", "pinned": "old"}])
+    rows = plans_of(spark, watch(status="NO_CHANGE"), catalog, code, watch(official_sources=[{"source_id": "GW_MFM", "changed": True, "state": "s"}]), watch(), catalog, "{", None)
+    assert (rows[0].state, rows[0].promotion_state, rows[0].stages, rows[0].blockers) == ("NO_ACTION", "NOT_APPLICABLE", [], [])
+    assert [s.id for s in rows[1].stages] == ["WAHAPEDIA_INGEST", "WAVE_B_RECONCILE", "WAVE_B_ROSTER_VIEWS", "WAHAPEDIA_SEMANTIC_AUDIT", "OFFICIAL_ASSET_AUDIT"] and not rows[1].blockers
+    assert all(s.reason and s.source and s.automation for s in rows[1].stages) and rows[1].candidate_revisions.wahapedia.candidate_last_update == "new"
+    assert [s.id for s in rows[2].stages] == ["WAVE_B_RECONCILE", "BSDATA_FALLBACK_REBUILD"] and rows[2].candidate_revisions.bsdata_wh40k_11e.candidate == "abc"
+    assert [b.id for b in rows[3].blockers] == ["MFM_OFFICIAL_REVALIDATION_REQUIRED"] and rows[3].promotion_state == "BLOCKED_AUTHORITY_REVALIDATION" and rows[3].candidate_revisions.gw_mfm.state == "s"
+    assert all([b.id for b in rows[i].blockers] == ["UNCLASSIFIED_WATCH_CHANGE"] for i in (4, 6, 7))
+    assert rows[1].plan_id == rows[5].plan_id != rows[2].plan_id and rows[1].plan_id == f"REINGEST_{rows[1].plan_fingerprint[:12]}"
+
+
+def test_refusals_fail_closed(spark):
+    plan = {"plan_id": "P1", "plan_fingerprint": "f", "state": "CANDIDATE_REQUIRED", "blockers": [], "promotion": {"auto_promote": False}, "candidate_snapshot_date": "d", "changed_sources": ["BSDATA_WH40K_11E"], "candidate_revisions": {"bsdata_wh40k_11e": {"candidate": "abc"}}}
+    report = {"plan_id": "P1", "plan_fingerprint": "f", "status": "PASS", "promotion_gate": "ELIGIBLE_FOR_REVIEWED_PROMOTION", "auto_promote": False, "forbidden_current_authority_mutations": []}
+    cases = [(plan, report)] + [({k: v for k, v in plan.items() if k != gone}, report) for gone in plan] + [(plan, {k: v for k, v in report.items() if k != gone}) for gone in report]
+    docs = [(i, *map(json.dumps, c), None, None, None, None, None, '{"commit_sha": "abc"}') for i, c in enumerate(cases)] + [(99, *map(json.dumps, cases[0]), None, None, None, None, None, None)]
+    rows = promotion.refusals(spark.createDataFrame(docs, "i int, " + ", ".join(f"{d} string" for d in promotion.DOCUMENTS))).collect()
+    assert {r.i: r.refusal is None for r in rows} == {r.i: r.i == 0 for r in rows}
+    assert promotion.touched(spark.createDataFrame([(1, "sources/registry.json"), (1, "x"), (1, "sources/registry.json")], "k int, file string"), "k").count() == 1
+
+
+def test_promotion_in_two_phases(spark, tmp_path):
+    root = f"file://{tmp_path}/root"
+    old, new = spark.range(5).toDF("k"), spark.range(7).toDF("k")
     with pytest.raises(promotion.Refused):
-        promotion.safe_key("../x")
+        promotion.roll_back(spark, root)
+    assert promotion.promote(spark, root, "A", {"t": lambda: old, "u": lambda: new}, "d1") == "PROMOTED"
+    broken = {"t": lambda: new, "u": lambda: new.select(F.raise_error(F.lit("stop")).alias("x"))}
+    with pytest.raises(Exception, match="stop"):
+        promotion.promote(spark, root, "B", broken, "d2")
+    assert promotion.read_current(spark, root, "t").count() == 5 and not (tmp_path / "root/versions/B").exists()
+    promotion.stage(spark, root, "C", {"t": lambda: new})
+    again = {"t": lambda: (_ for _ in ()).throw(AssertionError("staged before"))}
+    spark.range(1).toDF("k").write.mode("append").parquet(f"{root}/versions/C/t")
+    with pytest.raises(promotion.Refused, match="manifest"):
+        promotion.promote(spark, root, "C", again, "d3")
+    assert promotion.current(spark, root)["version"] == "A"
+    assert promotion.promote(spark, root, "D", {"t": lambda: new}, "d4") == "PROMOTED" and promotion.promote(spark, root, "D", again, "d5") == "ALREADY_CURRENT"
+    assert promotion.read_current(spark, root, "t").count() == 7 and promotion.roll_back(spark, root) == "A" and promotion.read_current(spark, root, "t").count() == 5
+    assert not [p for p in (tmp_path / "root").iterdir() if "current" in p.name and p.name not in ("current.json", ".current.json.crc")]
+    for unsafe in ("../x", "", "a..b"):
+        with pytest.raises(promotion.Refused):
+            promotion.stage(spark, root, unsafe, {})
 
 
 # --- solver --------------------------------------------------------------------------------------------------------
