@@ -26,6 +26,7 @@ from loamgrid.operators import solver as S
 from loamgrid.operators.flow import Network
 from loamgrid.plans import api
 from loamgrid.sources import anchors, files, readers, sinks
+from loamgrid.streaming import releases
 
 
 def one(spark, *columns):
@@ -847,3 +848,31 @@ def test_runtime_sync_refuses(spark):
         for read in (lambda df: df.collect(), lambda df: df.count()):
             with pytest.raises(Exception, match="schema must be|unresolved state|unclassified drift"):
                 read(G.runtime_sync(bad))
+
+
+# --- streams --------------------------------------------------------------------------------------------------------------
+
+
+def test_release_states_stream_restarts_and_takes_late_events(spark, tmp_path):
+    day = lambda n: datetime.datetime(2024, 1, 1) + datetime.timedelta(days=n)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, releases.EVENTS).coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+        stream = releases.release_states(spark.readStream.schema(releases.EVENTS).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in"))
+        stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+        return {(r.key, r.nth): r.state for r in spark.read.schema(releases.CHANGES).parquet(f"{tmp_path}/out").collect()}
+
+    try:
+        first = arrive(("a", day(0), "scheduled", day(3).date()), ("b", day(0), "scheduled", day(30).date()), ("c", day(1), "confirmed", None), (None, day(1), "confirmed", None), ("n", None, "confirmed", None))
+        assert first == {("a", 1): "PRE_RELEASE_HOLD", ("b", 1): "PRE_RELEASE_HOLD", ("c", 1): "CURRENT_LEGAL_CONFIRMED_WAITING_UPSTREAM_PROJECTION"}
+        # an event before the last one, though not behind the watermark; the date of a comes by its timer, b's is put off by an earlier one that is announced later
+        then = arrive(("c", day(0.9), "upstream", None), ("d", day(10), "applied", None), ("b", day(2), "scheduled", day(4).date()))
+        assert then == first | {("c", 2): "READY_FOR_GUARDED_REINGESTION", ("d", 1): "UPCOMING_HOLD_NO_RELEASE_DATE", ("a", 2): "RELEASE_DATE_REACHED_AWAITING_OFFICIAL_CURRENTNESS", ("b", 2): "RELEASE_DATE_REACHED_AWAITING_OFFICIAL_CURRENTNESS"}
+        # behind the watermark: dropped
+        assert arrive(("b", day(3), "confirmed", None), ("e", day(11), "confirmed", None)) == then | {("e", 1): "CURRENT_LEGAL_CONFIRMED_WAITING_UPSTREAM_PROJECTION"}
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    events = spark.createDataFrame([("a", day(0), "scheduled", day(3).date()), ("b", day(0), "scheduled", day(30).date()), ("c", day(1), "confirmed", None), ("c", day(0.9), "upstream", None), ("d", day(10), "applied", None), ("b", day(2), "scheduled", day(4).date())], releases.EVENTS)
+    last = {k: s for (k, n), s in sorted(then.items())}
+    assert {r.key: r.state for r in releases.batch_states(events, F.lit(day(9).date())).collect()} == last
