@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..functions.text import clean_short_label, fingerprint_normalize, name_norm, rule_refs, shingles, token_count
+from ..functions.text import clean_short_label, fingerprint_normalize, name_norm, rule_refs, token_count
+from ..session import cut, ship
 from .relational import last_by_key
 
 
@@ -63,22 +69,66 @@ def family_ends(families: DataFrame, document: list[str], start: str, pages: Col
 def section_ends(sections: DataFrame, document: list[str]) -> DataFrame:
     """Of every section (ordinal, depth): the ordinal of the next one that isn't deeper, and how many direct children stand before it.
 
-    One range join inside each document finds the next ordinal; children are counted in the same join's range.
+    One ordered pass with a stack of the open sections, whose depths only rise: a document of any length streams by in memory that follows its depth.
+    Sections of one ordinal neither end nor hold each other; one without ordinal or depth has no end and no children, and ends nothing.
     """
-    a, b = sections.alias("a"), sections.alias("b")
-    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in document]
-    on = same[0]
-    for s in same[1:]:
-        on &= s
-    ends = a.join(b, on & (F.col("b.ordinal") > F.col("a.ordinal")) & (F.col("b.depth") <= F.col("a.depth")), "left")
-    ends = ends.groupBy(*[F.col(f"a.{k}").alias(k) for k in document], F.col("a.ordinal").alias("ordinal"), F.col("a.depth").alias("depth")).agg(F.min("b.ordinal").alias("next_ordinal"))
-    e = ends.alias("e")
-    on = F.col(f"e.{document[0]}") == F.col(f"b.{document[0]}")
-    for k in document[1:]:
-        on &= F.col(f"e.{k}") == F.col(f"b.{k}")
-    child = on & (F.col("b.ordinal") > F.col("e.ordinal")) & (F.col("e.next_ordinal").isNull() | (F.col("b.ordinal") < F.col("e.next_ordinal"))) & (F.col("b.depth") == F.col("e.depth") + 1)
-    kids = e.join(b, child, "left")
-    return kids.groupBy(*[F.col(f"e.{k}").alias(k) for k in document], "e.ordinal", "e.depth", "e.next_ordinal").agg(F.count("b.ordinal").alias("children"))
+    spark = sections.sparkSession
+    ship(spark)
+    names = [*document, "ordinal", "depth"]
+    kinds = dict(sections.dtypes)
+    rows = sections.select(*names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, stack, group = None, [], []  # an open section is [ordinal, depth, children, columns]
+        out: list[tuple] = []
+
+        def close(section, following) -> None:
+            out.append((*section[3], section[0], section[1], following, section[2]))
+
+        def take() -> None:
+            """The sections of one ordinal: they end what isn't less deep, are children of what is one less deep, and then stand open themselves."""
+            if group:
+                least = min(g[1] for g in group)
+                while stack and stack[-1][1] >= least:
+                    close(stack.pop(), group[0][0])
+                for g in group:
+                    for s in reversed(stack):
+                        if s[1] < g[1] - 1:
+                            break
+                        s[2] += s[1] == g[1] - 1
+                stack.extend(sorted(group, key=lambda g: g[1]))
+                group.clear()
+
+        def finish() -> None:
+            take()
+            while stack:
+                close(stack.pop(), None)
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                key, ordinal, depth = row[:-2], row[-2], row[-1]
+                if key != doc:
+                    finish()
+                    doc = key
+                if ordinal is None or depth is None:
+                    out.append((*row, None, 0))
+                    continue
+                if group and group[0][0] != ordinal:
+                    take()
+                group.append([ordinal, depth, 0, key])
+            yield made(out)
+            out.clear()
+        finish()
+        yield made(out)
+
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) if out else [()] * len(arrow)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + f", next_ordinal {kinds['ordinal']}, children long"
+    arrow = to_arrow_schema(spark.createDataFrame([], schema).schema)
+    dealt = rows.repartition(*document).sortWithinPartitions(*document, "ordinal", "depth")
+    return dealt.mapInArrow(run, schema)
 
 
 def definition_start(anchors: DataFrame, seen: DataFrame, key: list[str], back: int = 4) -> DataFrame:
@@ -96,9 +146,10 @@ def running_header_filter(labels: DataFrame, document: list[str], most: int = 4,
     """
     page = [*document, "page"]
     once = labels.groupBy(*page, "label").agg(F.min("place").alias("place"))
-    counted = once.withColumn("pages", F.count("*").over(Window.partitionBy(*document, "label")))
+    # only the counts of the labels that stay meet the pages, not the pages of a label that stands on most of them
+    rare = once.groupBy(*document, "label").agg(F.count("*").alias("pages")).filter(F.col("pages") <= most)
     order = Window.partitionBy(*page).orderBy("place")
-    head = counted.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= first).filter(F.col("pages") <= most)
+    head = once.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= first).join(rare, [*document, "label"])
     return head.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= keep).drop("_n", "_k")
 
 
@@ -138,20 +189,48 @@ def span_text(pages: Column, start: Column, end: Column, outer_start: Column, ou
 # --- exact overlap of units with pages -----------------------------------------------------------------------------
 
 
+#: Tokens are told apart by this many hash values where their numbers are counted: a bound for what is sent to the driver and to the tasks.
+TOKEN_SLOTS = 1 << 16
+
+
+def _slot(token: Column) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(TOKEN_SLOTS)).cast("int")
+
+
+def _tokens(text: str) -> Column:
+    return F.filter(F.split(text, " "), lambda w: w != "")
+
+
 def _anchored(units: DataFrame, page_rows: DataFrame, size: int) -> DataFrame:
-    """Pairs of units and pages where the page contains the unit. A unit's first `size` tokens are its anchor.
+    """Pairs of units and pages where the page contains the unit.
 
-    Pages are exploded into shingles without their texts and cut down to the units' anchors; only the pages that are left meet their
-    texts again, and only then are texts compared. All joins are equality joins, whichever side is small.
+    A unit's anchor is its run of `size` tokens that begins with the token rarest on the pages (by slots of a hash, whose counts are at most TOKEN_SLOTS
+    numbers). Pages make only the runs that begin with a token of some anchor's slot, without their texts; pages and units that share a run meet
+    and only then are texts compared. Page texts are read twice, so they should be kept (`kept`), not made anew.
     """
     keys = [c for c in page_rows.columns if c != "text"]
-    anchors = units.select("unit_key", F.array_join(F.slice(F.split("text", " "), 1, size), " ").alias("anchor"), F.col("text").alias("unit_text"))
-    cut = page_rows.select(*keys, F.explode(F.array_distinct(shingles("text", size))).alias("anchor"))
-    found = cut.join(anchors, "anchor").join(page_rows, keys)
+    counted = page_rows.select(F.explode(F.transform(_tokens("text"), _slot)).alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
+    often = [0] * TOKEN_SLOTS
+    for slot, n in counted.collect():
+        often[slot] = n
+    numbers = F.from_json(F.lit(json.dumps(often)), "array<long>")
+    heads = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - size + 1), lambda i: F.struct(F.element_at(numbers, _slot(F.element_at(w, i)) + 1).alias("n"), i.alias("i")))
+    tokens = units.select("unit_key", F.col("text").alias("unit_text"), _tokens("text").alias("w")).filter(F.size("w") >= size)
+    first = tokens.withColumn("at", F.array_min(heads(F.col("w")))["i"])
+    anchors = cut(first.select("unit_key", "unit_text", F.array_join(F.slice("w", F.col("at"), size), " ").alias("anchor"), _slot(F.element_at("w", F.col("at"))).alias("slot")))
+    slots = [r[0] for r in anchors.select("slot").distinct().collect()]
+    begins = lambda w: F.filter(F.sequence(F.lit(1), F.size(w) - size + 1), lambda i: _slot(F.element_at(w, i)).isin(slots))
+    runs = F.transform(F.array(_tokens("text")), lambda w: F.when(F.size(w) >= size, F.transform(begins(w), lambda i: F.array_join(F.slice(w, i, size), " "))))[0]
+    found = page_rows.select(*keys, F.explode(F.array_distinct(runs)).alias("anchor")).join(anchors.drop("slot"), "anchor").join(page_rows, keys)
     inside = F.contains(F.concat(F.lit(" "), F.col("text"), F.lit(" ")), F.concat(F.lit(" "), F.col("unit_text"), F.lit(" ")))
     return found.filter(inside).select("unit_key", *keys).distinct()
 
 
+def kept(pages: DataFrame) -> DataFrame:
+    """Normalised pages, worked out once and kept in the shared folder, for the passes of `page_hits` and `page_pair_hits`."""
+    return cut(pages)
+
+
 def page_hits(units: DataFrame, pages: DataFrame, min_chars: int = 40, min_tokens: int = 6) -> DataFrame:
     """unit_key, doc_id, page_start, page_end of units inside single pages. Both texts must be normalised the same way."""
     good = units.filter((F.length("text") >= min_chars) & (F.size(F.split("text", " ")) >= min_tokens))

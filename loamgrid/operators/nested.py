@@ -33,28 +33,39 @@ def kind_of_shape(shape: Column) -> Column:
     )
 
 
-def nodes(df: DataFrame, key: str, column: str, skip: Iterable[str] = ()) -> DataFrame:
-    """(key, path, name, depth, kind, value) of every node of a JSON text, the root too; what stands under the keys `skip` is not entered.
-
-    name is the key that a node, or the array around it, stands under.
-    """
+def _levels(df: DataFrame, key: str, column: str, skip: Iterable[str], leaves: bool) -> DataFrame:
+    """Nodes of all levels, or only the objects and arrays; of these each level but the documents themselves is kept, and worked out once."""
     spark, skip = df.sparkSession, list(skip)
     level = df.select(key, F.lit("$").alias("path"), F.lit("").alias("name"), F.lit(0).alias("depth"), F.try_parse_json(F.col(column)).alias("value")).filter("value IS NOT NULL")
-    found = []
+    found, inner = [], None
     while True:
         level = level.withColumn("_shape", F.schema_of_variant("value")).withColumn("kind", kind_of_shape(F.col("_shape"))).select(key, "path", "name", "depth", "kind", "value")
-        found.append(level)
-        inner = level.filter(F.col("kind").isin(*CONTAINERS) & ~F.col("name").isin(skip))
-        if len(found) > 1:  # documents themselves are read from their source again, what they hold isn't
-            inner = cut(inner)
-            if inner.isEmpty():
-                return reduce(DataFrame.unionByName, found)
+        held = level.filter(F.col("kind").isin(*CONTAINERS))
+        if inner is not None:  # documents themselves are read from their source again
+            held = cut(held)
+        found.append(level if leaves else held)
+        if inner is not None and held.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        inner = held.filter(~F.col("name").isin(skip)) if skip else held
         parent = inner.select(key, F.col("path").alias("_path"), F.col("name").alias("_name"), F.col("depth").alias("_depth"), F.col("value").alias("_node"))
         made = parent.lateralJoin(spark.tvf.variant_explode(F.col("_node").outer()).toDF("_pos", "_key", "_value"))
         step = F.when(F.col("_key").isNull(), F.concat(F.lit("["), "_pos", F.lit("]"))).otherwise(F.concat(F.lit("."), "_key"))
         level = made.select(key, F.concat("_path", step).alias("path"), F.coalesce("_key", "_name").alias("name"), (F.col("_depth") + 1).alias("depth"), F.col("_value").alias("value"))
 
 
+def nodes(df: DataFrame, key: str, column: str, skip: Iterable[str] = ()) -> DataFrame:
+    """(key, path, name, depth, kind, value) of every node of a JSON text, the root too; what stands under the keys `skip` is not entered.
+
+    name is the key that a node, or the array around it, stands under.
+    """
+    return _levels(df, key, column, skip, leaves=True)
+
+
+def objects(df: DataFrame, key: str, column: str, skip: Iterable[str] = ()) -> DataFrame:
+    """The objects among `nodes`."""
+    return _levels(df, key, column, skip, leaves=False).filter("kind = 'object'")
+
+
 def scalars(df: DataFrame, key: str, column: str) -> DataFrame:
     """(key, path, name, kind, value) of every scalar; a null is empty text."""
     leaves = nodes(df, key, column).filter(~F.col("kind").isin(*CONTAINERS))
@@ -77,14 +88,14 @@ def inside(value: Column, path: str, kind: str = "string") -> Column:
 def typed_names(df: DataFrame, key: str, column: str, kind: str) -> DataFrame:
     """(key, name) of all objects, at any depth, whose `type` is the given one in whatever case and that have a name."""
     own = F.lower(text("value", "$.type")) == kind.lower()
-    named = nodes(df, key, column).filter((F.col("kind") == "object") & own & (kind_of(F.try_variant_get(F.col("value"), "$.name", "variant")) == "string"))
+    named = objects(df, key, column).filter(own & (kind_of(F.try_variant_get(F.col("value"), "$.name", "variant")) == "string"))
     return named.select(key, text("value", "$.name").alias("name")).distinct()
 
 
 def named_costs(df: DataFrame, key: str, column: str, name: Column, cost: str, norm=F.lower) -> DataFrame:
     """(key, costs, cost): the distinct whole values of one kind of cost in all objects of that name (a column of df), and the value if there is just one."""
-    asked = nodes(df.withColumn("_of", F.struct(F.col(key).alias("k"), norm(name).alias("wanted"))), "_of", column)
-    hits = asked.filter((F.col("kind") == "object") & (norm(text("value", "$.name")) == F.col("_of.wanted"))).select("_of.k", F.explode(items("value", "$.costs")).alias("c"))
+    asked = objects(df.withColumn("_of", F.struct(F.col(key).alias("k"), norm(name).alias("wanted"))), "_of", column)
+    hits = asked.filter(norm(text("value", "$.name")) == F.col("_of.wanted")).select("_of.k", F.explode(items("value", "$.costs")).alias("c"))
     values = hits.filter(inside(F.col("c"), "$.name") == cost).select(F.col("k").alias(key), inside(F.col("c"), "$.value", "int").alias("v")).filter("v IS NOT NULL")
     by = values.groupBy(key).agg(F.sort_array(F.collect_set("v")).alias("costs"))
     return by.select(key, "costs", F.when(F.size("costs") == 1, F.col("costs")[0]).alias("cost"))
@@ -113,7 +124,7 @@ def profiles(df: DataFrame, key: str, column: str) -> DataFrame:
 
     Units and weapons keep their characteristics; of semantic ones only the hash of the description (or else the capacity) is kept, null where there is none.
     """
-    owners = nodes(df, key, column, skip=["profiles"]).filter("kind = 'object'").select(key, F.explode(items("value", "$.profiles")).alias("p"))
+    owners = objects(df, key, column, skip=["profiles"]).select(key, F.explode(items("value", "$.profiles")).alias("p"))
     kind = reduce(lambda c, x: c.when(F.col("type") == x[0], x[1]), list(PROFILE_CLASSES.items())[1:], F.when(F.col("type") == "Unit", "unit"))
     typed = owners.select(key, inside(F.col("p"), "$.name").alias("name"), inside(F.col("p"), "$.typeName").alias("type"), _characteristics(F.col("p")).alias("c"))
     said = lambda n: F.nullif(F.element_at(F.filter("c", lambda x: x["name"] == n), F.lit(1))["text"], F.lit(""))

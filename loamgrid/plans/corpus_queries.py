@@ -44,7 +44,8 @@ hits2 AS (SELECT DISTINCT unit_key, doc_id, page AS page_start, n AS page_end FR
 
 
 def _corpus(spark, sf_dir) -> DataFrame:
-    return page_corpus(table(spark, sf_dir, "documents")).withColumns({"text": T.overlap_normalize("text"), "page": F.col("page").cast("long")})
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")  # as the windows over neighbouring pages need it
+    return C.kept(page_corpus(docs).withColumns({"text": T.overlap_normalize("text"), "page": F.col("page").cast("long")}))
 
 
 def _units(spark, sf_dir) -> DataFrame:
