@@ -201,17 +201,17 @@ ORACLES: dict[str, str] = {
     """,
     "op7_top_k": """
         WITH grid AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
             FROM embeddings
             WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
-            FROM grid q JOIN grid c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            SELECT q.k, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+            FROM grid q JOIN grid c ON q.k <> c.k AND len(q.v) = len(c.v)
             WHERE q.vec_id % 50 = 0
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id) AS rank FROM scored)
         WHERE rank <= 5
     """,
     "op9_suffix_dedup": """

@@ -625,13 +625,15 @@ def test_top_k(spark, dims, n, monkeypatch):
     monkeypatch.setattr(maxscore, "BLOCK", 5)
     r = random.Random(dims)
     rows = [(i, [r.choice([-1.0, 0.0, 0.5, r.uniform(-1, 1)]) for _ in range(dims)], 1) for i in range(n)]
-    odd = [(1000, None, 1), (1050, [None] * dims, 1), (1100, [float("nan")] * dims, 1), (1150, [float("inf")] * dims, 1), (1200, [], 1), (7, rows[-1][1], 1)]
+    odd = [(1000, None, 1), (1050, [None] * dims, 1), (1100, [float("nan")] * dims, 1), (1150, [float("inf")] * dims, 1), (1200, [], 1), (7, rows[-1][1], 1), (0, rows[-1][1], 1), (0, rows[0][1], 1), (0, rows[0][1], 1)]
     vectors = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, score int").repartition(3)
-    floor = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v, _ in [*rows, odd[-1]]]
+    floor = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v, _ in [*rows, *odd[-4:]]]
     want = []
     for q, v in floor:
         if q % 50 == 0:
-            best = sorted((-sum(x * y for x, y in zip(v, w, strict=True)), i) for i, w in floor if i != q)[:5]
+            others = list(floor)
+            others.remove((q, v))  # the query's own row, and none of another with its id
+            best = sorted((-sum(x * y for x, y in zip(v, w, strict=True)), i) for i, w in others)[:5]
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
     got = [tuple(x) for x in maxscore.top_k(vectors, F.col("vec_id") % 50 == 0).collect()]
     assert sorted(got) == sorted(want)
@@ -646,9 +648,10 @@ def test_search_is_exact(seed, largest, kind):
         rows = [[r.choice([close, close + 1, r.randint(-largest, largest)]) for _ in range(dims)] for _ in range(60)]
         ids = [r.randrange(50) for _ in rows]
         matrix, own = np.array(rows, np.int64), np.array(ids, np.int64)
-        for floors in (None, maxscore.first_floors(own[:20], matrix[:20], 4)):
+        for floors in (None, maxscore.first_floors(matrix[:20], 4)):
             found = maxscore.search(own, np.ascontiguousarray(matrix.T), own[:20], matrix[:20], 4, floors)
-            want = [(q, i, s) for q, v in zip(ids[:20], rows[:20], strict=True) for s, i in sorted(((sum(x * y for x, y in zip(v, w, strict=True)), i) for i, w in zip(ids, rows, strict=True) if i != q), key=lambda x: (-x[0], x[1]))[:4]]
+            product = lambda v, w: sum(x * y for x, y in zip(v, w, strict=True))
+            want = [(at, i, s, i == ids[at] and s == product(v, v)) for at, v in enumerate(rows[:20]) for s, i in sorted(((product(v, w), i) for i, w in zip(ids, rows, strict=True)), key=lambda x: (-x[0], x[1]))[:4]]
             assert list(zip(*(x.tolist() for x in found), strict=True)) == want
     assert maxscore.kind_for(np.array([[largest]] * 2), np.array([[largest]])) is kind
     assert maxscore.kind_for(np.array([[largest] * 20]), np.array([[largest] * 20])) is (object if seed == 4 else kind)
