@@ -92,10 +92,11 @@ def followed(docs: DataFrame) -> DataFrame:
 
     The edited text has the last half (rounded down) of the code points replaced by as many from the start of the next
     document, or all it has; after the last document comes the first. Repeated ids stand in the order of their texts; rows with a
-    null id are left out, having no place in the order. Texts move once, in runs of neighbouring ids.
+    null id stand after all others, in the order of theirs. Texts move once, in runs of neighbouring ids.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).filter("doc_id is not null")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumns({"_key": F.coalesce("doc_id", F.lit((1 << 63) - 1)), "_none": F.col("doc_id").isNull()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried = None
@@ -138,4 +139,4 @@ def followed(docs: DataFrame) -> DataFrame:
             [x.split()[0] for x in FOLLOWED.split(", ")],
         )
 
-    return ordered(rows, "doc_id", ["text"], ring=True).mapInArrow(run, FOLLOWED)
+    return ordered(rows, "_key", ["_none", "text"], ring=True).mapInArrow(run, FOLLOWED)
