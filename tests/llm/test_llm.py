@@ -6,6 +6,7 @@ import html
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -313,7 +314,8 @@ def test_followed(spark):
     docs = docs_of(spark, [*rows, (None, "no id", "a", "s")])
     rows = sorted((r[0], r[1] or "") for r in rows)
     got = {x.doc_id: x for x in fingerprint.followed(docs).collect()}
-    assert set(got) == {i for i, _ in rows}
+    assert set(got) == {i for i, _ in rows} | {None} and got[None].edited_sha256 == hashlib.sha256(("no " + rows[0][1][:2]).encode()).hexdigest()
+    rows.append((None, "no id"))
     single = {x.doc_id: x.fingerprint for x in fingerprint.fingerprints(docs).collect()}
     for k, (i, t) in enumerate(rows):
         nxt = rows[(k + 1) % len(rows)][1]
@@ -331,6 +333,15 @@ def test_followed(spark):
     assert alone.edited_sha256 == hashlib.sha256(b"abab").hexdigest()
 
 
+def test_followed_keeps_rows_without_id_and_repeated_ones(spark):
+    rows = [(2, "b two words"), (2, "a two words"), (2, "b two words"), (None, "z none"), (None, "y none"), (1, None), ((1 << 63) - 1, "the largest id")]
+    got = sorted((x.doc_id is None, x.doc_id or 0, x.edited_sha256) for x in fingerprint.followed(docs_of(spark, [(i, t, "a", "s") for i, t in rows])).collect())
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    texts = [t or "" for _, t in order]
+    want = [(i is None, i or 0, hashlib.sha256((t[: len(t) - len(t) // 2] + texts[(k + 1) % len(texts)][: len(t) // 2]).encode()).hexdigest()) for k, ((i, _), t) in enumerate(zip(order, texts, strict=True))]
+    assert got == sorted(want)
+
+
 def test_fingerprints_against_sets(spark):
     """Which five-word runs a sketch keeps, by hashing each run on its own."""
     rows = [(i, t, *x) for i, (_, t, *x) in enumerate(corpus(n=60))]
@@ -608,6 +619,14 @@ def test_longest_common_subsequence(seed):
     assert len(found) == table[-1][-1] and all(any(y == a[i] for y in rest) for i in found)
 
 
+@pytest.mark.parametrize("bit", ["<a ", '<a x="', "<a x='", "<", "</", "<!", "<!--", "<script ", "<a", "<a\t", "<title>", "<p class=", "<p <!", '<a "<a \'', "&amp", "<p>", "<div class='ad'>", "</p>"])
+def test_broken_markup_is_read_in_linear_time(bit):
+    page = "<p>first</p>" + bit * (1_000_000 // len(bit))
+    start = time.perf_counter()
+    lines, _ = extract.blocks(page)
+    assert lines[0].startswith("first") and time.perf_counter() - start < 10
+
+
 def test_pages_of_the_table(spark, data):
     rows = spark.read.parquet(f"{data}/pages.parquet").collect()
     got = {x.page_id: x.text for x in queries.op6_html_extraction(spark, data).collect()}
