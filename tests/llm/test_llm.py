@@ -636,6 +636,20 @@ def test_pages_of_the_table(spark, data):
         assert got[r.page_id] == "\n".join(x for x in parts if x)
 
 
+def test_toxicity_models_are_bounded(spark):
+    r = random.Random(3)
+    rows = [("".join(r.choice("abcde ") for _ in range(r.randint(0, 60))), r.randint(0, 1), False) for _ in range(80)]
+    labelled = spark.createDataFrame(rows, "text string, toxic int, unseen boolean")
+    every, counts = toxicity._counts(labelled)
+    for most in (0, 5, 50, len(every)):
+        runs, n = toxicity._counts(labelled, most)
+        assert len(runs) <= most and (np.diff(runs) > 0).all()
+        least = n.sum(axis=0).min() if len(runs) else None
+        assert len(runs) == (0 if least is None else (counts.sum(axis=0) >= least).sum())
+        lower = [t for t in counts.sum(axis=0).tolist() if least is not None and t < least]
+        assert not lower or (counts.sum(axis=0) >= max(lower)).sum() > most
+
+
 # --- 7 top-k ---------------------------------------------------------------------------------------------------------
 
 
