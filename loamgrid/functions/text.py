@@ -1,8 +1,7 @@
 """Text scalars as Column expressions, with Arrow variants where exact Unicode behaviour needs Python.
 
-The normalizers differ on purpose and are not interchangeable. The Column forms stay in generated code: they fold case with `lower` and
-accents by a table over the Latin letters (built from the character database). The `*_exact` forms apply full Unicode decomposition,
-case folding and entity decoding to any script.
+The normalizers differ on purpose and are not interchangeable. The Column forms stay in the JVM, with full case folding and normal forms (`unicode.py`); letters and
+digits are those of Java's Unicode version, character references those of HTML 4. The `exact` forms take Python's tables, in Arrow batches.
 """
 
 from __future__ import annotations
@@ -10,12 +9,13 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .unicode import casefold, nfkc, nfkd, without_marks, without_references
+
 Text = Column | str
 DASHES = "‐‑‒–—"
 QUOTES = "‘’“”`´"
@@ -25,14 +25,6 @@ def col(c: Text) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@cache
-def latin_fold() -> tuple[str, str]:
-    """Accented Latin letters and their base letters, by decomposition."""
-    pairs = [(chr(c), unicodedata.normalize("NFKD", chr(c))) for c in range(0xC0, 0x250)]
-    kept = [(a, b[0]) for a, b in pairs if len(b) > 1 and b[0].isascii() and b[0].isalpha() and all(unicodedata.combining(x) for x in b[1:])]
-    return "".join(a for a, _ in kept), "".join(b for _, b in kept)
-
-
 def collapse(c: Text) -> Column:
     return F.trim(F.regexp_replace(col(c), r"(?U)\s+", " "))
 
@@ -43,50 +35,46 @@ def non_empty(c: Text) -> Column:
 
 
 def fold_accents(c: Text) -> Column:
-    return F.translate(col(c), *latin_fold())
+    return without_marks(c)
 
 
 def norm_strip(c: Text) -> Column:
-    """Accents dropped, lower case, runs of anything but a-z and 0-9 as one space."""
-    return F.trim(F.regexp_replace(F.lower(fold_accents(c)), "[^a-z0-9]+", " "))
+    """Accents dropped, case folded, runs of anything but a-z and 0-9 as one space."""
+    return F.trim(F.regexp_replace(casefold(fold_accents(c)), "[^a-z0-9]+", " "))
+
+
+def norm_strip_decoded(c: Text) -> Column:
+    """norm_strip after character references are decoded."""
+    return norm_strip(without_references(c))
 
 
 def norm_keep(c: Text) -> Column:
     """Like norm_strip, but an accent separates: the letter's base stays, its mark becomes a word break."""
-    marked, base = latin_fold()
-    apart = F.regexp_replace(col(c), f"([{marked}])", "$1 ")
-    return F.trim(F.regexp_replace(F.lower(F.translate(apart, marked, base)), "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(casefold(nfkd(c)), "[^a-z0-9]+", " "))
 
 
 def name_norm(c: Text) -> Column:
-    """Accents dropped, lower case, letters and digits of any script stay."""
-    return F.trim(F.regexp_replace(F.lower(fold_accents(c)), r"[^\p{L}\p{N}]+", " "))
-
-
-def plain_entities(c: Text) -> Column:
-    out = col(c)
-    for name, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(name), F.lit(sign))
-    return out
+    """Accents dropped, case folded, letters and digits of any script stay."""
+    return F.trim(F.regexp_replace(casefold(fold_accents(c)), r"[^\p{L}\p{N}]+", " "))
 
 
 def overlap_normalize(c: Text) -> Column:
-    """Entities decoded, tags and soft hyphens dropped, lower case, letters and digits of any script with accents kept."""
-    out = F.regexp_replace(plain_entities(c), "<[^>]*>", " ")
-    out = F.regexp_replace(out, "­", "")
-    return F.trim(F.regexp_replace(F.lower(out), r"[^\p{L}\p{N}]+", " "))
+    """References decoded, tags dropped, compatibility composition, soft hyphens dropped, case folded, letters and digits of any script with accents kept."""
+    out = nfkc(F.regexp_replace(without_references(c), "<[^>]*>", " "))
+    out = F.replace(out, F.lit("\u00ad"), F.lit(""))
+    return F.trim(F.regexp_replace(casefold(out), r"[^\p{L}\p{N}]+", " "))
 
 
 def fingerprint_normalize(c: Text) -> Column:
     """Case kept: dashes unified, white space collapsed in each line, blank lines and bare page numbers dropped."""
-    text = F.translate(F.regexp_replace(col(c), "­", ""), DASHES, "-" * len(DASHES))
+    text = F.translate(F.replace(nfkc(c), F.lit("\u00ad"), F.lit("")), DASHES, "-" * len(DASHES))
     lines = F.transform(F.split(text, r"\r\n|[\n\r\u000B\u000C\u0085  ]"), lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " ")))
     return F.array_join(F.filter(lines, lambda x: (x != "") & ~x.rlike("^[0-9]{1,3}$")), "\n")
 
 
 def clean_short_label(c: Text, limit: int = 160) -> Column:
     """Control characters, replacement signs and bullets as spaces; collapsed; cut to `limit` characters."""
-    out = F.regexp_replace(F.regexp_replace(F.coalesce(col(c), F.lit("")), "­", ""), r"[�\p{C}•·⋅…]+", " ")
+    out = F.regexp_replace(F.replace(nfkc(F.coalesce(col(c), F.lit(""))), F.lit("\u00ad"), F.lit("")), r"[�\p{C}•·⋅…]+", " ")
     return F.substring(collapse(out), 1, limit)
 
 

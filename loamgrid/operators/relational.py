@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.unicode import casefold
+
 from ..functions.text import non_empty, text_hash
 
 
@@ -79,7 +81,8 @@ def visible(mode: str, group: Column, wanted: str | None) -> Column:
 
 
 def same_fold(c: str | Column, value: str) -> Column:
-    return F.lower(F.col(c) if isinstance(c, str) else c) == value.lower()
+    """Equality whatever the case, by full case folding."""
+    return casefold(c) == value.casefold()
 
 
 def has_any(needle: str, *columns: str, arrays: Sequence[str] = ()) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions import unicode as U
 from ..operators import classify as K
 from ..operators import corpus as C
 from ..session import table
@@ -23,7 +24,7 @@ LEXICON = {
     "REPLACEMENT_INSTEAD": ("MODIFICATION_OR_REPLACEMENT", r"\binstead\b"),
     "REFERENCE_SEE": ("REFERENCE_OR_CROSS_REFERENCE", r"\bthis\b"),
 }
-_NORM = "trim(regexp_replace(lower(regexp_replace(replace({c}, chr(173), ''), '<[^>]*>', ' ', 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+_NORM = "trim(regexp_replace(replace(lower(regexp_replace(replace({c}, chr(173), ''), '<[^>]*>', ' ', 'g')), 'ß', 'ss'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 # &amp; and the like stay out of the test texts, so the twins don't decode them
 
 
@@ -257,3 +258,20 @@ def modal_split(spark, sf_dir):
     parts = rows.withColumn("p", K.split_modal("text"))
     out = parts.withColumns({"subject": K.subject_type(F.col("p.subject.text")), **K.predicate_type(F.col("p.predicate.text"))})
     return out.select("id", "subject", F.col("action_type").alias("action"), F.when(F.col("p").isNotNull(), F.array_join("blockers", "|")).alias("blockers"))
+
+
+_FOLDED = "replace(lower(coalesce(text, '')), 'ß', 'ss')"
+
+
+@query(f"""
+SELECT doc_id, sha256(trim(regexp_replace(strip_accents({_FOLDED}), '[^a-z0-9]+', ' ', 'g'))) AS stripped, sha256(trim(regexp_replace(strip_accents({_FOLDED}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))) AS named,
+       sha256({_FOLDED}) AS folded, sha256(nfc_normalize({_FOLDED})) AS composed, length(strip_accents(coalesce(text, ''))) AS bare
+FROM documents
+""")
+def unicode_forms(spark, sf_dir):
+    """Normal forms of all texts, accented ones among them: case folded, marks dropped, taken apart and put together again."""
+    text = F.coalesce("text", F.lit(""))
+    sha = lambda c: F.sha2(c, 256)
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", sha(T.norm_strip(text)).alias("stripped"), sha(T.name_norm(text)).alias("named"), sha(U.casefold(text)).alias("folded"), sha(U.nfkc(U.nfkd(U.casefold(text)))).alias("composed"), F.length(U.without_marks(text)).cast("long").alias("bare")
+    )
