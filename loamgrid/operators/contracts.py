@@ -1,4 +1,8 @@
-"""Contracts: every rule gives violation rows (contract, subject, detail, severity); a contract holds if it gives none."""
+"""Contracts: every rule gives violation rows (contract, subject, detail, severity); a contract holds if it gives none.
+
+Rules are declared over named tables and compiled together: a table is scanned once, however many rules it has, and each row gives its facts to all of them; all facts are
+counted in one grouping, with partial counts before the shuffle. What a rule says of its counts then makes the violations.
+"""
 
 from __future__ import annotations
 
@@ -9,38 +13,84 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COLUMNS = ("contract", "subject", "detail", "severity")
+FACT = "rule int, key array<string>, n long, other long"
 
 
 def _rows(df: DataFrame, contract: str, subject: Column, detail: Column, severity: str = "ERROR") -> DataFrame:
     return df.select(F.lit(contract).alias("contract"), subject.cast("string").alias("subject"), detail.cast("string").alias("detail"), F.lit(severity).alias("severity"))
 
 
-def unique(df: DataFrame, contract: str, *key: str) -> DataFrame:
-    many = df.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1")
-    return _rows(many, contract, F.concat_ws("|", *key), F.concat(F.lit("rows="), F.col("_n")))
-
-
-def vocabulary(df: DataFrame, contract: str, subject: str, column: str, allowed: Iterable[str]) -> DataFrame:
-    bad = df.filter(F.col(column).isNull() | ~F.col(column).isin(*allowed))
-    return _rows(bad, contract, F.col(subject), F.concat(F.lit(f"{column}="), F.coalesce(F.col(column), F.lit("null"))))
+class Contracts:
+    """Rules over named tables; `report` gives the violations of all of them.
+
+    Edge cases: a null subject stays null; keys are compared as texts with nulls apart; an empty table violates only totals that aren't 0.
+    """
+
+    def __init__(self, **tables: DataFrame):
+        self.tables = tables
+        self.facts: dict[str, list[Column]] = {t: [] for t in tables}
+        self.rules: list[tuple[str, str, str]] = []  # contract, kind, severity
+        self.seeds: list[tuple] = []
+
+    def _fact(self, table: str, when: Column, key: list[Column], n: Column | int = 1, other: int = 0) -> None:
+        key = F.array(*[k.cast("string") for k in key])
+        n = n if isinstance(n, Column) else F.lit(n)
+        self.facts[table].append(F.when(when, F.struct(F.lit(len(self.rules) - 1).alias("rule"), key.alias("key"), n.cast("long").alias("n"), F.lit(other).cast("long").alias("other"))))
+
+    def every(self, table: str, contract: str, subject: str, condition: Column, detail: Column | str, severity: str = "ERROR") -> Contracts:
+        """Rows for which a condition isn't true."""
+        self.rules.append((contract, "row", severity))
+        self._fact(table, ~F.coalesce(condition, F.lit(False)), [F.col(subject), detail if isinstance(detail, Column) else F.lit(detail)])
+        return self
+
+    def vocabulary(self, table: str, contract: str, subject: str, column: str, allowed: Iterable[str]) -> Contracts:
+        return self.every(table, contract, subject, F.col(column).isin(*allowed), F.concat(F.lit(f"{column}="), F.coalesce(F.col(column).cast("string"), F.lit("null"))))
+
+    def schema(self, table: str, contract: str, subject: str, schema: dict) -> Contracts:
+        """Rows and rules of a JSON Schema that don't hold; what it understands is in `compile_schema`."""
+        for name, condition in compile_schema(schema).items():
+            self.every(table, contract, subject, condition, name)
+        return self
+
+    def unique(self, table: str, contract: str, *key: str) -> Contracts:
+        self.rules.append((contract, "unique", "ERROR"))
+        self._fact(table, F.lit(True), [F.col(k) for k in key])
+        return self
+
+    def reference(self, table: str, contract: str, column: str, target: str, target_column: str) -> Contracts:
+        """Values that don't exist in the target; nulls refer to nothing."""
+        self.rules.append((contract, "reference", "ERROR"))
+        self._fact(table, F.col(column).isNotNull(), [F.col(column)])
+        self._fact(target, F.col(target_column).isNotNull(), [F.col(target_column)], 0, 1)
+        return self
+
+    def total(self, table: str, contract: str, name: str, want: int, value: Column | int = 1, when: Column | None = None) -> Contracts:
+        """A pinned sum of `value` (1: a number of rows) over the rows for which `when` is true."""
+        self.rules.append((contract, "total", "ERROR"))
+        self._fact(table, F.lit(True) if when is None else F.coalesce(when, F.lit(False)), [F.lit(name), F.lit(want)], value)
+        self.seeds.append((len(self.rules) - 1, [name, str(want)], 0, 0))
+        return self
+
+    def report(self) -> DataFrame:
+        parts = [df.select(F.explode(F.array_compact(F.array(*self.facts[t]))).alias("f")).select("f.*") for t, df in self.tables.items() if self.facts[t]]
+        if self.seeds:
+            parts.append(parts[0].sparkSession.createDataFrame(self.seeds, FACT))
+        counted = reduce(DataFrame.unionAll, parts).groupBy("rule", "key").agg(F.sum("n").alias("n"), F.sum("other").alias("other"))
+        of = lambda i: F.element_at(F.array(*[F.lit(r[i]) for r in self.rules]), F.col("rule") + 1)
+        kind, first, rows = of(1), F.col("key")[0], F.concat(F.lit("rows="), F.col("n"))
+        bad = (kind == "row") | ((kind == "unique") & (F.col("n") > 1)) | ((kind == "reference") & (F.col("n") > 0) & (F.col("other") == 0)) | ((kind == "total") & (F.col("n") != F.col("key")[1].cast("long")))
+        subject = F.when(kind == "unique", F.array_join("key", "|")).otherwise(first)
+        detail = F.when(kind == "row", F.col("key")[1]).when(kind == "total", F.concat(F.lit("got="), F.col("n"), F.lit(" want="), F.col("key")[1])).otherwise(rows)
+        found = counted.filter(bad).select(of(0).alias("contract"), subject.alias("subject"), detail.alias("detail"), of(2).alias("severity"), F.when(kind == "row", F.col("n")).otherwise(F.lit(1)).alias("_n"))
+        return found.select(*COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_i")).drop("_i")
 
 
-def reference(df: DataFrame, contract: str, column: str, target: DataFrame, target_column: str) -> DataFrame:
-    """Values that don't exist in the target."""
-    gone = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("_v")).join(target.select(F.col(target_column).alias("_v")), "_v", "left_anti").groupBy("_v").agg(F.count("*").alias("_n"))
-    return _rows(gone, contract, F.col("_v"), F.concat(F.lit("rows="), F.col("_n")))
-
-
-def totals(df: DataFrame, contract: str, expected: dict[str, tuple[Column, int]]) -> DataFrame:
-    """Pinned totals against aggregates."""
-    row = df.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(n) for n, (c, _) in expected.items()])
-    long = row.select(F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.col(n).alias("got"), F.lit(v).cast("long").alias("want")) for n, (_, v) in expected.items()])).alias("t"))
-    return _rows(long.filter("t.got <> t.want"), contract, F.col("t.n"), F.concat(F.lit("got="), F.col("t.got"), F.lit(" want="), F.col("t.want")))
+def unique(df: DataFrame, contract: str, *key: str) -> DataFrame:
+    return Contracts(t=df).unique("t", contract, *key).report()
 
 
-def every(df: DataFrame, contract: str, subject: str, condition: Column, detail: str, severity: str = "ERROR") -> DataFrame:
-    """Rows for which a condition isn't true."""
-    return _rows(df.filter(~F.coalesce(condition, F.lit(False))), contract, F.col(subject), F.lit(detail), severity)
+def vocabulary(df: DataFrame, contract: str, subject: str, column: str, allowed: Iterable[str]) -> DataFrame:
+    return Contracts(t=df).vocabulary("t", contract, subject, column, allowed).report()
 
 
 def file_pins(inventory: DataFrame, contract: str, pins: DataFrame) -> DataFrame:
@@ -105,6 +155,4 @@ def compile_schema(schema: dict) -> dict[str, Column]:
 
 
 def schema_violations(df: DataFrame, contract: str, subject: str, schema: dict) -> DataFrame:
-    rules = compile_schema(schema)
-    bad = F.filter(F.array(*[F.when(~F.coalesce(c, F.lit(False)), n) for n, c in rules.items()]), lambda x: x.isNotNull())
-    return _rows(df.select(subject, F.explode(bad).alias("_rule")), contract, F.col(subject), F.col("_rule"))
+    return Contracts(t=df).schema("t", contract, subject, schema).report()

@@ -215,14 +215,11 @@ UNION ALL SELECT 'totals', 'regions', 'got=5 want=6', 'ERROR' FROM (SELECT count
 UNION ALL SELECT 'balance', CAST(c_custkey AS VARCHAR), 'c_acctbal below zero', 'WARNING' FROM customer WHERE NOT c_acctbal >= 0
 """)
 def contract_violations(spark, sf_dir):
-    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    return V.report(
-        V.vocabulary(orders, "order_status", "o_orderkey", "o_orderstatus", ["F", "O"]),
-        V.unique(lines, "line_number", "l_orderkey", "l_linenumber"),
-        V.reference(lines, "order_of_line", "l_orderkey", orders, "o_orderkey"),
-        V.totals(table(spark, sf_dir, "region"), "totals", {"regions": (F.count("*"), 6)}),
-        V.every(table(spark, sf_dir, "customer"), "balance", "c_custkey", F.col("c_acctbal") >= 0, "c_acctbal below zero", "WARNING"),
-    )
+    """Rules of rows, keys, references and totals, with one scan for each table."""
+    tables = {t: table(spark, sf_dir, t) for t in ("orders", "lineitem", "region", "customer")}
+    rules = V.Contracts(**tables).vocabulary("orders", "order_status", "o_orderkey", "o_orderstatus", ["F", "O"]).unique("lineitem", "line_number", "l_orderkey", "l_linenumber")
+    rules.reference("lineitem", "order_of_line", "l_orderkey", "orders", "o_orderkey").total("region", "totals", "regions", 6)
+    return rules.every("customer", "balance", "c_custkey", F.col("c_acctbal") >= 0, "c_acctbal below zero", "WARNING").report()
 
 
 @query("SELECT count(*) = 0 AS unused, bool_and(r_regionkey >= 0) AS keys, bool_and(length(r_name) > 0) AS names, CASE WHEN bool_and(r_regionkey >= 0) AND bool_and(length(r_name) > 0) AND count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS result FROM region")

@@ -877,6 +877,25 @@ def test_runtime_sync_refuses(spark):
                 read(G.runtime_sync(bad))
 
 
+def test_contracts_scan_each_table_once(spark, tmp_path):
+    spark.createDataFrame([(1, "a", 5), (1, "b", None), (2, None, 7), (None, "a", 1), (None, "a", 1)], "k int, s string, v int").write.parquet(f"{tmp_path}/a")
+    spark.createDataFrame([(1,), (9,), (None,)], "k int").write.parquet(f"{tmp_path}/b")
+    a, b = spark.read.parquet(f"{tmp_path}/a"), spark.read.parquet(f"{tmp_path}/b")
+
+    def rules(a, b):
+        c = V.Contracts(a=a, b=b).unique("a", "ids", "k").unique("a", "pairs", "k", "s").vocabulary("a", "words", "k", "s", ["a"]).reference("a", "owner", "k", "b", "k").every("a", "value", "k", F.col("v") < 6, "v", "WARNING")
+        return c.total("a", "sums", "v", 14, F.col("v")).total("a", "sums", "big", 3, when=F.col("v") > 4).total("b", "sums", "none", 0, when=F.lit(False)).schema("a", "schema", "k", {"required": ["s"]}).report()
+
+    found = rules(a, b)
+    assert sorted((r.contract, r.subject, r.detail, r.severity) for r in found.fillna("-").collect()) == sorted([
+        ("ids", "1", "rows=2", "ERROR"), ("ids", "", "rows=2", "ERROR"), ("pairs", "a", "rows=2", "ERROR"), ("words", "1", "s=b", "ERROR"), ("words", "2", "s=null", "ERROR"), ("owner", "2", "rows=1", "ERROR"),
+        ("value", "1", "v", "WARNING"), ("value", "2", "v", "WARNING"), ("sums", "big", "got=2 want=3", "ERROR"), ("schema", "2", "s.required", "ERROR"),
+    ])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+    empty = rules(a.limit(0), b.limit(0)).collect()
+    assert sorted((r.subject, r.detail) for r in empty) == [("big", "got=0 want=3"), ("v", "got=0 want=14")]
+
+
 # --- streams --------------------------------------------------------------------------------------------------------------
 
 
