@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import audit
 from ..operators import promotion as P
 from ..session import cut, table
 from ..sources import paths
@@ -163,3 +164,37 @@ def promoted_orders(spark, sf_dir):
         third = "failed" if "no source" in str(e) and not paths.exists(spark, f"{root}/versions/REINGEST_3") else "left over"
     rows = P.read_current(spark, root, "orders").withColumns({"replay": F.lit(done[2]), "third": F.lit(third), "version": F.lit(P.current(spark, root)["version"])})
     return paths.read_and_removed(rows, root)
+
+
+_COVERAGE = ("points", "balance", "segment", "orders")
+_COVERAGE_SQL = """
+    covered AS (
+        SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN 100 WHEN c_custkey % 3 = 1 THEN 40 ELSE 0 END AS points, CASE WHEN c_acctbal > 0 THEN 100 ELSE 0 END AS balance,
+               CASE WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE 100 END AS segment, CASE WHEN c_nationkey < 20 THEN 100 ELSE 0 END AS orders FROM customer
+    ), long AS (
+        SELECT c_custkey, unnest(['points', 'balance', 'segment', 'orders']) AS dimension, unnest([points, balance, segment, orders]) AS v FROM covered
+    )"""
+
+
+@query(f"""
+WITH {_COVERAGE_SQL}
+SELECT 'gap' AS section, CAST(c_custkey AS VARCHAR) AS subject, dimension, CASE WHEN v = 0 THEN 'OPEN' ELSE 'PARTIAL' END AS state, CAST(v AS BIGINT) AS n FROM long WHERE v <> 100
+UNION ALL SELECT 'dimension', '', dimension, 'COMPLETE', count(*) FILTER (v = 100) FROM long GROUP BY dimension
+UNION ALL SELECT 'dimension', '', dimension, 'MISSING', count(*) FILTER (v = 0) FROM long GROUP BY dimension
+UNION ALL SELECT 'layer', 'KEYS', '', CASE WHEN bool_and(c_custkey >= 0) THEN 'CLOSED' ELSE 'PENDING' END, count(*) FROM covered
+UNION ALL SELECT 'layer', 'BALANCES', '', CASE WHEN bool_and(balance = 100) THEN 'CLOSED' ELSE 'PENDING' END, count(*) FROM covered
+UNION ALL SELECT 'next', 'BALANCE_REVIEW', '', '', 0
+""")
+def gap_audit(spark, sf_dir):
+    """Coverage of all customers, four dimensions, after a promotion of one of them by exact counts: gaps, counts and conjunctions of one pass."""
+    customers = table(spark, sf_dir, "customer")
+    complete = F.col("c_nationkey") < 20
+    start = F.create_map(F.lit("points"), F.when(_every(3), 100).when(_k() % 3 == 1, 40).otherwise(0), F.lit("balance"), F.when(F.col("c_acctbal") > 0, 100).otherwise(0), F.lit("segment"), F.when(F.col("c_mktsegment") == "BUILDING", 0).otherwise(100))
+    rows = customers.withColumn("coverage", start)
+    want = customers.agg(F.count_if(complete), F.count_if(~complete)).first()
+    rows = audit.structural_promotion(rows, "coverage", complete, ["orders"], (want[0], want[1]))
+    path = paths.new_folder(spark, "audit")
+    found = audit.gap_audit(rows, "c_custkey", "coverage", list(_COVERAGE), {"KEYS": _k() >= 0, "BALANCES": F.col("c_acctbal") > 0}, path)
+    milestone = found.next_milestone({"KEYS": "KEY_REVIEW", "BALANCES": "BALANCE_REVIEW"}, "NONE")
+    report = found.report()
+    return paths.read_and_removed(report.unionAll(spark.createDataFrame([("next", milestone, "", "", 0)], report.schema)), path)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from loamgrid.functions import text as T
 from loamgrid.functions import unicode as U
 from loamgrid.operators import aggregates as A
+from loamgrid.operators import audit
 from loamgrid.operators import classify as K
 from loamgrid.operators import contracts as V
 from loamgrid.operators import corpus as C
@@ -896,6 +897,22 @@ def test_contracts_scan_each_table_once(spark, tmp_path):
     assert sorted((r.subject, r.detail) for r in empty) == [("big", "got=0 want=3"), ("v", "got=0 want=14")]
 
 
+def test_gap_audits(spark, tmp_path):
+    rows = spark.createDataFrame([(1, {"a": 100, "b": 0}, True), (2, {"a": 40}, None), (3, None, True)], "k int, c map<string,int>, ok boolean")
+    got = audit.gap_audit(rows, "k", "c", ["a", "b"], {"ok": F.col("ok"), "keys": F.col("k") > 0}, f"{tmp_path}/g")
+    assert (got.rows, got.dimensions, got.passed) == (3, {"a": (1, 1), "b": (0, 3)}, {"ok": False, "keys": True})
+    assert sorted(tuple(r) for r in got.gaps.collect()) == [(1, "b", 0, "OPEN"), (2, "a", 40, "PARTIAL"), (2, "b", 0, "OPEN"), (3, "a", 0, "OPEN"), (3, "b", 0, "OPEN")]
+    assert got.next_milestone({"keys": "x", "ok": "y"}, "z") == "y" and got.layers() == {"ok": "PENDING", "keys": "CLOSED"}
+    audit.as_json(got, f"{tmp_path}/report.json")
+    assert json.loads((tmp_path / "report.json").read_text())["dimensions"]["b"] == {"complete": 0, "missing": 3}
+    none = audit.gap_audit(rows.limit(0), "k", "c", ["a"], {"ok": F.col("ok")}, f"{tmp_path}/h")
+    assert (none.rows, none.dimensions, none.passed, none.gaps.count()) == (0, {"a": (0, 0)}, {"ok": True}, 0)
+    done = audit.structural_promotion(rows.fillna({"ok": False}).filter("c is not null"), "c", F.col("ok"), ["b", "x"], (1, 1))
+    assert {r.k: r.c for r in done.collect()} == {1: {"a": 100, "b": 100, "x": 100}, 2: {"a": 40, "b": 0, "x": 0}}
+    with pytest.raises(Exception, match="complete=1"):
+        audit.structural_promotion(rows.filter("c is not null"), "c", F.col("ok"), ["b"], (2, 0)).collect()
+
+
 # --- streams --------------------------------------------------------------------------------------------------------------
 
 
