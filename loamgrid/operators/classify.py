@@ -209,20 +209,42 @@ def no_exact_class(chars: Column, tokens: Column, source: Column, edition: Colum
 
 # Closed lexicons of subjects and actions, and cue words.
 SUBJECTS = {
-    "MODEL": "model models", "UNIT": "unit units", "PLAYER": "player players", "WEAPON": "weapon weapons", "ATTACK": "attack attacks", "OBJECTIVE": "objective objectives",
-    "AIRCRAFT": "aircraft", "VEHICLE": "vehicle vehicles", "MONSTER": "monster monsters", "PSYKER": "psyker psykers", "CHARACTER": "character characters",
-    "TRANSPORT": "transport transports", "INFANTRY": "infantry", "MOUNTED": "mounted",
-}
+    "MODEL": ("model", "models"),
+    "UNIT": ("unit", "units"),
+    "PLAYER": ("player", "players"),
+    "WEAPON": ("weapon", "weapons"),
+    "ATTACK": ("attack", "attacks"),
+    "OBJECTIVE": ("objective", "objectives"),
+    "AIRCRAFT": ("aircraft",),
+    "VEHICLE": ("vehicle", "vehicles"),
+    "MONSTER": ("monster", "monsters"),
+    "PSYKER": ("psyker", "psykers"),
+    "CHARACTER": ("character", "characters"),
+    "TRANSPORT": ("transport", "transports"),
+    "INFANTRY": ("infantry",),
+    "MOUNTED": ("mounted",),
+}
 ACTIONS = {
-    "FALL_BACK": "fall back", "SET_UP": "set up", "MOVE": "move|moves", "SHOOT": "shoot|shoots", "CHARGE": "charge|charges", "FIGHT": "fight|fights", "ADVANCE": "advance|advances",
-    "EMBARK": "embark|embarks", "DISEMBARK": "disembark|disembarks", "DEPLOY": "deploy|deploys", "SELECT": "select|selects", "TARGET": "target|targets", "USE": "use|uses",
-}
+    "FALL_BACK": ("fall back",),
+    "SET_UP": ("set up",),
+    "MOVE": ("move", "moves"),
+    "SHOOT": ("shoot", "shoots"),
+    "CHARGE": ("charge", "charges"),
+    "FIGHT": ("fight", "fights"),
+    "ADVANCE": ("advance", "advances"),
+    "EMBARK": ("embark", "embarks"),
+    "DISEMBARK": ("disembark", "disembarks"),
+    "DEPLOY": ("deploy", "deploys"),
+    "SELECT": ("select", "selects"),
+    "TARGET": ("target", "targets"),
+    "USE": ("use", "uses"),
+}
 CUES = {
-    "ADDITIONAL_MODAL_CUE": "can cannot cant may must should could would",
-    "CONDITION_CUE": "if when while unless after before",
-    "COORDINATION_CUE": "and or",
-    "NEGATION_CUE": "not never cannot cant",
-    "SUBORDINATE_CLAUSE_CUE": "that which who where until because except",
+    "ADDITIONAL_MODAL_CUE": ("can", "cannot", "cant", "may", "must", "should", "could", "would"),
+    "CONDITION_CUE": ("if", "when", "while", "unless", "after", "before"),
+    "COORDINATION_CUE": ("and", "or"),
+    "NEGATION_CUE": ("not", "never", "cannot", "cant"),
+    "SUBORDINATE_CLAUSE_CUE": ("that", "which", "who", "where", "until", "because", "except"),
 }
 
 
@@ -242,15 +264,15 @@ def subject_type(text: str | Column) -> Column:
     """The type of a subject of one token in the lexicon; null otherwise."""
     tokens = canonical_tokens(text)
     first = F.try_element_at(tokens, F.lit(1))
-    return F.when(F.size(tokens) == 1, case([(first.isin(*words.split()), name) for name, words in SUBJECTS.items()]))
+    return F.when(F.size(tokens) == 1, case([(first.isin(*words), name) for name, words in SUBJECTS.items()]))
 
 
 def predicate_type(text: str | Column) -> dict[str, Column]:
     """The action that a predicate starts with (two tokens before one), what blocks it, and whether it can be taken apart."""
     tokens = canonical_tokens(text)
     head = F.concat(F.array_join(tokens, " "), F.lit(" "))
-    action = case([(head.rlike(f"^(?:{words}) "), name) for name, words in ACTIONS.items()])
-    cues = [F.when(F.arrays_overlap(tokens, F.array(*[F.lit(w) for w in words.split()])), name) for name, words in CUES.items()]
+    action = case([(head.rlike(f"^(?:{'|'.join(words)}) "), name) for name, words in ACTIONS.items()])
+    cues = [F.when(F.arrays_overlap(tokens, F.array(*[F.lit(w) for w in words])), name) for name, words in CUES.items()]
     blockers = F.filter(F.array(*cues, F.when(action.isNull(), "UNRECOGNIZED_ACTION_HEAD")), lambda x: x.isNotNull())
     return {"action_type": action, "blockers": F.array_sort(blockers), "decomposable": action.isNotNull() & (F.size(blockers) == 0), "predicate_tokens": F.size(tokens), "predicate_sha256": text_hash(text)}
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -177,13 +179,21 @@ def roster_limits(units: DataFrame, key: str, caps: DataFrame) -> DataFrame:
     return n.join(caps, "kind", "left").select(key, "unit", "copies", cap.alias("cap"), case([(F.col("cap").isNull(), "UNKNOWN"), (F.col("copies") <= cap, "PASS")], "FAIL").alias("status"))
 
 
+#: Rules that a composition takes at most.
+MOST_RULES = 10_000
+
+
 def composition(units: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     """Composition rules (rule, kind, keyword, cap) against rosters' units (keywords array): caps count units with a keyword, a forbidding rule allows none.
 
-    Every roster meets every rule, a rule without units too: rules are a short list, spread over the rosters' keys.
+    Every roster meets every rule, a rule without units too: rules are a list of at most MOST_RULES (more are refused), which stands in the plan.
     """
+    listed = rules.select("rule", "kind", "keyword", "cap").limit(MOST_RULES + 1).collect()
+    if len(listed) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
+    constant = F.from_json(F.lit(json.dumps([r.asDict() for r in listed])), "array<struct<rule:string,kind:string,keyword:string,cap:int>>")
     words = units.select(key, F.explode(F.array_distinct("keywords")).alias("keyword")).groupBy(key, "keyword").agg(F.count("*").alias("n"))
-    every = rules.agg(F.collect_list(F.struct("rule", "kind", "keyword", "cap")).alias("r")).join(units.select(key).distinct()).select(key, F.inline("r"))
+    every = units.select(key).distinct().select(key, F.inline(constant))
     n = every.join(words, [key, "keyword"], "left").groupBy(key, "rule", "kind", "cap").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("units"))
     status = case(
         [

@@ -150,10 +150,10 @@ def visibility_filter(spark, sf_dir):
     return views[0].union(views[1]).union(views[2])
 
 
-@query("SELECT p_partkey FROM part WHERE contains(lower(p_name), '42') OR contains(lower(p_type), 'steel') OR contains(lower(p_brand), 'steel')")
+@query("SELECT p_partkey FROM part WHERE contains(lower(p_name), 'widget') OR contains(lower(p_type), 'econ') OR contains(lower(p_brand), 'econ')")
 def substring_any(spark, sf_dir):
     part = table(spark, sf_dir, "part").withColumn("tags", F.array("p_type", "p_brand"))
-    return part.filter(R.has_any("42", "p_name") | R.has_any("STEEL", arrays=["tags"])).select("p_partkey")
+    return part.filter(R.has_any("Widget", "p_name") | R.has_any("ECON", arrays=["tags"])).select("p_partkey")
 
 
 @query("""
@@ -332,20 +332,21 @@ def fingerprint_lookup(spark, sf_dir):
 
 
 @query("""
-WITH d AS (SELECT p_partkey, p_brand, CASE WHEN p_size > 25 THEN 'LARGE' ELSE 'SMALL' END AS classification FROM part WHERE p_partkey % 4 = 0)
-SELECT p_partkey, p_brand, classification, CASE WHEN p_partkey % 8 = 0 AND classification = 'LARGE' THEN 'KNOWN_ACTIVE' ELSE 'UNCLASSIFIED_OR_CHANGED' END AS drift_state FROM d
+SELECT p_partkey, p_brand, CASE WHEN p_size > 25 THEN 'LARGE' ELSE 'SMALL' END AS classification, CASE WHEN p_type = 'ECONOMY' AND p_size > 25 THEN 'KNOWN_ACTIVE' ELSE 'UNCLASSIFIED_OR_CHANGED' END AS drift_state FROM part
 """)
 def known_drift_registry(spark, sf_dir):
+    """All parts as observed drift, against a registry of one kind of them."""
     part = table(spark, sf_dir, "part")
-    observed = part.filter("p_partkey % 4 = 0").select("p_partkey", "p_brand", F.expr("case when p_size > 25 then 'LARGE' else 'SMALL' end").alias("classification"))
-    registry = part.filter("p_partkey % 8 = 0").select("p_partkey", "p_brand", F.lit("LARGE").alias("classification"))
+    observed = part.select("p_partkey", "p_brand", F.expr("case when p_size > 25 then 'LARGE' else 'SMALL' end").alias("classification"))
+    registry = part.filter("p_type = 'ECONOMY'").select("p_partkey", "p_brand", F.lit("LARGE").alias("classification"))
     return R.known_drift(observed, registry, ["p_partkey", "p_brand"])
 
 
-@query("SELECT p_partkey, p_brand FROM part WHERE p_partkey % 6 = 0 AND p_partkey % 4 <> 0")
+@query("SELECT p_partkey, p_brand FROM part WHERE p_size <= 25")
 def resolved_drift(spark, sf_dir):
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    return R.resolved_drift(part.filter("p_partkey % 4 = 0"), part.filter("p_partkey % 6 = 0"), ["p_partkey", "p_brand"])
+    """A registry of all parts against those that still drift."""
+    part = table(spark, sf_dir, "part")
+    return R.resolved_drift(part.filter("p_size > 25").select("p_partkey", "p_brand"), part.select("p_partkey", "p_brand"), ["p_partkey", "p_brand"])
 
 
 @query("""
@@ -376,9 +377,13 @@ def interval_containment(spark, sf_dir):
     return R.inside_spans(points, spans, ["doc"]).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-@query("SELECT (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) AS missing, CAST(0 AS BIGINT) AS extra, (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) = 0 AS same")
+@query("""
+WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders), b AS (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_acctbal > 0), n AS (SELECT (SELECT count(*) FROM a ANTI JOIN b USING (k)) AS missing, (SELECT count(*) FROM b ANTI JOIN a USING (k)) AS extra)
+SELECT missing, extra, missing = 0 AND extra = 0 AS same FROM n
+""")
 def identity_sets(spark, sf_dir):
-    return R.same_identity(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k")), table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k")).join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k")), "k", "left_semi"), "k")
+    """Customers who order against customers with a balance: both sides lack some."""
+    return R.same_identity(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), table(spark, sf_dir, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("k")), "k")
 
 
 @query("""

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,15 +15,15 @@ from ..operators import gates as G
 from ..operators import graph, pricing, records
 from ..operators import relational as R
 from ..operators import solver as S
-from ..session import shared_dir, table
-from ..sources import readers, sinks
+from ..session import table
+from ..sources import paths, readers, sinks
 from . import api
 from .base import query
 
 
 def _folder(spark: SparkSession) -> str:
     """A new folder that driver and executors share."""
-    return f"{shared_dir(spark)}/round-trip-{uuid.uuid4().hex}"
+    return paths.new_folder(spark, "round-trip")
 
 
 # --- sources and sinks ---------------------------------------------------------------------------------------------
@@ -35,38 +34,48 @@ def json_lines_by_key(spark, sf_dir):
     """One folder of JSON lines for each nation, read back with a declared schema."""
     path = _folder(spark)
     sinks.by_key(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey"), path, "c_nationkey")
-    return readers.json_lines(spark, path, "c_custkey long, c_name string, c_nationkey int")
+    return paths.read_and_removed(readers.json_lines(spark, path, "c_custkey long, c_name string, c_nationkey int"), path)
 
 
 @query("SELECT c_nationkey, count(*) AS rows FROM customer GROUP BY c_nationkey")
 def index_by_key(spark, sf_dir):
-    return sinks.by_key(table(spark, sf_dir, "customer"), _folder(spark), "c_nationkey")
+    path = _folder(spark)
+    return paths.read_and_removed(sinks.by_key(table(spark, sf_dir, "customer"), path, "c_nationkey"), path)
 
 
 @query("SELECT count(*) AS orders, count(DISTINCT o_custkey) AS customers, min(o_orderpriority) AS first_priority FROM orders")
 def json_report_read_back(spark, sf_dir):
     """A one-row report as an indented JSON file, read as one document."""
-    path = f"{_folder(spark)}/report.json"
+    folder = _folder(spark)
+    path = f"{folder}/report.json"
     sinks.report_json(table(spark, sf_dir, "orders").agg(F.count("*").alias("orders"), F.count_distinct("o_custkey").alias("customers"), F.min("o_orderpriority").alias("first_priority")), path)
-    return readers.json_document(spark, path, "orders long, customers long, first_priority string")
+    return paths.read_and_removed(readers.json_document(spark, path, "orders long, customers long, first_priority string"), folder)
 
 
-@query("SELECT trim(CAST(s_suppkey AS VARCHAR)) AS s_suppkey, trim(s_name) AS s_name, trim(CAST(s_nationkey AS VARCHAR)) AS s_nationkey FROM supplier")
+@query('''SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, '"' || s_name || '" | ' || s_suppkey || '\\' AS s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier''')
 def pipe_table_read_back(spark, sf_dir):
-    """A pipe table whose header starts with a byte order mark and whose cells have blanks, read as strings."""
+    """A pipe table whose header starts with a byte order mark and whose cells have blanks, quotes, bars and backslashes, read as strings."""
     path = _folder(spark)
-    padded = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("﻿S_SUPPKEY"), F.concat(F.lit("  "), "s_name", F.lit(" ")).alias(" s_name"), F.col("s_nationkey").alias("S_NationKey "))
-    padded.write.option("sep", "|").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    return readers.pipe_table(spark, path, ["s_suppkey", "s_name", "s_nationkey"])
+    quoted = F.concat(F.lit('  "'), "s_name", F.lit('" | '), "s_suppkey", F.lit("\\ "))
+    padded = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("\ufeffS_SUPPKEY"), quoted.alias(" s_name"), F.col("s_nationkey").alias("S_NationKey "))
+    padded.write.option("sep", "|").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return paths.read_and_removed(readers.pipe_table(spark, path, ["s_suppkey", "s_name", "s_nationkey"]), path)
 
 
 @query("SELECT p_partkey, p_name, p_size FROM part")
 def immutable_snapshot(spark, sf_dir):
-    """A snapshot read back; writing it once more is refused."""
+    """A snapshot read back; writing it once more is refused, and a source that fails leaves a record instead of rows."""
     path, parts = _folder(spark), table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     sinks.snapshot(parts, path)
-    refused = not sinks.or_failure(lambda: spark.read.parquet(path).filter(F.raise_error(F.lit("no source")).isNull()), f"{path}-next", "2026-01-01")
-    return sinks.compact(spark.read.parquet(path), "p_partkey", "p_name", "p_size").filter(F.lit(refused))
+    try:
+        sinks.snapshot(parts.limit(1), path)
+        refused = False
+    except AnalysisException:
+        refused = True
+    failed = not sinks.or_failure(lambda: spark.read.parquet(path).filter(F.raise_error(F.lit("no source")).isNull()), f"{path}-next", "2026-01-01")
+    recorded = failed and "SOURCE_DRIFT" in (paths.read_text(spark, f"{path}-next.failure.json") or "")
+    rows = sinks.compact(spark.read.parquet(path), "p_partkey", "p_name", "p_size").filter(F.lit(refused and recorded))
+    return paths.read_and_removed(rows, path, f"{path}-next", f"{path}-next.failure.json")
 
 
 @query("""
@@ -104,20 +113,23 @@ def inventory_of_files(spark, sf_dir):
     """One text file for each nation, hashed where it lies."""
     path = _folder(spark)
     table(spark, sf_dir, "nation").select("n_name", F.col("n_nationkey").alias("k")).repartition(32, "k").write.partitionBy("k").text(path)
-    return readers.file_inventory(spark, path, b"NATION_1").filter("bytes > 0").select("sha256", "bytes", "magic_ok")
+    return paths.read_and_removed(readers.file_inventory(spark, path, b"NATION_1").filter("bytes > 0").select("sha256", "bytes", "magic_ok"), path)
 
 
-@query("SELECT count(*) FILTER (WHERE r_regionkey % 2 = 0) AS broken, count(*) FILTER (WHERE r_regionkey % 2 = 1) AS good FROM region")
+@query("""
+SELECT 'region' || r_regionkey || '.json' AS file, CASE WHEN r_regionkey % 2 = 1 THEN r_name END AS name, CASE WHEN r_regionkey % 2 = 1 THEN 'GOOD' ELSE 'NO_JSON' END AS state FROM region
+UNION ALL SELECT 'empty.json', NULL, 'NO_JSON'
+""")
 def json_directory_with_broken_files(spark, sf_dir):
+    """A document for each region, broken ones and an empty file among them: those that are read, and those that are no JSON."""
     path = _folder(spark)
     body = F.when(F.col("r_regionkey") % 2 == 0, F.concat(F.lit("{broken "), "r_name")).otherwise(F.to_json(F.struct(F.col("r_name").alias("name"))))
-    table(spark, sf_dir, "region").select(body.alias("value"), F.col("r_regionkey").alias("k")).repartition(8, "k").write.partitionBy("k").text(path)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    names = files.filter("length > 0").select("path", F.decode("content", "utf-8").alias("value"))
-    broken = names.filter(F.try_parse_json("value").isNull())
-    good = spark.read.schema("name string").option("mode", "DROPMALFORMED").json(path)
-    both = broken.select(F.lit(1).alias("b")).union(good.filter("name is not null").select(F.lit(0)))
-    return both.agg(F.count_if(F.col("b") == 1).alias("broken"), F.count_if(F.col("b") == 0).alias("good"))
+    for key, text in table(spark, sf_dir, "region").select("r_regionkey", body).collect():
+        paths.write_text(spark, f"{path}/region{key}.json", text)
+    paths.write_text(spark, f"{path}/empty.json", "")
+    named = F.element_at(F.split("file", "/"), -1).alias("file")
+    good = readers.json_directory(spark, f"{path}/*.json", "name string").filter("name is not null").select(named, "name", F.lit("GOOD").alias("state"))
+    return paths.read_and_removed(good.union(readers.json_problems(spark, path).select(named, F.lit(None).cast("string"), F.lit("NO_JSON"))), path)
 
 
 @query("SELECT title, type FROM (SELECT p_name || ' ' || p_partkey AS title, p_brand AS type, p_type AS edition FROM part) WHERE type = 'Brand#13' AND edition = 'ECONOMY'")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import paths
+
 
 def report_json(df: DataFrame, path: str) -> dict:
     """A one-row report as an indented JSON file with a trailing newline, non-ASCII kept; returns it."""
@@ -15,8 +18,7 @@ def report_json(df: DataFrame, path: str) -> dict:
     if len(row) != 1:
         raise ValueError(f"a report has one row, this has {len(row)}")
     report = json.loads(row[0])
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(report, ensure_ascii=False, indent=2) + "\n", encoding="utf-8")
+    paths.write_text(df.sparkSession, path, json.dumps(report, ensure_ascii=False, indent=2) + "\n")
     return report
 
 
@@ -37,13 +39,15 @@ def compact(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def or_failure(make, path: str, as_of: str) -> bool:
-    """Write what `make()` returns; if it raises, write a one-row failure record instead. True if it went well."""
+    """Write what `make()` returns; if the source fails, write a one-row failure record beside it instead. True if it went well.
+
+    Failures are the engine's errors, values out of place and I/O errors; a mistake in the program itself is raised.
+    """
     try:
         make().write.mode("errorifexists").json(path)
-    except Exception as e:
-        target = Path(f"{path}.failure.json")
-        target.parent.mkdir(parents=True, exist_ok=True)
-        target.write_text(json.dumps({"as_of": as_of, "status": "SOURCE_DRIFT", "error": str(e)[:500]}, indent=2) + "\n", encoding="utf-8")
+    except (PySparkException, Py4JError, OSError, ValueError, ArithmeticError) as e:
+        record = {"as_of": as_of, "status": "SOURCE_DRIFT", "error": str(e)[:500]}
+        paths.write_text(SparkSession.active(), f"{path}.failure.json", json.dumps(record, indent=2) + "\n")
         return False
     return True
 
