@@ -7,13 +7,12 @@ columns, so rows that repeat an id, or have none, are judged each for itself; eq
 from __future__ import annotations
 
 import itertools
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loamgrid.llm import bpe, jaccard, langid, mixing, substring
-from loamgrid.llm.common import shared_dir
+from loamgrid.sources import paths
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near duplicates share words in runs of five, at a similarity of 0.8 or more.
@@ -87,10 +86,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what a stage returns is written as Parquet to the shared folder before the next one reads it."""
+    """All stages over documents; what a stage returns is written as Parquet to the shared folder before the next one reads it.
+
+    A stage's folder goes once the next one is written, the last one's once the result is kept as a checkpoint.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = paths.new_folder(spark, "pipeline")
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before:
+            paths.delete(spark, f"{folder}/{before}")
+        before = name
+    return paths.read_and_removed(STAGES[-1][1](spark, docs, sf_dir), folder)
