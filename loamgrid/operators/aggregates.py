@@ -117,3 +117,8 @@ def table_hash(df: DataFrame) -> DataFrame:
     """One row: rows and a hash of all of them, whatever their order; repeated rows count, and nulls differ from other values."""
     nulls = [F.col(c).isNull() for c in df.columns]
     return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.xxhash64(*nulls, *df.columns).cast("decimal(38,0)")), F.lit(0)).alias("hash"))
+
+
+def earliest(df: DataFrame, key: str, order: list[str], values: list[str]) -> DataFrame:
+    """Each key's least row by `order` (nulls first), with the values that stand in it."""
+    return df.groupBy(key).agg(F.min(F.struct(*order, *values)).alias("_x")).select(key, "_x.*")

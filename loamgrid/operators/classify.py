@@ -267,10 +267,13 @@ def subject_type(text: str | Column) -> Column:
     return F.when(F.size(tokens) == 1, case([(first.isin(*words), name) for name, words in SUBJECTS.items()]))
 
 
-def predicate_type(text: str | Column) -> dict[str, Column]:
-    """The action that a predicate starts with (two tokens before one), what blocks it, and whether it can be taken apart."""
-    tokens = canonical_tokens(text)
-    head = F.concat(F.array_join(tokens, " "), F.lit(" "))
+def predicate_type(text: str | Column, tokens: Column | None = None) -> dict[str, Column]:
+    """The action that a predicate starts with (two tokens before one), what blocks it, and whether it can be taken apart.
+
+    `tokens` are the text's canonical tokens where a column has them; else they are found for each result anew.
+    """
+    tokens = canonical_tokens(text) if tokens is None else tokens
+    head = F.concat(F.array_join(F.slice(tokens, 1, 3), " "), F.lit(" "))
     action = case([(head.rlike(f"^(?:{'|'.join(words)}) "), name) for name, words in ACTIONS.items()])
     cues = [F.when(F.arrays_overlap(tokens, F.array(*[F.lit(w) for w in words])), name) for name, words in CUES.items()]
     blockers = F.filter(F.array(*cues, F.when(action.isNull(), "UNRECOGNIZED_ACTION_HEAD")), lambda x: x.isNotNull())

@@ -90,3 +90,16 @@ def diagnostics(df: DataFrame, source: str, keyword: str, sample: int = 400) ->
         "pairs": df.groupBy(source, keyword).agg(F.count("*").alias("n")).orderBy(F.desc("n"), source, keyword),
         "sample": df.orderBy(source, keyword).limit(sample),
     }
+
+
+def first_hit(requests: DataFrame, entities: DataFrame, keys: list[str], place: str, places: list[str], order: list[str]) -> DataFrame:
+    """Each request with the first entity, by `order`, that shares its keys and stands at one of the request's `places`; one whose `kind` isn't null takes only that kind.
+
+    Every place is an equality join of its own; requests without a hit are left out. A request is told from another by all its columns.
+    """
+    own = requests.columns
+    found = entities.withColumnsRenamed({"kind": "_kind", place: "_place"})
+    hits = [requests.join(found.withColumnRenamed("_place", p), [*keys, p]) for p in places]
+    every = reduce(DataFrame.unionByName, [h.filter(F.col("kind").isNull() | (F.col("kind") == F.col("_kind"))) for h in hits])
+    first = every.groupBy(*own).agg(F.min(F.struct(*order)).alias("_x"))
+    return first.select(*own, "_x.*")

@@ -249,15 +249,35 @@ def occurrence_classes(spark, sf_dir):
     return K.occurrence_class(rows, ["lang", "source"])
 
 
-@query("""
-SELECT id, subject, action, array_to_string(blockers, '|') AS blockers FROM (VALUES
- (1, 'UNIT', 'MOVE', []::VARCHAR[]), (2, NULL, 'FALL_BACK', []::VARCHAR[]), (3, 'MODEL', 'SHOOT', ['CONDITION_CUE', 'COORDINATION_CUE']), (4, 'PLAYER', NULL, ['UNRECOGNIZED_ACTION_HEAD']), (5, NULL, NULL, NULL)) AS t(id, subject, action, blockers)
+_SENTENCES = ("Units can move", "That unit can fall back", "models can shoot if near and", "Player can dance", "cannot and can not can", "Vehicles can set up", "infantry can be", "can use")
+_TOKEN = "'[a-z0-9]+(?:''[a-z0-9]+)?'"
+
+
+def _listed(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+_ACTION_SQL = " ".join(f"WHEN regexp_matches(head, '^(?:{'|'.join(words)}) ') THEN '{name}'" for name, words in K.ACTIONS.items())
+_CUE_SQL = ", ".join(f"CASE WHEN list_has_any(tokens, {_listed(words)}) THEN '{name}' END" for name, words in K.CUES.items())
+
+
+@query(f"""
+WITH s AS (SELECT doc_id, list_extract({_listed(_SENTENCES)}, CAST(doc_id % {len(_SENTENCES)} AS INT) + 1) || ' ' || replace(replace(strip_accents(coalesce(text, '')), 'ß', 'ss'), chr(10), ' ') AS t FROM documents),
+cut AS (SELECT doc_id, len(regexp_extract_all(t, '(?i)\\bcan\\b')) = 1 AND trim(regexp_extract(t, '(?is)^(.*?)\\bcan\\b', 1)) <> '' AND trim(regexp_extract(t, '(?is)\\bcan\\b(.*)$', 1)) <> '' AS ok,
+        regexp_extract_all(lower(regexp_extract(t, '(?is)^(.*?)\\bcan\\b', 1)), {_TOKEN}) AS who, regexp_extract_all(lower(regexp_extract(t, '(?is)\\bcan\\b(.*)$', 1)), {_TOKEN}) AS tokens FROM s),
+act AS (SELECT *, CASE {_ACTION_SQL} END AS action FROM (SELECT *, array_to_string(tokens, ' ') || ' ' AS head FROM cut))
+SELECT doc_id, CASE WHEN ok AND len(who) = 1 THEN CASE {" ".join(f"WHEN who[1] IN {_listed(words).replace('[', '(').replace(']', ')')} THEN '{name}'" for name, words in K.SUBJECTS.items())} END END AS subject, CASE WHEN ok THEN action END AS action,
+       CASE WHEN ok THEN array_to_string(list_sort(list_filter([{_CUE_SQL}, CASE WHEN action IS NULL THEN 'UNRECOGNIZED_ACTION_HEAD' END], lambda x: x IS NOT NULL)), '|') END AS blockers
+FROM act
 """)
 def modal_split(spark, sf_dir):
-    rows = spark.createDataFrame([(1, "Units can move."), (2, "That unit can fall back 6 inches"), (3, "models can shoot if near and ready"), (4, "Player can dance"), (5, "cannot and can not can")], "id int, text string")
-    parts = rows.withColumn("p", K.split_modal("text"))
-    out = parts.withColumns({"subject": K.subject_type(F.col("p.subject.text")), **K.predicate_type(F.col("p.predicate.text"))})
-    return out.select("id", "subject", F.col("action_type").alias("action"), F.when(F.col("p").isNotNull(), F.array_join("blockers", "|")).alias("blockers"))
+    """Sentences that begin with a modal clause and go on with a whole text of the table, taken apart at their only `can`."""
+    start = F.element_at(F.array(*[F.lit(x) for x in _SENTENCES]), (F.pmod("doc_id", F.lit(len(_SENTENCES))) + 1).cast("int"))
+    text = F.replace(F.replace(U.without_marks(F.coalesce("text", F.lit(""))), F.lit("ß"), F.lit("ss")), F.lit("\n"), F.lit(" "))
+    parts = table(spark, sf_dir, "documents").select("doc_id", F.concat(start, F.lit(" "), text).alias("text")).withColumn("p", K.split_modal("text"))
+    parts = parts.withColumn("tokens", T.canonical_tokens(F.col("p.predicate.text")))
+    out = parts.withColumns({"subject": K.subject_type(F.col("p.subject.text")), **K.predicate_type(F.col("p.predicate.text"), F.col("tokens"))})
+    return out.select("doc_id", "subject", F.when(F.col("p").isNotNull(), F.col("action_type")).alias("action"), F.when(F.col("p").isNotNull(), F.array_join("blockers", "|")).alias("blockers"))
 
 
 _FOLDED = "replace(lower(coalesce(text, '')), 'ß', 'ss')"
