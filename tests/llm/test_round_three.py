@@ -255,3 +255,25 @@ def test_word_windows_edges(spark):
     df = spark.createDataFrame([(2, "x " + long), (1, long + " y"), (9, " ".join(["w"] * 200)), (8, " ".join(["w"] * 60))], "doc_id long, text string")
     assert {r.doc_id: (r.n_words, r.n_removed) for r in countmin.digest(df).collect()} == {1: (300_001, 0), 2: (300_001, 300_000), 8: (60, 0), 9: (200, 200)}
     assert {r.doc_id: r.text for r in countmin.kept_texts(df).collect()}[2] == "x"
+
+
+# --- pipeline -----------------------------------------------------------------------------------------------------------------
+
+
+def test_pipeline_of_empty_tables_and_extra_columns(spark, tmp_path):
+    import os
+
+    import corpus_pipeline
+    from loamgrid.session import shared_dir
+
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, _key string, _nth string, component_id long, size long"
+    words = "the of and to in is that it was for on are as with his they at be this have".split()
+    r = random.Random(1)
+    rows = [(i, " ".join(r.choice(words) for _ in range(30)), "en", "s", 1, "k", "n", 7, None) for i in range(40)]
+    for name, table in (("empty", []), ("extra", rows)):
+        spark.createDataFrame(table, kinds).write.parquet(str(tmp_path / name / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "empty")).count() == 0
+    out = corpus_pipeline.run(spark, str(tmp_path / "extra"))
+    assert out.count() > 0 and "_key" not in out.columns and "component_id" not in out.columns
+    shared = shared_dir(spark).removeprefix("file:")
+    assert not [f for f in os.listdir(shared) if f.startswith("pipeline-")]
