@@ -45,13 +45,13 @@ def nfkd(c: Column | str) -> Column:
 
 @cache
 def combining() -> str:
-    """A pattern of the marks that combine, as ranges; the general category is looked at first."""
+    """A pattern of the marks that combine, as ranges; the general category is looked at first (newer marks have none in Java)."""
     marks = {i for i in range(0x110000) if unicodedata.combining(chr(i))}
     ranges = []
     for start in sorted(i for i in marks if i - 1 not in marks):
         end = next(i for i in range(start, 0x110001) if i + 1 not in marks)
         ranges.append(f"\\x{{{start:x}}}-\\x{{{end:x}}}")
-    return f"[\\p{{M}}&&[{''.join(ranges)}]]+"
+    return f"[\\p{{M}}\\p{{Cn}}&&[{''.join(ranges)}]]+"
 
 
 def without_marks(c: Column | str) -> Column:
