@@ -9,7 +9,6 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from loamgrid.llm import queries as Q
 from loamgrid.llm import repair
 
 TURNS = "conv_id long, turn long, role string, text string"
@@ -185,20 +184,6 @@ def test_automaton_composes(spark):
     assert (b[0][a[0]] == ends).all() and (a[1] + b[1][a[0]] == units).all() and (a[2] + b[2][a[0]] == marks).all()
 
 
-@pytest.mark.parametrize("name", [n for n in Q.ORACLES if n.split("_")[0] in ("op11", "op12", "op13")])
-def test_new_queries_equal_their_sql(spark, data, name):
-    import duckdb
-
-    con = duckdb.connect()
-    for t in ("documents", "conversations"):
-        con.sql(f"create view {t} as select * from '{data}/{t}.parquet'")
-    twin = con.sql(Q.ORACLES[name])
-    got = Q.QUERIES[name](spark, data)
-    assert sorted(got.columns) == sorted(twin.columns)
-    key = lambda r: tuple(map(repr, r))
-    assert sorted((tuple(r) for r in got.select(twin.columns).collect()), key=key) == sorted(twin.fetchall(), key=key)
-
-
 # --- 13: substring dedup over words -----------------------------------------------------------------------------------
 
 
