@@ -44,7 +44,8 @@ def allocate(demand: dict[str, int], pools: Iterable[tuple[str, str, str, int, i
 def allocations(demand: DataFrame, pools: DataFrame, conversion: DataFrame | None = None) -> DataFrame:
     """ALLOCATION rows for every roster's demand (roster_id, unit, models) from the pools (pool_id, unit, mode, max_from_pool, ready, buildable, bodies).
 
-    One small network for each roster: demand meets its pools by unit before it is grouped, so a group holds one roster's units only.
+    One small network for each distinct demand: rosters that ask for the same meet its solution by a hash of what they ask for. Demand meets its pools by unit
+    before it is grouped, so a group holds one roster's units only.
     """
     ship(demand.sparkSession)
     need = demand.groupBy("roster_id", "unit").agg(F.sum("models").cast("long").alias("models"))
@@ -52,21 +53,24 @@ def allocations(demand: DataFrame, pools: DataFrame, conversion: DataFrame | Non
     rows = rows.join(conversion, "roster_id", "left").withColumn("allow", F.coalesce("allow_conversion", F.lit(False))) if conversion is not None else rows.withColumn("allow", F.lit(True))
 
     item = F.struct("pool_id", "unit", "mode", "max_from_pool", "ready", "buildable", "bodies", "models")
-    networks = rows.groupBy("roster_id").agg(F.bool_and("allow").alias("allow"), F.sort_array(F.collect_list(item)).alias("rows"))
+    asked = rows.groupBy("roster_id").agg(F.bool_and("allow").alias("allow"), F.sort_array(F.collect_list(item)).alias("rows"))
+    asked = asked.withColumn("network", F.sha2(F.to_json(F.struct("allow", "rows"), {"ignoreNullFields": "false"}), 256))
+    networks = asked.groupBy("network").agg(F.first("allow").alias("allow"), F.first("rows").alias("rows"))
+    solved = "network string, " + ALLOCATION.split(", ", 1)[1]
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in ALLOCATION.split(", ")]
+        names = [c.split()[0] for c in solved.split(", ")]
         for batch in batches:
             made = []
-            for roster, allow, own in zip(*[batch.column(c).to_pylist() for c in ("roster_id", "allow", "rows")], strict=True):
+            for network, allow, own in zip(*[batch.column(c).to_pylist() for c in ("network", "allow", "rows")], strict=True):
                 wanted = {r["unit"]: r["models"] for r in own}
                 pools_ = [tuple(r[c] for c in ("pool_id", "unit", "mode", "max_from_pool", "ready", "buildable", "bodies")) for r in own]
-                made += [(roster, *m) for m in allocate({u: wanted[u] for u in sorted(wanted)}, pools_, allow)]
+                made += [(network, *m) for m in allocate({u: wanted[u] for u in sorted(wanted)}, pools_, allow)]
             if made:
                 kinds = [pa.string()] * 5 + [pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made, strict=True), kinds, strict=True)], names)
 
-    return networks.mapInArrow(solve, ALLOCATION)
+    return asked.select("roster_id", "network").join(networks.mapInArrow(solve, solved), "network").drop("network")
 
 
 def body_deficits(demand: DataFrame, made: DataFrame, pools: DataFrame) -> DataFrame:

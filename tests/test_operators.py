@@ -293,6 +293,18 @@ def test_promotion_in_two_phases(spark, tmp_path):
             promotion.stage(spark, root, unsafe, {})
 
 
+def test_allocations_equal_one_network_for_each_roster(spark):
+    r = random.Random(8)
+    pools = [(f"p{i}", r.choice("ABC"), r.choice(["DIRECT", "CONVERSION_REQUIRED"]), r.randint(1, 6), r.randint(0, 4), r.randint(0, 4), r.randint(1, 6)) for i in range(5)]
+    demand = [(f"r{i}", u, r.randint(1, 3)) for i in range(40) for u in "ABC" if r.random() < 0.6]
+    allow = {f"r{i}": i % 3 > 0 for i in range(40)}
+    frames = spark.createDataFrame(demand, "roster_id string, unit string, models int"), spark.createDataFrame(pools, "pool_id string, unit string, mode string, max_from_pool int, ready int, buildable int, bodies int")
+    got = S.allocations(*frames, spark.createDataFrame(list(allow.items()), "roster_id string, allow_conversion boolean")).collect()
+    for i in allow:
+        wanted = {u: n for k, u, n in sorted(demand) if k == i and any(p[1] == u for p in pools)}
+        assert sorted(tuple(x)[1:] for x in got if x.roster_id == i) == sorted(S.allocate(wanted, sorted(p for p in pools if p[1] in wanted), allow[i])), i
+
+
 # --- Unicode --------------------------------------------------------------------------------------------------------------
 
 
