@@ -277,3 +277,33 @@ def core_limits(spark, sf_dir):
     none = spark.createDataFrame([], "roster_id long, unit_ref string, enhancement string, upgrade boolean, points int")
     sizes = spark.createDataFrame([("incursion", 1000, 2, 2, 2, 3), ("strike_force", 2000, 3, 4, 3, None)], "battle_size string, points_limit int, detachment_points_limit int, enhancement_limit int, unit_limit int, lone_detachment int")
     return G.core_limits(rosters, units, none, sizes).withColumn("subject", F.coalesce("subject", F.lit("")))
+
+
+@query("""
+WITH r AS (SELECT c_custkey AS k, c_custkey % 2 = 0 AS eaters, CASE c_custkey % 3 WHEN 0 THEN 500 WHEN 1 THEN 1000 END AS most, c_custkey % 4 = 1 AS renegade, CASE WHEN c_custkey % 8 = 1 THEN true WHEN c_custkey % 3 = 0 THEN false END AS flag FROM customer),
+u AS (SELECT o_custkey AS k, CAST(o_totalprice / 1000 AS INT) AS points, o_orderpriority = '1-URGENT' AS warlord FROM orders WHERE o_orderstatus = 'F'),
+a AS (SELECT r.k, sum(points) > any_value(most) AS "over", bool_or(warlord) AS led, any_value(most) IS NULL AS unknown FROM r JOIN u ON u.k = r.k WHERE eaters GROUP BY r.k),
+x AS (
+    SELECT r.k, 'allies' AS rule, list_filter([CASE WHEN led THEN 'ALLIED_WARLORD' END, CASE WHEN unknown THEN 'CAP?' END, CASE WHEN "over" THEN 'OVER_CAP' END], lambda v: v IS NOT NULL) AS reasons FROM r LEFT JOIN a ON a.k = r.k WHERE eaters
+    UNION ALL SELECT k, 'no_cults', CASE WHEN flag THEN ['FORBIDDEN'] WHEN flag IS NULL THEN ['FLAG?'] ELSE [] END FROM r WHERE NOT eaters AND renegade
+    UNION ALL SELECT k, 'new', ['KIND?'] FROM r WHERE eaters
+)
+SELECT k AS roster_id, rule, CASE WHEN len(list_filter(reasons, lambda v: NOT ends_with(v, '?'))) > 0 THEN 'FAIL' WHEN len(reasons) > 0 THEN 'UNKNOWN' ELSE 'PASS' END AS status, array_to_string(reasons, ',') AS reasons FROM x
+""")
+def faction_rules(spark, sf_dir):
+    """A roster for each customer against the rules of its army: allies under a cap of points, a flag that forbids, and a kind of rule that isn't known."""
+    k = F.col("c_custkey")
+    army = F.when(k % 2 == 0, "eaters").otherwise("raiders")
+    flags = F.when(k % 8 == 1, F.create_map(F.lit("cults"), F.lit(True))).when(k % 3 == 0, F.create_map(F.lit("cults"), F.lit(False))).otherwise(F.expr("cast(map() as map<string,boolean>)"))
+    sizes = F.element_at(F.array(F.lit("incursion"), F.lit("strike_force"), F.lit("other")), (k % 3 + 1).cast("int"))
+    rosters = table(spark, sf_dir, "customer").select(k.alias("roster_id"), army.alias("army_faction"), sizes.alias("battle_size"), F.array(F.when(k % 4 == 1, "Renegade").otherwise("Main")).alias("detachments"), flags.alias("flags"), F.expr("cast(map() as map<string,array<string>>)").alias("selections"))
+    none = F.lit(None).cast("string")
+    ally = F.col("o_orderstatus") == "F"
+    units = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("roster_id"), F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("unit"), F.when(ally, "daemons").otherwise("eaters").alias("faction"), F.when(ally, F.array(F.lit("LEGION"))).otherwise(F.array(F.lit("X"))).alias("keywords"),
+        F.bround(F.col("o_totalprice") / 1000, 0).cast("int").alias("points"), (F.col("o_orderpriority") == "1-URGENT").alias("warlord"), none.alias("mark"), none.alias("attached_to"), none.alias("transported_in"),
+    )
+    rules = [{"id": "allies", "army_faction": "eaters", "kind": "ally_keyword_cap", "required_all": ["LEGION"], "point_caps": {"incursion": 500, "strike_force": 1000}, "allied_warlord_forbidden": True}, {"id": "no_cults", "army_faction": "raiders", "detachment_required": "Renegade", "kind": "boolean_forbid", "roster_flag": "cults", "forbidden_value": True}, {"id": "new", "army_faction": "eaters", "kind": "other"}]
+    names = [c.split()[0] for c in G.RULES.split(", ")]
+    found = G.faction_rules(rosters, units, spark.createDataFrame([tuple(r.get(n) for n in names) for r in rules], G.RULES))
+    return found.select("roster_id", "rule", "status", F.array_join("reasons", ",").alias("reasons"))
