@@ -307,3 +307,32 @@ def faction_rules(spark, sf_dir):
     names = [c.split()[0] for c in G.RULES.split(", ")]
     found = G.faction_rules(rosters, units, spark.createDataFrame([tuple(r.get(n) for n in names) for r in rules], G.RULES))
     return found.select("roster_id", "rule", "status", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("""
+WITH e AS (SELECT *, p_name || ' ' || p_partkey AS unit, p_size % 4 > 0 AS priced FROM part WHERE p_type = 'ECONOMY'), one AS (SELECT min(unit) AS unit FROM e WHERE priced)
+SELECT 'all' AS what, '' AS name, count(*) AS units, count(*) FILTER (priced) AS points FROM e
+UNION ALL SELECT 'base_only', '', count(*), count(*) FILTER (priced) FROM e WHERE p_size <= 20
+UNION ALL SELECT 'base_plus_group', '', count(*), count(*) FILTER (priced) FROM e WHERE p_size <= 20 OR p_brand = 'Brand#1'
+UNION ALL SELECT 'unit', unit || '/' || models, models, p_size * models FROM e JOIN one USING (unit), (VALUES (1), (2)) AS m(models)
+UNION ALL SELECT 'detachment', p_brand, p_size, p_partkey FROM e WHERE p_brand = 'Brand#2'
+""")
+def points_of_a_faction(spark, sf_dir):
+    """Points of one faction in whatever case: its summary by three views, the tiers of one unit, the enhancements of one detachment. A faction's units lie in several documents."""
+    part = table(spark, sf_dir, "part").withColumn("unit", F.concat_ws(" ", "p_name", "p_partkey"))
+    cost = lambda n: F.struct(F.lit(n).alias("models"), F.lit("").alias("desc"), (F.col("p_size") * n).alias("points"))
+    band = F.struct(F.lit("[1,2]").alias("range"), F.lit("any").alias("label"), F.array(cost(1), cost(2)).alias("costs"))
+    pricing = F.when(F.col("p_size") % 4 > 0, F.array(band)).otherwise(F.expr("cast(array() as array<struct<range:string,label:string,costs:array<struct<models:int,desc:string,points:int>>>>)"))
+    unit = F.struct(F.col("unit").alias("name"), F.when(F.col("p_size") > 20, F.col("p_brand")).alias("groupTitle"), pricing.alias("pricing"))
+    detachment = F.struct(F.col("p_brand").alias("name"), F.col("p_size").alias("dp"), F.array(F.struct(F.col("unit").alias("name"), F.col("p_partkey").alias("points"))).alias("enhancements"))
+    docs = part.groupBy("p_type", F.floor(F.col("p_partkey") / 64)).agg(F.collect_list(unit).alias("units"), F.collect_list(detachment).alias("detachments"))
+    snapshot = docs.select(F.struct(F.col("p_type").alias("slug")).alias("faction"), "units", "detachments")
+    views = [api.points(snapshot, "Economy", mode=m, group="Brand#1").select(F.lit(m).alias("what"), F.lit("").alias("name"), "units", F.col("priced_units").alias("points")) for m in ("all", "base_only", "base_plus_group")]
+    first = part.filter("p_type = 'ECONOMY' AND p_size % 4 > 0").agg(F.min("unit")).first()[0]
+    tiers = api.points(snapshot, "economy", unit=(first or "").upper())
+    views.append(tiers.select(F.lit("unit"), F.concat_ws("/", "unit", "models"), F.col("models").cast("long"), F.col("points").cast("long")))
+    views.append(api.points(snapshot, "ECONOMY", detachment="brand#2").select(F.lit("detachment"), "name", F.col("dp").cast("long"), F.col("points").cast("long")))
+    out = views[0]
+    for v in views[1:]:
+        out = out.unionAll(v)
+    return out
