@@ -225,7 +225,8 @@ FROM (SELECT doc_id, lower(array_to_string(list_slice(string_split(text, chr(10)
 def page_class_labels(spark, sf_dir):
     patterns = {"EN": r"\bthe\b", "DE": r"\bder\b|\bdie\b", "LICENCE": r"\brights reserved\b"}
     docs = table(spark, sf_dir, "documents").filter("text is not null")
-    return docs.select("doc_id", F.array_join(K.page_classes("text", patterns), "|").alias("classes"))
+    lowered = F.lower(F.translate("text", "\u0130", "i"))  # one letter for one, as in the SQL
+    return docs.select("doc_id", F.array_join(K.page_classes(lowered, patterns), "|").alias("classes"))
 
 
 @query(f"""
