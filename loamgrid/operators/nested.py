@@ -1,12 +1,13 @@
 """Walks over nested documents of unknown depth as VARIANT: parsed once, then peeled level by level without leaving the JVM.
 
-A level explodes the objects and arrays of the one before; what holds further levels is cut in the shared folder, so no level parses
-again and the loop ends with the deepest document. Text that is no JSON (or repeats a key in an object) gives no node.
+A level explodes the objects and arrays of the one before. `nodes` cuts what holds further levels in the shared folder, so no level parses
+again and the loop ends with the deepest document. `picked`, for what only looks for something in every node, peels LEVELS levels in one plan
+and cuts what it found with what goes deeper. Text that is no JSON (or repeats a key in an object) gives no node.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 CONTAINERS = ("object", "array")
+#: Levels that one pass peels before it is seen whether a document goes deeper. Results don't depend on it.
+LEVELS = 10
 
 
 def kind_of(value: Column) -> Column:
@@ -85,26 +88,68 @@ def inside(value: Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(value, path, kind)
 
 
+def picked(df: DataFrame, keep: list[str], column: str, pick: Callable[[Column], Column], skip: Iterable[str] = (), root: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(keep, x) for each element of the arrays that `pick` (and `root`, for documents themselves) gives for the nodes; what stands under the keys `skip` is not entered.
+
+    What a node gives travels with its first child, so that a pass is one chain of explodes over one reading of the source.
+    """
+    spark, skip = df.sparkSession, list(skip)
+    own = lambda v: F.coalesce(pick(v), F.array())
+    value, first = F.col("_value"), F.col("_pos").isNull() | (F.col("_pos") == 0)
+    entered = ~F.coalesce(F.col("_name").isin(skip), F.lit(False)) if skip else F.lit(True)
+    rows = df.select(*keep, F.lit("").alias("_name"), F.try_parse_json(F.col(column)).alias("_value")).filter("_value IS NOT NULL")
+    rows = rows.withColumn("_found", F.concat(own(value), root(value)) if root else own(value))
+    parts = []
+    while True:
+        for _ in range(LEVELS):
+            open_ = rows.select(*keep, "_name", "_found", F.when(entered, value).alias("_node"))
+            made = open_.lateralJoin(spark.tvf.variant_explode_outer(F.col("_node").outer()).toDF("_pos", "_key", "_value"))
+            found = F.when(first, F.col("_found")).otherwise(F.slice("_found", 1, 0))
+            rows = made.select(*keep, F.coalesce("_key", "_name").alias("_name"), F.when(value.isNull(), found).otherwise(F.concat(found, own(value))).alias("_found"), "_value").filter("_value IS NOT NULL OR size(_found) > 0")
+        deeper = F.when(entered & kind_of(value).isin(*CONTAINERS), value)
+        kept = cut(rows.select(*keep, "_name", "_found", deeper.alias("_value")).filter("_value IS NOT NULL OR size(_found) > 0"))
+        parts.append(kept.select(*keep, F.explode("_found").alias("x")))
+        rest = kept.filter("_value IS NOT NULL")
+        if rest.isEmpty():
+            return reduce(DataFrame.unionAll, parts)
+        rows = rest.withColumn("_found", F.slice("_found", 1, 0))
+
+
 def typed_names(df: DataFrame, key: str, column: str, kind: str) -> DataFrame:
     """(key, name) of all objects, at any depth, whose `type` is the given one in whatever case and that have a name."""
-    own = F.lower(text("value", "$.type")) == kind.lower()
-    named = objects(df, key, column).filter(own & (kind_of(F.try_variant_get(F.col("value"), "$.name", "variant")) == "string"))
-    return named.select(key, text("value", "$.name").alias("name")).distinct()
+
+    def pick(v: Column) -> Column:
+        name = F.try_variant_get(v, "$.name", "variant")
+        return F.when((F.lower(inside(v, "$.type")) == kind.lower()) & (kind_of(name) == "string"), F.array(inside(v, "$.name")))
+
+    return picked(df, [key], column, pick).select(key, F.col("x").alias("name")).distinct()
 
 
 def named_costs(df: DataFrame, key: str, column: str, name: Column, cost: str, norm=F.lower) -> DataFrame:
     """(key, costs, cost): the distinct whole values of one kind of cost in all objects of that name (a column of df), and the value if there is just one."""
-    asked = objects(df.withColumn("_of", F.struct(F.col(key).alias("k"), norm(name).alias("wanted"))), "_of", column)
-    hits = asked.filter(norm(text("value", "$.name")) == F.col("_of.wanted")).select("_of.k", F.explode(items("value", "$.costs")).alias("c"))
-    values = hits.filter(inside(F.col("c"), "$.name") == cost).select(F.col("k").alias(key), inside(F.col("c"), "$.value", "int").alias("v")).filter("v IS NOT NULL")
+
+    def pick(v: Column) -> Column:
+        costs = F.filter(F.try_variant_get(v, "$.costs", "array<variant>"), lambda c: inside(c, "$.name") == cost)
+        return F.when(norm(inside(v, "$.name")) == F.col("_wanted"), F.transform(costs, lambda c: inside(c, "$.value", "int")))
+
+    values = picked(df.withColumn("_wanted", norm(name)), [key, "_wanted"], column, pick).select(key, F.col("x").alias("v")).filter("v IS NOT NULL")
     by = values.groupBy(key).agg(F.sort_array(F.collect_set("v")).alias("costs"))
     return by.select(key, "costs", F.when(F.size("costs") == 1, F.col("costs")[0]).alias("cost"))
 
 
 def holding(df: DataFrame, key: str, column: str, wanted: Column, norm=F.lower) -> DataFrame:
-    """Keys of the documents in which some string, normalised, is the wanted one (a column of df)."""
-    asked = scalars(df.withColumn("_of", F.struct(F.col(key).alias("k"), norm(wanted).alias("wanted"))), "_of", column)
-    return asked.filter((F.col("kind") == "string") & (norm(F.col("value")) == F.col("_of.wanted"))).select(F.col("_of.k").alias(key)).distinct()
+    """Keys of the documents in which some string, normalised, is the wanted one (a column of df).
+
+    A JSON text without a backslash has every string in it as it is, between quotes; where case is all that differs, a text that lacks it isn't walked.
+    """
+    asked = df.withColumn("_wanted", norm(wanted))
+    if norm is F.lower:
+        asked = asked.filter(F.contains(F.col(column), F.lit("\\")) | F.contains(F.lower(column), F.concat(F.lit('"'), "_wanted", F.lit('"'))))
+
+    def pick(v: Column) -> Column:
+        return F.when(F.when(kind_of(v) == "string", norm(inside(v, "$")) == F.col("_wanted")), F.array(F.lit(True)))
+
+    return picked(asked, [key, "_wanted"], column, pick).select(key).distinct()
 
 
 # Kinds of profiles by type name.
@@ -119,32 +164,42 @@ def _characteristics(profile: Column) -> Column:
     return F.array_sort(last)
 
 
-def profiles(df: DataFrame, key: str, column: str) -> DataFrame:
-    """(key, class, name, type, characteristics, text_sha256) of the profiles that any object lists, by type; other types are left out, and nothing under a profile is entered.
+def _profiles(v: Column) -> Column:
+    """What an object lists as profiles: name, type and characteristics."""
+    one = lambda p: F.struct(inside(p, "$.name").alias("name"), inside(p, "$.typeName").alias("type"), _characteristics(p).alias("c"))
+    return F.transform(F.try_variant_get(v, "$.profiles", "array<variant>"), one)
 
-    Units and weapons keep their characteristics; of semantic ones only the hash of the description (or else the capacity) is kept, null where there is none.
-    """
-    owners = objects(df, key, column, skip=["profiles"]).select(key, F.explode(items("value", "$.profiles")).alias("p"))
+
+def _classed(typed: DataFrame, *keep: str) -> DataFrame:
+    """Profiles (keep, name, type, c) with their class, as `profiles` returns them."""
     kind = reduce(lambda c, x: c.when(F.col("type") == x[0], x[1]), list(PROFILE_CLASSES.items())[1:], F.when(F.col("type") == "Unit", "unit"))
-    typed = owners.select(key, inside(F.col("p"), "$.name").alias("name"), inside(F.col("p"), "$.typeName").alias("type"), _characteristics(F.col("p")).alias("c"))
     said = lambda n: F.nullif(F.element_at(F.filter("c", lambda x: x["name"] == n), F.lit(1))["text"], F.lit(""))
     semantic = F.col("class") == "semantic"
     one = lambda n: F.when(F.exists("c", lambda x: x["name"] == n), said(n))
-    return (
-        typed.withColumn("class", kind)
-        .filter("class IS NOT NULL")
-        .select(key, "class", "name", "type", F.when(~semantic, F.col("c")).alias("characteristics"), F.when(semantic, F.sha2(F.coalesce(one("Description"), one("Capacity")), 256)).alias("text_sha256"))
-    )
+    return typed.withColumn("class", kind).select(*keep, "class", "name", "type", F.when(~semantic, F.col("c")).alias("characteristics"), F.when(semantic, F.sha2(F.coalesce(one("Description"), one("Capacity")), 256)).alias("text_sha256"))
+
+
+def profiles(df: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, class, name, type, characteristics, text_sha256) of the profiles that any object lists, by type; other types are left out, and nothing under a profile is entered.
+
+    Units and weapons keep their characteristics; of semantic ones only the hash of the description (or else the capacity) is kept, null where there is none.
+    """
+    return _classed(picked(df, [key], column, _profiles, skip=["profiles"]).select(key, "x.*"), key).filter("class IS NOT NULL")
 
 
 def entry_summaries(df: DataFrame, key: str, column: str) -> DataFrame:
     """One row for each document: id, name, type, categories, costs, constraints, and its distinct profiles by class, in order."""
-    entry = df.select(key, F.try_parse_json(F.col(column)).alias("v")).filter("v IS NOT NULL")
-    names = F.filter(F.transform(items("v", "$.categoryLinks"), lambda c: inside(c, "$.name")), lambda n: F.coalesce(n, F.lit("")) != "")
-    costs = F.filter(F.transform(items("v", "$.costs"), lambda c: F.struct(inside(c, "$.name").alias("name"), inside(c, "$.value").alias("value"))), lambda c: F.coalesce(c["name"], F.lit("")) != "")
-    limits = F.transform(items("v", "$.constraints"), lambda c: F.struct(*[inside(c, f"$.{n}").alias(n) for n in ("field", "scope", "type", "value")]))
-    flat = entry.select(key, *[text("v", f"$.{n}").alias(n) for n in ("id", "name", "type")], names.alias("categories"), costs.alias("costs"), limits.alias("constraints"))
-    found = profiles(df, key, column)
-    packed = F.struct("name", "type", "characteristics", "text_sha256")
-    grouped = found.groupBy(key).agg(*[F.array_sort(F.collect_set(F.when(F.col("class") == c, packed))).alias(f"{c}_profiles") for c in ("unit", "weapon", "semantic")])
-    return flat.join(grouped, key, "left")
+
+    def flat(v: Column) -> Column:
+        items_ = lambda path: F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array().cast("array<variant>"))
+        names = F.filter(F.transform(items_("$.categoryLinks"), lambda c: inside(c, "$.name")), lambda n: F.coalesce(n, F.lit("")) != "")
+        costs = F.filter(F.transform(items_("$.costs"), lambda c: F.struct(inside(c, "$.name").alias("name"), inside(c, "$.value").alias("value"))), lambda c: F.coalesce(c["name"], F.lit("")) != "")
+        limits = F.transform(items_("$.constraints"), lambda c: F.struct(*[inside(c, f"$.{n}").alias(n) for n in ("field", "scope", "type", "value")]))
+        return F.struct(*[inside(v, f"$.{n}").alias(n) for n in ("id", "name", "type")], names.alias("categories"), costs.alias("costs"), limits.alias("constraints"))
+
+    profile, entry = lambda v: F.transform(_profiles(v), lambda p: F.struct(p.alias("p"), F.when(F.lit(False), flat(v)).alias("e"))), lambda v: F.array(F.struct(F.get(_profiles(v), F.lit(-1)).alias("p"), flat(v).alias("e")))
+    found = _classed(picked(df, [key], column, profile, ["profiles"], entry).select(key, F.col("x.e").alias("e"), "x.p.*"), key, "e")
+    # of one reading: documents and profiles meet by key; a document without a key, or whose key has no profile, has none
+    packed, any_ = F.struct("name", "type", "characteristics", "text_sha256"), F.col(key).isNotNull() & (F.col("_n") > 0)
+    grouped = found.groupBy(key).agg(F.collect_list("e").alias("_e"), F.count("class").alias("_n"), *[F.array_sort(F.collect_set(F.when(F.col("class") == c, packed))).alias(f"{c}_profiles") for c in ("unit", "weapon", "semantic")])
+    return grouped.select(key, F.explode("_e").alias("_e"), *[F.when(any_, F.col(f"{c}_profiles")).alias(f"{c}_profiles") for c in ("unit", "weapon", "semantic")]).select(key, "_e.*", "unit_profiles", "weapon_profiles", "semantic_profiles")

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from loamgrid.operators import nested
 from loamgrid.plans.registry import ORACLES, QUERIES
 
 
@@ -14,3 +15,31 @@ def test_page_classes_end_words_as_the_sql_does(spark, tmp_path, text, classes):
     duck = duckdb.connect()
     duck.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     assert got == [r[1] for r in duck.sql(ORACLES["page_class_labels"]).fetchall()] == ([] if classes is None else [classes])
+
+
+def _deep(depth, leaf):
+    text = leaf
+    for i in range(depth):
+        text = '{"in":%s}' % text if i % 2 else "[%s]" % text
+    return text
+
+
+def test_walks_read_their_source_once_and_reach_any_depth(spark, monkeypatch):
+    leaf = '{"type":"UNIT","name":"Deep \\u0041","costs":[{"name":"pts","value":7}],"profiles":[{"typeName":"Unit","name":"P"}]}'
+    df = spark.createDataFrame([(1, leaf, "deep a"), (2, _deep(7, leaf), "deep b"), (3, _deep(23, leaf), "deep a"), (4, "{", "x"), (None, leaf, "deep a")], "k long, doc string, wanted string")
+    cuts, cut = [], nested.cut
+    monkeypatch.setattr(nested, "cut", lambda d: cuts.append(1) or cut(d))
+    shallow = df.filter("k < 3")
+    assert {tuple(r) for r in nested.typed_names(shallow, "k", "doc", "unit").collect()} == {(1, "Deep A"), (2, "Deep A")}
+    assert {r["k"] for r in nested.holding(shallow, "k", "doc", F.col("wanted")).collect()} == {1}
+    assert len(cuts) == 2
+    assert {tuple(r) for r in nested.typed_names(df, "k", "doc", "unit").collect()} == {(1, "Deep A"), (2, "Deep A"), (3, "Deep A"), (None, "Deep A")}
+    assert {r["k"] for r in nested.holding(df, "k", "doc", F.col("wanted")).collect()} == {1, 3, None}
+    assert {(r["k"], r["cost"]) for r in nested.named_costs(df, "k", "doc", F.lit("DEEP A"), "pts").collect()} == {(1, 7), (2, 7), (3, 7), (None, 7)}
+    assert sorted((r["k"] or 0, r["name"]) for r in nested.profiles(df, "k", "doc").collect()) == [(0, "P"), (1, "P"), (2, "P"), (3, "P")]
+
+
+def test_summaries_of_documents_that_share_a_key(spark):
+    df = spark.createDataFrame([(1, '{"id":"a","profiles":[{"typeName":"Unit","name":"P"}]}'), (1, '{"id":"b"}'), (2, '{"id":"c","profiles":[{"typeName":"Odd"}]}'), (None, '{"id":"d","profiles":[{"typeName":"Unit"}]}')], "k long, doc string")
+    got = {r["id"]: r["unit_profiles"] and [p["name"] for p in r["unit_profiles"]] for r in nested.entry_summaries(df, "k", "doc").collect()}
+    assert got == {"a": ["P"], "b": ["P"], "c": None, "d": None}
