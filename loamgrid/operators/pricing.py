@@ -31,7 +31,7 @@ def price(rows: DataFrame, bands: DataFrame, unit: str, size: str | None = None)
     hits = F.filter("_priced_bands", lambda b: (b["lo"] <= F.col("copy_no")) & (b["hi"].isNull() | (F.col("copy_no") <= b["hi"])))
     if size:
         hits = F.filter(hits, lambda b: (b["band_no"] == F.get(hits, 0)["band_no"]) & (b["size"] == F.col(size)))
-    priced = rows.join(lists, F.col(unit) == F.col("_priced_unit"), "left")
+    priced = rows.join(F.broadcast(lists), F.col(unit) == F.col("_priced_unit"), "left")  # prices are rules; rows have few units
     return priced.select(*[F.col(c) for c in rows.columns], F.get(hits, 0)["points"].alias("points"))
 
 

@@ -91,9 +91,13 @@ def component_checks(demand: DataFrame, capacity: DataFrame) -> DataFrame:
 
 
 def unknown_triggers(components: DataFrame, wargear: DataFrame, constraints: DataFrame, support: DataFrame) -> DataFrame:
-    """Unknown constraints that a roster's components or paid wargear set off."""
-    by_component = components.join(constraints.filter("component_id is not null").select("constraint_id", "component_id"), "component_id").select("roster_id", "constraint_id")
-    unknown = support.filter(F.startswith(F.col("status"), F.lit("UNKNOWN"))).select("unit", "item", "constraint_id")
+    """Unknown constraints that a roster's components or paid wargear set off.
+
+    Constraints and support are rules, of a size that doesn't follow the rosters; they go to the rows, which have few different components and items.
+    """
+    named = F.broadcast(constraints.filter("component_id is not null").select("constraint_id", "component_id").distinct())
+    by_component = components.join(named, "component_id").select("roster_id", "constraint_id")
+    unknown = F.broadcast(support.filter(F.startswith(F.col("status"), F.lit("UNKNOWN"))).select("unit", "item", "constraint_id").distinct())
     return by_component.union(wargear.join(unknown, ["unit", "item"]).select("roster_id", "constraint_id")).distinct()
 
 
@@ -122,7 +126,7 @@ def scoped_checks(units: DataFrame, catalog: DataFrame, bands: DataFrame) -> Dat
     first = F.row_number().over(Window.partitionBy("roster_id", "id").orderBy("row_id")) == 1
     marked = units.withColumn("id_status", F.when(first & F.col("id").isNotNull() & (F.col("id") != ""), "PASS").otherwise("FAIL"))
     known = only_one(catalog.select("unit", F.lit(True).alias("known")), "unit")
-    found = marked.join(known, "unit", "left")
+    found = marked.join(F.broadcast(known), "unit", "left")
     usable = (F.col("id_status") == "PASS") & F.col("known")
     numbered = found.filter(usable).withColumn("copy_no", F.row_number().over(Window.partitionBy("roster_id", "unit").orderBy("row_id")))
     priced = price(numbered, parse_bands(bands), "unit", "models")
@@ -134,7 +138,7 @@ def scoped_checks(units: DataFrame, catalog: DataFrame, bands: DataFrame) -> Dat
 
 def wargear_costs(items: DataFrame, catalog: DataFrame) -> DataFrame:
     """Paid items (unit, item, quantity) with points each and in total; an item without a price fails."""
-    out = items.join(catalog.select("unit", "item", F.col("points").alias("points_each")), ["unit", "item"], "left")
+    out = items.join(F.broadcast(catalog.select("unit", "item", F.col("points").alias("points_each"))), ["unit", "item"], "left")
     return out.withColumns({"points": F.col("points_each") * F.col("quantity"), "status": F.when(F.col("points_each").isNull(), "FAIL").otherwise("PASS")})
 
 
@@ -146,7 +150,7 @@ def attachments(pairs: DataFrame, units: DataFrame, leads: DataFrame) -> DataFra
     named = pairs.join(a, ["roster_id", "leader_ref"], "left").join(b, ["roster_id", "bodyguard_ref"], "left")
     allowed = leads.select("leader", "bodyguard").distinct().withColumn("_ok", F.lit(True))
     reason = F.when(F.col("leader").isNull() | F.col("bodyguard").isNull(), "UNKNOWN_REF").when(F.col("_ok").isNull(), "NOT_ALLOWED")
-    out = named.join(allowed, ["leader", "bodyguard"], "left")
+    out = named.join(F.broadcast(allowed), ["leader", "bodyguard"], "left")
     return out.select("roster_id", "leader_ref", "bodyguard_ref", "leader", "bodyguard", F.when(reason.isNull(), "PASS").otherwise("FAIL").alias("status"), reason.alias("reason"))
 
 
@@ -157,17 +161,18 @@ def scoped_rows(requests: dict[str, DataFrame], rules: dict[str, DataFrame]) ->
     enhancements (roster_id, name) and attachments (roster_id, leader_ref, bodyguard_ref). `rules` has units, bands, detachments (detachment),
     wargear (unit, item, points), enhancements (detachment, name, points) and leads (leader, bodyguard). Names are normalised; a price is the largest
     where its key repeats. A detachment that isn't named once is none, and no enhancement is in it. Wargear of a unit that isn't resolved is not
-    looked at; that of a unit without a price is checked, but adds no points. A quantity that isn't given is one.
+    looked at; that of a unit without a price is checked, but adds no points. A quantity that isn't given is one. Rules are of a size that doesn't follow the
+    rosters and go to the rows, which have few different units, items and detachments.
     """
     units = scoped_checks(requests["units"], rules["units"], rules["bands"])
     resolved = units.filter(F.col("check") == "unit_size_and_copy_tier").select("roster_id", "row_id", "id", "unit", F.col("points").alias("base"))
     detachments = only_one(rules["detachments"].select("detachment", F.lit(True).alias("known")), "detachment")
-    rosters = requests["rosters"].select("roster_id", "detachment").join(detachments, "detachment", "left")
+    rosters = requests["rosters"].select("roster_id", "detachment").join(F.broadcast(detachments), "detachment", "left")
 
     paid = requests["wargear"].select("roster_id", "row_id", "item", F.coalesce("quantity", F.lit(1)).alias("quantity")).join(resolved, ["roster_id", "row_id"])
     paid = wargear_costs(paid, rules["wargear"].groupBy("unit", "item").agg(F.max("points").alias("points")))
     offered = rules["enhancements"].groupBy("detachment", "name").agg(F.max("points").alias("points"))
-    chosen = requests["enhancements"].select("roster_id", "name").join(rosters.filter("known").select("roster_id", "detachment"), "roster_id", "left").join(offered, ["detachment", "name"], "left")
+    chosen = requests["enhancements"].select("roster_id", "name").join(rosters.filter("known").select("roster_id", "detachment"), "roster_id", "left").join(F.broadcast(offered), ["detachment", "name"], "left")
     leaders = attachments(requests["attachments"], resolved, rules["leads"])
 
     def rows(df: DataFrame, check: Column, subject: Column, points: Column, status: Column) -> DataFrame:
