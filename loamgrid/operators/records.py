@@ -13,15 +13,17 @@ from .relational import last_by_key, only_one
 def expected_hashes(docs: DataFrame, kinds: dict[str, tuple[str, list[str], list[str]]]) -> DataFrame:
     """(kind, identity, field, expected) of every stored hash of nested entities.
 
-    kinds: name to (array column, identity fields, hash fields); identities are the fields' values joined by bars.
+    kinds: name to (array column, identity fields, hash fields); identities are the fields' values joined by bars. Entities meet by their identity, before
+    their hashes are told apart, so that a row is shuffled once.
     """
     parts = []
     for kind, (column, identity, hashes) in kinds.items():
-        rows = docs.select(F.explode(column).alias("e"))
         key = F.concat_ws("|", *[F.coalesce(F.col(f"e.{i}").cast("string"), F.lit("")) for i in identity])
-        fields = F.explode(F.array(*[F.struct(F.lit(h).alias("field"), F.col(f"e.{h}").alias("expected")) for h in hashes]))
-        parts.append(rows.select(F.lit(kind).alias("kind"), key.alias("identity"), fields.alias("x")).select("kind", "identity", "x.field", "x.expected"))
-    return reduce(DataFrame.union, parts).filter("expected is not null").dropDuplicates(["kind", "identity", "field", "expected"])
+        rows = docs.select(F.explode(column).alias("e")).select(key.alias("identity"), *[F.col(f"e.{h}").alias(f"_{i}") for i, h in enumerate(hashes)]).repartition("identity")
+        fields = F.explode(F.array(*[F.struct(F.lit(h).alias("field"), F.col(f"_{i}").alias("expected")) for i, h in enumerate(hashes)]))
+        found = rows.select("identity", fields.alias("x")).select("identity", "x.field", "x.expected").filter("expected is not null").dropDuplicates(["identity", "field", "expected"])
+        parts.append(found.select(F.lit(kind).alias("kind"), "identity", "field", "expected"))
+    return reduce(DataFrame.union, parts)
 
 
 def bag(*kinds: tuple[str, DataFrame, Column, Column]) -> DataFrame:
