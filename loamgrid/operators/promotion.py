@@ -132,8 +132,12 @@ DOCUMENTS = ("plan", "report", "manifest", "views", "reconciliation", "semantic"
 
 
 def refusals(rows: DataFrame, rosters: int = 37) -> DataFrame:
-    """The rows of DOCUMENTS with `refusal`, the first condition of a promotion that doesn't hold, or null. What a document doesn't say doesn't hold."""
-    d = {n: F.try_parse_json(F.col(n)) for n in DOCUMENTS}
+    """The rows of DOCUMENTS with `refusal`, the first condition of a promotion that doesn't hold, or null. What a document doesn't say doesn't hold.
+
+    Every document is parsed once; the conditions read what was parsed.
+    """
+    d = {n: F.col(f"_{n}") for n in DOCUMENTS}
+    parsed = rows.select("*", *[F.try_parse_json(F.col(n)).alias(f"_{n}") for n in DOCUMENTS])
     text = lambda n, path: _get(d[n], path)
     number = lambda n, path: _get(d[n], path, "long")
     flag = lambda n, path: _get(d[n], path, "boolean")
@@ -168,7 +172,7 @@ def refusals(rows: DataFrame, rosters: int = 37) -> DataFrame:
         (code, text("fallback", "$.commit_sha") == text("plan", "$.candidate_revisions.bsdata_wh40k_11e.candidate"), "the fallback is of another revision"),
     ]
     first = F.coalesce(*[F.when(asked & ~_yes(holds), reason) for asked, holds, reason in conditions])
-    return rows.withColumn("refusal", first)
+    return parsed.select(*[F.col(c) for c in rows.columns], first.alias("refusal"))
 
 
 # --- two phases -----------------------------------------------------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import audit
 from ..operators import promotion as P
-from ..session import cut, table
+from ..session import cut, spread, table
 from ..sources import paths
 from .base import query
 
@@ -31,7 +31,8 @@ def _reports(spark, sf_dir) -> DataFrame:
         F.struct(F.array_compact(F.array(file("Datasheets.csv", _every(3)), file("Source.csv", _every(6)))).alias("changed_files"), F.lit("new").alias("live_last_update")).alias("wahapedia"),
         F.struct(_every(11).alias("wahapedia_last_update_changed")).alias("change_summary"),
     )
-    return table(spark, sf_dir, "customer").select("c_custkey", F.lit("2026-10-20").alias("candidate_snapshot_date"), F.to_json(report).alias("report"))
+    customers = spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
+    return customers.select("c_custkey", F.lit("2026-10-20").alias("candidate_snapshot_date"), F.to_json(report).alias("report"))
 
 
 _PLANS_SQL = """
@@ -141,7 +142,7 @@ def _documents(spark, sf_dir) -> DataFrame:
         "official_assets": F.when(fault != "no assets", F.to_json(assets)),
         "fallback": F.to_json(F.struct(pick("commit", text("old"), text("abc")).alias("commit_sha"))),
     }
-    return table(spark, sf_dir, "customer").select("c_custkey", *[v.alias(k) for k, v in made.items()])
+    return spread(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select("c_custkey", *[v.alias(k) for k, v in made.items()])
 
 
 @query(f"SELECT c_custkey, CASE c_custkey % {len(_FAULTS)} " + " ".join(f"WHEN {i} THEN '{r.replace(chr(39), chr(39) * 2)}'" for i, (_, r) in enumerate(_FAULTS) if r) + " END AS refusal FROM customer")

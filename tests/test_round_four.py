@@ -62,3 +62,18 @@ def test_rules_go_to_the_rows_of_unknown_constraints(spark, data):
 def test_rules_go_to_the_rows_of_rosters(spark, data):
     joins = re.findall(r"SortMergeJoin \[(\w+?)#", _plan(QUERIES["roster_evaluation"](spark, data)))
     assert not {"unit", "detachment", "leader", "item"} & set(joins)
+
+
+def test_hashes_are_shuffled_once(spark, data):
+    plan = _plan(QUERIES["stored_hashes"](spark, data))
+    assert plan.count("Exchange hashpartitioning(identity") == 1 and "hashpartitioning(kind" not in plan
+
+
+def test_documents_of_a_promotion_are_parsed_once_and_by_several_tasks(spark, data):
+    df = QUERIES["promotion_refusals"](spark, data)
+    assert len(re.findall("parse_json|parseJson", df._jdf.queryExecution().optimizedPlan().toString())) <= 8
+    assert df.rdd.getNumPartitions() >= 4
+
+
+def test_watch_reports_are_read_by_several_tasks(spark, data):
+    assert QUERIES["reingestion_plans"](spark, data).rdd.getNumPartitions() >= 4
