@@ -12,9 +12,9 @@ A text's evidence is the difference of its length-normalised toxic and ordinary
 of WINDOWS letters, which find a few toxic words in a long text. A logistic curve over these and the length, fitted on labelled rows that
 the counts haven't seen, turns them into a score from 0 to 1.
 
-Fitting uses at most about `per_class` labelled ids of each class, chosen by a hash of the id. A model has at most MOST_RUNS runs, which bounds what comes to the driver,
-is broadcast and stands as a table in a worker (256 bytes for each history, given up when a task ends); of more runs those in the fewest texts are left to the shared backoff,
-all of one count together. Scoring reads whole texts.
+Fitting uses at most about `per_class` labelled ids of each class, chosen by a hash of the id. That sample alone, at whatever size of the input, bounds the model, which
+has every run of the sample: what comes to the driver and is broadcast is 8 bytes for each run and each history, and as much again stands in a worker, beside 64 MB of places by history
+(given up when a task ends). Scoring reads whole texts.
 
 Edge cases: an empty or null text gets the score of no evidence; if a class has no labelled row every score is 0; repeated texts have equal
 scores; extra columns are ignored; of several labels of one id the largest counts; texts of any length are read in bounded steps of whole texts.
@@ -34,7 +34,6 @@ from .common import ASCII_LOWER, chunks, cut, held_out, map_batches, small_batch
 
 GRAM, BITS, WINDOWS, DISCOUNT = 5, 6, (12, 32, 128), 0.95
 SYMBOLS = 1 << BITS
-MOST_RUNS = 1 << 20
 EVIDENCE = len(WINDOWS) + 2
 #: Space 0, letters 1 to 26, digits 27, bytes of other characters 28 to 63.
 LETTER = np.zeros(256, np.int32)
@@ -70,8 +69,8 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return run[at - GRAM + 1], np.searchsorted(at, offsets + GRAM * np.arange(n + 1))
 
 
-def _counts(labelled: DataFrame, most: int = MOST_RUNS) -> tuple[np.ndarray, np.ndarray]:
-    """At most `most` runs (sorted), those of the most texts, and how many texts of both classes have each."""
+def _counts(labelled: DataFrame, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All runs (sorted), and how many texts of both classes have each; if asked for, at most `most` runs, those of the most texts. `fit` asks for all."""
 
     def total(pairs: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         every, own = np.unique(np.concatenate(pairs), return_inverse=True)
@@ -98,7 +97,7 @@ def _counts(labelled: DataFrame, most: int = MOST_RUNS) -> tuple[np.ndarray, np.
     of = lambda c: F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}")
     counted = cut(parts.groupBy("run").agg(of(0), of(1)))
     texts = F.col("n0") + F.col("n1")
-    if counted.count() > most:
+    if most is not None and counted.count() > most:
         sizes = sorted(((r["t"], r["runs"]) for r in counted.groupBy(texts.alias("t")).agg(F.count("*").alias("runs")).collect()), reverse=True)
         room, least = most, sizes[0][0] + 1
         for t, runs in sizes:
@@ -142,16 +141,21 @@ def log_models(runs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 class _Lookup:
-    """A worker's table of one model: the difference of the classes' log-probabilities by history and letter."""
+    """A worker's table of one model: the difference of the classes' log-probabilities by history and letter.
+
+    A history has the place of its first run and a bit for each letter that follows it; a run's place is the first one's and the bits below its own.
+    """
 
     last: tuple | None = None
 
     def __init__(self, model: Models):
         self.row = np.full(1 << BITS * (GRAM - 1), len(model.histories), np.int32)
         self.row[model.histories] = np.arange(len(model.histories))
-        self.value = np.zeros((len(model.histories) + 1, SYMBOLS), np.float32)
-        self.value[:-1] = model.back[:, None]
-        self.value[self.row[model.runs >> BITS], model.runs & (SYMBOLS - 1)] = model.ratio
+        own = model.runs >> BITS
+        self.first = np.append(np.searchsorted(own, model.histories), 0).astype(np.int32)
+        self.letters = np.zeros(len(model.histories) + 1, np.uint64)
+        np.bitwise_or.at(self.letters, self.row[own], np.uint64(1) << (model.runs & (SYMBOLS - 1)).astype(np.uint64))
+        self.back, self.ratio = np.append(model.back, 0).astype(np.float32), np.append(model.ratio, 0).astype(np.float32)
 
     @classmethod
     def forget(cls) -> None:
@@ -164,7 +168,10 @@ class _Lookup:
         return cls.last[1]
 
     def __getitem__(self, run: np.ndarray) -> np.ndarray:
-        return self.value[self.row[run >> BITS], run & (SYMBOLS - 1)]
+        row, letter = self.row[run >> BITS], np.uint64(1) << (run & (SYMBOLS - 1)).astype(np.uint64)
+        letters = self.letters[row]
+        place = self.first[row] + np.bitwise_count(letters & (letter - np.uint64(1)))
+        return np.where(letters & letter, self.ratio[np.minimum(place, len(self.ratio) - 1)], self.back[row])
 
 
 def evidence(model: Models, column: pa.Array) -> np.ndarray:
