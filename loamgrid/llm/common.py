@@ -55,13 +55,13 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(col.cast("string")) % 5 == 0, F.lit(False))
 
 
-def map_batches(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str = "text", done: Callable[[], None] | None = None) -> DataFrame:
-    """mapInArrow with a step that sees at most CHUNK_BYTES of text at a time. `done` is called when a task ends: workers are used again, and what they keep stays in memory."""
+def map_batches(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str = "text", done: Callable[[], None] | None = None, limit: int = CHUNK_BYTES) -> DataFrame:
+    """mapInArrow with a step that sees at most `limit` bytes of text at a time. `done` is called when a task ends: workers are used again, and what they keep stays in memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             for batch in batches:
-                for part in chunks(batch, text):
+                for part in chunks(batch, text, limit):
                     out = step(part)
                     if out is not None and out.num_rows:
                         yield out
