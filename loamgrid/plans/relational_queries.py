@@ -9,7 +9,7 @@ from ..functions import text as T
 from ..operators import aggregates as A
 from ..operators import pricing as P
 from ..operators import relational as R
-from ..session import table
+from ..session import dealt, table
 from ..sources.readers import clean_strings, link_map, page_links, plain_links, volume_guard
 from .base import query
 
@@ -237,9 +237,10 @@ WITH x AS (SELECT l_orderkey, l_linenumber, max(l_quantity) AS q FROM lineitem G
 SELECT l_orderkey, l_linenumber, q AS left_value, q + CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 0 END AS right_value FROM x WHERE l_orderkey % 3 = 0
 """)
 def composite_key_mismatch(spark, sf_dir):
-    x = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("q"))
+    key = ["l_orderkey", "l_linenumber"]
+    x = dealt(table(spark, sf_dir, "lineitem").select(*key, "l_quantity"), *key).groupBy(*key).agg(F.max("l_quantity").alias("q"))
     y = x.withColumn("q", F.expr("q + case when l_orderkey % 3 = 0 then 1 else 0 end"))
-    return R.mismatches(x, y, ["l_orderkey", "l_linenumber"], "q")
+    return R.mismatches(x, y, key, "q")
 
 
 @query("""

@@ -9,6 +9,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a task where a table is dealt by its size: a shuffle's bytes, by which Spark itself deals, say little of the memory that narrow rows take.
+TASK_ROWS = 500_000
+
 
 def build_session(cores: int | None = None, app: str = "loamgrid", memory: str = "8g") -> SparkSession:
     """A local session with adaptive execution and UTC time; clusters bring their own."""
@@ -58,6 +61,11 @@ def spread(df: DataFrame, *key: str) -> DataFrame:
     return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *key)
 
 
+def dealt(df: DataFrame, *key: str) -> DataFrame:
+    """The rows of a table, counted from its Parquet footers, dealt by their key to tasks of about TASK_ROWS; groups and joins by that key need no other shuffle."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS)), *key)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once, so that Python workers can import it from any working folder."""
     context = spark.sparkContext

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from loamgrid import session
 from loamgrid.operators import nested
 from loamgrid.plans.registry import ORACLES, QUERIES
 
@@ -77,3 +78,16 @@ def test_documents_of_a_promotion_are_parsed_once_and_by_several_tasks(spark, da
 
 def test_watch_reports_are_read_by_several_tasks(spark, data):
     assert QUERIES["reingestion_plans"](spark, data).rdd.getNumPartitions() >= 4
+
+
+@pytest.mark.parametrize("keys", [2000, 3])
+def test_composite_keys_are_dealt_by_the_size_of_the_table(spark, tmp_path, monkeypatch, keys):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    rows = [(3 * (i % keys) if i % 7 else None, i % 5, float(i % 11)) for i in range(4000)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    made = QUERIES["composite_key_mismatch"](spark, str(tmp_path))
+    got = made.withColumn("task", F.spark_partition_id()).collect()
+    duck = duckdb.connect()
+    duck.sql(f"create view lineitem as select * from '{tmp_path}/lineitem.parquet/*.parquet'")
+    assert sorted(tuple(r)[:4] for r in got) == sorted(duck.sql(ORACLES["composite_key_mismatch"]).fetchall())
+    assert len({r["task"] for r in got}) > (20 if keys > 3 else 4)  # one task joined all before
