@@ -39,8 +39,8 @@ CACHE = 400_000
 WIDE = 64
 #: Bytes of text in one step: levels of a larger trie cost less a word.
 STEP = 1 << 20
-#: Pairs of tokens whose fit a worker remembers, a power of two.
-PAIRS = 1 << 18
+#: Pairs of tokens whose fit a worker remembers, a power of two; 9 bytes each, kept from task to task.
+PAIRS = 1 << 20
 #: Before a token's number, written in letters, in place of a word. It is no character, so the library splits the texts that have it.
 MARK = "\uffff"
 _digits = {48 + d: 97 + d for d in range(10)}
@@ -183,6 +183,7 @@ class Codec:
         self.longest = max(map(len, chain(self.inner, self.final)))
         self.size = {i: len(x) for x, i in chain(self.inner.items(), self.final.items())}
         self._tables()
+        self.fit_of, self.fit_is = np.full(PAIRS, -1, np.int64), np.zeros(PAIRS, bool)
         self.forget()
         names = [""] * (max(self.names) + 1)
         for i, token in self.names.items():
@@ -190,9 +191,8 @@ class Codec:
         self.name_array, self.digit_array = pa.array(names, pa.string()), pa.array([str(i) for i in range(len(names))], pa.string())
 
     def forget(self) -> None:
-        """Empties the caches."""
+        """Empties the caches that grow."""
         self.fits: dict[int, bool] = {}
-        self.fit_of, self.fit_is = np.full(PAIRS, -1, np.int64), np.zeros(PAIRS, bool)
         self._anew()
         pa.default_memory_pool().release_unused()
 

@@ -63,3 +63,11 @@ def test_bpe_words_are_split_as_the_pattern_says():
             text = "".join(r.choices(letters, k=r.randint(0, 12)))
             data, starts, ends = bpe.pieces(text)
             assert [data[a:b].tobytes().decode() for a, b in zip(starts, ends, strict=True)] == pattern.findall(text)
+
+
+def test_bpe_pairs_that_share_a_place_are_worked_out_again(codec, monkeypatch):
+    monkeypatch.setattr(bpe, "PAIRS", 4)
+    r = random.Random(9)
+    texts = [" ".join("".join(r.choices("aeinrst", k=r.randint(2, 12))) for _ in range(50)) for _ in range(20)]
+    codec.forget()
+    assert codec.encode(texts) == [x.ids for x in codec.library.encode_batch(texts, add_special_tokens=False)]
