@@ -1,9 +1,10 @@
 """Deep-shallow string sorting.
 
 Strings that share their beginnings are first ordered by multikey quicksort to a shallow depth: all groups at once are split on their
-next eight bytes, and what stands alone leaves. Groups that still hang together have long common prefixes; their equal members are
-recognised by comparing each with the group's first, and what is left goes through a blind trie (a Patricia trie that compares only
-at its branching positions on the way down and verifies once at the leaf).
+next bytes, and what stands alone leaves. Groups that still hang together have long common prefixes; their equal members are
+recognised by comparing each with the group's first, and groups that differ are split further. What hangs together still at the depth
+DEEP goes through a blind trie (a Patricia trie that compares only at its branching positions on the way down and verifies once at the
+leaf): a trie costs Python steps for each string, so it pays only where prefixes are long.
 """
 
 from __future__ import annotations
@@ -12,16 +13,18 @@ import numpy as np
 
 from .common import U64
 
-SHALLOW = 24
+SHALLOW, DEEP = 24, 96
+#: Where the number of a group fits into 24 bits, it stands with five bytes in one number.
+STEP, GROUP_BITS = 5, 24
 _bytes_kept = np.array([(0xFFFFFFFFFFFFFFFF << (8 * (8 - n))) & 0xFFFFFFFFFFFFFFFF for n in range(9)], U64)
 
 
 def word(buffer: np.ndarray, start: np.ndarray, length: np.ndarray, depth: int) -> np.ndarray:
     """Eight bytes at `depth` of every string as a big-endian number, zeros after its end. The buffer has 8 spare bytes."""
-    view = np.lib.stride_tricks.sliding_window_view(buffer, 8)
+    view = np.ndarray((len(buffer) - 7,), "<u8", buffer, strides=(1,))
     room = np.clip(length - depth, 0, 8)
     at = np.where(room > 0, start + depth, 0)
-    return np.ascontiguousarray(view[at]).view(">u8").ravel().astype(U64) & _bytes_kept[room]
+    return view[at].byteswap() & _bytes_kept[room]
 
 
 class Blind:
@@ -85,25 +88,10 @@ def sort(buffer: np.ndarray, start: np.ndarray, length: np.ndarray, lead: np.nda
     if not n:
         return order, new
     new[0] = True
-    depth = 0
-    while depth < SHALLOW:
-        group = np.cumsum(new) - 1
-        size = np.bincount(group)
-        open_ = np.flatnonzero(size[group] > 1)
-        if not len(open_):
-            return order, new
-        items = order[open_]
-        key, own = word(buffer, start[items], length[items], depth), group[open_]
-        by = np.lexsort((key, own))
-        order[open_] = items[by]
-        key, own = key[by], own[by]
-        new[open_[1:]] |= (key[1:] != key[:-1]) | (own[1:] != own[:-1])
-        depth += 8
-    group = np.cumsum(new) - 1
-    size = np.bincount(group)
-    open_ = np.flatnonzero(size[group] > 1)
+    open_, depth = _split(buffer, start, length, order, new, np.arange(n), 0, SHALLOW)
     if not len(open_):
         return order, new
+    group = np.cumsum(new) - 1
     items = order[open_]
     first = order[np.flatnonzero(new)][group[open_]]
     same = length[items] == length[first]
@@ -116,29 +104,65 @@ def sort(buffer: np.ndarray, start: np.ndarray, length: np.ndarray, lead: np.nda
         differ = word(buffer, start[a], length[a], d) != word(buffer, start[b], length[b], d)
         same[check[differ]] = False
         check = check[~differ]
-    odd = open_[~same]
-    if not len(odd):
+    mixed = np.zeros(int(group[-1]) + 1, bool)
+    mixed[group[open_[~same]]] = True
+    open_ = open_[mixed[group[open_]]]
+    if not len(open_):
         return order, new
-    data = buffer.tobytes()
-    mixed = np.unique(group[odd])
-    edges = np.append(np.flatnonzero(new), n)
-    is_same = np.zeros(n, bool)
-    is_same[open_] = same
-    for g in mixed.tolist():
+    open_, depth = _split(buffer, start, length, order, new, open_, depth, DEEP)
+    if len(open_):
+        group = np.cumsum(new) - 1
+        deep = np.zeros(int(group[-1]) + 1, bool)
+        long = length[order[open_]]
+        deep[group[open_[long > depth]]] = True
+        deep[group[open_[long != long[np.searchsorted(open_, np.flatnonzero(new)[group[open_]])]]]] = True
+        _tries(buffer, start, length, order, new, np.flatnonzero(deep))
+    return order, new
+
+
+def _split(buffer: np.ndarray, start: np.ndarray, length: np.ndarray, order: np.ndarray, new: np.ndarray, open_: np.ndarray, depth: int, limit: int) -> tuple[np.ndarray, int]:
+    """Splits the groups at the places `open_` of the order on the bytes from depth to limit, in place; which places are in groups of several strings still, and the depth reached."""
+    if not len(open_):
+        return open_, depth
+    longest = int(length[order[open_]].max())
+    while True:
+        # whole groups are open, so a group is a run of open places
+        edge = new[open_]
+        alone = edge & np.append(edge[1:], True)
+        open_ = open_[~alone]
+        if not len(open_) or depth >= min(limit, longest):
+            return open_, depth
+        own = np.cumsum(new[open_], dtype=np.int64) - 1
+        items = order[open_]
+        key = word(buffer, start[items], length[items], depth)
+        if int(own[-1]) >> GROUP_BITS:
+            by = np.lexsort((key, own))
+            key, own = key[by], own[by]
+            cut = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
+            depth += 8
+        else:
+            key = (key >> U64(8 * (8 - STEP))) | (own.astype(U64) << U64(8 * STEP))
+            by = np.argsort(key)
+            key = key[by]
+            cut = key[1:] != key[:-1]
+            depth += STEP
+        order[open_] = items[by]
+        new[open_[1:]] |= cut
+
+
+def _tries(buffer: np.ndarray, start: np.ndarray, length: np.ndarray, order: np.ndarray, new: np.ndarray, groups: np.ndarray) -> None:
+    """Orders the members of the groups by blind tries, in place."""
+    data = buffer.tobytes() if len(groups) else b""
+    edges = np.append(np.flatnonzero(new), len(order))
+    for g in groups.tolist():
         a, b = int(edges[g]), int(edges[g + 1])
-        members = order[a:b]
         trie = Blind()
-        equal = is_same[a:b]
-        equals = members[equal].tolist()
-        for item in [equals[0], *members[~equal].tolist()]:
+        for item in order[a:b].tolist():
             s = int(start[item])
             trie.add(data[s : s + int(length[item])], item)
         at = a
         for leaf in trie.leaves():
-            if equals[0] in leaf:
-                leaf = equals + [x for x in leaf if x != equals[0]]
             order[at : at + len(leaf)] = leaf
             new[at] = True
             new[at + 1 : at + len(leaf)] = False
             at += len(leaf)
-    return order, new

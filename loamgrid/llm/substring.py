@@ -32,9 +32,12 @@ SPAN = LENGTH - GRAM + 1
 CHUNK_TEXT, BUCKET_TEXT = 4 << 20, 8 << 20
 #: Bits for a place inside a slice of text; longer texts are cut into overlapping slices.
 PLACE_BITS = 24
+PLACES = U64((1 << PLACE_BITS) - 1)
 SLICE = 1 << 22
 #: Text whose anchors are found in one numpy step, small enough to stay in a core's cache.
 RUN_BYTES = 1 << 17
+#: High bits of the shared hashes that are marked, so that most runs need no search.
+FILTER_BITS = 20
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -46,31 +49,39 @@ def anchor_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         return none, none, none, np.zeros(0, U64)
     up, down = _Powers.upto(n + 1)
     total = np.zeros(n + 1, U64)
-    np.cumsum(BYTE_CODE[data] * up[:n], out=total[1:])
-    grams = mix((total[GRAM:] - total[:-GRAM]) * down[: n - GRAM + 1])
-    places = np.arange(len(grams), dtype=U64)
-    low = (grams >> U64(PLACE_BITS) << U64(PLACE_BITS)) | (U64((1 << PLACE_BITS) - 1) - places)
+    codes = BYTE_CODE[data]
+    codes *= up[:n]
+    np.cumsum(codes, out=total[1:])
+    grams = total[GRAM:] - total[:-GRAM]
+    grams *= down[: n - GRAM + 1]
+    # the high bits of the sum choose well enough; only the anchors that are left are mixed
+    low = grams & ~PLACES
+    low |= PLACES - np.arange(len(grams), dtype=U64)
     width = 1
     while width * 2 <= SPAN:
         low = np.minimum(low[:-width], low[width:])
         width *= 2
     if width < SPAN:
         low = np.minimum(low[: len(low) - (SPAN - width)], low[SPAN - width :])
-    anchor = (U64((1 << PLACE_BITS) - 1) - (low & U64((1 << PLACE_BITS) - 1))).astype(np.int64)
     counts = np.maximum(np.diff(offsets) - LENGTH + 1, 0)
-    valid = np.zeros(len(anchor) + 1, np.int8)
-    full = counts > 0
-    valid[offsets[:-1][full]] += 1
-    np.add.at(valid, offsets[:-1][full] + counts[full], -1)
-    inside = np.cumsum(valid[:-1]) > 0
-    anchor = np.where(inside, anchor, -1)
-    change = np.flatnonzero(np.diff(anchor, prepend=-2) != 0)
-    ends = np.append(change[1:], len(anchor)) - 1
-    real = anchor[change] >= 0
-    first, last = change[real], ends[real]
+    full = np.flatnonzero(counts)
+    edge = np.zeros(len(low) + 1, bool)
+    np.not_equal(low[1:], low[:-1], out=edge[1:-1])
+    edge[offsets[full]] = True
+    edge[offsets[full] + counts[full]] = True
+    edge[-1] = True
+    first = np.flatnonzero(edge)
+    first, last = first[:-1], first[1:] - 1
     doc = np.searchsorted(offsets, first, "right") - 1
-    # the same anchor can serve two documents only if they touch, and then the gap between them is not valid
-    return doc, first, last, mix(grams[anchor[first]])
+    real = np.flatnonzero(first - offsets[doc] < counts[doc])
+    doc, first, last = doc[real], first[real], last[real]
+    anchor = (PLACES - (low[first] & PLACES)).astype(np.int64)
+    return doc, first, last, mix(grams[anchor])
+
+
+def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a hash by its high bits: hashes in order are in order of their buckets."""
+    return ((h >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
 
 
 class Chunk:
@@ -117,22 +128,22 @@ class Chunk:
     def anchors(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct anchor hashes by (bucket, hash), which bucket each has, and whether two ids of this chunk have it."""
         ids = self.ids[self.doc]
-        order = np.lexsort((ids, self.hash))
+        order = np.argsort(self.hash)
         h, ids = self.hash[order], ids[order]
         new = np.ones(len(h), bool)
         new[1:] = h[1:] != h[:-1]
         at = np.flatnonzero(new)
-        ends = np.append(at[1:], len(h)) - 1
-        several = ids[at] != ids[ends] if len(at) else np.zeros(0, bool)
+        several = np.minimum.reduceat(ids, at) != np.maximum.reduceat(ids, at) if len(at) else np.zeros(0, bool)
         h = h[at]
-        bucket = (h % U64(buckets)).astype(np.int64)
-        by = np.lexsort((h, bucket))
-        return h[by], bucket[by], several[by]
+        return h, bucket_of(h, buckets), several
 
     def candidates(self, shared: np.ndarray) -> "Contexts":
         """The runs whose anchor is shared (sorted hashes), with their distinct contexts."""
-        at = np.searchsorted(shared, self.hash)
-        hit = np.flatnonzero(np.append(shared, U64(0))[at] == self.hash) if len(shared) else np.zeros(0, np.int64)
+        some = np.zeros(1 << FILTER_BITS, bool)
+        some[shared >> U64(64 - FILTER_BITS)] = True
+        maybe = np.flatnonzero(some[self.hash >> U64(64 - FILTER_BITS)])
+        hashes = self.hash[maybe]
+        hit = maybe[np.append(shared, U64(0))[np.searchsorted(shared, hashes)] == hashes] if len(shared) else maybe
         return Contexts(self, hit)
 
 
@@ -151,10 +162,9 @@ class Contexts:
 
     def split(self, buckets: int) -> list[tuple[int, np.ndarray]]:
         """Distinct contexts of each bucket, in order."""
-        bucket = (self.lead[self.some] % U64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-        return [(int(bucket[part[0]]), part) for part in np.split(order, edges[1:])] if len(order) else []
+        bucket = bucket_of(self.lead[self.some], buckets)
+        edges = np.flatnonzero(np.diff(bucket, prepend=-1))
+        return [(int(bucket[part[0]]), part) for part in np.split(np.arange(len(bucket)), edges[1:])] if len(bucket) else []
 
 
 def gather(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -163,8 +173,8 @@ def gather(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarra
     return data[np.arange(int(ends[-1])) + np.repeat(start - ends + length, length)] if len(start) else np.zeros(0, np.uint8)
 
 
-def smallest_ids(lead: np.ndarray, data: np.ndarray, length: np.ndarray, least: np.ndarray) -> list[np.ndarray]:
-    """For every context: the smallest id that has each of the strings starting in it; one number if all have the same."""
+def smallest_ids(lead: np.ndarray, data: np.ndarray, length: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every context: the smallest id that has each of the strings starting in it, one number if all have the same; how many numbers each has, and all of them."""
     buffer = np.append(data, np.zeros(8, np.uint8))
     start = np.cumsum(length) - length
     order, new = sort(buffer, start, length, lead)
@@ -176,18 +186,20 @@ def smallest_ids(lead: np.ndarray, data: np.ndarray, length: np.ndarray, least:
     group = np.cumsum(np.concatenate([[True], lead[some][1:] != lead[some][:-1]])) - 1
     alone = np.bincount(group)[group] == 1
     mixed = np.flatnonzero(~alone)
-    answers: list[np.ndarray] = [lowest[i : i + 1] for i in range(len(some))]
+    sizes, begin, values = np.ones(len(some), np.int64), np.arange(len(some)), lowest
     if len(mixed):
         counts = length[some[mixed]] - LENGTH + 1
-        owner = np.repeat(np.arange(len(mixed)), counts)
-        begin = np.repeat(start[some[mixed]], counts) + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-        by, fresh = sort(buffer, begin, np.full(len(begin), LENGTH), group[mixed][owner].astype(U64))
+        owner, edges = np.repeat(np.arange(len(mixed)), counts), np.cumsum(counts) - counts
+        at = np.repeat(start[some[mixed]], counts) + np.arange(len(owner)) - np.repeat(edges, counts)
+        by, fresh = sort(buffer, at, np.full(len(at), LENGTH), group[mixed][owner].astype(U64))
         lows = np.minimum.reduceat(lowest[mixed][owner][by], np.flatnonzero(fresh))
-        found = np.empty(len(begin), np.int64)
+        found = np.empty(len(at), np.int64)
         found[by] = lows[np.cumsum(fresh) - 1]
-        for i, part in zip(mixed.tolist(), np.split(found, np.cumsum(counts)[:-1]), strict=True):
-            answers[i] = part[:1] if (part == part[0]).all() else part
-    return [answers[i] for i in distinct.tolist()]
+        uniform = np.minimum.reduceat(found, edges) == np.maximum.reduceat(found, edges)
+        sizes[mixed], begin[mixed], values = np.where(uniform, 1, counts), len(some) + edges, np.concatenate([lowest, found])
+    sizes, begin = sizes[distinct], begin[distinct]
+    ends = np.cumsum(sizes)
+    return sizes, values[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin - ends + sizes, sizes)]
 
 
 def pack(data: bytes) -> bytes:
@@ -219,14 +231,14 @@ def removed(docs: DataFrame, output: str, finish) -> DataFrame:
     def send_anchors(table: pa.Table) -> pa.Table:
         h, bucket, several = Chunk(table).anchors(buckets)
         edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-        out = [(int(bucket[a]), h[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes(), np.packbits(several[a:b]).tobytes()) for a, b in zip(edges, [*edges[1:], len(h)][: len(edges)], strict=True)]
+        out = [(int(bucket[a]), h[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes(), np.packbits(several[a:b]).tobytes()) for a, b in zip(edges, [*edges[1:], len(h)][: len(edges)], strict=True)]
         return _table(table, out, [("bucket", pa.int32()), ("hashes", pa.binary()), ("several", pa.binary())])
 
     def find_shared(table: pa.Table) -> pa.Table:
         chunk, bits, codes = _column(table, "chunk"), [], []
         for hashes, several in zip(_column(table, "hashes"), _column(table, "several"), strict=True):
             raw = np.zeros((len(hashes) // 5, 8), np.uint8)
-            raw[:, 3:] = np.frombuffer(hashes, np.uint8).reshape(-1, 5)
+            raw[:, :5] = np.frombuffer(hashes, np.uint8).reshape(-1, 5)
             codes.append(raw.view("<u8").ravel())
             bits.append(np.unpackbits(np.frombuffer(several, np.uint8))[: len(raw)].astype(bool))
         every, many = np.concatenate(codes), np.concatenate(bits)
@@ -263,12 +275,13 @@ def removed(docs: DataFrame, output: str, finish) -> DataFrame:
     def answer(table: pa.Table) -> pa.Table:
         lead, length, least = (np.frombuffer(b"".join(_column(table, c)), k) for c, k in (("lead", U64), ("length", np.uint8), ("least", np.int64)))
         data = np.frombuffer(b"".join(map(unpack, _column(table, "data"))), np.uint8)
-        found = smallest_ids(lead, data, length.astype(np.int64), least)
+        sizes, found = smallest_ids(lead, data, length.astype(np.int64), least)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
         out, at = [], 0
         for chunk, own in zip(_column(table, "chunk"), _column(table, "lead"), strict=True):
-            part = found[at : at + len(own) // 8]
-            at += len(part)
-            out.append((chunk, np.array([len(x) for x in part], np.uint8).tobytes(), np.concatenate(part).tobytes()))
+            to = at + len(own) // 8
+            out.append((chunk, sizes[at:to].astype(np.uint8).tobytes(), found[ends[at] : ends[to]].tobytes()))
+            at = to
         bucket = int(table.column("bucket")[0].as_py())
         return pa.table({"chunk": pa.array([x[0] for x in out], pa.int32()), "bucket": pa.array([bucket] * len(out), pa.int32()), "sizes": pa.array([x[1] for x in out], pa.binary()), "ids": pa.array([x[2] for x in out], pa.binary())})
 
