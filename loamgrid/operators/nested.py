@@ -3,17 +3,25 @@
 A level explodes the objects and arrays of the one before. `nodes` cuts what holds further levels in the shared folder, so no level parses
 again and the loop ends with the deepest document. `picked`, for what only looks for something in every node, peels LEVELS levels in one plan
 and cuts what it found with what goes deeper. Text that is no JSON (or repeats a key in an object) gives no node.
+
+Names, profiles and summaries are looked for in Arrow batches first, one walk for each document: exploding every node costs far more. `Unlike`
+is raised wherever Python's parser and VARIANT may read a text differently or write a value differently; such documents are walked as VARIANT.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import json
+import re
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import cut
+from ..session import cut, ship
 
 CONTAINERS = ("object", "array")
 #: Levels that one pass peels before it is seen whether a document goes deeper. Results don't depend on it.
@@ -115,6 +123,127 @@ def picked(df: DataFrame, keep: list[str], column: str, pick: Callable[[Column],
         rows = rest.withColumn("_found", F.slice("_found", 1, 0))
 
 
+class Unlike(ValueError):
+    """A text or value that Python and VARIANT may take differently."""
+
+
+#: Far below the parser's bounds for depth, keys and size, beyond which VARIANT has no value.
+PLAIN_DEPTH, PLAIN_KEY, PLAIN_CHARS = 400, 10_000, 2_000_000
+#: Rows handed on at a time.
+PLAIN_ROWS = 4096
+FRACTION, SURROGATE = object(), re.compile(r"\\u[dD][89a-fA-F]")
+
+
+def _plain_object(pairs: list) -> dict:
+    made = dict(pairs)
+    if len(made) != len(pairs):
+        raise Unlike
+    return made
+
+
+def _plain_int(digits: str) -> int:
+    if len(digits) > 18:
+        raise Unlike
+    return int(digits)
+
+
+def _plain_fraction(digits: str) -> object:
+    """A number that is read alike, but not written alike."""
+    if len(digits) > 30 or "e" in digits or "E" in digits:
+        raise Unlike
+    return FRACTION
+
+
+def _plain_constant(name: str) -> None:
+    raise Unlike
+
+
+DECODER = json.JSONDecoder(object_pairs_hook=_plain_object, parse_int=_plain_int, parse_float=_plain_fraction, parse_constant=_plain_constant)
+
+
+def plain_text(node: object, name: str) -> str | None:
+    """What `inside` gives for a key as a string."""
+    value = node.get(name) if type(node) is dict else None
+    if value is None or type(value) is str:
+        return value
+    if value is True or value is False:
+        return "true" if value else "false"
+    if type(value) is int:
+        return str(value)
+    raise Unlike
+
+
+def plain_items(node: object, name: str) -> list | None:
+    """The elements of an array under a key, None where it is missing or no array."""
+    value = node.get(name) if type(node) is dict else None
+    if type(value) is not list:
+        return None
+    if None in value:
+        raise Unlike
+    return value
+
+
+def plain_walk(text: str, pick: Callable[[dict], Iterable], skip: frozenset[str], root: Callable[[object], Iterable] | None) -> list:
+    """What `pick` (and `root`) gives for the objects of a document, as `picked` finds it."""
+    if len(text) > PLAIN_CHARS or SURROGATE.search(text):
+        raise Unlike
+    value = DECODER.decode(text)
+    found = list(root(value)) if root else []
+    long = len(text) > PLAIN_KEY
+    # what isn't entered is read all the same where it could hold a level or a key that VARIANT has no value for
+    whole = long or text.count("[") + text.count("{") > PLAIN_DEPTH
+    stack = [("", value, 0, True)]
+    while stack:
+        name, node, depth, open_ = stack.pop()
+        if depth > PLAIN_DEPTH:
+            raise Unlike
+        inner = open_ and name not in skip
+        if type(node) is dict:
+            if open_:
+                found.extend(pick(node))
+            if long and any(len(k) > PLAIN_KEY for k in node):
+                raise Unlike
+            if inner or whole:
+                stack.extend([(k, x, depth + 1, inner) for k, x in node.items() if type(x) is dict or type(x) is list])
+        elif type(node) is list and (inner or whole):
+            stack.extend([(name, x, depth + 1, inner) for x in node if type(x) is dict or type(x) is list])
+    return found
+
+
+def plainly(df: DataFrame, keep: list[str], column: str, kind: str, plain: Callable[[dict], Iterable], pick: Callable[[Column], Column], skip: Iterable[str] = (), root: Callable[[Column], Column] | None = None, plain_root: Callable[[object], Iterable] | None = None) -> DataFrame:
+    """`picked`, by `plain` (and `plain_root`) where Python reads a document as VARIANT does; x has the type `kind`."""
+    ship(df.sparkSession)
+    schema = T.StructType([*df.select(*keep).schema.fields, *T.StructType.fromDDL(f"x {kind}, _left string").fields])
+    arrow, skipped = to_arrow_schema(schema), frozenset(skip)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PLAIN_ROWS):
+                part = batch.slice(at, PLAIN_ROWS)
+                rows, found, left = [], [], []
+                for i, text in enumerate(part.column(len(keep)).to_pylist()):
+                    if text is None:
+                        continue
+                    try:
+                        some = plain_walk(text, plain, skipped, plain_root)
+                    except (ValueError, RecursionError):
+                        rows.append(i)
+                        found.append(None)
+                        left.append(text)
+                        continue
+                    rows.extend([i] * len(some))
+                    found.extend(some)
+                    left.extend([None] * len(some))
+                of = pa.array(rows, pa.int32())
+                yield pa.RecordBatch.from_arrays([*[part.column(j).take(of).cast(arrow.field(j).type) for j in range(len(keep))], pa.array(found, arrow.field(len(keep)).type), pa.array(left, arrow.field(len(keep) + 1).type)], schema=arrow)
+
+    kept = cut(df.select(*keep, column).mapInArrow(run, schema))
+    sure, rest = kept.filter("_left IS NULL").select(*keep, "x"), kept.filter("_left IS NOT NULL")
+    if rest.isEmpty():
+        return sure
+    return sure.unionAll(picked(rest.select(*keep, F.col("_left").alias(column)), keep, column, pick, skip, root))
+
+
 def typed_names(df: DataFrame, key: str, column: str, kind: str) -> DataFrame:
     """(key, name) of all objects, at any depth, whose `type` is the given one in whatever case and that have a name."""
 
@@ -170,6 +299,20 @@ def _profiles(v: Column) -> Column:
     return F.transform(F.try_variant_get(v, "$.profiles", "array<variant>"), one)
 
 
+PROFILE = "struct<name:string,type:string,c:array<struct<name:string,text:string>>>"
+
+
+def _plain_profiles(node: object) -> Iterator[dict]:
+    """`_profiles` of a parsed object."""
+    for p in plain_items(node, "profiles") or ():
+        said = {}
+        for c in plain_items(p, "characteristics") or ():
+            name, text_ = plain_text(c, "name"), plain_text(c, "$text")
+            if name and text_ is not None:
+                said[name] = text_
+        yield {"name": plain_text(p, "name"), "type": plain_text(p, "typeName"), "c": [{"name": n, "text": said[n]} for n in sorted(said)]}
+
+
 def _classed(typed: DataFrame, *keep: str) -> DataFrame:
     """Profiles (keep, name, type, c) with their class, as `profiles` returns them."""
     kind = reduce(lambda c, x: c.when(F.col("type") == x[0], x[1]), list(PROFILE_CLASSES.items())[1:], F.when(F.col("type") == "Unit", "unit"))
@@ -184,7 +327,7 @@ def profiles(df: DataFrame, key: str, column: str) -> DataFrame:
 
     Units and weapons keep their characteristics; of semantic ones only the hash of the description (or else the capacity) is kept, null where there is none.
     """
-    return _classed(picked(df, [key], column, _profiles, skip=["profiles"]).select(key, "x.*"), key).filter("class IS NOT NULL")
+    return _classed(plainly(df, [key], column, PROFILE, _plain_profiles, _profiles, ["profiles"]).select(key, "x.*"), key).filter("class IS NOT NULL")
 
 
 def entry_summaries(df: DataFrame, key: str, column: str) -> DataFrame:
