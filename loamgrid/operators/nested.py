@@ -330,6 +330,16 @@ def profiles(df: DataFrame, key: str, column: str) -> DataFrame:
     return _classed(plainly(df, [key], column, PROFILE, _plain_profiles, _profiles, ["profiles"]).select(key, "x.*"), key).filter("class IS NOT NULL")
 
 
+def _plain_entry(node: object) -> dict:
+    """What a summary says of a parsed document itself."""
+    texts = lambda v, *names: {n: plain_text(v, n) for n in names}
+    return texts(node, "id", "name", "type") | {
+        "categories": [n for c in plain_items(node, "categoryLinks") or () if (n := plain_text(c, "name"))],
+        "costs": [x for c in plain_items(node, "costs") or () if (x := texts(c, "name", "value"))["name"]],
+        "constraints": [texts(c, "field", "scope", "type", "value") for c in plain_items(node, "constraints") or ()],
+    }
+
+
 def entry_summaries(df: DataFrame, key: str, column: str) -> DataFrame:
     """One row for each document: id, name, type, categories, costs, constraints, and its distinct profiles by class, in order."""
 
@@ -341,7 +351,8 @@ def entry_summaries(df: DataFrame, key: str, column: str) -> DataFrame:
         return F.struct(*[inside(v, f"$.{n}").alias(n) for n in ("id", "name", "type")], names.alias("categories"), costs.alias("costs"), limits.alias("constraints"))
 
     profile, entry = lambda v: F.transform(_profiles(v), lambda p: F.struct(p.alias("p"), F.when(F.lit(False), flat(v)).alias("e"))), lambda v: F.array(F.struct(F.get(_profiles(v), F.lit(-1)).alias("p"), flat(v).alias("e")))
-    found = _classed(picked(df, [key], column, profile, ["profiles"], entry).select(key, F.col("x.e").alias("e"), "x.p.*"), key, "e")
+    kind = f"struct<p:{PROFILE},e:struct<id:string,name:string,type:string,categories:array<string>,costs:array<struct<name:string,value:string>>,constraints:array<struct<field:string,scope:string,type:string,value:string>>>>"
+    found = _classed(plainly(df, [key], column, kind, lambda v: ({"p": p, "e": None} for p in _plain_profiles(v)), profile, ["profiles"], entry, lambda v: ({"p": None, "e": _plain_entry(v)},)).select(key, F.col("x.e").alias("e"), "x.p.*"), key, "e")
     # of one reading: documents and profiles meet by key; a document without a key, or whose key has no profile, has none
     packed, any_ = F.struct("name", "type", "characteristics", "text_sha256"), F.col(key).isNotNull() & (F.col("_n") > 0)
     grouped = found.groupBy(key).agg(F.collect_list("e").alias("_e"), F.count("class").alias("_n"), *[F.array_sort(F.collect_set(F.when(F.col("class") == c, packed))).alias(f"{c}_profiles") for c in ("unit", "weapon", "semantic")])
