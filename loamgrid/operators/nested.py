@@ -251,7 +251,15 @@ def typed_names(df: DataFrame, key: str, column: str, kind: str) -> DataFrame:
         name = F.try_variant_get(v, "$.name", "variant")
         return F.when((F.lower(inside(v, "$.type")) == kind.lower()) & (kind_of(name) == "string"), F.array(inside(v, "$.name")))
 
-    return picked(df, [key], column, pick).select(key, F.col("x").alias("name")).distinct()
+    wanted = kind.lower()
+
+    def plain(node: dict) -> Iterable:
+        type_ = plain_text(node, "type")
+        if type_ is not None and not type_.isascii():
+            raise Unlike
+        return (node["name"],) if type_ is not None and type_.lower() == wanted and type(node.get("name")) is str else ()
+
+    return plainly(df, [key], column, "string", plain, pick).select(key, F.col("x").alias("name")).distinct()
 
 
 def named_costs(df: DataFrame, key: str, column: str, name: Column, cost: str, norm=F.lower) -> DataFrame:

@@ -60,7 +60,7 @@ def test_depth_and_odd_texts_are_left_to_variant():
     assert not {0, 2, 4, 8, 13, 16, 22, 27, 29} & set(left)
 
 
-@pytest.mark.parametrize("name", ["entry_profiles", "entry_summaries"])
+@pytest.mark.parametrize("name", ["entry_profiles", "entry_summaries", "entry_units"])
 def test_ordinary_documents_are_not_exploded(spark, data, monkeypatch, name):
     def refused(*args, **kwargs):
         raise AssertionError("walked as VARIANT")
